@@ -40,22 +40,32 @@ def parse_events(
 ) -> DataFrame:
     """Parse a line column with ``from_json`` into typed top-level columns.
 
-    Adds ``_isValid``: the line is a JSON object (a blank line gives a NULL
-    struct, a malformed one fills ``_corrupt_record``). ``keep`` carries
-    through extra columns of ``lines`` (e.g. ``fileName``).
+    Adds ``_isValid``: the line is a JSON object. A blank line gives a NULL
+    struct and a malformed one fills ``_corrupt_record``; a wrong-typed field
+    also fills it, but the line is still an object, so that case is told
+    apart by a second, schema-free parse that runs only for flagged lines.
+    Wrong-typed fields read as NULL and their siblings survive. ``keep``
+    carries through extra columns of ``lines`` (e.g. ``fileName``).
     """
     parse_schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
     parsed = F.from_json(
         F.col(line_col), parse_schema,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
     )
-    return (
-        lines.select(*keep, parsed.alias("_e"))
-        .select(*keep, *[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields],
-                is_valid_event(F.col("_e")).alias("_isValid"))
-    )
+    # The one-element explode keeps the parse a single evaluation per line:
+    # a filter on a plain projection of it would be pushed below the
+    # projection with the whole parse substituted in, running it again.
+    exploded = lines.select(*keep, F.col(line_col).alias("_line"),
+                            F.explode(F.array(parsed)).alias("_e"))
+    return exploded.select(
+        *keep, *[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields],
+        is_valid_event(F.col("_e"), F.col("_line")).alias("_isValid"))
+
+
+_OBJECT = T.MapType(T.StringType(), T.StringType())
 
 
-def is_valid_event(parsed: Column) -> Column:
-    """True when a ``from_json`` result holds a parsed object."""
-    return parsed.isNotNull() & parsed.getField(CORRUPT_COLUMN).isNull()
+def is_valid_event(parsed: Column, line: Column) -> Column:
+    """True when the line behind a ``from_json`` result is a JSON object."""
+    corrupt = parsed.getField(CORRUPT_COLUMN)
+    return parsed.isNotNull() & (corrupt.isNull() | F.from_json(line, _OBJECT).isNotNull())

@@ -1,0 +1,53 @@
+from pyspark.sql import functions as F
+
+from logtally.operators import distinct_files, left_reconcile, reconcile, reconcile_spine
+from tests.conftest import rows
+
+META = "sourceFileAbsolutePath string, fileName string, lineCount long"
+
+
+def _sides(spark):
+    raw = spark.createDataFrame([("r/f1", "f1", 1), ("r/f2", "f2", 2), ("r/x", None, 9)], META)
+    clean = spark.createDataFrame([("c/f2", "f2", 5), ("c/f3", "f3", 6)], META)
+    return raw, clean
+
+
+def test_reconcile_spine_matches_original_report(spark):
+    raw, clean = _sides(spark)
+    got = rows(reconcile_spine(raw, clean))
+    assert got == sorted([("f1", 1, 0), ("f2", 2, 5), ("f2", 2, 5), ("f3", 0, 6), (None, 0, 0)],
+                         key=repr)
+
+
+def test_reconcile_one_row_per_name(spark):
+    raw, clean = _sides(spark)
+    got = rows(reconcile(raw, clean))
+    assert got == sorted([("f1", 1, 0), ("f2", 2, 5), ("f3", 0, 6), (None, 9, 0)], key=repr)
+    assert reconcile(raw, clean).columns == ["fileName", "masterEventCount", "nomEventCount"]
+
+
+def test_reconcile_totals_equal_side_sums(spark):
+    raw, clean = _sides(spark)
+    tot = reconcile(raw, clean).agg(F.sum("masterEventCount"), F.sum("nomEventCount")).first()
+    assert tuple(tot) == (12, 11)
+
+
+def test_shared_name_never_multiplies_rows(spark):
+    raw = spark.createDataFrame([(f"r{i}/V2/clean/a", "V2/", 1) for i in range(50)], META)
+    clean = spark.createDataFrame([(f"c{i}/V2/clean/a", "V2/", 2) for i in range(40)], META)
+    assert rows(reconcile(raw, clean)) == [("V2/", 50, 80)]
+    assert rows(reconcile_spine(raw, clean)) == [("V2/", 50, 80), ("V2/", 50, 80)]
+    lr = left_reconcile(raw, clean)
+    assert lr.count() == 50 and rows(lr.select("cleanLineCount").distinct()) == [(80,)]
+
+
+def test_left_reconcile(spark):
+    raw, clean = _sides(spark)
+    got = rows(left_reconcile(raw, clean))
+    assert got == sorted([("f1", 1, None), ("f2", 2, 5), (None, 9, None)], key=repr)
+
+
+def test_distinct_files_union_all(spark):
+    raw, clean = _sides(spark)
+    assert rows(distinct_files(raw, clean)) == sorted(
+        [("f1",), ("f2",), (None,), ("f2",), ("f3",)], key=repr)

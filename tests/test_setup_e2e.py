@@ -1,0 +1,51 @@
+import pytest
+
+from logtally.plans.setup import SetupConfig, run_setup
+from tests.conftest import rows
+from tests.fixtures import make_clean_root, make_raw_root
+
+
+@pytest.mark.parametrize("check", ["observe", "rescan"])
+def test_run_setup_whole_dag(spark, tmp_path, check):
+    base = tmp_path / "land"
+    raw_root, clean_root = make_raw_root(base), make_clean_root(base)
+    cfg = SetupConfig(raw_root=str(raw_root), clean_root=str(clean_root),
+                      output_root=str(tmp_path / "out"), check=check)
+    results = run_setup(spark, cfg)
+
+    assert results[cfg.path("raw", "lines_check")] == (9, 9, True)
+    assert results[cfg.path("clean", "lines_check")] == (9, 9, True)
+    # blank and malformed lines are not JSON objects: the check reports it
+    assert results[cfg.path("clean", "json_check")] == (9, 7, False)
+
+    raw_meta = spark.read.parquet(cfg.path("raw", "file_meta"))
+    assert rows(raw_meta, "fileName", "lineCount") == [
+        ("2016-08-15.gz", 6), ("day 2.gz", 2), ("only-raw.gz", 1)]
+    rec = spark.read.parquet(cfg.path("report", "reconcile"))
+    assert rows(rec) == [("2016-08-15.gz", 6, 6), ("a+b.gz", 0, 1), ("day 2.gz", 2, 2),
+                         ("only-raw.gz", 1, 0)]
+    lr = spark.read.parquet(cfg.path("report", "left_reconcile"))
+    assert rows(lr) == [("2016-08-15.gz", 6, 6), ("day 2.gz", 2, 2), ("only-raw.gz", 1, None)]
+
+    counts = spark.read.schema("fileName string, name string, occurrenceCount long") \
+        .option("sep", "\x01").option("nullValue", "\\N").csv(cfg.path("clean", "event_counts"))
+    assert ("2016-08-15.gz", None, 3) in rows(counts)  # blank, malformed, missing name
+    dims = spark.read.parquet(cfg.path("report", "dimensions"))
+    assert dims.count() == 2 * 1 * 2 and rows(dims, "year", "month", "day")[0] == (2016, 1, 1)
+
+
+def test_rerun_is_a_full_refresh(spark, tmp_path):
+    base = tmp_path / "land"
+    cfg = SetupConfig(raw_root=str(make_raw_root(base)), clean_root=str(make_clean_root(base)),
+                      output_root=str(tmp_path / "out"))
+    run_setup(spark, cfg, report=False)
+    run_setup(spark, cfg, report=False)
+    assert spark.read.parquet(cfg.path("raw", "lines")).count() == 9
+
+
+def test_raise_on_mismatch(spark, tmp_path):
+    base = tmp_path / "land"
+    cfg = SetupConfig(raw_root=str(make_raw_root(base)), clean_root=str(make_clean_root(base)),
+                      output_root=str(tmp_path / "out"), raise_on_mismatch=True)
+    with pytest.raises(AssertionError):
+        run_setup(spark, cfg, report=False)          # the JSON check fails on bad lines
