@@ -7,6 +7,7 @@ names on DuckDB views of the same parquet tables.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,9 @@ from logtally.operators import (
     tag_lines,
     valid_json_rows,
 )
+from logtally.session import ensure_checkpoint_dir
 from logtally.sources.events import parse_events
+from logtally.sources.landing import read_valid_lines, validate_landing
 from logtally.sources.tables import (
     CLEAN_MARKER,
     CLEAN_NAME_PATH,
@@ -156,6 +159,27 @@ def q_split_path(spark, sf):
     return pages.select("page_id", "url", relative_name("url", "example[.]").alias("relativeName"))
 
 
+def _landed_archives(spark: SparkSession, sf: str) -> str:
+    """Write the clean copy as daily gzip archives into a fresh folder under
+    the session's checkpoint directory (a shared folder on a cluster)."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{uuid.uuid4().hex}"
+    (clean_lines(spark, sf).select("line", F.regexp_extract(
+        F.col("sourceFileAbsolutePath"), r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1).alias("day"))
+     .write.partitionBy("day").option("compression", "gzip").text(root))
+    return root
+
+
+def q_landing_manifest(spark, sf):
+    return validate_landing(spark, _landed_archives(spark, sf), recursive=True)
+
+
+def q_landed_event_counts(spark, sf):
+    manifest = validate_landing(spark, _landed_archives(spark, sf), recursive=True)
+    tagged = tag_lines(read_valid_lines(spark, manifest), "day=")
+    by_day = tagged.select(F.substring("fileName", 1, 10).alias("day"), "line")
+    return event_counts(by_day, CLEAN_NAME_PATH, group_cols=("day",))
+
+
 QUERIES: dict[str, Query] = {
     "tag_lines": q_tag_lines,
     "file_line_counts": q_file_line_counts,
@@ -178,6 +202,8 @@ QUERIES: dict[str, Query] = {
     "explode_dimensions": q_explode_dimensions,
     "calendar_parts": q_calendar_parts,
     "split_path": q_split_path,
+    "landing_manifest": q_landing_manifest,
+    "landed_event_counts": q_landed_event_counts,
 }
 
 # Shared DuckDB definitions of the derived frames (same rows as sources.tables).
@@ -295,6 +321,12 @@ ORACLE_SQL: dict[str, str] = {
                CAST(month({_CAL.format(ms='serverTs')}) AS INTEGER) AS month,
                CAST(day({_CAL.format(ms='serverTs')}) AS INTEGER) AS day
         FROM (SELECT event_id, (epoch_us(ts) // 1000) AS serverTs FROM events)""",
+    "landed_event_counts": _with("""
+        SELECT d AS day, json_extract_string(line, '$.name') AS name, count(*) AS occurrenceCount
+        FROM (SELECT strftime(ts, '%Y-%m-%d') AS d, '{"name":"' || event_type || '","siteId":"'
+                     || CAST(user_id AS VARCHAR) || '"}' AS line
+              FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')
+        GROUP BY ALL"""),
     "split_path": """
         SELECT page_id, url, regexp_split_to_array(url, 'example[.]')[2] AS relativeName
         FROM pages""",

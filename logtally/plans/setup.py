@@ -62,18 +62,17 @@ class SetupConfig:
 
 def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
                   side: str) -> tuple[DataFrame, DataFrame]:
-    """Scan + tag + write the line table; return (source scan, written table)
-    and the check frame."""
+    """Scan + tag + write the line table; return the written table and the
+    one-row frame comparing source lines with table rows."""
     lines = scan_lines(spark, root, recursive=cfg.recursive)
     target = cfg.path(side, "lines")
     if cfg.check == "observe":
-        # Observed above the rebalance exchange, the count lives in the
-        # write (result) stage, whose task updates count once per partition
-        # even when tasks are retried after an executor loss.
+        # Scan -> tag -> write is one map-only stage, so the observed count
+        # is taken in the write (result) stage, whose task updates count once
+        # per partition even when tasks are retried after an executor loss.
         obs = Observation(f"{side}_source")
-        tagged = tag_lines(lines, marker).hint("rebalance").observe(
-            obs, F.count(F.lit(1)).alias("rows"))
-        write_managed(tagged, target, rebalance=False)
+        tagged = tag_lines(lines, marker).observe(obs, F.count(F.lit(1)).alias("rows"))
+        write_managed(tagged, target)
         written = spark.read.parquet(target)
         derived = written.agg(F.count(F.lit(1)).alias("derivedCount")).first()[0]
         source = obs.get["rows"]
@@ -95,7 +94,7 @@ def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, path:
     if delimited:
         export_delimited(check, path)
     else:
-        write_managed(check, path, rebalance=False)
+        write_managed(check, path)
     row = (spark.read.option("sep", "\x01").schema(check.schema).csv(path) if delimited
            else spark.read.parquet(path)).first()
     cfg.results[path] = tuple(row)

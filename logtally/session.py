@@ -19,6 +19,9 @@ CLUSTER_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Start wide so no shuffle partition outgrows executor memory at 100 TB;
+    # AQE then merges partitions toward the advisory size.
+    "spark.sql.shuffle.partitions": "4000",
     # Bin-pack many small (gzip) inputs into splits of about this size.
     "spark.sql.files.maxPartitionBytes": str(200 * 1024 * 1024),
     # Target size for rebalanced outputs (the old merge target was ~1 GB;

@@ -2,8 +2,14 @@
 
 Every write is a full refresh (overwrite) through Spark's commit protocol, so
 a job that loses executors and retries tasks, or is rerun whole, leaves one
-complete copy. A ``rebalance`` hint before each write lets AQE merge small
-partitions and split big ones toward ``advisoryPartitionSizeInBytes``.
+complete copy.
+
+File sizing needs no extra shuffle: map-only writes inherit input splits,
+which the scan already bin-packs to ``maxPartitionBytes`` (small files are
+combined), and aggregate outputs inherit AQE-coalesced shuffle partitions.
+``rebalance=True`` adds a ``REBALANCE`` exchange (AQE sizes its partitions
+toward ``advisoryPartitionSizeInBytes``) for inputs that are neither; it is a
+full shuffle of the frame, so it stays off by default.
 """
 
 from __future__ import annotations
@@ -23,7 +29,7 @@ def write_managed(
     path: str,
     table: str | None = None,
     fmt: str = "parquet",
-    rebalance: bool = True,
+    rebalance: bool = False,
     compression: str = "snappy",
     partition_by: Iterable[str] = (),
 ) -> str:
@@ -42,7 +48,8 @@ def write_managed(
 
 
 def stage_lines(lines: DataFrame, path: str, source_paths: Iterable[str] = (),
-                line_col: str = "line", compression: str = "snappy") -> str:
+                line_col: str = "line", compression: str = "snappy",
+                rebalance: bool = False) -> str:
     """Rewrite the line column as compressed text in larger chunks (B4).
 
     The stage directory must never be an input of the same job, since an
@@ -53,15 +60,18 @@ def stage_lines(lines: DataFrame, path: str, source_paths: Iterable[str] = (),
         s = src.rstrip("/")
         if s == target or s.startswith(target + "/") or target.startswith(s + "/"):
             raise ValueError(f"stage target {path!r} overlaps its source {src!r}")
-    (lines.select(line_col).hint("rebalance").write.mode("overwrite")
-     .option("compression", compression).text(path))
+    out = lines.select(line_col)
+    out = out.hint("rebalance") if rebalance else out
+    out.write.mode("overwrite").option("compression", compression).text(path)
     return path
 
 
-def export_delimited(df: DataFrame, path: str, compression: str | None = None) -> str:
+def export_delimited(df: DataFrame, path: str, compression: str | None = None,
+                     rebalance: bool = False) -> str:
     """Write ``df`` as text rows with Ctrl-A separators and ``\\N`` for NULL,
     the layout an external text table over ``path`` expects (B3)."""
-    writer = (df.hint("rebalance").write.mode("overwrite")
+    out = df.hint("rebalance") if rebalance else df
+    writer = (out.write.mode("overwrite")
               .option("sep", FIELD_SEP).option("nullValue", NULL_TOKEN)
               .option("emptyValue", "").option("quote", "").option("escape", "")
               .option("header", "false"))

@@ -8,6 +8,7 @@ of valid archives go on to the line scan.
 
 from __future__ import annotations
 
+import fnmatch
 import zlib
 
 import pandas as pd
@@ -68,17 +69,30 @@ def _gzip_problem_udf(content: pd.Series) -> pd.Series:
     return content.map(gzip_problem)
 
 
-def _zero_length_files(spark: SparkSession, root: str, glob: str) -> list[tuple[str, int]]:
+def _zero_length_files(spark: SparkSession, root: str, glob: str,
+                       recursive: bool) -> list[tuple[str, int]]:
     """Zero-length archives: the file sources skip them, so list them here.
 
-    Only file metadata is touched (a glob listing on the driver, as every
-    Spark file scan does); the contents never pass through the driver.
+    Only file metadata is touched (a listing on the driver, as every Spark
+    file scan does); the contents never pass through the driver.
     """
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = jvm.org.apache.hadoop.fs.Path(root)
+    fs = base.getFileSystem(conf)
+    found: list[tuple[str, int]] = []
+    if recursive:
+        it = fs.listFiles(base, True)
+        while it.hasNext():
+            s = it.next()
+            if s.getLen() == 0 and fnmatch.fnmatch(s.getPath().getName(), glob):
+                found.append((s.getPath().toString(), 0))
+        return found
     pattern = jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "/" + glob)
-    statuses = pattern.getFileSystem(conf).globStatus(pattern) or []
-    return [(s.getPath().toString(), 0) for s in statuses if s.isFile() and s.getLen() == 0]
+    for s in fs.globStatus(pattern) or []:
+        if s.isFile() and s.getLen() == 0:
+            found.append((s.getPath().toString(), 0))
+    return found
 
 
 def validate_landing(
@@ -86,6 +100,7 @@ def validate_landing(
     root: str,
     glob: str = GZIP_GLOB,
     skip_substring: str | None = SKIP_SUBSTRING,
+    recursive: bool = False,
 ) -> DataFrame:
     """Manifest ``(path, length, isValid, reason)`` of the archives in ``root``.
 
@@ -96,11 +111,13 @@ def validate_landing(
     archives of one input split (``maxPartitionBytes``) at a time, and
     ``spark.sql.sources.binaryFile.maxLength`` bounds a single archive.
     """
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .load(root).select("path", "length", "content"))
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    files = reader.load(root).select("path", "length", "content")
     checked = files.select(
         "path", "length", _gzip_problem_udf(F.col("content")).alias("reason"))
-    empty = _zero_length_files(spark, root, glob)
+    empty = _zero_length_files(spark, root, glob, recursive)
     if empty:
         checked = checked.unionByName(
             spark.createDataFrame(empty, "path string, length long")

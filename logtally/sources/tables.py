@@ -34,10 +34,17 @@ def _day(ts: str = "ts"):
     return F.date_format(F.col(ts), "yyyy-MM-dd")
 
 
+def _outside_day(day: str, ts: str = "ts"):
+    """``ts`` not on calendar ``day``, as a range the Parquet scan can prune on."""
+    start = F.lit(day).cast("timestamp_ntz")
+    end = F.lit(day).cast("date").cast("timestamp_ntz") + F.expr("INTERVAL 1 DAY")
+    return (F.col(ts) < start) | (F.col(ts) >= end)
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(sourceFileAbsolutePath, line)`` of the raw copy."""
     ev = table(spark, sf_dir, "events")
-    return ev.where(_day() != RAW_MISSING_DAY).select(
+    return ev.where(_outside_day(RAW_MISSING_DAY)).select(
         F.concat(F.lit(RAW_ROOT), _day(), F.lit(".gz")).alias(PATH_COL),
         F.to_json(F.struct(
             F.struct(F.col("event_type").alias("name")).alias("clientData"),
@@ -48,7 +55,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(sourceFileAbsolutePath, line)`` of the clean copy."""
     ev = table(spark, sf_dir, "events")
-    return ev.where((F.col("event_type") != CLEAN_DROPPED_TYPE) & (_day() != CLEAN_MISSING_DAY)).select(
+    return ev.where((F.col("event_type") != CLEAN_DROPPED_TYPE) & _outside_day(CLEAN_MISSING_DAY)).select(
         F.concat(F.lit(CLEAN_ROOT), _day(), F.lit(".gz")).alias(PATH_COL),
         F.to_json(F.struct(
             F.col("event_type").alias("name"),
