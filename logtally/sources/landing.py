@@ -25,43 +25,95 @@ SKIP_SUBSTRING = "tmp"
 
 _CHUNK = 1 << 20          # compressed bytes fed per step
 _MAX_OUT = 8 << 20        # cap on decompressed bytes held per step
+_LINES_PER_BATCH = 8192
 
 
-def gzip_problem(data: bytes | None) -> str:
-    """Classify an archive the way ``gzip -t`` judges it (exit status 0 = ok).
+class ArchiveError(Exception):
+    """An archive that ``gzip -t`` would reject; ``kind`` names the defect."""
+
+    def __init__(self, kind: str):
+        super().__init__(kind)
+        self.kind = kind
+
 
-    Returns ``ok`` / ``multi-member`` / ``zero-padded`` for valid archives and
-    the failure kind otherwise. Decompressed output is discarded in bounded
-    steps, so memory stays flat whatever the expansion ratio.
+def iter_members(data: bytes):
+    """Yield decompressed blocks of every gzip member, in order.
+
+    Decompressed output comes in blocks of at most ``_MAX_OUT`` bytes, so
+    memory stays flat whatever the expansion ratio. Zero bytes after the
+    last member are accepted (as ``gzip -t`` does); any other defect raises
+    ``ArchiveError``. The generator returns ``(members, zero_padded)``.
     """
     if not data:
-        return "empty"
+        raise ArchiveError("empty")
     view = memoryview(data)
     pos, members = 0, 0
     while pos < len(view):
         if members and not any(view[pos:]):
-            return "zero-padded"
+            return members, True
         if bytes(view[pos:pos + 2]) != b"\x1f\x8b":
-            return "trailing-garbage" if members else "not-gzip"
+            raise ArchiveError("trailing-garbage" if members else "not-gzip")
         d = zlib.decompressobj(16 + zlib.MAX_WBITS)
         cursor = pos
         try:
             while not d.eof and cursor < len(view):
-                d.decompress(view[cursor:cursor + _CHUNK], _MAX_OUT)
-                cursor += _CHUNK
+                fed_end = min(cursor + _CHUNK, len(view))
+                yield d.decompress(view[cursor:fed_end], _MAX_OUT)
                 while d.unconsumed_tail and not d.eof:
-                    d.decompress(d.unconsumed_tail, _MAX_OUT)
+                    yield d.decompress(d.unconsumed_tail, _MAX_OUT)
+                cursor = fed_end
         except zlib.error as exc:
-            msg = str(exc)
-            return "bad-crc" if "check" in msg else "corrupt"
+            raise ArchiveError("bad-crc" if "check" in str(exc) else "corrupt") from exc
         if not d.eof:
-            return "truncated"
+            raise ArchiveError("truncated")
         members += 1
-        pos = len(view) - len(d.unused_data)
+        # The next member starts where this one's input ended.
+        pos = cursor - len(d.unused_data)
+    return members, False
+
+
+def gzip_problem(data: bytes | None) -> str:
+    """Classify an archive the way ``gzip -t`` judges it (exit status 0 = ok).
+
+    Valid archives report ``ok``, ``multi-member`` or ``zero-padded``; invalid
+    ones the defect. Decompressed output is discarded as it is produced.
+    """
+    it = iter_members(data or b"")
+    try:
+        while True:
+            next(it)
+    except StopIteration as stop:
+        members, padded = stop.value
+    except ArchiveError as err:
+        return err.kind
+    if padded:
+        return "zero-padded"
     return "multi-member" if members > 1 else "ok"
 
 
+def iter_lines(data: bytes):
+    """Lines of a valid archive, split like Spark's text reader: on ``\\n``,
+    ``\\r\\n`` or ``\\r``, with no empty line after a final newline."""
+    rest = b""
+    for block in iter_members(data):
+        if not block:
+            continue
+        buf = rest + block
+        # A final '\r' may be the first half of '\r\n': hold it back.
+        cut = len(buf) - 1 if buf.endswith(b"\r") else len(buf)
+        last = max(buf.rfind(b"\n", 0, cut), buf.rfind(b"\r", 0, cut))
+        if last < 0:
+            rest = buf
+            continue
+        rest = buf[last + 1:]
+        yield from buf[:last + 1].splitlines()
+    if rest:
+        yield from rest.splitlines()
+
+
 VALID_KINDS = ("ok", "multi-member", "zero-padded")
+# Kinds Spark's own gzip text reader can read; the rest are decoded in Python.
+SPARK_READABLE = ("ok", "multi-member")
 
 
 @F.pandas_udf(T.StringType())
@@ -130,13 +182,36 @@ def validate_landing(
     return manifest
 
 
-def read_valid_lines(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """Scan only the archives a manifest marks valid -> ``(sourceFileAbsolutePath, line)``.
+def _decode_archives(batches):
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            chunk: list[str] = []
+            for raw in iter_lines(content):
+                chunk.append(raw.decode("utf-8", errors="replace"))
+                if len(chunk) == _LINES_PER_BATCH:
+                    yield pd.DataFrame({"sourceFileAbsolutePath": path, "line": chunk})
+                    chunk = []
+            if chunk:
+                yield pd.DataFrame({"sourceFileAbsolutePath": path, "line": chunk})
 
-    The valid path list is file metadata (one string per archive); the lines
-    themselves are read by the executors.
+
+def read_valid_lines(spark: SparkSession, manifest: DataFrame) -> DataFrame:
+    """Lines of the archives a manifest marks valid -> ``(sourceFileAbsolutePath, line)``.
+
+    Intact and multi-member archives go through Spark's text reader. Spark's
+    gzip reader rejects zero-padded archives although they are valid, so
+    those (normally few) are decoded by a streaming zlib pass in an
+    Arrow-batched ``mapInPandas`` instead of failing the job. The valid path
+    lists are file metadata (one string per archive); the lines themselves
+    are read by the executors.
     """
-    paths = [r.path for r in manifest.where("isValid").select("path").collect()]
-    if not paths:
-        return spark.createDataFrame([], "sourceFileAbsolutePath string, line string")
-    return scan_lines(spark, paths)
+    valid = manifest.where("isValid").select("path", "reason").collect()
+    plain = [r.path for r in valid if r.reason in SPARK_READABLE]
+    padded = [r.path for r in valid if r.reason not in SPARK_READABLE]
+    out = (scan_lines(spark, plain) if plain
+           else spark.createDataFrame([], "sourceFileAbsolutePath string, line string"))
+    if padded:
+        decoded = (spark.read.format("binaryFile").load(padded).select("path", "content")
+                   .mapInPandas(_decode_archives, "sourceFileAbsolutePath string, line string"))
+        out = out.unionByName(decoded)
+    return out

@@ -66,3 +66,31 @@ def test_stage_refuses_its_own_source(spark, tmp_path):
     df = spark.createDataFrame([("a",)], "line string")
     with pytest.raises(ValueError):
         stage_lines(df, str(tmp_path / "x"), source_paths=[str(tmp_path / "x")])
+
+
+def test_big_multi_member_archive_offsets():
+    import os as _os
+    big = gz_bytes(_os.urandom(3 << 20).hex())      # member larger than one input chunk
+    assert gzip_problem(big + gz_bytes("tail\n")) == "multi-member"
+    assert gzip_problem(big + gz_bytes("tail\n") + b"\0" * 10) == "zero-padded"
+    assert gzip_problem(big + b"x") == "trailing-garbage"
+
+
+def test_iter_lines_matches_text_reader_splitting():
+    from logtally.sources.landing import iter_lines
+    data = gz_bytes("a\r\nb\rc\n\nd") + gz_bytes("e\n")
+    assert list(iter_lines(data)) == [b"a", b"b", b"c", b"", b"de"]
+
+
+def test_read_valid_lines_decodes_zero_padded(spark, tmp_path):
+    gzip_cases(tmp_path / "land")
+    manifest = validate_landing(spark, str(tmp_path / "land"))
+    lines = read_valid_lines(spark, manifest)
+    by_file = {}
+    for r in lines.collect():
+        by_file.setdefault(r.sourceFileAbsolutePath.rsplit("/", 1)[-1], []).append(r.line)
+    assert sorted(by_file) == ["multi.gz", "ok.gz", "padded.gz"]
+    assert by_file["padded.gz"] == ['{"a":1}', '{"a":2}']
+    spark_path = [p for p in
+                  (r[0] for r in lines.select("sourceFileAbsolutePath").distinct().collect())]
+    assert all(p.startswith("file:") for p in spark_path)
