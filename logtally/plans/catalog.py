@@ -32,7 +32,7 @@ from logtally.operators import (
     valid_json_rows,
 )
 from logtally.session import ensure_checkpoint_dir
-from logtally.sources.events import parse_events
+from logtally.sources.events import parse_events, scan_events
 from logtally.sources.landing import read_valid_lines, validate_landing
 from logtally.sources.tables import (
     CLEAN_MARKER,
@@ -43,6 +43,7 @@ from logtally.sources.tables import (
     event_json_lines,
     raw_lines,
     table,
+    write_daily_archives,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -159,13 +160,16 @@ def q_split_path(spark, sf):
     return pages.select("page_id", "url", relative_name("url", "example[.]").alias("relativeName"))
 
 
+def _fresh_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder under the session's checkpoint directory (a shared
+    folder on a cluster) for archives a query lands itself."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
 def _landed_archives(spark: SparkSession, sf: str) -> str:
-    """Write the clean copy as daily gzip archives into a fresh folder under
-    the session's checkpoint directory (a shared folder on a cluster)."""
-    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landing/{uuid.uuid4().hex}"
-    (clean_lines(spark, sf).select("line", F.regexp_extract(
-        F.col("sourceFileAbsolutePath"), r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1).alias("day"))
-     .write.partitionBy("day").option("compression", "gzip").text(root))
+    """The clean copy written as daily gzip archives."""
+    root = _fresh_folder(spark, "landing")
+    write_daily_archives(clean_lines(spark, sf), root)
     return root
 
 
@@ -173,6 +177,17 @@ def q_landing_manifest(spark, sf):
     return validate_landing(spark, _landed_archives(spark, sf), recursive=True)
 
 
+def q_scanned_events(spark, sf):
+    root = _fresh_folder(spark, "events")
+    event_json_lines(spark, sf).write.option("compression", "gzip").text(root)
+    ev = valid_json_rows(scan_events(spark, root).withColumn(
+        "_isValid", F.col("_corrupt_record").isNull()))
+    return ev.select("eventId", "name", "serverTs", "siteId", "zoomLevel",
+                     F.size("meta.locations").alias("nLocations"),
+                     F.size("meta.pseudoEvents").alias("nPseudoEvents"),
+                     F.size("meta.ua.groups").alias("nUaGroups"))
+
+
 def q_landed_event_counts(spark, sf):
     manifest = validate_landing(spark, _landed_archives(spark, sf), recursive=True)
     tagged = tag_lines(read_valid_lines(spark, manifest), "day=")
@@ -202,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "explode_dimensions": q_explode_dimensions,
     "calendar_parts": q_calendar_parts,
     "split_path": q_split_path,
+    "scanned_events": q_scanned_events,
     "landing_manifest": q_landing_manifest,
     "landed_event_counts": q_landed_event_counts,
 }
@@ -305,6 +321,12 @@ ORACLE_SQL: dict[str, str] = {
                CAST(len(groups) AS INTEGER) AS nUaGroups
         FROM typed"""),
     "count_events": _with("SELECT count(*) AS rowCount FROM typed"),
+    "scanned_events": _with("""
+        SELECT eventId, name, serverTs, siteId, zoomLevel,
+               CAST(len(locations) AS INTEGER) AS nLocations,
+               CAST(len(pseudoEvents) AS INTEGER) AS nPseudoEvents,
+               CAST(len(groups) AS INTEGER) AS nUaGroups
+        FROM typed"""),
     "explode_locations": _with("""
         SELECT siteId, l.location FROM typed, unnest(typed.locations) AS l(location)"""),
     "explode_dimensions": _with(f"""

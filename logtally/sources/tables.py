@@ -84,3 +84,12 @@ def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         site.alias("siteId"),
         F.col("value").alias("zoomLevel"),
     )).alias("line"))
+
+
+def write_daily_archives(lines: DataFrame, root: str) -> str:
+    """Land ``(sourceFileAbsolutePath, line)`` as gzip text archives, one
+    folder per day (``day=YYYY-MM-DD``) taken from the path."""
+    day = F.regexp_extract(F.col(PATH_COL), r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
+    (lines.select("line", day.alias("day"))
+     .write.partitionBy("day").option("compression", "gzip").text(root))
+    return root
