@@ -1 +1,5 @@
-"""Plans: the setup DAG, the reports, and the registered query catalog."""
+"""Plans: the setup DAG and the registered query catalog."""
+
+from logtally.plans.setup import SetupConfig, build_clean, build_raw, build_report, run_setup
+
+__all__ = ["SetupConfig", "build_clean", "build_raw", "build_report", "run_setup"]

@@ -49,20 +49,20 @@ from logtally.sources.tables import (
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _raw_tagged(spark: SparkSession, sf: str) -> DataFrame:
+def raw_tagged(spark: SparkSession, sf: str) -> DataFrame:
     return tag_lines(raw_lines(spark, sf), RAW_MARKER)
 
 
-def _clean_tagged(spark: SparkSession, sf: str) -> DataFrame:
+def clean_tagged(spark: SparkSession, sf: str) -> DataFrame:
     return tag_lines(clean_lines(spark, sf), CLEAN_MARKER)
 
 
 def _raw_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return file_line_counts(_raw_tagged(spark, sf))
+    return file_line_counts(raw_tagged(spark, sf))
 
 
 def _clean_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return file_line_counts(_clean_tagged(spark, sf))
+    return file_line_counts(clean_tagged(spark, sf))
 
 
 def _typed_events(spark: SparkSession, sf: str) -> DataFrame:
@@ -70,7 +70,7 @@ def _typed_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_tag_lines(spark, sf):
-    return _clean_tagged(spark, sf)
+    return clean_tagged(spark, sf)
 
 
 def q_file_line_counts(spark, sf):
@@ -78,11 +78,11 @@ def q_file_line_counts(spark, sf):
 
 
 def q_event_counts_raw(spark, sf):
-    return event_counts(_raw_tagged(spark, sf), RAW_NAME_PATH)
+    return event_counts(raw_tagged(spark, sf), RAW_NAME_PATH)
 
 
 def q_event_counts_clean(spark, sf):
-    return event_counts(_clean_tagged(spark, sf), CLEAN_NAME_PATH)
+    return event_counts(clean_tagged(spark, sf), CLEAN_NAME_PATH)
 
 
 def q_event_counts_props(spark, sf):
@@ -90,7 +90,7 @@ def q_event_counts_props(spark, sf):
 
 
 def q_counts_match(spark, sf):
-    return counts_match(raw_lines(spark, sf), _raw_tagged(spark, sf))
+    return counts_match(raw_lines(spark, sf), raw_tagged(spark, sf))
 
 
 def q_counts_match_json(spark, sf):
@@ -115,11 +115,11 @@ def q_distinct_files(spark, sf):
 
 
 def q_line_field(spark, sf):
-    return line_field(_clean_tagged(spark, sf), "$.siteId", "siteId")
+    return line_field(clean_tagged(spark, sf), "$.siteId", "siteId")
 
 
 def q_line_name_raw(spark, sf):
-    return line_field(_raw_tagged(spark, sf), RAW_NAME_PATH, "name", keep=("line",))
+    return line_field(raw_tagged(spark, sf), RAW_NAME_PATH, "name", keep=("line",))
 
 
 def q_rare_keys(spark, sf):

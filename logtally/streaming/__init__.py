@@ -1 +1,5 @@
 """Structured Streaming form of the landing ingest."""
+
+from logtally.streaming.ingest import stream_event_counts, stream_lines, stream_tagged_lines
+
+__all__ = ["stream_event_counts", "stream_lines", "stream_tagged_lines"]
