@@ -29,7 +29,7 @@ def file_line_counts(tagged: DataFrame, ordered: bool = False) -> DataFrame:
 
 def event_counts(
     lines: DataFrame,
-    json_path: str,
+    json_path: str | None,
     group_cols: Sequence[str] = ("fileName",),
     line_col: str = "line",
     name_col: str = "name",
@@ -38,9 +38,12 @@ def event_counts(
     """``(*group_cols, name, occurrenceCount)``: events per file and name (H6).
 
     The name is a JSON path into the raw line; a line without it (blank,
-    malformed, key missing) counts under a NULL name, its own group.
+    malformed, key missing) counts under a NULL name, its own group. With
+    ``json_path=None`` the frame already holds the name in ``name_col``
+    (see ``tag_lines(name_path=...)``).
     """
-    out = (lines.select(*group_cols, json_field(line_col, json_path).alias(name_col))
+    name = F.col(name_col) if json_path is None else json_field(line_col, json_path)
+    out = (lines.select(*group_cols, name.alias(name_col))
            .groupBy(*group_cols, name_col)
            .agg(F.count(F.lit(1)).alias("occurrenceCount")))
     if ordered:

@@ -2,20 +2,33 @@
 
 Each derived table is written once as Parquet under ``output_root`` (a
 shared folder) and read back for the next steps, so gzip is decoded once
-and every later step reads a columnar, lineage-free table. Raw and clean
-sides are independent; each is a short sequence of Spark jobs.
+and every later step reads a columnar, splittable, lineage-free table. Raw
+and clean sides are independent; each is a short sequence of Spark jobs.
 
 Layout under ``output_root`` (full refresh on every run)::
 
-    raw/lines        tagged lines            (sourceFileAbsolutePath, fileName, line)
+    raw/lines        tagged lines            (sourceFileAbsolutePath, fileName, name, line)
     raw/file_meta    lines per file          (sourceFileAbsolutePath, fileName, lineCount)
     raw/lines_check  source vs table rows    (sourceCount, derivedCount, isConsistent)
     raw/event_counts events per file & name  (fileName, name, occurrenceCount)
     clean/...        the same four, event_counts exported as Ctrl-A text
     clean/json_stage the lines as snappy text
-    clean/events     typed events parsed from the stage (Parquet, nested)
+    clean/events     typed events (Parquet, nested) with _isValid
     clean/json_check tagged rows vs valid JSON rows, Ctrl-A text
     report/reconcile, report/left_reconcile, report/dimensions
+
+The event name is extracted from each line once, in the gzip pass, into the
+``name`` column of the line table; per-file and per-name counts then read
+only small dictionary-encoded columns.
+
+Checks, ``check="observe"`` (default): the number of source lines and of
+valid JSON rows are counted by ``Observation``s on the very writes that
+consume them, and table row counts come from the written Parquet, so no
+check costs another pass over the data. Each observed write is a map-only
+job whose metrics are taken in its result stage, counted once per
+partition even when tasks are retried after an executor loss.
+``check="rescan"`` recounts the sources in their own jobs as the original
+job did, and reads the typed events back from the stage.
 """
 
 from __future__ import annotations
@@ -39,6 +52,8 @@ from logtally.sinks.writers import export_delimited, stage_lines, write_managed
 from logtally.sources.events import parse_events
 from logtally.sources.lines import scan_lines
 
+CHECK_SCHEMA = "sourceCount long, derivedCount long, isConsistent boolean"
+
 
 @dataclass
 class SetupConfig:
@@ -50,78 +65,89 @@ class SetupConfig:
     raw_name_path: str = "$.clientData.name"
     clean_name_path: str = "$.name"
     recursive: bool = False
-    # "observe": count source lines while writing the tagged table (one gzip
-    # pass); "rescan": count the source again in its own job (two passes).
-    check: str = "observe"
+    check: str = "observe"          # or "rescan"
     raise_on_mismatch: bool = False
     results: dict = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.output_root.rstrip("/"), *parts])
 
+    def __post_init__(self) -> None:
+        if self.check not in ("observe", "rescan"):
+            raise ValueError(f"check must be 'observe' or 'rescan', not {self.check!r}")
+
+
+def _table_rows(spark: SparkSession, path: str) -> int:
+    """Row count of a written Parquet table (reads no column data)."""
+    return spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
+
+
+def _check_frame(spark: SparkSession, source: int, derived: int) -> DataFrame:
+    return spark.createDataFrame([(source, derived, source == derived)], CHECK_SCHEMA)
+
 
 def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
-                  side: str) -> tuple[DataFrame, DataFrame]:
-    """Scan + tag + write the line table; return the written table and the
+                  name_path: str, side: str) -> tuple[DataFrame, DataFrame]:
+    """Scan + tag + write the line table. Returns the written table and the
     one-row frame comparing source lines with table rows."""
     lines = scan_lines(spark, root, recursive=cfg.recursive)
+    tagged = tag_lines(lines, marker, name_path=name_path)
     target = cfg.path(side, "lines")
     if cfg.check == "observe":
-        # Scan -> tag -> write is one map-only stage, so the observed count
-        # is taken in the write (result) stage, whose task updates count once
-        # per partition even when tasks are retried after an executor loss.
         obs = Observation(f"{side}_source")
-        tagged = tag_lines(lines, marker).observe(obs, F.count(F.lit(1)).alias("rows"))
+        write_managed(tagged.observe(obs, F.count(F.lit(1)).alias("rows")), target)
+        check = _check_frame(spark, obs.get["rows"], _table_rows(spark, target))
+    else:
         write_managed(tagged, target)
-        written = spark.read.parquet(target)
-        derived = written.agg(F.count(F.lit(1)).alias("derivedCount")).first()[0]
-        source = obs.get["rows"]
-        check = spark.createDataFrame(
-            [(source, derived, source == derived)],
-            "sourceCount long, derivedCount long, isConsistent boolean")
-    elif cfg.check == "rescan":
-        write_managed(tag_lines(lines, marker), target)
-        written = spark.read.parquet(target)
         check = counts_match(scan_lines(spark, root, recursive=cfg.recursive, with_path=False),
-                             written)
-    else:
-        raise ValueError(f"check must be 'observe' or 'rescan', not {cfg.check!r}")
-    return written, check
+                             spark.read.parquet(target))
+    return spark.read.parquet(target), check
 
 
 def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, path: str,
                   delimited: bool = False) -> None:
     if delimited:
         export_delimited(check, path)
+        row = spark.read.option("sep", "\x01").schema(CHECK_SCHEMA).csv(path).first()
     else:
         write_managed(check, path)
-    row = (spark.read.option("sep", "\x01").schema(check.schema).csv(path) if delimited
-           else spark.read.parquet(path)).first()
+        row = spark.read.parquet(path).first()
     cfg.results[path] = tuple(row)
     if cfg.raise_on_mismatch and not row["isConsistent"]:
         raise AssertionError(f"row counts differ for {path}: {tuple(row)}")
 
 
 def build_raw(spark: SparkSession, cfg: SetupConfig) -> dict:
-    tagged, check = _write_tagged(spark, cfg, cfg.raw_root, cfg.raw_marker, "raw")
+    tagged, check = _write_tagged(spark, cfg, cfg.raw_root, cfg.raw_marker,
+                                  cfg.raw_name_path, "raw")
     write_managed(file_line_counts(tagged), cfg.path("raw", "file_meta"))
     _record_check(spark, cfg, check, cfg.path("raw", "lines_check"))
-    write_managed(event_counts(tagged, cfg.raw_name_path), cfg.path("raw", "event_counts"))
+    write_managed(event_counts(tagged, None), cfg.path("raw", "event_counts"))
     return cfg.results
 
 
 def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
-    tagged, check = _write_tagged(spark, cfg, cfg.clean_root, cfg.clean_marker, "clean")
+    tagged, check = _write_tagged(spark, cfg, cfg.clean_root, cfg.clean_marker,
+                                  cfg.clean_name_path, "clean")
     _record_check(spark, cfg, check, cfg.path("clean", "lines_check"))
     write_managed(file_line_counts(tagged), cfg.path("clean", "file_meta"))
-    export_delimited(event_counts(tagged, cfg.clean_name_path), cfg.path("clean", "event_counts"))
+    export_delimited(event_counts(tagged, None), cfg.path("clean", "event_counts"))
 
     stage = cfg.path("clean", "json_stage")
     stage_lines(tagged, stage, source_paths=[cfg.clean_root, cfg.path("clean", "lines")])
-    parsed = parse_events(scan_lines(spark, stage, with_path=False))
-    write_managed(parsed, cfg.path("clean", "events"))
-    events = spark.read.parquet(cfg.path("clean", "events"))
-    json_check = counts_match(tagged, valid_json_rows(events))
+    events_path = cfg.path("clean", "events")
+    if cfg.check == "observe":
+        # Parse the splittable Parquet copy of the same lines; count valid
+        # rows while writing the typed table.
+        obs = Observation("clean_json")
+        parsed = parse_events(tagged.select("line"))
+        write_managed(parsed.observe(obs, F.count_if(F.col("_isValid")).alias("valid")),
+                      events_path)
+        json_check = _check_frame(spark, _table_rows(spark, cfg.path("clean", "lines")),
+                                  obs.get["valid"])
+    else:
+        write_managed(parse_events(scan_lines(spark, stage, with_path=False)), events_path)
+        json_check = counts_match(tagged, valid_json_rows(spark.read.parquet(events_path)))
     _record_check(spark, cfg, json_check, cfg.path("clean", "json_check"), delimited=True)
     return cfg.results
 
@@ -137,7 +163,7 @@ def build_report(spark: SparkSession, cfg: SetupConfig) -> dict:
 
 
 def run_setup(spark: SparkSession, cfg: SetupConfig, report: bool = True) -> dict:
-    """Build both sides, then the report. Returns the consistency rows by path."""
+    """Build both sides, then the report. Returns the check rows by path."""
     build_raw(spark, cfg)
     build_clean(spark, cfg)
     if report:
