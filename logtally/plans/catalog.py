@@ -34,6 +34,7 @@ from logtally.operators import (
 from logtally.session import ensure_checkpoint_dir
 from logtally.sources.events import parse_events, scan_events
 from logtally.sources.landing import read_valid_lines, validate_landing
+from logtally.streaming.ingest import stream_event_counts
 from logtally.sources.tables import (
     CLEAN_MARKER,
     CLEAN_NAME_PATH,
@@ -195,6 +196,16 @@ def q_landed_event_counts(spark, sf):
     return event_counts(by_day, CLEAN_NAME_PATH, group_cols=("day",))
 
 
+def q_streamed_event_counts(spark, sf):
+    root = _landed_archives(spark, sf)
+    out = _fresh_folder(spark, "streamed")
+    stream_event_counts(spark, root, "day=", CLEAN_NAME_PATH, out,
+                        checkpoint_location=_fresh_folder(spark, "streams")).awaitTermination()
+    counts = spark.read.parquet(out)
+    return (counts.select(F.substring("fileName", 1, 10).alias("day"), "name", "occurrenceCount")
+            .groupBy("day", "name").agg(F.sum("occurrenceCount").alias("occurrenceCount")))
+
+
 QUERIES: dict[str, Query] = {
     "tag_lines": q_tag_lines,
     "file_line_counts": q_file_line_counts,
@@ -220,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "scanned_events": q_scanned_events,
     "landing_manifest": q_landing_manifest,
     "landed_event_counts": q_landed_event_counts,
+    "streamed_event_counts": q_streamed_event_counts,
 }
 
 # Shared DuckDB definitions of the derived frames (same rows as sources.tables).
@@ -349,6 +361,12 @@ ORACLE_SQL: dict[str, str] = {
                      || CAST(user_id AS VARCHAR) || '"}' AS line
               FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')
         GROUP BY ALL"""),
+    "streamed_event_counts": _with("""
+        SELECT d AS day, json_extract_string(line, '$.name') AS name, count(*) AS occurrenceCount
+        FROM (SELECT strftime(ts, '%Y-%m-%d') AS d, '{"name":"' || event_type || '","siteId":"'
+                     || CAST(user_id AS VARCHAR) || '"}' AS line
+              FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')
+        GROUP BY ALL"""),
     "split_path": """
         SELECT page_id, url, regexp_split_to_array(url, 'example[.]')[2] AS relativeName
         FROM pages""",

@@ -67,11 +67,17 @@ class SetupConfig:
     recursive: bool = False
     check: str = "observe"          # or "rescan"
     raise_on_mismatch: bool = False
+    # When set, every Parquet output is also registered as an external
+    # table ``<database>.<side>_<name>`` over its folder, for spark.table().
+    database: str | None = None
     results: dict = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.output_root.rstrip("/"), *parts])
 
+    def table(self, *parts: str) -> str | None:
+        return f"{self.database}.{'_'.join(parts)}" if self.database else None
+
     def __post_init__(self) -> None:
         if self.check not in ("observe", "rescan"):
             raise ValueError(f"check must be 'observe' or 'rescan', not {self.check!r}")
@@ -86,6 +92,10 @@ def _check_frame(spark: SparkSession, source: int, derived: int) -> DataFrame:
     return spark.createDataFrame([(source, derived, source == derived)], CHECK_SCHEMA)
 
 
+def _write(cfg: SetupConfig, df: DataFrame, *parts: str) -> str:
+    return write_managed(df, cfg.path(*parts), table=cfg.table(*parts))
+
+
 def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
                   name_path: str, side: str) -> tuple[DataFrame, DataFrame]:
     """Scan + tag + write the line table. Returns the written table and the
@@ -95,22 +105,23 @@ def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
     target = cfg.path(side, "lines")
     if cfg.check == "observe":
         obs = Observation(f"{side}_source")
-        write_managed(tagged.observe(obs, F.count(F.lit(1)).alias("rows")), target)
+        _write(cfg, tagged.observe(obs, F.count(F.lit(1)).alias("rows")), side, "lines")
         check = _check_frame(spark, obs.get["rows"], _table_rows(spark, target))
     else:
-        write_managed(tagged, target)
+        _write(cfg, tagged, side, "lines")
         check = counts_match(scan_lines(spark, root, recursive=cfg.recursive, with_path=False),
                              spark.read.parquet(target))
     return spark.read.parquet(target), check
 
 
-def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, path: str,
+def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, *parts: str,
                   delimited: bool = False) -> None:
+    path = cfg.path(*parts)
     if delimited:
         export_delimited(check, path)
         row = spark.read.option("sep", "\x01").schema(CHECK_SCHEMA).csv(path).first()
     else:
-        write_managed(check, path)
+        _write(cfg, check, *parts)
         row = spark.read.parquet(path).first()
     cfg.results[path] = tuple(row)
     if cfg.raise_on_mismatch and not row["isConsistent"]:
@@ -120,17 +131,17 @@ def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, path:
 def build_raw(spark: SparkSession, cfg: SetupConfig) -> dict:
     tagged, check = _write_tagged(spark, cfg, cfg.raw_root, cfg.raw_marker,
                                   cfg.raw_name_path, "raw")
-    write_managed(file_line_counts(tagged), cfg.path("raw", "file_meta"))
-    _record_check(spark, cfg, check, cfg.path("raw", "lines_check"))
-    write_managed(event_counts(tagged, None), cfg.path("raw", "event_counts"))
+    _write(cfg, file_line_counts(tagged), "raw", "file_meta")
+    _record_check(spark, cfg, check, "raw", "lines_check")
+    _write(cfg, event_counts(tagged, None), "raw", "event_counts")
     return cfg.results
 
 
 def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
     tagged, check = _write_tagged(spark, cfg, cfg.clean_root, cfg.clean_marker,
                                   cfg.clean_name_path, "clean")
-    _record_check(spark, cfg, check, cfg.path("clean", "lines_check"))
-    write_managed(file_line_counts(tagged), cfg.path("clean", "file_meta"))
+    _record_check(spark, cfg, check, "clean", "lines_check")
+    _write(cfg, file_line_counts(tagged), "clean", "file_meta")
     export_delimited(event_counts(tagged, None), cfg.path("clean", "event_counts"))
 
     stage = cfg.path("clean", "json_stage")
@@ -141,24 +152,24 @@ def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
         # rows while writing the typed table.
         obs = Observation("clean_json")
         parsed = parse_events(tagged.select("line"))
-        write_managed(parsed.observe(obs, F.count_if(F.col("_isValid")).alias("valid")),
-                      events_path)
+        _write(cfg, parsed.observe(obs, F.count_if(F.col("_isValid")).alias("valid")),
+               "clean", "events")
         json_check = _check_frame(spark, _table_rows(spark, cfg.path("clean", "lines")),
                                   obs.get["valid"])
     else:
-        write_managed(parse_events(scan_lines(spark, stage, with_path=False)), events_path)
+        _write(cfg, parse_events(scan_lines(spark, stage, with_path=False)), "clean", "events")
         json_check = counts_match(tagged, valid_json_rows(spark.read.parquet(events_path)))
-    _record_check(spark, cfg, json_check, cfg.path("clean", "json_check"), delimited=True)
+    _record_check(spark, cfg, json_check, "clean", "json_check", delimited=True)
     return cfg.results
 
 
 def build_report(spark: SparkSession, cfg: SetupConfig) -> dict:
     raw_meta = spark.read.parquet(cfg.path("raw", "file_meta"))
     clean_meta = spark.read.parquet(cfg.path("clean", "file_meta"))
-    write_managed(reconcile(raw_meta, clean_meta), cfg.path("report", "reconcile"))
-    write_managed(left_reconcile(raw_meta, clean_meta), cfg.path("report", "left_reconcile"))
+    _write(cfg, reconcile(raw_meta, clean_meta), "report", "reconcile")
+    _write(cfg, left_reconcile(raw_meta, clean_meta), "report", "left_reconcile")
     events = valid_json_rows(spark.read.parquet(cfg.path("clean", "events")))
-    write_managed(explode_dimensions(events), cfg.path("report", "dimensions"))
+    _write(cfg, explode_dimensions(events), "report", "dimensions")
     return cfg.results
 
 

@@ -49,3 +49,16 @@ def test_raise_on_mismatch(spark, tmp_path):
                       output_root=str(tmp_path / "out"), raise_on_mismatch=True)
     with pytest.raises(AssertionError):
         run_setup(spark, cfg, report=False)          # the JSON check fails on bad lines
+
+
+def test_tables_registered_in_database(spark, tmp_path):
+    base = tmp_path / "land"
+    spark.sql("CREATE DATABASE IF NOT EXISTS lt_setup")
+    cfg = SetupConfig(raw_root=str(make_raw_root(base)), clean_root=str(make_clean_root(base)),
+                      output_root=str(tmp_path / "out"), database="lt_setup")
+    run_setup(spark, cfg)
+    assert spark.table("lt_setup.raw_file_meta").count() == 3
+    assert spark.table("lt_setup.report_reconcile").count() == 4
+    assert spark.table("lt_setup.clean_lines").columns == [
+        "sourceFileAbsolutePath", "fileName", "name", "line"]
+    spark.sql("DROP DATABASE lt_setup CASCADE")
