@@ -1,14 +1,19 @@
 """Landing check: which gzip archives in a drop folder are intact.
 
-Re-expresses the landing script's ``gzip -t`` loop as one Spark job: the
-``binaryFile`` source reads each archive once (as a row), and an
-Arrow-batched pandas UDF runs a streaming zlib check on it. Only the paths
-of valid archives go on to the line scan.
+Re-expresses the landing script's ``gzip -t`` loop as one Spark job over the
+folder. Archives up to ``max_in_memory`` bytes arrive as ``binaryFile`` rows
+(Spark's own file system layer) and are checked by an Arrow-batched pandas
+UDF. Bigger ones never load whole: the ``length`` filter is applied by the
+source before any content is read, and a second UDF streams each of them
+from storage in 1 MB steps, so memory stays flat and the 2 GB
+``binaryFile`` ceiling does not apply. Only valid archives go on to the line
+scan.
 """
 
 from __future__ import annotations
 
 import fnmatch
+import io
 import zlib
 
 import pandas as pd
@@ -23,9 +28,14 @@ from logtally.sources.lines import scan_lines
 GZIP_GLOB = "*.gz"
 SKIP_SUBSTRING = "tmp"
 
-_CHUNK = 1 << 20          # compressed bytes fed per step
+_CHUNK = 1 << 20          # compressed bytes read per step
 _MAX_OUT = 8 << 20        # cap on decompressed bytes held per step
 _LINES_PER_BATCH = 8192
+DEFAULT_MAX_IN_MEMORY = 256 << 20
+
+VALID_KINDS = ("ok", "multi-member", "zero-padded")
+# Kinds Spark's own gzip text reader can read; the rest are decoded in Python.
+SPARK_READABLE = ("ok", "multi-member")
 
 
 class ArchiveError(Exception):
@@ -36,49 +46,70 @@ class ArchiveError(Exception):
         self.kind = kind
 
 
-def iter_members(data: bytes):
+def _stream(source) -> io.RawIOBase:
+    return io.BytesIO(source) if isinstance(source, (bytes, bytearray, memoryview)) else source
+
+
+def iter_members(source):
     """Yield decompressed blocks of every gzip member, in order.
 
-    Decompressed output comes in blocks of at most ``_MAX_OUT`` bytes, so
-    memory stays flat whatever the expansion ratio. Zero bytes after the
-    last member are accepted (as ``gzip -t`` does); any other defect raises
+    ``source`` is the archive's bytes or a binary stream (anything with
+    ``read(n)``); it is consumed in ``_CHUNK`` steps and decompressed output
+    comes in blocks of at most ``_MAX_OUT`` bytes, so memory stays flat
+    whatever the archive size or expansion ratio. Zero bytes after the last
+    member are accepted (as ``gzip -t`` does); any other defect raises
     ``ArchiveError``. The generator returns ``(members, zero_padded)``.
     """
-    if not data:
+    stream = _stream(source)
+    members = 0
+    pending = stream.read(_CHUNK)
+    if not pending:
         raise ArchiveError("empty")
-    view = memoryview(data)
-    pos, members = 0, 0
-    while pos < len(view):
-        if members and not any(view[pos:]):
-            return members, True
-        if bytes(view[pos:pos + 2]) != b"\x1f\x8b":
+    while True:
+        if not pending:
+            pending = stream.read(_CHUNK)
+            if not pending:
+                return members, False
+        if members and not any(pending):
+            while True:
+                more = stream.read(_CHUNK)
+                if not more:
+                    return members, True
+                if any(more):
+                    raise ArchiveError("trailing-garbage")
+        while len(pending) < 2:
+            more = stream.read(_CHUNK)
+            if not more:
+                break
+            pending += more
+        if pending[:2] != b"\x1f\x8b":
             raise ArchiveError("trailing-garbage" if members else "not-gzip")
         d = zlib.decompressobj(16 + zlib.MAX_WBITS)
-        cursor = pos
+        data, pending = pending, b""
         try:
-            while not d.eof and cursor < len(view):
-                fed_end = min(cursor + _CHUNK, len(view))
-                yield d.decompress(view[cursor:fed_end], _MAX_OUT)
+            while True:
+                yield d.decompress(data, _MAX_OUT)
                 while d.unconsumed_tail and not d.eof:
                     yield d.decompress(d.unconsumed_tail, _MAX_OUT)
-                cursor = fed_end
+                if d.eof:
+                    break
+                data = stream.read(_CHUNK)
+                if not data:
+                    raise ArchiveError("truncated")
         except zlib.error as exc:
             raise ArchiveError("bad-crc" if "check" in str(exc) else "corrupt") from exc
-        if not d.eof:
-            raise ArchiveError("truncated")
         members += 1
-        # The next member starts where this one's input ended.
-        pos = cursor - len(d.unused_data)
-    return members, False
+        # Whatever followed this member in the last read starts the next one.
+        pending = d.unused_data
 
 
-def gzip_problem(data: bytes | None) -> str:
+def gzip_problem(source) -> str:
     """Classify an archive the way ``gzip -t`` judges it (exit status 0 = ok).
 
     Valid archives report ``ok``, ``multi-member`` or ``zero-padded``; invalid
     ones the defect. Decompressed output is discarded as it is produced.
     """
-    it = iter_members(data or b"")
+    it = iter_members(source if source is not None else b"")
     try:
         while True:
             next(it)
@@ -91,11 +122,11 @@ def gzip_problem(data: bytes | None) -> str:
     return "multi-member" if members > 1 else "ok"
 
 
-def iter_lines(data: bytes):
+def iter_lines(source):
     """Lines of a valid archive, split like Spark's text reader: on ``\\n``,
     ``\\r\\n`` or ``\\r``, with no empty line after a final newline."""
     rest = b""
-    for block in iter_members(data):
+    for block in iter_members(source):
         if not block:
             continue
         buf = rest + block
@@ -111,9 +142,25 @@ def iter_lines(data: bytes):
         yield from rest.splitlines()
 
 
-VALID_KINDS = ("ok", "multi-member", "zero-padded")
-# Kinds Spark's own gzip text reader can read; the rest are decoded in Python.
-SPARK_READABLE = ("ok", "multi-member")
+def open_archive(uri: str):
+    """A binary input stream over ``uri`` through pyarrow's file systems
+    (local, S3, HDFS, GCS, ... as configured on the executors)."""
+    from pyarrow import fs as pafs
+
+    if uri.startswith("file:"):
+        path = "/" + uri[len("file:"):].lstrip("/")
+        return pafs.LocalFileSystem().open_input_stream(path, compression=None)
+    filesystem, path = pafs.FileSystem.from_uri(uri)
+    return filesystem.open_input_stream(path, compression=None)
+
+
+def stream_problem(uri: str) -> str:
+    try:
+        stream = open_archive(uri)
+    except (OSError, ValueError):
+        return "unreadable"
+    with stream:
+        return gzip_problem(stream)
 
 
 @F.pandas_udf(T.StringType())
@@ -121,6 +168,11 @@ def _gzip_problem_udf(content: pd.Series) -> pd.Series:
     return content.map(gzip_problem)
 
 
+@F.pandas_udf(T.StringType())
+def _stream_problem_udf(path: pd.Series) -> pd.Series:
+    return path.map(stream_problem)
+
+
 def _zero_length_files(spark: SparkSession, root: str, glob: str,
                        recursive: bool) -> list[tuple[str, int]]:
     """Zero-length archives: the file sources skip them, so list them here.
@@ -153,22 +205,25 @@ def validate_landing(
     glob: str = GZIP_GLOB,
     skip_substring: str | None = SKIP_SUBSTRING,
     recursive: bool = False,
+    max_in_memory: int = DEFAULT_MAX_IN_MEMORY,
 ) -> DataFrame:
     """Manifest ``(path, length, isValid, reason)`` of the archives in ``root``.
 
     ``isValid`` follows ``gzip -t``: intact, multi-member and zero-padded
     archives pass; empty, truncated, CRC-damaged, trailing-garbage and
-    non-gzip files fail. Files whose name contains ``skip_substring`` are
-    left out entirely. Each archive is one row, so a task holds at most the
-    archives of one input split (``maxPartitionBytes``) at a time, and
-    ``spark.sql.sources.binaryFile.maxLength`` bounds a single archive.
+    non-gzip files fail (``unreadable`` when a large archive cannot be
+    opened for streaming). Files whose name contains ``skip_substring`` are
+    left out entirely.
     """
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
-    files = reader.load(root).select("path", "length", "content")
-    checked = files.select(
-        "path", "length", _gzip_problem_udf(F.col("content")).alias("reason"))
+    files = reader.load(root)
+    small = (files.where(F.col("length") <= max_in_memory)
+             .select("path", "length", _gzip_problem_udf(F.col("content")).alias("reason")))
+    large = (files.where(F.col("length") > max_in_memory)
+             .select("path", "length", _stream_problem_udf(F.col("path")).alias("reason")))
+    checked = small.unionByName(large)
     empty = _zero_length_files(spark, root, glob, recursive)
     if empty:
         checked = checked.unionByName(
@@ -184,13 +239,14 @@ def validate_landing(
 
 def _decode_archives(batches):
     for pdf in batches:
-        for path, content in zip(pdf["path"], pdf["content"]):
+        for path in pdf["path"]:
             chunk: list[str] = []
-            for raw in iter_lines(content):
-                chunk.append(raw.decode("utf-8", errors="replace"))
-                if len(chunk) == _LINES_PER_BATCH:
-                    yield pd.DataFrame({"sourceFileAbsolutePath": path, "line": chunk})
-                    chunk = []
+            with open_archive(path) as stream:
+                for raw in iter_lines(stream):
+                    chunk.append(raw.decode("utf-8", errors="replace"))
+                    if len(chunk) == _LINES_PER_BATCH:
+                        yield pd.DataFrame({"sourceFileAbsolutePath": path, "line": chunk})
+                        chunk = []
             if chunk:
                 yield pd.DataFrame({"sourceFileAbsolutePath": path, "line": chunk})
 
@@ -200,18 +256,18 @@ def read_valid_lines(spark: SparkSession, manifest: DataFrame) -> DataFrame:
 
     Intact and multi-member archives go through Spark's text reader. Spark's
     gzip reader rejects zero-padded archives although they are valid, so
-    those (normally few) are decoded by a streaming zlib pass in an
-    Arrow-batched ``mapInPandas`` instead of failing the job. The valid path
-    lists are file metadata (one string per archive); the lines themselves
-    are read by the executors.
+    those (normally few) are streamed and decoded in an Arrow-batched
+    ``mapInPandas`` instead of failing the job. The valid path lists are
+    file metadata (one string per archive); the lines themselves are read by
+    the executors.
     """
     valid = manifest.where("isValid").select("path", "reason").collect()
     plain = [r.path for r in valid if r.reason in SPARK_READABLE]
-    padded = [r.path for r in valid if r.reason not in SPARK_READABLE]
+    padded = [(r.path,) for r in valid if r.reason not in SPARK_READABLE]
     out = (scan_lines(spark, plain) if plain
            else spark.createDataFrame([], "sourceFileAbsolutePath string, line string"))
     if padded:
-        decoded = (spark.read.format("binaryFile").load(padded).select("path", "content")
-                   .mapInPandas(_decode_archives, "sourceFileAbsolutePath string, line string"))
+        paths = spark.createDataFrame(padded, "path string").repartition(len(padded))
+        decoded = paths.mapInPandas(_decode_archives, "sourceFileAbsolutePath string, line string")
         out = out.unionByName(decoded)
     return out

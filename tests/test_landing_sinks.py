@@ -94,3 +94,27 @@ def test_read_valid_lines_decodes_zero_padded(spark, tmp_path):
     spark_path = [p for p in
                   (r[0] for r in lines.select("sourceFileAbsolutePath").distinct().collect())]
     assert all(p.startswith("file:") for p in spark_path)
+
+
+def test_large_archives_stream_from_storage(spark, tmp_path):
+    expected = gzip_cases(tmp_path / "land")
+    old = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    try:
+        # Content of anything above 40 bytes must never be loaded: the source
+        # would raise on it. Those archives are streamed from storage instead.
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "40")
+        manifest = validate_landing(spark, str(tmp_path / "land"), max_in_memory=40)
+        got = {r.path.rsplit("/", 1)[-1]: r.isValid for r in manifest.collect()}
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", old)
+    assert got == {k: v for k, v in expected.items() if v is not None}
+
+
+def test_stream_walker_matches_bytes_walker(tmp_path):
+    import io as _io
+    import os as _os
+    from logtally.sources.landing import iter_lines
+    big = gz_bytes(_os.urandom(3 << 20).hex() + "\nend\n")
+    for data in (big + gz_bytes("x\n"), big + b"\0" * 5, big[:-3], gz_bytes("a\n")[:10]):
+        assert gzip_problem(_io.BytesIO(data)) == gzip_problem(data)
+    assert list(iter_lines(_io.BytesIO(big)))[-1] == b"end"
