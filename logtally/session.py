@@ -81,3 +81,32 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     path = fallback or tempfile.mkdtemp(prefix="logtally-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     spark.sparkContext.setCheckpointDir(path)
     return path
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``logtally`` importable in executor Python workers.
+
+    Python UDFs are pickled by reference to this package, so workers must be
+    able to import it. Where it is not installed on the executors, a zip of
+    the package sources is added with ``addPyFile`` (Spark distributes it to
+    every executor), once per application.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out_dir = tempfile.mkdtemp(prefix="logtally-py-")
+    archive = os.path.join(out_dir, "logtally.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, files in os.walk(pkg_dir):
+            for name in files:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logtally.session import ship_package
 from logtally.sources.lines import scan_lines
 
 # Fixed values of the landing check: archives are "*.gz" and a file whose
@@ -215,6 +216,7 @@ def validate_landing(
     opened for streaming). Files whose name contains ``skip_substring`` are
     left out entirely.
     """
+    ship_package(spark)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -267,6 +269,7 @@ def read_valid_lines(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     out = (scan_lines(spark, plain) if plain
            else spark.createDataFrame([], "sourceFileAbsolutePath string, line string"))
     if padded:
+        ship_package(spark)
         paths = spark.createDataFrame(padded, "path string").repartition(len(padded))
         decoded = paths.mapInPandas(_decode_archives, "sourceFileAbsolutePath string, line string")
         out = out.unionByName(decoded)

@@ -118,3 +118,14 @@ def test_stream_walker_matches_bytes_walker(tmp_path):
     for data in (big + gz_bytes("x\n"), big + b"\0" * 5, big[:-3], gz_bytes("a\n")[:10]):
         assert gzip_problem(_io.BytesIO(data)) == gzip_problem(data)
     assert list(iter_lines(_io.BytesIO(big)))[-1] == b"end"
+
+
+def test_manifest_and_line_paths_agree(spark, tmp_path):
+    land = tmp_path / "la nd"
+    gzip_cases(land)
+    (land / "a b%20c.gz").write_bytes((land / "ok.gz").read_bytes())
+    manifest = validate_landing(spark, str(land))
+    valid = {r.path for r in manifest.where("isValid").collect()}
+    lines = read_valid_lines(spark, manifest)
+    seen = {r[0] for r in lines.select("sourceFileAbsolutePath").distinct().collect()}
+    assert seen == valid and any(p.endswith("/la nd/a b%20c.gz") for p in seen)
