@@ -51,11 +51,15 @@ def stream_tagged_lines(spark: SparkSession, landing_root: str, marker: str, out
 
 def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, json_path: str,
                         output_path: str, checkpoint_location: str | None = None,
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True,
+                        state_partitions: int | None = None) -> StreamingQuery:
     """Running ``(fileName, name, occurrenceCount)`` kept as streaming state.
 
     State holds one row per file and name (partially aggregated per batch);
-    each micro-batch rewrites the small result table in full.
+    each micro-batch rewrites the small result table in full. The number of
+    state partitions is fixed by ``spark.sql.shuffle.partitions`` when a
+    checkpoint is first used; ``state_partitions`` sets it for this query
+    only (the stream copies the session's settings when it starts).
     """
     lines = stream_lines(spark, landing_root)
     counts = (tag_lines(lines, marker)
@@ -68,4 +72,12 @@ def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, jso
     writer = (counts.writeStream.outputMode("complete").foreachBatch(_write)
               .option("checkpointLocation", _checkpoint(spark, "event_counts", checkpoint_location)))
     writer = writer.trigger(availableNow=True) if available_now else writer
-    return writer.start()
+    if state_partitions is None:
+        return writer.start()
+    key = "spark.sql.shuffle.partitions"
+    previous = spark.conf.get(key)
+    spark.conf.set(key, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, previous)
