@@ -81,3 +81,37 @@ def test_counts_match_model(spark, a, b):
     left = spark.range(a).toDF("x")
     right = spark.range(b).toDF("y")
     assert tuple(counts_match(left, right).first()) == (a, b, a == b)
+
+
+PATH_CHARS = st.text(alphabet="ab/ %+#.-_é", max_size=30)
+
+
+@SETTINGS
+@given(paths=st.lists(st.one_of(st.none(), PATH_CHARS), max_size=6))
+def test_relative_name_matches_split_model(spark, paths):
+    import re
+
+    from logtally.functions import relative_name
+
+    def model(p):
+        if p is None:
+            return None
+        parts = re.split("clean/", p)
+        return parts[1] if len(parts) > 1 else None
+
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    got = [r[0] for r in df.select(relative_name("p", "clean/")).collect()]
+    assert got == [model(p) for p in paths]
+
+
+@SETTINGS
+@given(names=st.lists(PATH_CHARS, max_size=6))
+def test_decode_inverts_uri_encoding(spark, names):
+    from urllib.parse import quote
+
+    from logtally.functions import decode_file_path
+
+    encoded = [("file:/x/" + quote(n, safe="/"),) for n in names]
+    df = spark.createDataFrame(encoded, "p string")
+    got = [r[0] for r in df.select(decode_file_path("p")).collect()]
+    assert got == ["file:/x/" + n for n in names]
