@@ -87,17 +87,18 @@ _SHIPPED: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``logtally`` importable in executor Python workers.
+    """Make ``logtally`` importable in executor Python workers of a local session.
 
     Python UDFs are pickled by reference to this package, so workers must be
-    able to import it. Where it is not installed on the executors, a zip of
-    the package sources is added with ``addPyFile`` (Spark distributes it to
-    every executor), once per application.
+    able to import it. On a cluster, ship it the standard way (install it on
+    the executors or pass ``--py-files``); for a local session whose workers
+    do not see the package (another working directory), a zip of the package
+    sources is added with ``addPyFile``, once per application.
     """
     import zipfile
 
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
+    if not sc.master.startswith("local") or sc.applicationId in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
     out_dir = tempfile.mkdtemp(prefix="logtally-py-")
