@@ -76,3 +76,12 @@ def test_staged_snappy_text_reads_back(spark, tmp_path):
     back = scan_lines(spark, out, with_path=False)
     assert rows(back) == rows(src.select("line"))
     assert any(p.endswith(".snappy") for p in (x.name for x in (tmp_path / "stage").iterdir()))
+
+
+def test_scan_events_modes(spark, tmp_path):
+    import pytest
+    write_gz(tmp_path / "a.gz", [EDGE_LINES[0], EDGE_LINES[2]])
+    with pytest.raises(Exception):
+        scan_events(spark, str(tmp_path / "a.gz"), mode="FAILFAST").collect()
+    dropped = scan_events(spark, str(tmp_path / "a.gz"), mode="DROPMALFORMED")
+    assert [r.eventId for r in dropped.select("eventId").collect()] == ["e1"]

@@ -76,3 +76,12 @@ def test_counts_match_and_count_rows(spark, tmp_path):
     assert count_rows(tagged).first()[0] == 9
     names = counts_match(lines, tagged).columns
     assert names == ["sourceCount", "derivedCount", "isConsistent"]
+
+
+def test_scan_lines_glob_filter(spark, tmp_path):
+    from tests.fixtures import write_gz
+    write_gz(tmp_path / "a.gz", ["x"])
+    write_gz(tmp_path / "b.log.gz", ["y"])
+    (tmp_path / "c.txt").write_text("z\n")
+    assert rows(scan_lines(spark, str(tmp_path), glob="*.gz").select("line")) == [("x",), ("y",)]
+    assert scan_lines(spark, str(tmp_path), with_path=False).columns == ["line"]
