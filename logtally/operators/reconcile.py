@@ -67,11 +67,22 @@ def reconcile_spine(raw_meta: DataFrame, clean_meta: DataFrame, key: str = "file
 
 def left_reconcile(raw_meta: DataFrame, clean_meta: DataFrame, key: str = "fileName") -> DataFrame:
     """``(fileName, rawLineCount, cleanLineCount)``: each raw file with the
-    clean count of its name, NULL where no clean copy exists (H2b)."""
+    clean count of its name, NULL where no clean copy exists (H2b).
+
+    A NULL name never matches. Rather than letting all such rows hash to one
+    reducer of a shuffled join, each gets a deterministic stand-in key (a
+    NUL-prefixed hash of its row, which no file name takes) that spreads them
+    evenly and still finds no partner.
+    """
+    salt = F.concat(F.lit("\u0000"), F.xxhash64(*[F.col(c) for c in raw_meta.columns])
+                    .cast("string"))
+    raw = raw_meta.select(key, F.col(_COUNT).alias("rawLineCount"),
+                          F.coalesce(F.col(key), salt).alias("_joinKey"))
     clean_by_name = (clean_meta.where(F.col(key).isNotNull()).groupBy(key)
-                     .agg(F.sum(_COUNT).alias("cleanLineCount")))
-    return raw_meta.select(key, F.col(_COUNT).alias("rawLineCount")).join(
-        clean_by_name, on=key, how="left")
+                     .agg(F.sum(_COUNT).alias("cleanLineCount"))
+                     .withColumnRenamed(key, "_joinKey"))
+    return (raw.join(clean_by_name, on="_joinKey", how="left")
+            .select(key, "rawLineCount", "cleanLineCount"))
 
 
 def distinct_files(raw_meta: DataFrame, clean_meta: DataFrame, key: str = "fileName") -> DataFrame:
