@@ -51,3 +51,22 @@ def test_distinct_files_union_all(spark):
     raw, clean = _sides(spark)
     assert rows(distinct_files(raw, clean)) == sorted(
         [("f1",), ("f2",), (None,), ("f2",), ("f3",)], key=repr)
+
+
+def test_left_reconcile_spreads_null_names(spark):
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        raw = spark.createDataFrame([(f"r/{i}", None, i) for i in range(400)]
+                                    + [("r/f2", "f2", 2)], META)
+        clean = spark.createDataFrame([("c/f2", "f2", 5)], META)
+        out = left_reconcile(raw, clean)
+        per_part = [r[1] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(per_part) == 401 and max(per_part) < 200     # not one reducer
+        assert out.where("fileName IS NULL AND cleanLineCount IS NULL").count() == 400
+        assert rows(out.where("fileName = 'f2'")) == [("f2", 2, 5)]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
