@@ -207,9 +207,16 @@ def validate_landing(
     skip_substring: str | None = SKIP_SUBSTRING,
     recursive: bool = False,
     max_in_memory: int = DEFAULT_MAX_IN_MEMORY,
+    list_empty: bool = True,
 ) -> DataFrame:
     """Manifest ``(path, length, isValid, reason)`` of the archives in ``root``.
 
+    Spark's file sources skip zero-length files, so ``list_empty`` adds them
+    from a driver-side listing. That walks every file status through the
+    JVM gateway, one round trip each, so turn it off for folders of millions
+    of archives: an empty archive holds no lines, so leaving it out of the
+    manifest loses nothing but the report line.
+
     ``isValid`` follows ``gzip -t``: intact, multi-member and zero-padded
     archives pass; empty, truncated, CRC-damaged, trailing-garbage and
     non-gzip files fail (``unreadable`` when a large archive cannot be
@@ -226,7 +233,7 @@ def validate_landing(
     large = (files.where(F.col("length") > max_in_memory)
              .select("path", "length", _stream_problem_udf(F.col("path")).alias("reason")))
     checked = small.unionByName(large)
-    empty = _zero_length_files(spark, root, glob, recursive)
+    empty = _zero_length_files(spark, root, glob, recursive) if list_empty else []
     if empty:
         checked = checked.unionByName(
             spark.createDataFrame(empty, "path string, length long")

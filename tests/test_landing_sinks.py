@@ -129,3 +129,10 @@ def test_manifest_and_line_paths_agree(spark, tmp_path):
     lines = read_valid_lines(spark, manifest)
     seen = {r[0] for r in lines.select("sourceFileAbsolutePath").distinct().collect()}
     assert seen == valid and any(p.endswith("/la nd/a b%20c.gz") for p in seen)
+
+
+def test_validate_landing_without_empty_listing(spark, tmp_path):
+    expected = gzip_cases(tmp_path / "land")
+    manifest = validate_landing(spark, str(tmp_path / "land"), list_empty=False)
+    got = {r.path.rsplit("/", 1)[-1] for r in manifest.collect()}
+    assert got == {k for k, v in expected.items() if v is not None} - {"empty.gz"}
