@@ -45,7 +45,7 @@ from logtally.sources.tables import (
     table,
     write_daily_archives,
 )
-from logtally.streaming.ingest import stream_event_counts
+from logtally.streaming.ingest import stream_event_counts, stream_tagged_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -208,6 +208,14 @@ def q_streamed_event_counts(spark, sf):
             .groupBy("day", "name").agg(F.sum("occurrenceCount").alias("occurrenceCount")))
 
 
+def q_streamed_lines(spark, sf):
+    root = _landed_archives(spark, sf)
+    out = _fresh_folder(spark, "streamed")
+    stream_tagged_lines(spark, root, "day=", out,
+                        checkpoint_location=_fresh_folder(spark, "streams")).awaitTermination()
+    return spark.read.parquet(out).select(F.substring("fileName", 1, 10).alias("day"), "line")
+
+
 QUERIES: dict[str, Query] = {
     "tag_lines": q_tag_lines,
     "file_line_counts": q_file_line_counts,
@@ -234,6 +242,7 @@ QUERIES: dict[str, Query] = {
     "landing_manifest": q_landing_manifest,
     "landed_event_counts": q_landed_event_counts,
     "streamed_event_counts": q_streamed_event_counts,
+    "streamed_lines": q_streamed_lines,
 }
 
 # Shared DuckDB definitions of the derived frames (same rows as sources.tables).
@@ -369,6 +378,11 @@ ORACLE_SQL: dict[str, str] = {
                      || CAST(user_id AS VARCHAR) || '"}' AS line
               FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')
         GROUP BY ALL"""),
+    "streamed_lines": _with("""
+        SELECT d AS day, line FROM (
+          SELECT strftime(ts, '%Y-%m-%d') AS d, '{"name":"' || event_type || '","siteId":"'
+                 || CAST(user_id AS VARCHAR) || '"}' AS line
+          FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')"""),
     "split_path": """
         SELECT page_id, url, regexp_split_to_array(url, 'example[.]')[2] AS relativeName
         FROM pages""",
