@@ -66,8 +66,9 @@ def _clean_meta(spark: SparkSession, sf: str) -> DataFrame:
     return file_line_counts(clean_tagged(spark, sf))
 
 
-def _typed_events(spark: SparkSession, sf: str) -> DataFrame:
-    return valid_json_rows(parse_events(event_json_lines(spark, sf)))
+def _typed_events(spark: SparkSession, sf: str, *fields: str) -> DataFrame:
+    """Valid typed events parsed from JSON lines; only ``fields`` if given."""
+    return valid_json_rows(parse_events(event_json_lines(spark, sf), fields=fields or None))
 
 
 def q_tag_lines(spark, sf):
@@ -128,11 +129,11 @@ def q_rare_keys(spark, sf):
 
 
 def q_rare_event_ids(spark, sf):
-    return rare_keys(_typed_events(spark, sf), "eventId")
+    return rare_keys(_typed_events(spark, sf, "eventId"), "eventId")
 
 
 def q_typed_events(spark, sf):
-    ev = _typed_events(spark, sf)
+    ev = _typed_events(spark, sf, "eventId", "name", "serverTs", "siteId", "zoomLevel", "meta")
     return ev.select("eventId", "name", "serverTs", "siteId", "zoomLevel",
                      F.size("meta.locations").alias("nLocations"),
                      F.size("meta.pseudoEvents").alias("nPseudoEvents"),
@@ -140,15 +141,15 @@ def q_typed_events(spark, sf):
 
 
 def q_count_events(spark, sf):
-    return count_rows(_typed_events(spark, sf))
+    return count_rows(_typed_events(spark, sf, "eventId"))
 
 
 def q_explode_locations(spark, sf):
-    return explode_locations(_typed_events(spark, sf))
+    return explode_locations(_typed_events(spark, sf, "siteId", "meta"))
 
 
 def q_explode_dimensions(spark, sf):
-    return explode_dimensions(_typed_events(spark, sf))
+    return explode_dimensions(_typed_events(spark, sf, "serverTs", "siteId", "name", "meta"))
 
 
 def q_calendar_parts(spark, sf):

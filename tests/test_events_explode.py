@@ -85,3 +85,12 @@ def test_scan_events_modes(spark, tmp_path):
         scan_events(spark, str(tmp_path / "a.gz"), mode="FAILFAST").collect()
     dropped = scan_events(spark, str(tmp_path / "a.gz"), mode="DROPMALFORMED")
     assert [r.eventId for r in dropped.select("eventId").collect()] == ["e1"]
+
+
+def test_parse_events_field_subset_keeps_validity(spark):
+    lines = _lines(spark, EDGE_LINES)
+    full = parse_events(lines)
+    sub = parse_events(lines, fields=("eventId", "name"))
+    assert sub.columns == ["eventId", "name", "_isValid"]
+    assert [tuple(r) for r in sub.collect()] == \
+        [tuple(r) for r in full.select("eventId", "name", "_isValid").collect()]
