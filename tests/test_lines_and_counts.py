@@ -85,3 +85,12 @@ def test_scan_lines_glob_filter(spark, tmp_path):
     (tmp_path / "c.txt").write_text("z\n")
     assert rows(scan_lines(spark, str(tmp_path), glob="*.gz").select("line")) == [("x",), ("y",)]
     assert scan_lines(spark, str(tmp_path), with_path=False).columns == ["line"]
+
+
+def test_tag_lines_extracts_name_once(spark, tmp_path):
+    root = make_raw_root(tmp_path)
+    tagged = tag_lines(scan_lines(spark, str(root)), "metrics/", name_path="$.clientData.name")
+    assert tagged.columns == ["sourceFileAbsolutePath", "fileName", "name", "line"]
+    from_column = event_counts(tagged, None)
+    from_lines = event_counts(tagged.drop("name"), "$.clientData.name")
+    assert rows(from_column) == rows(from_lines)
