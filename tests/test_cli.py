@@ -1,0 +1,21 @@
+import json
+
+from logtally.cli import main
+from tests.fixtures import gzip_cases, make_clean_root, make_raw_root
+
+
+def test_cli_setup_and_landing_check(spark, tmp_path, capsys):
+    base = tmp_path / "land"
+    raw, clean = make_raw_root(base), make_clean_root(base)
+    assert main(["setup", "--raw-root", str(raw), "--clean-root", str(clean),
+                 "--output-root", str(tmp_path / "out")]) == 0
+    results = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert results[str(tmp_path / "out" / "raw" / "lines_check")] == [9, 9, True]
+    assert main(["setup", "--raw-root", str(raw), "--clean-root", str(clean),
+                 "--output-root", str(tmp_path / "out2"), "--strict", "--no-report"]) == 1
+
+    gzip_cases(tmp_path / "drop")
+    capsys.readouterr()
+    assert main(["landing-check", str(tmp_path / "drop")]) == 0
+    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert {x["path"].rsplit("/", 1)[-1]: x["isValid"] for x in lines}["padded.gz"] is True
