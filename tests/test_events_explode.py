@@ -94,3 +94,21 @@ def test_parse_events_field_subset_keeps_validity(spark):
     assert sub.columns == ["eventId", "name", "_isValid"]
     assert [tuple(r) for r in sub.collect()] == \
         [tuple(r) for r in full.select("eventId", "name", "_isValid").collect()]
+
+
+def test_explode_reads_only_used_nested_fields(spark, tmp_path):
+    import contextlib
+    import io
+    lines = [event("a", meta={"domain": "d", "locations": ["x"], "pseudoEvents": ["p"],
+                              "ua": {"browser": "b", "groups": ["g"]}})]
+    path = str(tmp_path / "events")
+    parse_events(_lines(spark, lines)).write.parquet(path)
+    dims = explode_dimensions(valid_json_rows(spark.read.parquet(path)))
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        dims.explain("formatted")
+    schema = [ln for ln in buf.getvalue().splitlines() if ln.startswith("ReadSchema")][0]
+    assert "locations" in schema and "groups" in schema
+    for unused in ("domain", "browser", "clientLanguage", "zoomLevel", "eventId"):
+        assert unused not in schema
+    assert dims.count() == 1
