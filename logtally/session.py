@@ -39,7 +39,17 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Create (or reuse) a session with the library defaults applied."""
+    """Create a session with the library defaults applied, or reuse the
+    active one untouched.
+
+    ``getOrCreate`` would copy the builder's settings onto a running session,
+    overriding whatever its owner chose (shuffle partitions, time zone...),
+    so the defaults are applied only to a session created here.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -19,3 +19,10 @@ def test_cli_setup_and_landing_check(spark, tmp_path, capsys):
     assert main(["landing-check", str(tmp_path / "drop")]) == 0
     lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
     assert {x["path"].rsplit("/", 1)[-1]: x["isValid"] for x in lines}["padded.gz"] is True
+
+
+def test_build_session_leaves_a_running_session_alone(spark):
+    from logtally.session import build_session
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    assert build_session("again", shuffle_partitions=3) is spark
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
