@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 _SIDE = "_isRaw"
 _COUNT = "lineCount"
+# The report's output column names.
+MASTER_COUNT = "masterEventCount"
+NOM_COUNT = "nomEventCount"
 
 
 def _sides(raw_meta: DataFrame, clean_meta: DataFrame, key: str) -> DataFrame:
@@ -39,8 +42,8 @@ def reconcile(raw_meta: DataFrame, clean_meta: DataFrame, key: str = "fileName")
     """
     return _side_totals(raw_meta, clean_meta, key).select(
         key,
-        F.coalesce(F.col("_raw"), F.lit(0)).cast("long").alias("masterEventCount"),
-        F.coalesce(F.col("_clean"), F.lit(0)).cast("long").alias("nomEventCount"),
+        F.coalesce(F.col("_raw"), F.lit(0)).cast("long").alias(MASTER_COUNT),
+        F.coalesce(F.col("_clean"), F.lit(0)).cast("long").alias(NOM_COUNT),
     )
 
 
@@ -58,9 +61,9 @@ def reconcile_spine(raw_meta: DataFrame, clean_meta: DataFrame, key: str = "file
     return totals.select(
         key,
         F.when(known, F.coalesce(F.col("_raw"), F.lit(0))).otherwise(F.lit(0))
-        .cast("long").alias("masterEventCount"),
+        .cast("long").alias(MASTER_COUNT),
         F.when(known, F.coalesce(F.col("_clean"), F.lit(0))).otherwise(F.lit(0))
-        .cast("long").alias("nomEventCount"),
+        .cast("long").alias(NOM_COUNT),
         F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy"),
     ).drop("_copy")
 

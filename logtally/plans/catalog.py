@@ -314,14 +314,14 @@ ORACLE_SQL: dict[str, str] = {
         FULL OUTER JOIN (SELECT fileName, sum(lineCount) AS n FROM cm GROUP BY fileName) c
           ON r.fileName IS NOT DISTINCT FROM c.fileName"""),
     "reconcile_spine": _with("""
-        SELECT tbl1.fileName,
+        SELECT spine.fileName,
                coalesce(rm.lineCount, 0) AS masterEventCount,
                coalesce(cm.lineCount, 0) AS nomEventCount
         FROM (SELECT fileName FROM rm GROUP BY fileName
               UNION ALL
-              SELECT fileName FROM cm GROUP BY fileName) AS tbl1
-        LEFT OUTER JOIN rm ON tbl1.fileName = rm.fileName
-        LEFT OUTER JOIN cm ON tbl1.fileName = cm.fileName"""),
+              SELECT fileName FROM cm GROUP BY fileName) AS spine
+        LEFT OUTER JOIN rm ON spine.fileName = rm.fileName
+        LEFT OUTER JOIN cm ON spine.fileName = cm.fileName"""),
     "distinct_files": _with("""
         SELECT fileName FROM rm GROUP BY fileName
         UNION ALL

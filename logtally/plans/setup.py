@@ -60,6 +60,8 @@ class SetupConfig:
     raw_root: str
     clean_root: str
     output_root: str
+    # Fixed values of the original job: the folder marker that starts a file
+    # name on each side, and the JSON path of the event name in each copy.
     raw_marker: str = "metrics/"
     clean_marker: str = "clean/"
     raw_name_path: str = "$.clientData.name"

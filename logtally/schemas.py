@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Typed "clean" telemetry event, read schema-on-read from JSON lines.
-# FLOAT fields of the original declaration are read as DOUBLE so that 1.1
-# stays 1.1 (FLOAT widens to 1.100000023841858).
+# Field names, nesting and types of the typed "clean"
+# telemetry event, read schema-on-read from JSON lines. FLOAT fields of the
+# original declaration are read as DOUBLE so that 1.1 stays 1.1 (FLOAT
+# widens to 1.100000023841858).
 EVENT_SCHEMA = T.StructType([
     T.StructField("clientLanguage", T.StringType()),
     T.StructField("clientTimeMs", T.LongType()),
