@@ -5,6 +5,11 @@ streams pick up only archives that arrived since the last run (the file
 source remembers what it has read in its checkpoint), tag their lines into
 the same table layout, and keep per-file event counts as streaming state.
 Run them with ``availableNow`` to drain what has landed and stop.
+
+A stream reads an archive as soon as it is listed, so archives must appear
+atomically: write them under a name the glob does not match (``x.gz.part``)
+or in another folder, then rename. Names containing ``tmp`` follow the
+landing convention and are left out, as in the batch landing check.
 """
 
 from __future__ import annotations
@@ -17,19 +22,24 @@ from logtally.functions.json import json_field
 from logtally.functions.paths import decode_file_path
 from logtally.operators.tagging import tag_lines
 from logtally.session import ensure_checkpoint_dir
-from logtally.sources.landing import GZIP_GLOB
+from logtally.sources.landing import GZIP_GLOB, SKIP_SUBSTRING
 from logtally.sources.lines import PATH_COL
 
 
 def stream_lines(spark: SparkSession, landing_root: str, glob: str = GZIP_GLOB,
-                 max_files_per_trigger: int | None = None) -> DataFrame:
+                 max_files_per_trigger: int | None = None,
+                 skip_substring: str | None = SKIP_SUBSTRING) -> DataFrame:
     """Streaming ``(sourceFileAbsolutePath, line)`` over newly landed files."""
     reader = spark.readStream.format("text").option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(landing_root)
-    return raw.select(decode_file_path(F.col("_metadata.file_path")).alias(PATH_COL),
-                      F.col("value").alias("line"))
+    lines = raw.select(decode_file_path(F.col("_metadata.file_path")).alias(PATH_COL),
+                       F.col("value").alias("line"))
+    if skip_substring:
+        name = F.element_at(F.split(PATH_COL, "/"), -1)
+        lines = lines.where(~name.contains(skip_substring))
+    return lines
 
 
 def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:

@@ -11,6 +11,7 @@ def test_stream_picks_up_only_new_archives(spark, tmp_path):
     assert spark.read.parquet(out).count() == 2
 
     write_gz(land / "d2.gz", [event("zoom")])
+    write_gz(land / "d3-tmp.gz", [event("partial")])      # still being written
     stream_tagged_lines(spark, str(land), "clean/", out, ckpt).awaitTermination()
     got = spark.read.parquet(out)
     assert rows(got.groupBy("fileName").count()) == [("d1.gz", 2), ("d2.gz", 1)]
