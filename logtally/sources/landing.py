@@ -246,6 +246,14 @@ def validate_landing(
     return manifest
 
 
+_GLOB_CHARS = "\\{}[]*?"
+
+
+def _literal_path(path: str) -> str:
+    """Escape glob characters so a listed path is read as exactly that file."""
+    return "".join("\\" + c if c in _GLOB_CHARS else c for c in path)
+
+
 def _decode_archives(batches):
     for pdf in batches:
         for path in pdf["path"]:
@@ -271,7 +279,7 @@ def read_valid_lines(spark: SparkSession, manifest: DataFrame) -> DataFrame:
     the executors.
     """
     valid = manifest.where("isValid").select("path", "reason").collect()
-    plain = [r.path for r in valid if r.reason in SPARK_READABLE]
+    plain = [_literal_path(r.path) for r in valid if r.reason in SPARK_READABLE]
     padded = [(r.path,) for r in valid if r.reason not in SPARK_READABLE]
     out = (scan_lines(spark, plain) if plain
            else spark.createDataFrame([], "sourceFileAbsolutePath string, line string"))

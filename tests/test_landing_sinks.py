@@ -136,3 +136,13 @@ def test_validate_landing_without_empty_listing(spark, tmp_path):
     manifest = validate_landing(spark, str(tmp_path / "land"), list_empty=False)
     got = {r.path.rsplit("/", 1)[-1] for r in manifest.collect()}
     assert got == {k for k, v in expected.items() if v is not None} - {"empty.gz"}
+
+
+def test_read_valid_lines_takes_paths_literally(spark, tmp_path):
+    land = tmp_path / "land"
+    gzip_cases(land)
+    (land / "a[1].gz").write_bytes(gz_bytes("bracket\n"))
+    (land / "a1.gz").write_bytes(gz_bytes("plain\n"))
+    manifest = validate_landing(spark, str(land)).where("path LIKE '%/a[1].gz' OR path LIKE '%/a1.gz'")
+    got = rows(read_valid_lines(spark, manifest).select("line"))
+    assert got == [("bracket",), ("plain",)]
