@@ -193,7 +193,7 @@ def q_scanned_events(spark, sf):
 def q_landed_event_counts(spark, sf):
     manifest = validate_landing(spark, _landed_archives(spark, sf), recursive=True)
     tagged = tag_lines(read_valid_lines(spark, manifest), "day=")
-    by_day = tagged.select(F.substring("fileName", 1, 10).alias("day"), "line")
+    by_day = tagged.select(F.get(F.split("fileName", "/"), 0).alias("day"), "line")
     return event_counts(by_day, CLEAN_NAME_PATH, group_cols=("day",))
 
 
@@ -205,7 +205,7 @@ def q_streamed_event_counts(spark, sf):
                         checkpoint_location=_fresh_folder(spark, "streams"),
                         state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
     counts = spark.read.parquet(out)
-    return (counts.select(F.substring("fileName", 1, 10).alias("day"), "name", "occurrenceCount")
+    return (counts.select(F.get(F.split("fileName", "/"), 0).alias("day"), "name", "occurrenceCount")
             .groupBy("day", "name").agg(F.sum("occurrenceCount").alias("occurrenceCount")))
 
 
@@ -214,7 +214,7 @@ def q_streamed_lines(spark, sf):
     out = _fresh_folder(spark, "streamed")
     stream_tagged_lines(spark, root, "day=", out,
                         checkpoint_location=_fresh_folder(spark, "streams")).awaitTermination()
-    return spark.read.parquet(out).select(F.substring("fileName", 1, 10).alias("day"), "line")
+    return spark.read.parquet(out).select(F.get(F.split("fileName", "/"), 0).alias("day"), "line")
 
 
 QUERIES: dict[str, Query] = {
