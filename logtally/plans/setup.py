@@ -33,6 +33,7 @@ job did, and reads the typed events back from the stage.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -179,10 +180,22 @@ def build_report(spark: SparkSession, cfg: SetupConfig) -> dict:
     return cfg.results
 
 
-def run_setup(spark: SparkSession, cfg: SetupConfig, report: bool = True) -> dict:
-    """Build both sides, then the report. Returns the check rows by path."""
-    build_raw(spark, cfg)
-    build_clean(spark, cfg)
+def run_setup(spark: SparkSession, cfg: SetupConfig, report: bool = True,
+              parallel: bool = True) -> dict:
+    """Build both sides, then the report. Returns the check rows by path.
+
+    The raw and clean sides share nothing until the report, so by default
+    they are submitted from two driver threads and their jobs share the
+    cluster: one side's tasks fill executors the other leaves idle, e.g.
+    behind a long single-archive task.
+    """
+    if parallel:
+        with ThreadPoolExecutor(max_workers=2, thread_name_prefix="logtally-setup") as pool:
+            for done in [pool.submit(build_raw, spark, cfg), pool.submit(build_clean, spark, cfg)]:
+                done.result()
+    else:
+        build_raw(spark, cfg)
+        build_clean(spark, cfg)
     if report:
         build_report(spark, cfg)
     return cfg.results
