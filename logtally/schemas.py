@@ -1,4 +1,4 @@
-"""Declared schemas: the typed telemetry event and the derived tables."""
+"""Declared schema of the typed telemetry event."""
 
 from __future__ import annotations
 
@@ -37,28 +37,3 @@ EVENT_SCHEMA = T.StructType([
 ])
 
 CORRUPT_COLUMN = "_corrupt_record"
-
-TAGGED_LINES_SCHEMA = T.StructType([
-    T.StructField("sourceFileAbsolutePath", T.StringType()),
-    T.StructField("fileName", T.StringType()),
-    T.StructField("line", T.StringType()),
-])
-
-FILE_META_SCHEMA = T.StructType([
-    T.StructField("sourceFileAbsolutePath", T.StringType()),
-    T.StructField("fileName", T.StringType()),
-    T.StructField("lineCount", T.LongType(), False),
-])
-
-EVENT_COUNTS_SCHEMA = T.StructType([
-    T.StructField("fileName", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("occurrenceCount", T.LongType(), False),
-])
-
-LANDING_MANIFEST_SCHEMA = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("length", T.LongType()),
-    T.StructField("isValid", T.BooleanType()),
-    T.StructField("reason", T.StringType()),
-])
