@@ -36,6 +36,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -190,8 +191,12 @@ def run_setup(spark: SparkSession, cfg: SetupConfig, report: bool = True,
     behind a long single-archive task.
     """
     if parallel:
+        # inheritable_thread_target carries the caller's job group and local
+        # properties into the threads (cancellation, event-log attribution).
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="logtally-setup") as pool:
-            for done in [pool.submit(build_raw, spark, cfg), pool.submit(build_clean, spark, cfg)]:
+            sides = [pool.submit(inheritable_thread_target(build), spark, cfg)
+                     for build in (build_raw, build_clean)]
+            for done in sides:
                 done.result()
     else:
         build_raw(spark, cfg)
