@@ -194,7 +194,7 @@ def run_setup(spark: SparkSession, cfg: SetupConfig, report: bool = True,
         # inheritable_thread_target carries the caller's job group and local
         # properties into the threads (cancellation, event-log attribution).
         with ThreadPoolExecutor(max_workers=2, thread_name_prefix="logtally-setup") as pool:
-            sides = [pool.submit(inheritable_thread_target(build), spark, cfg)
+            sides = [pool.submit(inheritable_thread_target(spark)(build), spark, cfg)
                      for build in (build_raw, build_clean)]
             for done in sides:
                 done.result()
