@@ -51,7 +51,7 @@ from logtally.operators import (
     valid_json_rows,
 )
 from logtally.sinks.writers import export_delimited, stage_lines, write_managed
-from logtally.sources.events import parse_events
+from logtally.sources.events import parse_events, read_events
 from logtally.sources.lines import scan_lines
 
 CHECK_SCHEMA = "sourceCount long, derivedCount long, isConsistent boolean"
@@ -165,7 +165,7 @@ def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
         json_check = _check_frame(spark, _table_rows(spark, cfg.path("clean", "lines")),
                                   obs.get["valid"])
     else:
-        _write(cfg, parse_events(scan_lines(spark, stage, with_path=False)), "clean", "events")
+        _write(cfg, read_events(spark, stage), "clean", "events")
         json_check = counts_match(tagged, valid_json_rows(spark.read.parquet(events_path)))
     _record_check(spark, cfg, json_check, "clean", "json_check", delimited=True)
     return cfg.results

@@ -1,7 +1,7 @@
 """Sources: text-line scans with provenance, typed JSON events, landing checks."""
 
-from logtally.sources.events import parse_events, scan_events
+from logtally.sources.events import parse_events, read_events, scan_events
 from logtally.sources.landing import read_valid_lines, validate_landing
 from logtally.sources.lines import scan_lines
 
-__all__ = ["parse_events", "read_valid_lines", "scan_events", "scan_lines", "validate_landing"]
+__all__ = ["parse_events", "read_events", "read_valid_lines", "scan_events", "scan_lines", "validate_landing"]

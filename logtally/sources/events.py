@@ -22,9 +22,12 @@ def scan_events(
 
     PERMISSIVE keeps a malformed line as an all-NULL row with the text in
     ``_corrupt_record`` (blank lines are skipped by the JSON reader), a wrong
-    typed field becomes NULL while its siblings survive. Use
-    ``parse_events`` on text lines when row counts must match the text scan
-    exactly: DROPMALFORMED counts depend on column pruning.
+    typed field becomes NULL while its siblings survive.
+
+    Spark rejects a query on this source whose only column left after
+    pruning is ``_corrupt_record`` (``QUERY_ONLY_CORRUPT_RECORD_COLUMN``),
+    e.g. counting the rows where it is NULL; and DROPMALFORMED counts depend
+    on column pruning. To count or check validity, use ``read_events``.
     """
     read_schema = schema
     if keep_corrupt and mode.upper() == "PERMISSIVE":
@@ -34,6 +37,25 @@ def scan_events(
     return reader.json(paths if isinstance(paths, list) else [paths])
 
 
+def read_events(
+    spark: SparkSession,
+    paths: str | list[str],
+    schema: T.StructType = EVENT_SCHEMA,
+    fields: Sequence[str] | None = None,
+    recursive: bool = False,
+) -> DataFrame:
+    """Typed events of JSON-lines files, one row per text line.
+
+    A text scan parsed with ``parse_events``: blank and malformed lines stay
+    as rows with ``_isValid`` false, so counts match the text scan, and any
+    query shape works (no corrupt-column restriction).
+    """
+    from logtally.sources.lines import scan_lines
+
+    lines = scan_lines(spark, paths, recursive=recursive, with_path=False)
+    return parse_events(lines, schema=schema, fields=fields)
+
+
 def parse_events(
     lines: DataFrame,
     line_col: str = "line",

@@ -112,3 +112,13 @@ def test_explode_reads_only_used_nested_fields(spark, tmp_path):
     for unused in ("domain", "browser", "clientLanguage", "zoomLevel", "eventId"):
         assert unused not in schema
     assert dims.count() == 1
+
+
+def test_read_events_counts_like_the_text_scan(spark, tmp_path):
+    from logtally.sources import read_events
+    write_gz(tmp_path / "a.gz", EDGE_LINES)
+    ev = read_events(spark, str(tmp_path / "a.gz"), fields=("eventId",))
+    assert ev.count() == len(EDGE_LINES)
+    assert valid_json_rows(ev).count() == 4            # the count-only query works here
+    text = scan_lines(spark, str(tmp_path / "a.gz"))
+    assert tuple(counts_match(text, valid_json_rows(ev)).first()) == (6, 4, False)
