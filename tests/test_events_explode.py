@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from logtally.operators import counts_match, explode_dimensions, explode_locations, valid_json_rows
 from logtally.sources import parse_events, scan_events, scan_lines
