@@ -1,4 +1,3 @@
-
 from logtally.operators import counts_match, explode_dimensions, explode_locations, valid_json_rows
 from logtally.sources import parse_events, scan_events, scan_lines
 from tests.conftest import rows
