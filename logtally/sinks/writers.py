@@ -32,14 +32,26 @@ def write_managed(
     rebalance: bool = False,
     compression: str = "snappy",
     partition_by: Iterable[str] = (),
+    bucket_by: Iterable[str] = (),
+    buckets: int = 0,
 ) -> str:
     """Overwrite ``path`` with ``df`` (Parquet by default) and optionally
-    register it as table ``table`` over that location. Returns the path."""
+    register it as table ``table`` over that location. Returns the path.
+
+    ``bucket_by`` with ``buckets`` writes a bucketed table (it needs
+    ``table``): later aggregations and joins on those keys read it already
+    hash-distributed and skip their shuffle.
+    """
     out = df.hint("rebalance") if rebalance else df
     writer = (out.write.mode("overwrite").format(fmt).option("compression", compression))
     parts = list(partition_by)
     if parts:
         writer = writer.partitionBy(*parts)
+    keys = list(bucket_by)
+    if keys:
+        if not table or buckets <= 0:
+            raise ValueError("bucketing needs a table name and a positive bucket count")
+        writer = writer.bucketBy(buckets, *keys)
     if table:
         writer.option("path", path).saveAsTable(table)
     else:

@@ -146,3 +146,24 @@ def test_read_valid_lines_takes_paths_literally(spark, tmp_path):
     manifest = validate_landing(spark, str(land)).where("path LIKE '%/a[1].gz' OR path LIKE '%/a1.gz'")
     got = rows(read_valid_lines(spark, manifest).select("line"))
     assert got == [("bracket",), ("plain",)]
+
+
+def test_bucketed_table_skips_the_rare_key_shuffle(spark, tmp_path):
+    import contextlib
+    import io
+
+    from logtally.operators import rare_keys
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    write_managed(docs.select("doc_id", "text"), str(tmp_path / "docs"), table="lt_docs_bucketed",
+                  bucket_by=["text"], buckets=4)
+    try:
+        bucketed = rare_keys(spark.table("lt_docs_bucketed"), "text")
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            bucketed.explain("formatted")
+        assert "Exchange" not in buf.getvalue()
+        assert rows(bucketed) == rows(rare_keys(docs, "text"))
+    finally:
+        drop_tables(spark, ["lt_docs_bucketed"])
+    with pytest.raises(ValueError):
+        write_managed(docs, str(tmp_path / "x"), bucket_by=["text"], buckets=4)
