@@ -45,3 +45,20 @@ def test_query_matches_oracle(spark, duck, name):
     assert s_cols == d_cols
     assert len(s_rows) == len(d_rows)
     assert s_rows == d_rows
+
+
+# Plan shapes no registered query may take: pair products, row-at-a-time
+# Python, and row caps.
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "CollectLimit",
+             "GlobalLimit", "LocalLimit")
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_plan_has_no_forbidden_nodes(spark, name):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        entry.queries()[name](spark, SF).explain("formatted")
+    plan = buf.getvalue()
+    assert not [node for node in FORBIDDEN if node in plan]
