@@ -191,6 +191,12 @@ def q_scanned_events(spark, sf):
                      F.size("meta.ua.groups").alias("nUaGroups"))
 
 
+def q_landing_validity(spark, sf):
+    manifest = validate_landing(spark, _landed_archives(spark, sf), recursive=True)
+    day = F.regexp_extract("path", r"/day=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1)
+    return manifest.select(day.alias("day"), "isValid", "reason").distinct()
+
+
 def q_landed_event_counts(spark, sf):
     manifest = validate_landing(spark, _landed_archives(spark, sf), recursive=True)
     tagged = tag_lines(read_valid_lines(spark, manifest), "day=")
@@ -242,6 +248,7 @@ QUERIES: dict[str, Query] = {
     "split_path": q_split_path,
     "scanned_events": q_scanned_events,
     "landing_manifest": q_landing_manifest,
+    "landing_validity": q_landing_validity,
     "landed_event_counts": q_landed_event_counts,
     "streamed_event_counts": q_streamed_event_counts,
     "streamed_lines": q_streamed_lines,
@@ -368,6 +375,9 @@ ORACLE_SQL: dict[str, str] = {
                CAST(month({_CAL.format(ms='serverTs')}) AS INTEGER) AS month,
                CAST(day({_CAL.format(ms='serverTs')}) AS INTEGER) AS day
         FROM (SELECT event_id, (epoch_us(ts) // 1000) AS serverTs FROM events)""",
+    "landing_validity": _with("""
+        SELECT DISTINCT d AS day, true AS isValid, 'ok' AS reason
+        FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01'"""),
     "landed_event_counts": _with("""
         SELECT d AS day, json_extract_string(line, '$.name') AS name, count(*) AS occurrenceCount
         FROM (SELECT strftime(ts, '%Y-%m-%d') AS d, '{"name":"' || event_type || '","siteId":"'
