@@ -36,6 +36,8 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--recursive", action="store_true")
     s.add_argument("--check", choices=("observe", "rescan"), default="observe")
     s.add_argument("--database")
+    s.add_argument("--validate", action="store_true",
+                   help="gzip-check every archive first and ingest only the valid ones")
     s.add_argument("--no-report", action="store_true")
     s.add_argument("--strict", action="store_true", help="fail when a check is inconsistent")
 
@@ -55,6 +57,7 @@ def main(argv: list[str] | None = None) -> int:
             raw_marker=args.raw_marker, clean_marker=args.clean_marker,
             raw_name_path=args.raw_name_path, clean_name_path=args.clean_name_path,
             recursive=args.recursive, check=args.check, database=args.database,
+            validate=args.validate,
             raise_on_mismatch=args.strict)
         try:
             results = run_setup(spark, cfg, report=not args.no_report)

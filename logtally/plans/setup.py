@@ -52,6 +52,7 @@ from logtally.operators import (
 )
 from logtally.sinks.writers import export_delimited, stage_lines, write_managed
 from logtally.sources.events import parse_events, read_events
+from logtally.sources.landing import read_valid_lines, validate_landing
 from logtally.sources.lines import scan_lines
 
 CHECK_SCHEMA = "sourceCount long, derivedCount long, isConsistent boolean"
@@ -70,11 +71,16 @@ class SetupConfig:
     clean_name_path: str = "$.name"
     recursive: bool = False
     check: str = "observe"          # or "rescan"
+    # Check every archive first (gzip -t semantics), keep the manifest as
+    # <side>/landing_manifest and ingest only the valid archives, instead of
+    # letting one corrupt archive fail the job.
+    validate: bool = False
     raise_on_mismatch: bool = False
     # When set, every Parquet output is also registered as an external
     # table ``<database>.<side>_<name>`` over its folder, for spark.table().
     database: str | None = None
     results: dict = field(default_factory=dict)
+    _validated: set = field(default_factory=set, init=False, repr=False)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.output_root.rstrip("/"), *parts])
@@ -100,11 +106,24 @@ def _write(cfg: SetupConfig, df: DataFrame, *parts: str) -> str:
     return write_managed(df, cfg.path(*parts), table=cfg.table(*parts))
 
 
+def _source_lines(spark: SparkSession, cfg: SetupConfig, root: str, side: str) -> DataFrame:
+    """``(sourceFileAbsolutePath, line)`` of a side: every archive under the
+    root, or with ``validate`` only those the landing check passes."""
+    if not cfg.validate:
+        return scan_lines(spark, root, recursive=cfg.recursive)
+    manifest_path = cfg.path(side, "landing_manifest")
+    if side not in cfg._validated:
+        _write(cfg, validate_landing(spark, root, recursive=cfg.recursive), side,
+               "landing_manifest")
+        cfg._validated.add(side)
+    return read_valid_lines(spark, spark.read.parquet(manifest_path))
+
+
 def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
                   name_path: str, side: str) -> tuple[DataFrame, DataFrame]:
     """Scan + tag + write the line table. Returns the written table and the
     one-row frame comparing source lines with table rows."""
-    lines = scan_lines(spark, root, recursive=cfg.recursive)
+    lines = _source_lines(spark, cfg, root, side)
     tagged = tag_lines(lines, marker, name_path=name_path)
     target = cfg.path(side, "lines")
     if cfg.check == "observe":
@@ -113,7 +132,7 @@ def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
         check = _check_frame(spark, obs.get["rows"], _table_rows(spark, target))
     else:
         _write(cfg, tagged, side, "lines")
-        check = counts_match(scan_lines(spark, root, recursive=cfg.recursive, with_path=False),
+        check = counts_match(_source_lines(spark, cfg, root, side).select("line"),
                              spark.read.parquet(target))
     return spark.read.parquet(target), check
 

@@ -62,3 +62,32 @@ def test_tables_registered_in_database(spark, tmp_path):
     assert spark.table("lt_setup.clean_lines").columns == [
         "sourceFileAbsolutePath", "fileName", "name", "line"]
     spark.sql("DROP DATABASE lt_setup CASCADE")
+
+
+@pytest.mark.parametrize("check", ["observe", "rescan"])
+def test_validate_skips_corrupt_archives(spark, tmp_path, check):
+    base = tmp_path / "land"
+    raw_root, clean_root = make_raw_root(base), make_clean_root(base)
+    good = (clean_root / "a+b.gz").read_bytes()
+    (clean_root / "broken.gz").write_bytes(good[: len(good) // 2])      # truncated upload
+    cfg = SetupConfig(raw_root=str(raw_root), clean_root=str(clean_root),
+                      output_root=str(tmp_path / "out"), validate=True, check=check)
+    results = run_setup(spark, cfg)
+    manifest = spark.read.parquet(cfg.path("clean", "landing_manifest"))
+    bad = [(r.path.rsplit("/", 1)[-1], r.reason) for r in manifest.where("NOT isValid").collect()]
+    assert bad == [("broken.gz", "truncated")]
+    assert results[cfg.path("clean", "lines_check")] == (9, 9, True)
+    files = {r[0] for r in spark.read.parquet(cfg.path("clean", "file_meta"))
+             .select("fileName").collect()}
+    assert "broken.gz" not in files and "a+b.gz" in files
+
+
+def test_without_validate_a_corrupt_archive_fails_loudly(spark, tmp_path):
+    base = tmp_path / "land"
+    raw_root, clean_root = make_raw_root(base), make_clean_root(base)
+    good = (clean_root / "a+b.gz").read_bytes()
+    (clean_root / "broken.gz").write_bytes(good[: len(good) // 2])
+    cfg = SetupConfig(raw_root=str(raw_root), clean_root=str(clean_root),
+                      output_root=str(tmp_path / "out"))
+    with pytest.raises(Exception):
+        run_setup(spark, cfg, report=False)
