@@ -115,3 +115,22 @@ def test_decode_inverts_uri_encoding(spark, names):
     df = spark.createDataFrame(encoded, "p string")
     got = [r[0] for r in df.select(decode_file_path("p")).collect()]
     assert got == ["file:/x/" + n for n in names]
+
+
+@SETTINGS
+@given(ms=st.lists(st.integers(-2_000_000_000_000, 4_102_444_800_000), min_size=1, max_size=8),
+       rounding=st.sampled_from(["ceil", "floor"]))
+def test_calendar_parts_match_datetime(spark, ms, rounding):
+    import math
+    from datetime import datetime, timezone
+
+    from logtally.functions import calendar_parts
+
+    def model(v):
+        sec = math.ceil(v / 1000) if rounding == "ceil" else math.floor(v / 1000)
+        d = datetime.fromtimestamp(sec, tz=timezone.utc)
+        return (v, d.year, d.month, d.day)
+
+    df = spark.createDataFrame([(v,) for v in ms], "ms long")
+    got = [tuple(r) for r in df.select("ms", *calendar_parts("ms", rounding)).collect()]
+    assert got == [model(v) for v in ms]
