@@ -207,11 +207,9 @@ def q_landed_event_counts(spark, sf):
 def q_streamed_event_counts(spark, sf):
     root = _landed_archives(spark, sf)
     out = _fresh_folder(spark, "streamed")
-    # State is one row per file and name: a few partitions per core suffice.
     stream_event_counts(spark, root, "day=", CLEAN_NAME_PATH, out,
-                        checkpoint_location=_fresh_folder(spark, "streams"),
-                        state_partitions=spark.sparkContext.defaultParallelism).awaitTermination()
-    counts = spark.read.parquet(out)
+                        checkpoint_location=_fresh_folder(spark, "streams")).awaitTermination()
+    counts = spark.read.parquet(out).drop("batch")
     return (counts.select(F.get(F.split("fileName", "/"), 0).alias("day"), "name", "occurrenceCount")
             .groupBy("day", "name").agg(F.sum("occurrenceCount").alias("occurrenceCount")))
 

@@ -3,7 +3,8 @@
 The batch setup rebuilds everything from the whole landing folder. These
 streams pick up only archives that arrived since the last run (the file
 source remembers what it has read in its checkpoint), tag their lines into
-the same table layout, and keep per-file event counts as streaming state.
+the same table layout, and count events per file and name batch by batch
+(files are never split across batches, so no streaming state is needed).
 Run them with ``availableNow`` to drain what has landed and stop.
 
 A stream reads an archive as soon as it is listed, so archives must appear
@@ -61,33 +62,27 @@ def stream_tagged_lines(spark: SparkSession, landing_root: str, marker: str, out
 
 def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, json_path: str,
                         output_path: str, checkpoint_location: str | None = None,
-                        available_now: bool = True,
-                        state_partitions: int | None = None) -> StreamingQuery:
-    """Running ``(fileName, name, occurrenceCount)`` kept as streaming state.
-
-    State holds one row per file and name (partially aggregated per batch);
-    each micro-batch rewrites the small result table in full. The number of
-    state partitions is fixed by ``spark.sql.shuffle.partitions`` when a
-    checkpoint is first used; ``state_partitions`` sets it for this query
-    only (the stream copies the session's settings when it starts).
+                        available_now: bool = True) -> StreamingQuery:
+    """``(fileName, name, occurrenceCount)`` of newly landed archives.
+
+    The file source gives each micro-batch whole files, so a batch's counts
+    per file and name are already final: no streaming state is kept and no
+    result is rewritten. Each batch writes its counts to
+    ``<output_path>/batch=<id>`` with overwrite, so a batch replayed after a
+    failure replaces its own output (exactly once). Read the table back
+    with ``spark.read.parquet(output_path).drop("batch")``.
     """
     lines = stream_lines(spark, landing_root)
-    counts = (tag_lines(lines, marker)
-              .select("fileName", json_field("line", json_path).alias("name"))
-              .groupBy("fileName", "name").agg(F.count(F.lit(1)).alias("occurrenceCount")))
+    tagged = tag_lines(lines, marker).select(
+        "fileName", json_field("line", json_path).alias("name"))
+    root = output_path.rstrip("/")
 
-    def _write(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(output_path)
+    def _write(batch: DataFrame, batch_id: int) -> None:
+        counts = batch.groupBy("fileName", "name").agg(
+            F.count(F.lit(1)).alias("occurrenceCount"))
+        counts.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    writer = (counts.writeStream.outputMode("complete").foreachBatch(_write)
+    writer = (tagged.writeStream.foreachBatch(_write)
               .option("checkpointLocation", _checkpoint(spark, "event_counts", checkpoint_location)))
     writer = writer.trigger(availableNow=True) if available_now else writer
-    if state_partitions is None:
-        return writer.start()
-    key = "spark.sql.shuffle.partitions"
-    previous = spark.conf.get(key)
-    spark.conf.set(key, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        spark.conf.set(key, previous)
+    return writer.start()
