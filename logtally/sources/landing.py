@@ -211,17 +211,18 @@ def validate_landing(
 ) -> DataFrame:
     """Manifest ``(path, length, isValid, reason)`` of the archives in ``root``.
 
+    ``isValid`` follows ``gzip -t``: intact, multi-member and zero-padded
+    archives pass; empty, truncated, CRC-damaged, trailing-garbage and
+    non-gzip files fail (``unreadable`` when a large archive cannot be
+    opened for streaming). Files whose name contains ``skip_substring`` are
+    left out entirely. Archives over ``max_in_memory`` bytes are streamed
+    from storage instead of loaded as one row.
+
     Spark's file sources skip zero-length files, so ``list_empty`` adds them
     from a driver-side listing. That walks every file status through the
     JVM gateway, one round trip each, so turn it off for folders of millions
     of archives: an empty archive holds no lines, so leaving it out of the
     manifest loses nothing but the report line.
-
-    ``isValid`` follows ``gzip -t``: intact, multi-member and zero-padded
-    archives pass; empty, truncated, CRC-damaged, trailing-garbage and
-    non-gzip files fail (``unreadable`` when a large archive cannot be
-    opened for streaming). Files whose name contains ``skip_substring`` are
-    left out entirely.
     """
     ship_package(spark)
     reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
@@ -285,7 +286,9 @@ def read_valid_lines(spark: SparkSession, manifest: DataFrame) -> DataFrame:
            else spark.createDataFrame([], "sourceFileAbsolutePath string, line string"))
     if padded:
         ship_package(spark)
-        paths = spark.createDataFrame(padded, "path string").repartition(len(padded))
+        # Spread the archives over tasks (each decodes its archives in turn).
+        slots = min(len(padded), 4 * spark.sparkContext.defaultParallelism)
+        paths = spark.createDataFrame(padded, "path string").repartition(slots)
         decoded = paths.mapInPandas(_decode_archives, "sourceFileAbsolutePath string, line string")
         out = out.unionByName(decoded)
     return out
