@@ -1,6 +1,6 @@
 """Command-line entry points, for ``spark-submit`` or ``python -m logtally.cli``.
 
-    spark-submit --py-files logtally.zip -m logtally.cli setup \\
+    spark-submit --py-files logtally.zip logtally/cli.py setup \\
         --raw-root s3://bucket/raw/metrics/ --clean-root s3://bucket/nom/clean/ \\
         --output-root s3://bucket/derived/
     python -m logtally.cli landing-check /data/landing
