@@ -94,3 +94,18 @@ def test_tag_lines_extracts_name_once(spark, tmp_path):
     from_column = event_counts(tagged, None)
     from_lines = event_counts(tagged.drop("name"), "$.clientData.name")
     assert rows(from_column) == rows(from_lines)
+
+
+def test_same_file_name_under_two_roots(spark, tmp_path):
+    from logtally.operators import left_reconcile, reconcile
+    from tests.fixtures import event, write_gz
+    write_gz(tmp_path / "east" / "clean" / "a.gz", [event("zoom"), event("tts")])
+    write_gz(tmp_path / "west" / "clean" / "a.gz", [event("zoom")])
+    write_gz(tmp_path / "raw" / "metrics" / "a.gz", [event("zoom")] * 4)
+    clean = file_line_counts(tag_lines(scan_lines(
+        spark, [str(tmp_path / "east" / "clean"), str(tmp_path / "west" / "clean")]), "clean/"))
+    assert sorted(r.lineCount for r in clean.collect()) == [1, 2]        # one row per path
+    raw = file_line_counts(tag_lines(scan_lines(spark, str(tmp_path / "raw" / "metrics")),
+                                     "metrics/"))
+    assert rows(reconcile(raw, clean)) == [("a.gz", 4, 3)]
+    assert rows(left_reconcile(raw, clean)) == [("a.gz", 4, 3)]
