@@ -80,7 +80,6 @@ class SetupConfig:
     # table ``<database>.<side>_<name>`` over its folder, for spark.table().
     database: str | None = None
     results: dict = field(default_factory=dict)
-    _validated: set = field(default_factory=set, init=False, repr=False)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.output_root.rstrip("/"), *parts])
@@ -108,15 +107,12 @@ def _write(cfg: SetupConfig, df: DataFrame, *parts: str) -> str:
 
 def _source_lines(spark: SparkSession, cfg: SetupConfig, root: str, side: str) -> DataFrame:
     """``(sourceFileAbsolutePath, line)`` of a side: every archive under the
-    root, or with ``validate`` only those the landing check passes."""
+    root, or with ``validate`` only those the landing check of this run
+    passes (its manifest is written first and read back)."""
     if not cfg.validate:
         return scan_lines(spark, root, recursive=cfg.recursive)
-    manifest_path = cfg.path(side, "landing_manifest")
-    if side not in cfg._validated:
-        _write(cfg, validate_landing(spark, root, recursive=cfg.recursive), side,
-               "landing_manifest")
-        cfg._validated.add(side)
-    return read_valid_lines(spark, spark.read.parquet(manifest_path))
+    _write(cfg, validate_landing(spark, root, recursive=cfg.recursive), side, "landing_manifest")
+    return read_valid_lines(spark, spark.read.parquet(cfg.path(side, "landing_manifest")))
 
 
 def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
@@ -132,8 +128,8 @@ def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
         check = _check_frame(spark, obs.get["rows"], _table_rows(spark, target))
     else:
         _write(cfg, tagged, side, "lines")
-        check = counts_match(_source_lines(spark, cfg, root, side).select("line"),
-                             spark.read.parquet(target))
+        # ``lines`` is lazy: counting it scans the sources again.
+        check = counts_match(lines.select("line"), spark.read.parquet(target))
     return spark.read.parquet(target), check
 
 

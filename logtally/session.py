@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -94,6 +95,7 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -108,16 +110,19 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    if not sc.master.startswith("local") or sc.applicationId in _SHIPPED:
+    if not sc.master.startswith("local"):
         return
-    pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    out_dir = tempfile.mkdtemp(prefix="logtally-py-")
-    archive = os.path.join(out_dir, "logtally.zip")
-    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
-        for folder, _dirs, files in os.walk(pkg_dir):
-            for name in files:
-                if name.endswith(".py"):
-                    full = os.path.join(folder, name)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
-    sc.addPyFile(archive)
-    _SHIPPED.add(sc.applicationId)
+    with _SHIP_LOCK:                      # the setup DAG calls this from two threads
+        if sc.applicationId in _SHIPPED:
+            return
+        pkg_dir = os.path.dirname(os.path.abspath(__file__))
+        out_dir = tempfile.mkdtemp(prefix="logtally-py-")
+        archive = os.path.join(out_dir, "logtally.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+            for folder, _dirs, files in os.walk(pkg_dir):
+                for name in files:
+                    if name.endswith(".py"):
+                        full = os.path.join(folder, name)
+                        zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+        sc.addPyFile(archive)
+        _SHIPPED.add(sc.applicationId)
