@@ -28,3 +28,20 @@ def test_stream_event_counts_state(spark, tmp_path):
     assert rows(got.drop("batch")) == [("d1.gz", "zoom", 2), ("d1.gz", None, 1),
                                        ("d2.gz", "tts", 1)]
     assert rows(got.select("batch").distinct()) == [(0,), (1,)]   # one folder per batch
+
+
+def test_replayed_batch_counts_once(spark, tmp_path):
+    import os
+    land = tmp_path / "nom" / "clean"
+    out, ckpt = str(tmp_path / "counts"), str(tmp_path / "ckpt3")
+    write_gz(land / "d1.gz", [event("zoom"), event("zoom")])
+    stream_event_counts(spark, str(land), "clean/", "$.name", out, ckpt).awaitTermination()
+    # A crash after the batch wrote its output but before Spark recorded the
+    # batch as committed: on restart the batch runs again.
+    for name in ("0", ".0.crc"):                     # the marker and its checksum file
+        path = os.path.join(ckpt, "commits", name)
+        if os.path.exists(path):
+            os.remove(path)
+    stream_event_counts(spark, str(land), "clean/", "$.name", out, ckpt).awaitTermination()
+    assert os.path.exists(os.path.join(ckpt, "commits", "0"))      # batch 0 did run again
+    assert rows(spark.read.parquet(out).drop("batch")) == [("d1.gz", "zoom", 2)]
