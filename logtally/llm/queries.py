@@ -7,8 +7,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logtally.llm import langid
 from logtally.llm.exact import exact_groups
+from logtally.llm.fingerprint import fingerprints
+from logtally.llm.htmltext import extract_text
 from logtally.llm.mixing import mix_counts
 from logtally.llm.pii import find_pii
 
@@ -22,6 +26,18 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(_table(spark, sf_dir, "pages"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    content = langid.fit(docs.where(~langid.held_out()))
+    return langid.identify(docs.select("doc_id", "text"), content).select(
+        F.col("row.doc_id").alias("doc_id"), "lang_pred", F.col("lang_score").alias("score")).withColumn(
+        "held_out", langid.held_out()).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -30,10 +46,17 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(_table(spark, sf_dir, "documents"))
 
 
+def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_pii": op4_pii,
+    "op5_html_text": op5_html_text,
+    "op6_language_id": op6_language_id,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_fingerprint": op10_fingerprint,
 }
 
 _OP8 = r"""
