@@ -6,10 +6,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import langid
+from logtally.llm import bpe, langid, tokencount
 from logtally.llm.exact import exact_groups
 from logtally.llm.fingerprint import fingerprints
 from logtally.llm.htmltext import extract_text
@@ -17,10 +18,20 @@ from logtally.llm.mixing import mix_counts
 from logtally.llm.pii import find_pii
 
 
+# Vocabulary files of the registered queries.
+BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+UNIGRAM_PIECES = "piece_bpe_32k.model"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN,
+                              carry=["doc_id"]).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
@@ -38,6 +49,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "held_out", langid.held_out()).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencount.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path(UNIGRAM_PIECES))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_counts(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -51,9 +66,11 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_bpe": op2_bpe,
     "op4_pii": op4_pii,
     "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
+    "op7_token_counts": op7_token_counts,
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_fingerprint": op10_fingerprint,
