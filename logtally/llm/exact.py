@@ -134,10 +134,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("sha").alias("text_sha256"))
     border = runs.where("border")
     # Two runs per partition at most.
-    totals = (border.where("head")
-              .select("sha", "size", "shorter", F.col("keep_id").isNull().alias("no_id"), F.col("keep_id").alias("id"), "part")
-              .groupBy("sha").agg(F.sum("size").alias("total"), _winner().alias("w")))
-    outer = border.join(totals, "sha").select(
+    heads = border.where("head").select(
+        "sha", "size", "shorter", F.col("keep_id").isNull().alias("no_id"), F.col("keep_id").alias("id"), "part")
+    totals = heads.groupBy("sha").agg(F.sum("size").alias("total"), _winner().alias("w"))
+    # Rows meet their run's totals by partition and digest, so copies of one text stay dealt out.
+    outer = border.join(heads.select("sha", "part").join(totals, "sha"), ["part", "sha"]).select(
         F.col("id").alias(id_col), F.col("w.id").alias("keep_id"), F.col("total").alias("group_size"),
         (F.col("head") & (F.col("part") == F.col("w.part"))).alias("kept"), F.col("sha").alias("text_sha256"))
     return inner.unionByName(outer)
