@@ -16,6 +16,8 @@ from logtally.llm.fingerprint import fingerprints
 from logtally.llm.htmltext import extract_text
 from logtally.llm.mixing import mix_counts
 from logtally.llm.pii import find_pii
+from logtally.llm.simhash import near_groups
+from logtally.llm.substring import remove_repeats
 
 
 # Vocabulary files of the registered queries.
@@ -27,11 +29,20 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(_table(spark, sf_dir, "documents"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN,
                               carry=["doc_id"]).select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(_table(spark, sf_dir, "documents"))
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
@@ -66,7 +77,9 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
+    "op3_simhash": op3_simhash,
     "op4_pii": op4_pii,
     "op5_html_text": op5_html_text,
     "op6_language_id": op6_language_id,
@@ -76,6 +89,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_fingerprint": op10_fingerprint,
 }
 
+_OP1 = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+w AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d WHERE len(ws) >= 20),
+k AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(ws[s:s + 19], ' ') ORDER BY doc_id NULLS LAST, s) > 1 AS again
+      FROM w),
+c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM k WHERE again),
+u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
+g AS (SELECT u.doc_id, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY u.i) FILTER (WHERE c.i IS NULL) AS kept
+      FROM u LEFT JOIN c ON u.doc_id IS NOT DISTINCT FROM c.doc_id AND u.i = c.i GROUP BY u.doc_id)
+SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN g ON d.doc_id IS NOT DISTINCT FROM g.doc_id
+"""
+
 _OP8 = r"""
 WITH k AS (
   SELECT doc_id, source,
@@ -116,4 +143,4 @@ SELECT doc_id,
 FROM t
 """
 
-ORACLE_SQL: dict[str, str] = {"op8_mixing": _OP8, "op9_exact_dedup": _OP9}
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op8_mixing": _OP8, "op9_exact_dedup": _OP9}
