@@ -13,7 +13,7 @@ A text is seen as its lower-case words of letters, each once, in the order of
 their first occurrence: spam repeats and junk between words carry no weight.
 
 Defined results: a null text or one without a letter is ``und``, score 0,
-rejected; ties go to the language that sorts first; without any labelled row
+rejected; ties go to the language with more labelled rows; without any labelled row
 every text is ``und``; an empty table gives an empty table.
 """
 
@@ -87,27 +87,29 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
 
 
 class Classifier:
-    """The compressors of one task."""
+    """The compressors of one task, by falling frequency of their languages."""
 
     def __init__(self, content: dict[str, bytes]):
-        self.langs = sorted(content)
+        self.langs = [x for x in content if content[x]]
+        # Words are short: matches of four bytes count.
         self.compressors = [zstandard.ZstdCompressor(
-            level=LEVEL, write_content_size=False, write_checksum=False, write_dict_id=False,
+            compression_params=zstandard.ZstdCompressionParameters.from_level(
+                LEVEL, dict_size=len(content[x]), min_match=4, write_content_size=False, write_checksum=False, write_dict_id=False),
             dict_data=zstandard.ZstdCompressionDict(content[x], dict_type=zstandard.DICT_TYPE_RAWCONTENT))
-            for x in self.langs if content[x]] if content else []
-        self.langs = [x for x in self.langs if content[x]]
+            for x in self.langs]
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, rejected)"""
-        data = words_once(text).encode()
-        if not data or not self.langs:
+        words = words_once(text)
+        if not words or not self.langs:
             return UNDETERMINED, 0.0, True
+        data = f" {words} ".encode()
         blocks = [data[i:i + BLOCK] for i in range(0, len(data), BLOCK)]
-        sizes = sorted((sum(len(c.compress(b)) for b in blocks), lang) for c, lang in zip(self.compressors, self.langs))
+        sizes = sorted((sum(len(c.compress(b)) for b in blocks), k) for k, c in enumerate(self.compressors))
         if len(sizes) == 1:
-            return sizes[0][1], 1.0, False
+            return self.langs[0], 1.0, False
         margin = (sizes[1][0] - sizes[0][0]) / sizes[1][0]
-        return sizes[0][1], 1.0 - math.exp(-margin / SCALE), margin < MARGIN
+        return self.langs[sizes[0][1]], 1.0 - math.exp(-margin / SCALE), margin < MARGIN
 
 
 def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text") -> DataFrame:

@@ -91,13 +91,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 _OP1 = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
-w AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM d WHERE len(ws) >= 20),
-k AS (SELECT doc_id, s, row_number() OVER (PARTITION BY array_to_string(ws[s:s + 19], ' ') ORDER BY doc_id NULLS LAST, s) > 1 AS again
-      FROM w),
-c AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM k WHERE again),
 u AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
-g AS (SELECT u.doc_id, count(c.i) AS n_removed, string_agg(word, ' ' ORDER BY u.i) FILTER (WHERE c.i IS NULL) AS kept
-      FROM u LEFT JOIN c ON u.doc_id IS NOT DISTINCT FROM c.doc_id AND u.i = c.i GROUP BY u.doc_id)
+k AS (SELECT doc_id, i, word,
+             list(word) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS g FROM u),
+r AS (SELECT doc_id, i, word, len(g) = 20 AND row_number() OVER (
+               PARTITION BY len(g), array_to_string(g, ' ') ORDER BY doc_id NULLS LAST, i) > 1 AS again FROM k),
+c AS (SELECT doc_id, i, word,
+             max(again::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM r),
+g AS (SELECT doc_id, sum(gone)::BIGINT AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (WHERE gone = 0) AS kept
+      FROM c GROUP BY doc_id)
 SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN g ON d.doc_id IS NOT DISTINCT FROM g.doc_id
