@@ -1,0 +1,95 @@
+import hashlib
+import random
+
+import numpy as np
+import pytest
+
+from logtally.llm import fingerprint as fp
+from tests.llm.helpers import documents, frame
+
+
+def brute(rows):
+    """Sorted (doc_id, n_chars, edited sha, common with the edited, common with the next)."""
+    def order(r):
+        return (r[0] is None, -(r[0] or 0), r[1] or "")
+
+    def common(a, b):
+        n = 0
+        while n < min(len(a), len(b)) and a[n] == b[n]:
+            n += 1
+        return n
+    ordered = sorted(rows, key=order)
+    out = []
+    for k, r in enumerate(ordered):
+        text, nxt = r[1] or "", ordered[(k + 1) % len(ordered)][1] or ""
+        c = len(text) // 3
+        edited = text[:len(text) - c] + nxt[:c]
+        out.append((r[0], len(text), hashlib.sha256(edited.encode()).hexdigest(), common(text, edited), common(text, nxt)))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("parts", [1, 3, 50])
+def test_matches_brute_force(spark, parts):
+    rows = documents(parts) + [(-5, "low", None, None, 0), (None, "none", None, None, 0), (None, "nine", None, None, 0),
+                               (7, "again", None, None, 0), (7, "again", None, None, 0), (2**62, "high 😀é", None, None, 0)]
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        got = fp.fingerprints(frame(spark, rows, extra=True)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"], r["common_edited"], r["common_next"]) for r in got), key=str) == brute(rows)
+    names: dict = {}
+    for i, text, *_ in rows:
+        names.setdefault(i, set()).add(text or "")
+    assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
+    by_print: dict = {}
+    for r in got:
+        if len(names[r["doc_id"]]) == 1:
+            by_print.setdefault(r["fingerprint"], set()).update(names[r["doc_id"]])
+    assert all(len(texts) == 1 for texts in by_print.values())
+    texts = [t for s in by_print.values() for t in s]
+    assert len(texts) == len(set(texts))
+
+
+def test_spliced_arrays_equal_those_of_the_edited_text():
+    rng = random.Random(1)
+    for _ in range(60):
+        a, b = ("".join(rng.choices("abé😀", k=rng.randrange(0, 80))) for _ in range(2))
+        row = fp._row(fp._Text(1, a), fp._Text(2, b))
+        c = len(a) // 3
+        edited = fp._Text(3, a[:len(a) - c] + b[:c])
+        assert row["edited_fingerprint"] == edited.name
+
+
+def test_span_equality_and_longest_common_extension():
+    rng = random.Random(2)
+    text = "".join(rng.choices("ab", k=200))
+    arrays = fp.PrefixHash.of(fp.code_points(text))
+    for _ in range(300):
+        i, j, n = rng.randrange(200), rng.randrange(200), rng.randrange(1, 60)
+        if max(i, j) + n <= 200:
+            assert (arrays.span(i, i + n) == arrays.span(j, j + n)) == (text[i:i + n] == text[j:j + n])
+        want = 0
+        while max(i, j) + want < 200 and text[i + want] == text[j + want]:
+            want += 1
+        assert arrays.common(i, arrays, j) == want
+    assert int(arrays.spans(np.array([3]), np.array([9]))[0]) == arrays.span(3, 9)
+
+
+def test_likeness_follows_the_share_in_common():
+    rng = random.Random(3)
+    a = "".join(rng.choices("abcdefgh", k=4000))
+    half = a[:2000] + "".join(rng.choices("abcdefgh", k=2000))
+    other = "".join(rng.choices("abcdefgh", k=4000))
+    one, two, three = (fp._Text(0, t).sketch for t in (a, half, other))
+    assert fp.likeness(one, one) == 1.0 and fp.likeness(one, three) == 0.0
+    assert 0.15 < fp.likeness(one, two) < 0.55
+    assert fp.likeness([], []) == 1.0 and fp.likeness([], one) == 0.0
+
+
+def test_single_document_and_empty_table(spark):
+    one = fp.fingerprints(frame(spark, [(4, "abcdef", None, None, 0)])).collect()
+    assert len(one) == 1 and one[0]["near_next"] == 1.0 and one[0]["edited_sha256"] == hashlib.sha256(b"abcdab").hexdigest()
+    empty = fp.fingerprints(frame(spark, [(4, "x", None, None, 0)]).limit(0))
+    assert empty.columns[0] == "doc_id" and empty.collect() == []

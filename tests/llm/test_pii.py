@@ -1,0 +1,71 @@
+import hashlib
+import random
+import re
+
+from logtally.llm import pii
+from tests.llm.helpers import by_id, frame
+
+# The contract's patterns as they stand.
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain_luhn(d):
+    return sum(int(c) if k % 2 == 0 else sum(divmod(2 * int(c), 10)) for k, c in enumerate(d[::-1])) % 10 == 0
+
+
+def plain(text):
+    found = []
+    for k, (kind, pattern) in enumerate(PATTERNS.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")),
+                    "card": 12 <= len(digits) <= 19 and plain_luhn(digits), "phone": 9 <= len(digits) <= 15}[kind]
+            if good:
+                found.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+    return [s for _, _, s in sorted(found)]
+
+
+def card(rng, n):
+    d = "".join(rng.choices("0123456789", k=n - 1))
+    return next(d + c for c in "0123456789" if plain_luhn(d + c))
+
+
+def cases():
+    rng = random.Random(1)
+    texts = [None, "", "nothing here", "a@b.c%x@y.z", "@@a@b.co", "a@b", "x@y.z.@w.v", "é john.doe+x@mail.example.com, 😀 1.2.3.4",
+             "999.1.1.1 1.2.3.256 0001.2.3.4.5.6.7.8", "4111 1111 1111 1111", "4111-1111-1111-1112", "+1 (234) 567-8901 +12 3",
+             "+++123456789", "1" * 5000, "a" * 5000 + "@b.c", "1.2.3.4@5.6.7.8", "۱۲۳.۱.۱.۱ ٤١١١", "12 34 56 78 90 12 34 56 78"]
+    bits = ["a", "@", ".", "-", "+", " ", "1", "23", "(", ")", "é", "%", "_", "com", "192.168.0.1", "x@y.org", "+49 30 123456"]
+    texts += ["".join(rng.choices(bits, k=rng.randrange(1, 60))) for _ in range(400)]
+    texts += [f"pay {card(rng, n)} now" for n in range(12, 20) for _ in range(3)]
+    return texts
+
+
+def test_base_spans_equal_the_patterns(spark):
+    texts = cases()
+    got = by_id(pii.find_pii(frame(spark, [(k, t, None, None, 0) for k, t in enumerate(texts)], extra=True)))
+    for k, text in enumerate(texts):
+        want = plain(text)
+        assert got[k]["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest(), text
+        for kind in PATTERNS:
+            assert got[k][f"n_{kind}"] == sum(s.startswith(kind + ":") for s in want)
+        assert [s for s in got[k]["spans"].split(",") if s.split(":")[0] in PATTERNS] == want
+    assert sum(len(plain(t)) for t in texts) > 100
+
+
+def test_added_kinds_need_their_check_or_context():
+    assert [s.kind for s in pii.find_spans("IBAN DE89 3704 0044 0532 0130 00 here")] == ["iban"]
+    assert "iban" not in [s.kind for s in pii.find_spans("IBAN DE88 3704 0044 0532 0130 00 here")]
+    assert [s.kind for s in pii.find_spans("call me: 555-123-4567")] == ["local_phone"]
+    assert pii.find_spans("serial 555-123-4567") == []
+    near, far = pii.find_spans("my email a@b.co"), pii.find_spans("version a@b.co")
+    assert near[0].score > far[0].score
+
+
+def test_empty_table(spark):
+    assert pii.find_pii(frame(spark, [(1, "x", None, None, 0)]).limit(0)).collect() == []

@@ -1,0 +1,87 @@
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from logtally.llm import langid
+from logtally.llm.common import materialise
+from logtally.llm.queries import ORACLE_SQL, QUERIES
+from tests.llm.helpers import by_id, documents, frame
+from tests.llm.test_exact import DELETE
+from tests.llm.test_simhash import plain_components, plain_print
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1_substring_dedup": ["doc_id", "n_words", "n_removed", "kept_sha256"],
+    "op2_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op3_simhash": ["doc_id", "fingerprint", "component_id"],
+    "op4_pii": ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
+    "op5_html_text": ["page_id", "url", "text", "n_chars"],
+    "op6_language_id": ["doc_id", "held_out", "lang_pred", "score"],
+    "op7_token_counts": ["doc_id", "n_words", "n_tokens"],
+    "op8_mixing": ["doc_id", "size", "source_size", "target", "taken"],
+    "op9_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
+    "op10_fingerprint": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+                         "common_edited", "common_next"],
+}
+
+
+@pytest.mark.parametrize("name", sorted(COLUMNS))
+def test_query_covers_its_table(spark, name):
+    df = QUERIES[name](spark, SF)
+    assert df.columns == COLUMNS[name]
+    assert df.count() == spark.read.parquet(f"{SF}/{'pages' if 'html' in name else 'documents'}.parquet").count()
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_its_sql(spark, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    cursor = con.execute(ORACLE_SQL[name])
+    columns = [c[0] for c in cursor.description]
+    want = sorted(cursor.fetchall())
+    assert sorted(tuple(r[c] for c in columns) for r in QUERIES[name](spark, SF).collect()) == want
+
+
+def test_stages_act_on_what_the_one_before_kept(spark):
+    rows = [(i, t, lang or "en", s, n) for i, t, lang, s, n in documents(6)]
+    docs = frame(spark, rows)
+    columns, seen = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = materialise(stage(spark, docs, SF), f"test-{name}")
+        seen[name] = (before, docs)
+        if name != "encode":
+            assert docs.columns == columns
+    before, after = seen["language_id"]
+    content = langid.fit(before.where(~langid.held_out()))
+    texts = {r["doc_id"]: r["text"] for r in before.collect()}
+    model = langid.Classifier(content)
+    assert {r["doc_id"] for r in after.collect()} == {i for i, t in texts.items() if not model.predict(t)[2]}
+    before, after = seen["exact_dedup"]
+    groups: dict = {}
+    for r in before.collect():
+        groups.setdefault((r["text"] or "").translate(DELETE), []).append((-len(r["text"] or ""), r["doc_id"]))
+    assert {r["doc_id"] for r in after.collect()} == {min(g)[1] for g in groups.values()}
+    before, after = seen["near_dedup"]
+    prints = {r["doc_id"]: plain_print(r["text"]) for r in before.collect()}
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(set(plain_components(prints).values()))
+    before, after = seen["mix_sources"]
+    known = by_id(before)
+    drawn = [r.asDict() for r in after.collect()]
+    assert drawn and all(known[r["doc_id"]] == r for r in drawn)
+    before, after = seen["encode"]
+    assert sorted(r["doc_id"] for r in after.collect()) == sorted(r["doc_id"] for r in before.collect())
+    assert after.where(F.col("n_tokens") != F.size("ids")).count() == 0
+
+
+def test_run_equals_the_stages_and_takes_an_empty_table(spark, tmp_path):
+    docs = frame(spark, documents(7, 30))
+    for name, df in (("some", docs), ("none", docs.limit(0))):
+        df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        got = corpus_pipeline.run(spark, f"{tmp_path}/{name}")
+        step = spark.read.parquet(f"{tmp_path}/{name}/documents.parquet")
+        for stage_name, stage in corpus_pipeline.STAGES:
+            step = materialise(stage(spark, step, f"{tmp_path}/{name}"), f"again-{stage_name}")
+        key = lambda r: (str(r["doc_id"]), r["n_tokens"], r["ids"])
+        assert sorted(map(key, got.collect())) == sorted(map(key, step.collect()))
