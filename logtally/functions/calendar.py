@@ -11,6 +11,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# Day numbers of 0001-01-01 and 9999-12-31.
+_DAYS = (-719162, 2932896)
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -40,9 +44,11 @@ def calendar_parts(server_ms: Column | str, rounding: str = "ceil") -> tuple[Col
 
     The original query parsed the date with pattern ``yyyy-mm-dd`` where
     ``mm`` means minutes, which made every month 1. This computes the
-    evident intent, the calendar date.
+    evident intent, the calendar date. A time whose day number fits no date
+    has NULL parts; it never fails the job.
     """
-    day = F.date_from_unix_date(F.floor(epoch_seconds(server_ms, rounding) / 86400).cast("int"))
+    days = F.floor(epoch_seconds(server_ms, rounding) / 86400)
+    day = F.date_from_unix_date(F.when(days.between(*_DAYS), days).try_cast("int"))
     return (
         F.year(day).alias("year"),
         F.month(day).alias("month"),

@@ -65,7 +65,7 @@ def parse_events(
 ) -> DataFrame:
     """Parse a line column with ``from_json`` into typed top-level columns.
 
-    Adds ``_isValid``: the line is a JSON object. A blank line gives a NULL
+    Adds ``_isValid``: the line is one JSON object and nothing else. A blank line gives a NULL
     struct and a malformed one fills ``_corrupt_record``; a wrong-typed field
     also fills it, but the line is still an object, so that case is told
     apart by a second, schema-free parse that runs only for flagged lines.
@@ -96,9 +96,19 @@ def parse_events(
 
 
 _OBJECT = T.MapType(T.StringType(), T.StringType())
+_STRINGS = T.ArrayType(T.StringType())
 
 
 def is_valid_event(parsed: Column, line: Column) -> Column:
-    """True when the line behind a ``from_json`` result is a JSON object."""
+    """True when the line behind a ``from_json`` result is one JSON object and
+    nothing else.
+
+    Spark's parser stops after the first value. A flat object ends at its only
+    closing brace; any other line is parsed once more as the first of two array
+    elements: what follows the object then breaks the array, ends it early or
+    adds an element.
+    """
     corrupt = parsed.getField(CORRUPT_COLUMN)
-    return parsed.isNotNull() & (corrupt.isNull() | F.from_json(line, _OBJECT).isNotNull())
+    alone = F.size(F.from_json(F.concat(F.lit("["), line, F.lit(",0]")), _STRINGS)) == 2
+    return (parsed.isNotNull() & (corrupt.isNull() | F.from_json(line, _OBJECT).isNotNull())
+            & (line.rlike(r"^[^}]*\}\s*$") | F.coalesce(alone, F.lit(False))))

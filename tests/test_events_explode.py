@@ -120,3 +120,13 @@ def test_read_events_counts_like_the_text_scan(spark, tmp_path):
     assert valid_json_rows(ev).count() == 4            # the count-only query works here
     text = scan_lines(spark, str(tmp_path / "a.gz"))
     assert tuple(counts_match(text, valid_json_rows(ev)).first()) == (6, 4, False)
+
+
+def test_a_line_is_valid_only_as_one_whole_object(spark):
+    lines = {'{"name":"a"}': True, ' {"name":"a"} ': True, '{"name":"}x"}': True, '{"name":"} {x"}': True,
+             '{"meta":{"ua":{}} , "name":"b"}': True, '{"name":"a"} junk': False, '{"name":"a"}{"name":"b"}': False,
+             '{"name":"a"},{"name":"b"}': False, '{"name":"a"}]': False, '{"name":"a"}],[{}': False, '{"name":"a"}}': False,
+             '{"name":"a"},"b":{"c":1}': False, "[1]": False, "": False}
+    df = spark.createDataFrame([(x,) for x in lines], "line string")
+    got = {r["line"]: r["_isValid"] for r in parse_events(df, keep=("line",), fields=("name",)).collect()}
+    assert got == lines
