@@ -22,7 +22,6 @@ from pyspark.sql.streaming import StreamingQuery
 from logtally.functions.json import json_field
 from logtally.functions.paths import decode_file_path
 from logtally.operators.tagging import tag_lines
-from logtally.session import ensure_checkpoint_dir
 from logtally.sources.landing import GZIP_GLOB, SKIP_SUBSTRING
 from logtally.sources.lines import PATH_COL
 
@@ -43,19 +42,23 @@ def stream_lines(spark: SparkSession, landing_root: str, glob: str = GZIP_GLOB,
     return lines
 
 
-def _checkpoint(spark: SparkSession, name: str, location: str | None) -> str:
-    return location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+def _checkpoint(output_path: str, location: str | None) -> str:
+    """The stream's memory of what it has read belongs to its output: by default
+    it lies inside that folder (readers skip names that begin with ``_``), so a
+    restart goes on where the output ends and no two outputs share one."""
+    return location or f"{output_path.rstrip('/')}/_checkpoint"
 
 
 def stream_tagged_lines(spark: SparkSession, landing_root: str, marker: str, output_path: str,
                         checkpoint_location: str | None = None,
                         available_now: bool = True) -> StreamingQuery:
     """Append tagged lines of new archives to a Parquet table (exactly once
-    through the file sink's log and the source checkpoint)."""
+    through the file sink's log and the source checkpoint). A checkpoint
+    location given by hand must stay the same for an output."""
     tagged = tag_lines(stream_lines(spark, landing_root), marker)
     writer = (tagged.writeStream.format("parquet").outputMode("append")
               .option("path", output_path)
-              .option("checkpointLocation", _checkpoint(spark, "tagged_lines", checkpoint_location)))
+              .option("checkpointLocation", _checkpoint(output_path, checkpoint_location)))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
@@ -69,7 +72,8 @@ def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, jso
     per file and name are already final: no streaming state is kept and no
     result is rewritten. Each batch writes its counts to
     ``<output_path>/batch=<id>`` with overwrite, so a batch replayed after a
-    failure replaces its own output (exactly once). Read the table back
+    failure replaces its own output (exactly once). A checkpoint location
+    given by hand must stay the same for an output. Read the table back
     with ``spark.read.parquet(output_path).drop("batch")``.
     """
     lines = stream_lines(spark, landing_root)
@@ -83,6 +87,6 @@ def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, jso
         counts.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
     writer = (tagged.writeStream.foreachBatch(_write)
-              .option("checkpointLocation", _checkpoint(spark, "event_counts", checkpoint_location)))
+              .option("checkpointLocation", _checkpoint(output_path, checkpoint_location)))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()

@@ -45,3 +45,20 @@ def test_replayed_batch_counts_once(spark, tmp_path):
     stream_event_counts(spark, str(land), "clean/", "$.name", out, ckpt).awaitTermination()
     assert os.path.exists(os.path.join(ckpt, "commits", "0"))      # batch 0 did run again
     assert rows(spark.read.parquet(out).drop("batch")) == [("d1.gz", "zoom", 2)]
+
+
+def test_default_checkpoints_belong_to_their_outputs(spark, tmp_path):
+    """A restart over the same output finds the second archive; two roots run
+    by default side by side."""
+    land, other = tmp_path / "nom" / "clean", tmp_path / "raw" / "metrics"
+    lines, counts, second = (str(tmp_path / n) for n in ("lines", "counts", "second"))
+    write_gz(land / "a.gz", [event("zoom")])
+    write_gz(other / "r.gz", [event("tts")])
+    for _ in range(2):
+        stream_tagged_lines(spark, str(land), "clean/", lines).awaitTermination()
+        stream_event_counts(spark, str(land), "clean/", "$.name", counts).awaitTermination()
+        stream_event_counts(spark, str(other), "metrics/", "$.name", second).awaitTermination()
+        write_gz(land / "b.gz", [event("zoom"), event("tts")])
+    assert rows(spark.read.parquet(lines).groupBy("fileName").count()) == [("a.gz", 1), ("b.gz", 2)]
+    assert rows(spark.read.parquet(counts).drop("batch")) == [("a.gz", "zoom", 1), ("b.gz", "tts", 1), ("b.gz", "zoom", 1)]
+    assert rows(spark.read.parquet(second).drop("batch")) == [("r.gz", "tts", 1)]
