@@ -7,7 +7,8 @@
 
 ``setup`` runs the whole DAG and prints the consistency rows as JSON; it
 exits non-zero on a mismatch when ``--strict`` is given. ``landing-check``
-prints one JSON line per archive.
+prints one JSON line per refused archive and one with the counts by reason;
+``--manifest`` writes the whole manifest as JSON lines, in tasks.
 """
 
 from __future__ import annotations
@@ -45,6 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     c.add_argument("root")
     c.add_argument("--recursive", action="store_true")
     c.add_argument("--glob", default="*.gz")
+    c.add_argument("--manifest", help="folder to write the manifest of all archives to")
     return p
 
 
@@ -66,9 +68,12 @@ def main(argv: list[str] | None = None) -> int:
             return 1
         print(json.dumps({path: list(row) for path, row in results.items()}))
         return 0
-    manifest = validate_landing(spark, args.root, glob=args.glob, recursive=args.recursive)
-    for row in manifest.toLocalIterator():
+    manifest = validate_landing(spark, args.root, glob=args.glob, recursive=args.recursive).checkpoint()
+    if args.manifest:
+        manifest.write.mode("overwrite").json(args.manifest)
+    for row in manifest.where("NOT isValid").drop("checkedAt").toLocalIterator():
         print(json.dumps(row.asDict()))
+    print(json.dumps({"archives": {r["reason"]: r["count"] for r in manifest.groupBy("reason").count().collect()}}))
     return 0
 
 

@@ -1,5 +1,14 @@
 """Sinks: managed Parquet tables, snappy text staging, delimited export."""
 
-from logtally.sinks.writers import drop_tables, export_delimited, stage_lines, write_managed
+from logtally.sinks.writers import (
+    drop_tables,
+    export_delimited,
+    read_delimited,
+    register_delimited,
+    register_lines,
+    stage_lines,
+    write_managed,
+)
 
-__all__ = ["drop_tables", "export_delimited", "stage_lines", "write_managed"]
+__all__ = ["drop_tables", "export_delimited", "read_delimited", "register_delimited", "register_lines",
+           "stage_lines", "write_managed"]

@@ -1,13 +1,10 @@
 """Landing check: which gzip archives in a drop folder are intact.
 
-Re-expresses the landing script's ``gzip -t`` loop as one Spark job over the
-folder. Archives up to ``max_in_memory`` bytes arrive as ``binaryFile`` rows
-(Spark's own file system layer) and are checked by an Arrow-batched pandas
-UDF. Bigger ones never load whole: the ``length`` filter is applied by the
-source before any content is read, and a second UDF streams each of them
-from storage in 1 MB steps, so memory stays flat and the 2 GB
-``binaryFile`` ceiling does not apply. Only valid archives go on to the line
-scan.
+Re-expresses the landing script's ``gzip -t`` loop as Spark jobs over the
+folder. Folders are listed in tasks, one level of the tree per job, and every
+archive, whatever its size, is streamed from storage in 1 MB steps by one
+check, so memory stays flat. An archive that cannot be opened is no verdict on
+the archive: it fails the job. Only archives that pass go on to the line scan.
 """
 
 from __future__ import annotations
@@ -15,24 +12,27 @@ from __future__ import annotations
 import fnmatch
 import io
 import zlib
+from datetime import datetime, timezone
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from logtally.session import ship_package
-from logtally.sources.lines import scan_lines
+from logtally.functions.paths import decode_file_path
+from logtally.session import ensure_checkpoint_dir, ship_package
+from logtally.sources.lines import PATH_COL, scan_lines
 
 # Fixed values of the landing check: archives are "*.gz" and a file whose
 # name contains "tmp" is still being written and is skipped.
 GZIP_GLOB = "*.gz"
 SKIP_SUBSTRING = "tmp"
+# Hadoop's names of stores that pyarrow knows under another one.
+STORE_NAMES = {"s3a": "s3", "s3n": "s3"}
 
 _CHUNK = 1 << 20          # compressed bytes read per step
 _MAX_OUT = 8 << 20        # cap on decompressed bytes held per step
 _LINES_PER_BATCH = 8192
-DEFAULT_MAX_IN_MEMORY = 256 << 20
 
 VALID_KINDS = ("ok", "multi-member", "zero-padded")
 # Kinds Spark's own gzip text reader can read; the rest are decoded in Python.
@@ -143,61 +143,102 @@ def iter_lines(source):
         yield from rest.splitlines()
 
 
+@lru_cache(maxsize=64)
+def _store(scheme: str, authority: str):
+    """pyarrow's file system of a store, and the path of its root."""
+    from pyarrow import fs as pafs
+
+    if scheme == "file":
+        return pafs.LocalFileSystem(), ""
+    filesystem, base = pafs.FileSystem.from_uri(f"{STORE_NAMES.get(scheme, scheme)}://{authority}/")
+    return filesystem, base.rstrip("/")
+
+
+def resolve(uri: str):
+    """(file system, path in it) of a URI as Spark shows it, unencoded."""
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file" or not rest.startswith("//"):
+        return *_store("file", "")[:1], "/" + (rest if scheme == "file" else uri).lstrip("/")
+    authority, _, path = rest[2:].partition("/")
+    filesystem, base = _store(scheme, authority)
+    return filesystem, f"{base}/{path}" if base else path
+
+
 def open_archive(uri: str):
     """A binary input stream over ``uri`` through pyarrow's file systems
     (local, S3, HDFS, GCS, ... as configured on the executors)."""
-    from pyarrow import fs as pafs
-
-    if uri.startswith("file:"):
-        path = "/" + uri[len("file:"):].lstrip("/")
-        return pafs.LocalFileSystem().open_input_stream(path, compression=None)
-    filesystem, path = pafs.FileSystem.from_uri(uri)
+    filesystem, path = resolve(uri)
     return filesystem.open_input_stream(path, compression=None)
 
 
 def stream_problem(uri: str) -> str:
-    try:
-        stream = open_archive(uri)
-    except (OSError, ValueError):
-        return "unreadable"
-    with stream:
+    """What is wrong with an archive; raises where it cannot be opened or read."""
+    with open_archive(uri) as stream:
         return gzip_problem(stream)
 
 
-@F.pandas_udf(T.StringType())
-def _gzip_problem_udf(content: pd.Series) -> pd.Series:
-    return content.map(gzip_problem)
+_LISTED = "path string, isFolder boolean, length long, modified long"
+
+
+def _list_folders(batches):
+    """The entries of each folder; ``modified`` in epoch milliseconds."""
+    from pyarrow import fs as pafs
 
+    for pdf in batches:
+        for folder in pdf["path"]:
+            filesystem, path = resolve(folder)
+            entries = filesystem.get_file_info(pafs.FileSelector(path, recursive=False))
+            yield pd.DataFrame(
+                [(f"{folder.rstrip('/')}/{e.base_name}", e.type == pafs.FileType.Directory,
+                  e.size if e.size is not None else 0, (e.mtime_ns or 0) // 1_000_000) for e in entries],
+                columns=["path", "isFolder", "length", "modified"]).astype({"isFolder": "bool", "length": "int64", "modified": "int64"})
 
-@F.pandas_udf(T.StringType())
-def _stream_problem_udf(path: pd.Series) -> pd.Series:
-    return path.map(stream_problem)
 
+def _slots(spark: SparkSession) -> int:
+    """Tasks for work whose rows are small and costs are not (AQE would merge them)."""
+    return max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
-def _zero_length_files(spark: SparkSession, root: str, glob: str,
-                       recursive: bool) -> list[tuple[str, int]]:
-    """Zero-length archives: the file sources skip them, so list them here.
 
-    Only file metadata is touched (a listing on the driver, as every Spark
-    file scan does); the contents never pass through the driver.
-    """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    base = jvm.org.apache.hadoop.fs.Path(root)
-    fs = base.getFileSystem(conf)
-    found: list[tuple[str, int]] = []
-    if recursive:
-        it = fs.listFiles(base, True)
-        while it.hasNext():
-            s = it.next()
-            if s.getLen() == 0 and fnmatch.fnmatch(s.getPath().getName(), glob):
-                found.append((s.getPath().toString(), 0))
-        return found
-    pattern = jvm.org.apache.hadoop.fs.Path(root.rstrip("/") + "/" + glob)
-    for s in fs.globStatus(pattern) or []:
-        if s.isFile() and s.getLen() == 0:
-            found.append((s.getPath().toString(), 0))
-    return found
+def qualified(spark: SparkSession, root: str) -> str:
+    """A folder as Spark shows it in file paths."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString().rstrip("/")
+
+
+def _listing(spark: SparkSession, root: str, recursive: bool) -> DataFrame:
+    """All files under ``root``, listed in tasks, one job per level of the tree."""
+    ensure_checkpoint_dir(spark)
+    level = spark.createDataFrame([(qualified(spark, root),)], "path string")
+    files = None
+    while True:
+        listed = level.repartition(_slots(spark), "path").mapInPandas(_list_folders, _LISTED).checkpoint()
+        found = listed.where(~F.col("isFolder"))
+        files = found if files is None else files.unionByName(found)
+        level = listed.where("isFolder").select("path")
+        if not recursive or level.isEmpty():
+            return files
+
+
+def list_archives(
+    spark: SparkSession,
+    root: str,
+    glob: str = GZIP_GLOB,
+    skip_substring: str | None = SKIP_SUBSTRING,
+    recursive: bool = False,
+) -> DataFrame:
+    """``(path, length, modified)`` of the archives in ``root``, by name; a row's
+    task is its own, so that slow work on a few rows spreads."""
+    name = F.element_at(F.split("path", "/"), -1)
+    files = _listing(spark, root, recursive).where(name.rlike(fnmatch.translate(glob)))
+    if skip_substring:
+        files = files.where(~name.contains(skip_substring))
+    return files.select("path", "length", "modified").repartition(_slots(spark), "path")
+
+
+def _check_archives(batches):
+    for pdf in batches:
+        yield pdf.assign(reason=[stream_problem(path) for path in pdf["path"]])
 
 
 def validate_landing(
@@ -206,53 +247,22 @@ def validate_landing(
     glob: str = GZIP_GLOB,
     skip_substring: str | None = SKIP_SUBSTRING,
     recursive: bool = False,
-    max_in_memory: int = DEFAULT_MAX_IN_MEMORY,
-    list_empty: bool = True,
 ) -> DataFrame:
-    """Manifest ``(path, length, isValid, reason)`` of the archives in ``root``.
+    """Manifest ``(path, length, isValid, reason, checkedAt)`` of the archives in ``root``.
 
     ``isValid`` follows ``gzip -t``: intact, multi-member and zero-padded
     archives pass; empty, truncated, CRC-damaged, trailing-garbage and
-    non-gzip files fail (``unreadable`` when a large archive cannot be
-    opened for streaming). Files whose name contains ``skip_substring`` are
-    left out entirely. Archives over ``max_in_memory`` bytes are streamed
-    from storage instead of loaded as one row.
-
-    Spark's file sources skip zero-length files, so ``list_empty`` adds them
-    from a driver-side listing. That walks every file status through the
-    JVM gateway, one round trip each, so turn it off for folders of millions
-    of archives: an empty archive holds no lines, so leaving it out of the
-    manifest loses nothing but the report line.
+    non-gzip files fail. Files whose name contains ``skip_substring`` are
+    left out and never opened. ``checkedAt`` is when the listing began: an
+    archive that arrives later waits for the next check. An archive that
+    cannot be opened fails the job.
     """
     ship_package(spark)
-    reader = spark.read.format("binaryFile").option("pathGlobFilter", glob)
-    if recursive:
-        reader = reader.option("recursiveFileLookup", "true")
-    files = reader.load(root)
-    small = (files.where(F.col("length") <= max_in_memory)
-             .select("path", "length", _gzip_problem_udf(F.col("content")).alias("reason")))
-    large = (files.where(F.col("length") > max_in_memory)
-             .select("path", "length", _stream_problem_udf(F.col("path")).alias("reason")))
-    checked = small.unionByName(large)
-    empty = _zero_length_files(spark, root, glob, recursive) if list_empty else []
-    if empty:
-        checked = checked.unionByName(
-            spark.createDataFrame(empty, "path string, length long")
-            .withColumn("reason", F.lit("empty")))
-    manifest = checked.select(
-        "path", "length", F.col("reason").isin(*VALID_KINDS).alias("isValid"), "reason")
-    if skip_substring:
-        base = F.element_at(F.split("path", "/"), -1)
-        manifest = manifest.where(~base.contains(skip_substring))
-    return manifest
-
-
-_GLOB_CHARS = "\\{}[]*?"
-
-
-def _literal_path(path: str) -> str:
-    """Escape glob characters so a listed path is read as exactly that file."""
-    return "".join("\\" + c if c in _GLOB_CHARS else c for c in path)
+    checked_at = int(datetime.now(timezone.utc).timestamp() * 1000)
+    files = list_archives(spark, root, glob, skip_substring, recursive).where(F.col("modified") <= checked_at)
+    checked = files.select("path", "length").mapInPandas(_check_archives, "path string, length long, reason string")
+    return checked.select("path", "length", F.col("reason").isin(*VALID_KINDS).alias("isValid"), "reason",
+                          F.timestamp_millis(F.lit(checked_at)).alias("checkedAt"))
 
 
 def _decode_archives(batches):
@@ -269,26 +279,45 @@ def _decode_archives(batches):
                 yield pd.DataFrame({"sourceFileAbsolutePath": path, "line": chunk})
 
 
-def read_valid_lines(spark: SparkSession, manifest: DataFrame) -> DataFrame:
-    """Lines of the archives a manifest marks valid -> ``(sourceFileAbsolutePath, line)``.
-
-    Intact and multi-member archives go through Spark's text reader. Spark's
-    gzip reader rejects zero-padded archives although they are valid, so
-    those (normally few) are streamed and decoded in an Arrow-batched
-    ``mapInPandas`` instead of failing the job. The valid path lists are
-    file metadata (one string per archive); the lines themselves are read by
-    the executors.
+def read_valid_lines(
+    spark: SparkSession,
+    root: str,
+    manifest: DataFrame,
+    glob: str = GZIP_GLOB,
+    skip_substring: str | None = SKIP_SUBSTRING,
+    recursive: bool = False,
+) -> DataFrame:
+    """Lines of the archives of ``root`` that its manifest lets pass ->
+    ``(sourceFileAbsolutePath, line)``.
+
+    ``manifest`` is a ``validate_landing`` result with the same arguments; pass
+    one that was written and read back, or the check runs again. The root is
+    scanned as a whole, and what was refused, what is still being written and
+    what arrived after the check is left out by filters on the file's metadata,
+    which drop the file before it is opened. Only the paths that Spark's
+    reader is to pass over go through the driver.
+
+    Spark's gzip reader rejects zero-padded archives although they are valid;
+    those (normally few) are streamed and decoded in tasks.
     """
-    valid = manifest.where("isValid").select("path", "reason").collect()
-    plain = [_literal_path(r.path) for r in valid if r.reason in SPARK_READABLE]
-    padded = [(r.path,) for r in valid if r.reason not in SPARK_READABLE]
-    out = (scan_lines(spark, plain) if plain
-           else spark.createDataFrame([], "sourceFileAbsolutePath string, line string"))
-    if padded:
+    started = manifest.agg(F.min("checkedAt")).first()[0]
+    if started is None:
+        return spark.createDataFrame([], f"{PATH_COL} string, line string")
+    passed_over = [r["path"] for r in
+                   manifest.where(~F.col("isValid") | ~F.col("reason").isin(*SPARK_READABLE)).select("path").collect()]
+    path, name = decode_file_path(F.col("_metadata.file_path")), F.col("_metadata.file_name")
+    reads = F.col("_metadata.file_modification_time") <= F.lit(started)
+    if passed_over:
+        reads &= ~path.isin(passed_over)
+    if skip_substring:
+        reads &= ~decode_file_path(name).contains(skip_substring)
+    if not recursive:
+        reads &= path == F.concat(F.lit(qualified(spark, root) + "/"), decode_file_path(name))
+    # Always a plain walk of the tree: partition discovery would pass over files beside folders.
+    out = scan_lines(spark, root, recursive=True, glob=glob, files=reads)
+    padded = manifest.where(F.col("isValid") & ~F.col("reason").isin(*SPARK_READABLE)).select("path")
+    if not padded.isEmpty():
         ship_package(spark)
-        # Spread the archives over tasks (each decodes its archives in turn).
-        slots = min(len(padded), 4 * spark.sparkContext.defaultParallelism)
-        paths = spark.createDataFrame(padded, "path string").repartition(slots)
-        decoded = paths.mapInPandas(_decode_archives, "sourceFileAbsolutePath string, line string")
-        out = out.unionByName(decoded)
+        out = out.unionByName(padded.repartition(_slots(spark), "path").mapInPandas(
+            _decode_archives, f"{PATH_COL} string, line string"))
     return out

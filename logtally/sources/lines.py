@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.functions.paths import decode_file_path
@@ -16,6 +16,7 @@ def scan_lines(
     recursive: bool = False,
     glob: str | None = None,
     with_path: bool = True,
+    files: Column | None = None,
 ) -> DataFrame:
     """Read a directory (or files) of text lines, gzip decoded transparently.
 
@@ -25,6 +26,8 @@ def scan_lines(
 
     A gzip file is never split, so each one is read by one task; many small
     files are bin-packed into splits of ``spark.sql.files.maxPartitionBytes``.
+    ``files``, a condition on ``_metadata`` columns, picks files before any is
+    opened.
     """
     reader = spark.read.format("text")
     if recursive:
@@ -32,6 +35,8 @@ def scan_lines(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     raw = reader.load(paths if isinstance(paths, list) else [paths])
+    if files is not None:
+        raw = raw.where(files)
     if not with_path:
         return raw.select(F.col("value").alias("line"))
     return raw.select(

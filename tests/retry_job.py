@@ -33,8 +33,8 @@ def _fail_first_attempt(batches):
 _scan = setup.scan_lines
 
 
-def flaky_scan(spark, root, recursive=False, glob=None, with_path=True) -> DataFrame:
-    df = _scan(spark, root, recursive=recursive, glob=glob, with_path=with_path)
+def flaky_scan(spark, root, **options) -> DataFrame:
+    df = _scan(spark, root, **options)
     return df.mapInPandas(_fail_first_attempt, df.schema)
 
 

@@ -16,9 +16,12 @@ def test_cli_setup_and_landing_check(spark, tmp_path, capsys):
 
     gzip_cases(tmp_path / "drop")
     capsys.readouterr()
-    assert main(["landing-check", str(tmp_path / "drop")]) == 0
-    lines = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
-    assert {x["path"].rsplit("/", 1)[-1]: x["isValid"] for x in lines}["padded.gz"] is True
+    assert main(["landing-check", str(tmp_path / "drop"), "--manifest", str(tmp_path / "manifest")]) == 0
+    *refused, summary = [json.loads(x) for x in capsys.readouterr().out.strip().splitlines()]
+    assert {x["path"].rsplit("/", 1)[-1] for x in refused} == {
+        "truncated.gz", "nocrc.gz", "badcrc.gz", "trailing.gz", "header.gz", "plain.gz", "empty.gz"}
+    assert summary["archives"]["zero-padded"] == 1 and sum(summary["archives"].values()) == 10
+    assert spark.read.json(str(tmp_path / "manifest")).where("isValid").count() == 3
 
 
 def test_build_session_leaves_a_running_session_alone(spark):

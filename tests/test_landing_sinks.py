@@ -1,8 +1,16 @@
 import pytest
 
-from logtally.sinks import drop_tables, export_delimited, stage_lines, write_managed
+from logtally.sinks import (
+    drop_tables,
+    export_delimited,
+    read_delimited,
+    register_delimited,
+    register_lines,
+    stage_lines,
+    write_managed,
+)
 from logtally.sources import read_valid_lines, validate_landing
-from logtally.sources.landing import gzip_problem
+from logtally.sources.landing import gzip_problem, stream_problem
 from tests.conftest import rows
 from tests.fixtures import gz_bytes, gzip_cases
 
@@ -35,11 +43,12 @@ def test_validate_landing_manifest(spark, tmp_path):
 
 def test_read_valid_lines_only_good_archives(spark, tmp_path):
     gzip_cases(tmp_path / "land")
-    manifest = validate_landing(spark, str(tmp_path / "land")).where(
-        "reason IN ('ok', 'multi-member')")
-    lines = read_valid_lines(spark, manifest)
+    manifest = validate_landing(spark, str(tmp_path / "land"))
+    lines = read_valid_lines(spark, str(tmp_path / "land"), manifest).where("sourceFileAbsolutePath NOT LIKE '%padded.gz'")
     assert rows(lines.select("line")) == sorted(
         [('{"a":1}',), ('{"a":2}',), ('{"a":1}',), ('{"a":2}',), ('{"a":3}',)], key=repr)
+    none = read_valid_lines(spark, str(tmp_path / "land"), manifest.limit(0))
+    assert none.collect() == []
 
 
 def test_write_managed_roundtrip_and_table(spark, tmp_path):
@@ -85,7 +94,7 @@ def test_iter_lines_matches_text_reader_splitting():
 def test_read_valid_lines_decodes_zero_padded(spark, tmp_path):
     gzip_cases(tmp_path / "land")
     manifest = validate_landing(spark, str(tmp_path / "land"))
-    lines = read_valid_lines(spark, manifest)
+    lines = read_valid_lines(spark, str(tmp_path / "land"), manifest)
     by_file = {}
     for r in lines.collect():
         by_file.setdefault(r.sourceFileAbsolutePath.rsplit("/", 1)[-1], []).append(r.line)
@@ -96,20 +105,75 @@ def test_read_valid_lines_decodes_zero_padded(spark, tmp_path):
     assert all(p.startswith("file:") for p in spark_path)
 
 
-def test_large_archives_stream_from_storage(spark, tmp_path):
+def test_large_and_small_archives_take_one_path(spark, tmp_path):
+    """Content over Spark's limit for whole files, and nothing is read as a whole."""
     expected = gzip_cases(tmp_path / "land")
     old = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
     try:
-        # Content of anything above 40 bytes must never be loaded: the source
-        # would raise on it. Those archives are streamed from storage instead.
-        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "40")
-        manifest = validate_landing(spark, str(tmp_path / "land"), max_in_memory=40)
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1")
+        manifest = validate_landing(spark, str(tmp_path / "land"))
         got = {r.path.rsplit("/", 1)[-1]: r.isValid for r in manifest.collect()}
     finally:
         spark.conf.set("spark.sql.sources.binaryFile.maxLength", old)
     assert got == {k: v for k, v in expected.items() if v is not None}
 
 
+def test_an_archive_that_cannot_be_opened_fails_the_check(spark, tmp_path):
+    land = tmp_path / "land"
+    gzip_cases(land)
+    manifest = validate_landing(spark, str(land))           # lists now, opens when it is read
+    (land / "ok.gz").unlink()
+    with pytest.raises(Exception, match="ok.gz"):
+        manifest.collect()
+    with pytest.raises(OSError):
+        stream_problem(f"file:{tmp_path}/missing.gz")
+
+
+def test_store_names_resolve_like_spark_shows_them(monkeypatch):
+    from pyarrow import fs as pafs
+
+    from logtally.sources import landing
+    asked = []
+
+    class Stores:
+        @staticmethod
+        def from_uri(uri):
+            asked.append(uri)
+            return None, "bucket"
+
+    monkeypatch.setattr(pafs, "FileSystem", Stores)
+    landing._store.cache_clear()
+    try:
+        assert landing.resolve("s3a://bucket/a b/c.gz")[1] == "bucket/a b/c.gz"
+        assert asked == ["s3://bucket/"]
+    finally:
+        landing._store.cache_clear()
+    assert landing.resolve("file:/a b/c.gz")[1] == "/a b/c.gz"
+
+
+def test_folders_below_are_listed_and_read_only_when_asked(spark, tmp_path):
+    land = tmp_path / "land"
+    gzip_cases(land)
+    for name in ("day=1/in.gz", "day=1/deep/er/in.gz", "day=1/x-tmp.gz"):
+        (land / name).parent.mkdir(parents=True, exist_ok=True)
+        (land / name).write_bytes(gz_bytes("inner\n"))
+    flat, deep = (validate_landing(spark, str(land), recursive=r) for r in (False, True))
+    assert (flat.count(), deep.count()) == (10, 12)
+    lines = [read_valid_lines(spark, str(land), m, recursive=r).where("line = 'inner'").count()
+             for m, r in ((flat, False), (deep, True))]
+    assert lines == [0, 2]
+
+
+def test_what_arrives_after_the_check_waits(spark, tmp_path):
+    import time
+    land = tmp_path / "land"
+    gzip_cases(land)
+    manifest = validate_landing(spark, str(land)).checkpoint()
+    time.sleep(0.05)
+    (land / "late.gz").write_bytes(gz_bytes("late\n")[:-4])      # and is not whole yet
+    assert read_valid_lines(spark, str(land), manifest).where("line = 'late'").count() == 0
+
+
 def test_stream_walker_matches_bytes_walker(tmp_path):
     import io as _io
     import os as _os
@@ -126,26 +190,55 @@ def test_manifest_and_line_paths_agree(spark, tmp_path):
     (land / "a b%20c.gz").write_bytes((land / "ok.gz").read_bytes())
     manifest = validate_landing(spark, str(land))
     valid = {r.path for r in manifest.where("isValid").collect()}
-    lines = read_valid_lines(spark, manifest)
+    lines = read_valid_lines(spark, str(land), manifest)
     seen = {r[0] for r in lines.select("sourceFileAbsolutePath").distinct().collect()}
     assert seen == valid and any(p.endswith("/la nd/a b%20c.gz") for p in seen)
 
 
-def test_validate_landing_without_empty_listing(spark, tmp_path):
-    expected = gzip_cases(tmp_path / "land")
-    manifest = validate_landing(spark, str(tmp_path / "land"), list_empty=False)
-    got = {r.path.rsplit("/", 1)[-1] for r in manifest.collect()}
-    assert got == {k for k, v in expected.items() if v is not None} - {"empty.gz"}
-
-
-def test_read_valid_lines_takes_paths_literally(spark, tmp_path):
+def test_refused_paths_are_taken_literally(spark, tmp_path):
     land = tmp_path / "land"
     gzip_cases(land)
-    (land / "a[1].gz").write_bytes(gz_bytes("bracket\n"))
+    (land / "a[1].gz").write_bytes(gz_bytes("bracket\n")[:-4])
     (land / "a1.gz").write_bytes(gz_bytes("plain\n"))
-    manifest = validate_landing(spark, str(land)).where("path LIKE '%/a[1].gz' OR path LIKE '%/a1.gz'")
-    got = rows(read_valid_lines(spark, manifest).select("line"))
-    assert got == [("bracket",), ("plain",)]
+    manifest = validate_landing(spark, str(land))
+    got = rows(read_valid_lines(spark, str(land), manifest).where("line IN ('bracket', 'plain')").select("line"))
+    assert got == [("plain",)]
+
+
+VALUES = ["  f.gz ", " zoom ", "", None, 'q"q', "a,b", "back\\slash", "tab\t", "end\\", "\\n", "\\a", "é"]
+ODD_VALUES = ["\\N", "li\nne", "cr\rx", "c\x01a"]
+
+
+def test_export_is_byte_exact(spark, tmp_path):
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(VALUES)], "name string, n long").coalesce(1)
+    out = tmp_path / "exp"
+    export_delimited(df, str(out))
+    data = b"".join(p.read_bytes() for p in out.iterdir() if p.name.startswith("part-"))
+    assert data == b"".join(("\\N" if v is None else v).encode() + b"\x01%d\n" % k for k, v in enumerate(VALUES))
+    assert rows(read_delimited(spark, str(out), "name string, n long")) == rows(df)
+
+
+def test_values_that_fit_no_row_fail_or_are_escaped(spark, tmp_path):
+    for value in ODD_VALUES:
+        with pytest.raises(Exception, match="cannot hold this value"):
+            export_delimited(spark.createDataFrame([(value,)], "name string"), str(tmp_path / "bad"))
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(VALUES + ODD_VALUES)], "name string, n long")
+    out = str(tmp_path / "esc")
+    export_delimited(df, out, escape=True)
+    assert rows(read_delimited(spark, out, "name string, n long", escape=True)) == rows(df)
+
+
+def test_text_outputs_as_tables(spark, tmp_path):
+    df = spark.createDataFrame([("", 1), (None, 2), ("x", 3)], "name string, n long")
+    export_delimited(df, str(tmp_path / "exp"), escape=True)
+    stage_lines(spark.createDataFrame([("a",), ("b",)], "line string"), str(tmp_path / "stage"))
+    register_delimited(spark, "lt_exported", str(tmp_path / "exp"), df.schema, escape=True)
+    register_lines(spark, "lt_staged", str(tmp_path / "stage"))
+    assert rows(spark.table("lt_exported")) == rows(df)
+    assert rows(spark.table("lt_staged")) == [("a",), ("b",)]
+    drop_tables(spark, ["lt_exported", "lt_staged"])
+    assert not spark.catalog.tableExists("lt_exported") and not spark.catalog.tableExists("lt_staged")
+    assert rows(read_delimited(spark, str(tmp_path / "exp"), df.schema, escape=True)) == rows(df)      # the files stay
 
 
 def test_bucketed_table_skips_the_rare_key_shuffle(spark, tmp_path):
