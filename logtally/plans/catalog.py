@@ -1,12 +1,14 @@
 """Registered queries over the driver's test tables, with DuckDB oracles.
 
-Each query takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables. The oracle SQL computes the same rows with the same column
-names on DuckDB views of the same parquet tables.
+Each query takes ``(spark, sf_dir)`` and returns a DataFrame over the whole
+tables; those that land, stream or build write and read archives and tables of
+their own first, once per session and table folder. The oracle SQL computes the
+same rows with the same column names on DuckDB views of the same parquet tables.
 """
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable
 
@@ -31,15 +33,20 @@ from logtally.operators import (
     tag_lines,
     valid_json_rows,
 )
+from logtally.plans.setup import CHECK_SCHEMA, EVENT_COUNTS_SCHEMA, SetupConfig, run_setup
 from logtally.session import ensure_checkpoint_dir
+from logtally.sinks.writers import read_delimited
 from logtally.sources.events import parse_events, scan_events
 from logtally.sources.landing import read_valid_lines, validate_landing
 from logtally.sources.tables import (
     CLEAN_MARKER,
+    CLEAN_MISSING_DAY,
     CLEAN_NAME_PATH,
     RAW_MARKER,
+    RAW_MISSING_DAY,
     RAW_NAME_PATH,
     clean_lines,
+    copy_damaged,
     event_json_lines,
     raw_lines,
     table,
@@ -59,16 +66,17 @@ def clean_tagged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _raw_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return file_line_counts(raw_tagged(spark, sf))
+    """Line counts of a raw copy without one of the clean copy's files."""
+    return file_line_counts(tag_lines(raw_lines(spark, sf, RAW_MISSING_DAY), RAW_MARKER))
 
 
 def _clean_meta(spark: SparkSession, sf: str) -> DataFrame:
-    return file_line_counts(clean_tagged(spark, sf))
+    return file_line_counts(tag_lines(clean_lines(spark, sf, CLEAN_MISSING_DAY), CLEAN_MARKER))
 
 
 def _typed_events(spark: SparkSession, sf: str, *fields: str) -> DataFrame:
     """Valid typed events parsed from JSON lines; only ``fields`` if given."""
-    return valid_json_rows(parse_events(event_json_lines(spark, sf), fields=fields or None))
+    return valid_json_rows(parse_events(event_json_lines(spark, sf).select("line"), fields=fields or None))
 
 
 def q_tag_lines(spark, sf):
@@ -76,7 +84,7 @@ def q_tag_lines(spark, sf):
 
 
 def q_file_line_counts(spark, sf):
-    return _raw_meta(spark, sf)
+    return file_line_counts(raw_tagged(spark, sf), ordered=True)
 
 
 def q_event_counts_raw(spark, sf):
@@ -84,7 +92,7 @@ def q_event_counts_raw(spark, sf):
 
 
 def q_event_counts_clean(spark, sf):
-    return event_counts(clean_tagged(spark, sf), CLEAN_NAME_PATH)
+    return event_counts(clean_tagged(spark, sf), CLEAN_NAME_PATH, ordered=True)
 
 
 def q_event_counts_props(spark, sf):
@@ -92,11 +100,21 @@ def q_event_counts_props(spark, sf):
 
 
 def q_counts_match(spark, sf):
-    return counts_match(raw_lines(spark, sf), raw_tagged(spark, sf))
+    """The source lines against the line table the setup wrote."""
+    return counts_match(raw_lines(spark, sf), _setup_table(spark, sf, "raw", "lines"))
+
+
+def q_counts_differ(spark, sf):
+    """All raw lines against a clean copy without one day."""
+    return counts_match(raw_lines(spark, sf), clean_lines(spark, sf, CLEAN_MISSING_DAY))
 
 
 def q_counts_match_json(spark, sf):
-    lines = clean_lines(spark, sf)
+    """Lines of which some lost their last character or gained another object."""
+    number = F.get_json_object("line", "$.eventId").cast("long") % 10
+    lines = event_json_lines(spark, sf).select(
+        F.when(number == 0, F.expr("left(line, length(line) - 1)")).when(number == 1, F.concat("line", F.lit(" {}")))
+        .otherwise(F.col("line")).alias("line"))
     # Validity needs no fields beyond one: it asks whether a line is an object.
     return counts_match(lines, valid_json_rows(parse_events(lines, fields=("name",))))
 
@@ -169,20 +187,69 @@ def _fresh_folder(spark: SparkSession, kind: str) -> str:
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
 
 
+_MADE: dict[tuple, object] = {}
+_MAKING = threading.Lock()
+
+
+def _once(spark: SparkSession, sf: str, what: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once per session and table folder."""
+    key = (spark.sparkContext.applicationId, sf, what)
+    with _MAKING:
+        if key not in _MADE:
+            _MADE[key] = make()
+        return _MADE[key]
+
+
 def _landed_archives(spark: SparkSession, sf: str) -> str:
     """The clean copy written as daily gzip archives."""
-    root = _fresh_folder(spark, "landing")
-    write_daily_archives(clean_lines(spark, sf), root)
-    return root
+    return _once(spark, sf, "landed", lambda: write_daily_archives(
+        clean_lines(spark, sf), _fresh_folder(spark, "landing")))
+
+
+def _checked_archives(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The same with some days damaged, and the folder of its written manifest."""
+    root = _landed_archives(spark, sf)
+
+    def make() -> tuple[str, str]:
+        damaged, manifest = copy_damaged(spark, root, _fresh_folder(spark, "damaged")), _fresh_folder(spark, "manifest")
+        validate_landing(spark, damaged, recursive=True).write.parquet(manifest)
+        return damaged, manifest
+
+    return _once(spark, sf, "checked", make)
+
+
+def _setup(spark: SparkSession, sf: str) -> SetupConfig:
+    """The whole setup run over both copies, landed as daily archives; the clean
+    one holds the typed events."""
+    def make() -> SetupConfig:
+        base = _fresh_folder(spark, "setup")
+        cfg = SetupConfig(raw_root=write_daily_archives(raw_lines(spark, sf), f"{base}/land/raw/metrics"),
+                          clean_root=write_daily_archives(event_json_lines(spark, sf), f"{base}/land/nom/clean"),
+                          output_root=f"{base}/out", recursive=True)
+        run_setup(spark, cfg)
+        return cfg
+
+    return _once(spark, sf, "setup", make)
+
+
+def _setup_table(spark: SparkSession, sf: str, *parts: str) -> DataFrame:
+    return spark.read.parquet(_setup(spark, sf).path(*parts))
+
+
+def _day(column: str):
+    """The day of a landed file: part-file names are chosen by Spark."""
+    return F.regexp_extract(column, r"day=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1).alias("day")
 
 
 def q_landing_manifest(spark, sf):
-    return validate_landing(spark, _landed_archives(spark, sf), recursive=True)
+    """Days by what the check found of their archives."""
+    manifest = spark.read.parquet(_checked_archives(spark, sf)[1])
+    return manifest.groupBy("reason", "isValid").agg(F.count_distinct(_day("path")).alias("days"))
 
 
 def q_scanned_events(spark, sf):
     root = _fresh_folder(spark, "events")
-    event_json_lines(spark, sf).write.option("compression", "gzip").text(root)
+    event_json_lines(spark, sf).select("line").write.option("compression", "gzip").text(root)
     ev = valid_json_rows(scan_events(spark, root).withColumn(
         "_isValid", F.col("_corrupt_record").isNull()))
     return ev.select("eventId", "name", "serverTs", "siteId", "zoomLevel",
@@ -192,14 +259,13 @@ def q_scanned_events(spark, sf):
 
 
 def q_landing_validity(spark, sf):
-    manifest = validate_landing(spark, _landed_archives(spark, sf), recursive=True)
-    day = F.regexp_extract("path", r"/day=([0-9]{4}-[0-9]{2}-[0-9]{2})/", 1)
-    return manifest.select(day.alias("day"), "isValid", "reason").distinct()
+    manifest = spark.read.parquet(_checked_archives(spark, sf)[1])
+    return manifest.select(_day("path"), "isValid", "reason").distinct()
 
 
 def q_landed_event_counts(spark, sf):
-    manifest = validate_landing(spark, _landed_archives(spark, sf), recursive=True)
-    tagged = tag_lines(read_valid_lines(spark, manifest), "day=")
+    root, manifest = _checked_archives(spark, sf)
+    tagged = tag_lines(read_valid_lines(spark, root, spark.read.parquet(manifest), recursive=True), "day=")
     by_day = tagged.select(F.get(F.split("fileName", "/"), 0).alias("day"), "line")
     return event_counts(by_day, CLEAN_NAME_PATH, group_cols=("day",))
 
@@ -207,8 +273,7 @@ def q_landed_event_counts(spark, sf):
 def q_streamed_event_counts(spark, sf):
     root = _landed_archives(spark, sf)
     out = _fresh_folder(spark, "streamed")
-    stream_event_counts(spark, root, "day=", CLEAN_NAME_PATH, out,
-                        checkpoint_location=_fresh_folder(spark, "streams")).awaitTermination()
+    stream_event_counts(spark, root, "day=", CLEAN_NAME_PATH, out).awaitTermination()
     counts = spark.read.parquet(out).drop("batch")
     return (counts.select(F.get(F.split("fileName", "/"), 0).alias("day"), "name", "occurrenceCount")
             .groupBy("day", "name").agg(F.sum("occurrenceCount").alias("occurrenceCount")))
@@ -217,11 +282,47 @@ def q_streamed_event_counts(spark, sf):
 def q_streamed_lines(spark, sf):
     root = _landed_archives(spark, sf)
     out = _fresh_folder(spark, "streamed")
-    stream_tagged_lines(spark, root, "day=", out,
-                        checkpoint_location=_fresh_folder(spark, "streams")).awaitTermination()
+    stream_tagged_lines(spark, root, "day=", out).awaitTermination()
     return spark.read.parquet(out).select(F.get(F.split("fileName", "/"), 0).alias("day"), "line")
 
 
+def q_managed_lines(spark, sf):
+    return _setup_table(spark, sf, "raw", "lines").select(_day("sourceFileAbsolutePath"), "name", "line")
+
+
+def q_staged_lines(spark, sf):
+    staged = spark.read.text(_setup(spark, sf).path("clean", "json_stage"))
+    return staged.select(*[F.get_json_object("value", f"$.{k}").alias(k) for k in ("eventId", "name", "siteId")])
+
+
+def q_exported_event_counts(spark, sf):
+    counts = read_delimited(spark, _setup(spark, sf).path("clean", "event_counts"), EVENT_COUNTS_SCHEMA, escape=True)
+    return counts.groupBy(_day("fileName"), "name").agg(F.sum("occurrenceCount").alias("occurrenceCount"))
+
+
+def q_setup_event_counts(spark, sf):
+    return _setup_table(spark, sf, "raw", "event_counts").groupBy(_day("fileName"), "name").agg(
+        F.sum("occurrenceCount").alias("occurrenceCount"))
+
+
+def q_setup_reconcile(spark, sf):
+    return _setup_table(spark, sf, "report", "reconcile").groupBy(_day("fileName")).agg(
+        F.sum("masterEventCount").alias("masterEventCount"), F.sum("nomEventCount").alias("nomEventCount"))
+
+
+def q_setup_dimensions(spark, sf):
+    return _setup_table(spark, sf, "report", "dimensions")
+
+
+def q_setup_checks(spark, sf):
+    cfg = _setup(spark, sf)
+    named = [(F.lit(name), spark.read.parquet(cfg.path(*name.split("/")))) for name in ("raw/lines_check", "clean/lines_check")]
+    named += [(F.lit(name), read_delimited(spark, cfg.path(*name.split("/")), CHECK_SCHEMA, escape=True))
+              for name in ("clean/stage_check", "clean/json_check")]
+    rows = [df.select(name.alias("checkName"), "sourceCount", "derivedCount", "isConsistent") for name, df in named]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])
+
+
 QUERIES: dict[str, Query] = {
     "tag_lines": q_tag_lines,
     "file_line_counts": q_file_line_counts,
@@ -229,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "event_counts_clean": q_event_counts_clean,
     "event_counts_props": q_event_counts_props,
     "counts_match": q_counts_match,
+    "counts_differ": q_counts_differ,
     "counts_match_json": q_counts_match_json,
     "left_reconcile": q_left_reconcile,
     "reconcile": q_reconcile,
@@ -250,6 +352,13 @@ QUERIES: dict[str, Query] = {
     "landed_event_counts": q_landed_event_counts,
     "streamed_event_counts": q_streamed_event_counts,
     "streamed_lines": q_streamed_lines,
+    "managed_lines": q_managed_lines,
+    "staged_lines": q_staged_lines,
+    "exported_event_counts": q_exported_event_counts,
+    "setup_event_counts": q_setup_event_counts,
+    "setup_reconcile": q_setup_reconcile,
+    "setup_dimensions": q_setup_dimensions,
+    "setup_checks": q_setup_checks,
 }
 
 # Shared DuckDB definitions of the derived frames (same rows as sources.tables).
@@ -258,19 +367,21 @@ ev AS (SELECT *, strftime(ts, '%Y-%m-%d') AS d FROM events),
 raw AS (
   SELECT 's3://lake/raw/metrics/' || d || '.gz' AS sourceFileAbsolutePath,
          '{"clientData":{"name":"' || event_type || '"},"siteId":"' || CAST(user_id AS VARCHAR) || '"}' AS line
-  FROM ev WHERE d <> '2024-01-30'),
+  FROM ev),
 clean AS (
   SELECT 's3://lake/nom/clean/' || d || '.gz' AS sourceFileAbsolutePath,
          '{"name":"' || event_type || '","siteId":"' || CAST(user_id AS VARCHAR) || '"}' AS line
-  FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01'),
+  FROM ev),
 raw_tagged AS (
   SELECT sourceFileAbsolutePath, string_split(sourceFileAbsolutePath, 'metrics/')[2] AS fileName, line
   FROM raw),
 clean_tagged AS (
   SELECT sourceFileAbsolutePath, string_split(sourceFileAbsolutePath, 'clean/')[2] AS fileName, line
   FROM clean),
-rm AS (SELECT sourceFileAbsolutePath, fileName, count(*) AS lineCount FROM raw_tagged GROUP BY ALL),
-cm AS (SELECT sourceFileAbsolutePath, fileName, count(*) AS lineCount FROM clean_tagged GROUP BY ALL),
+rm AS (SELECT sourceFileAbsolutePath, fileName, count(*) AS lineCount FROM raw_tagged
+       WHERE fileName <> '2024-01-30.gz' GROUP BY ALL),
+cm AS (SELECT sourceFileAbsolutePath, fileName, count(*) AS lineCount FROM clean_tagged
+       WHERE fileName <> '2024-01-01.gz' GROUP BY ALL),
 typed AS (
   SELECT CAST(event_id AS VARCHAR) AS eventId, event_type AS name, (epoch_us(ts) // 1000) AS serverTs,
          CAST(user_id AS VARCHAR) AS siteId, value AS zoomLevel,
@@ -287,9 +398,18 @@ def _with(body: str) -> str:
 
 _CAL = "make_timestamp(CAST(ceil({ms} / 1000.0) AS BIGINT) * 1000000)"
 
+# What the check finds of a day's archives, as they were damaged.
+_REASON = ("CASE day(ts) % 5 WHEN 1 THEN 'truncated' WHEN 2 THEN 'bad-crc' "
+           "WHEN 3 THEN 'trailing-garbage' ELSE 'ok' END")
+
+_DAY_COUNTS = """
+    SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS name, count(*) AS occurrenceCount
+    FROM events GROUP BY ALL"""
+
 ORACLE_SQL: dict[str, str] = {
     "tag_lines": _with("SELECT sourceFileAbsolutePath, fileName, line FROM clean_tagged"),
-    "file_line_counts": _with("SELECT sourceFileAbsolutePath, fileName, lineCount FROM rm"),
+    "file_line_counts": _with("""
+        SELECT sourceFileAbsolutePath, fileName, count(*) AS lineCount FROM raw_tagged GROUP BY ALL"""),
     "event_counts_raw": _with("""
         SELECT fileName, json_extract_string(line, '$.clientData.name') AS name,
                count(*) AS occurrenceCount
@@ -304,11 +424,14 @@ ORACLE_SQL: dict[str, str] = {
         SELECT a.n AS sourceCount, b.n AS derivedCount, a.n = b.n AS isConsistent
         FROM (SELECT 1 AS k, count(*) AS n FROM raw) a
         JOIN (SELECT 1 AS k, count(*) AS n FROM raw_tagged) b ON a.k = b.k"""),
-    "counts_match_json": _with("""
-        SELECT a.n AS sourceCount, b.n AS derivedCount, a.n = b.n AS isConsistent
-        FROM (SELECT 1 AS k, count(*) AS n FROM clean) a
-        JOIN (SELECT 1 AS k, count(*) AS n FROM clean WHERE json_valid(line)
-              AND json_type(line) = 'OBJECT') b ON a.k = b.k"""),
+    "counts_differ": _with("""
+        SELECT (SELECT count(*) FROM raw) AS sourceCount,
+               (SELECT count(*) FROM clean_tagged WHERE fileName <> '2024-01-01.gz') AS derivedCount,
+               (SELECT count(*) FROM raw) = (SELECT count(*) FROM clean_tagged WHERE fileName <> '2024-01-01.gz') AS isConsistent"""),
+    "counts_match_json": """
+        SELECT count(*) AS sourceCount, count(*) FILTER (event_id % 10 > 1) AS derivedCount,
+               count(*) = count(*) FILTER (event_id % 10 > 1) AS isConsistent
+        FROM events""",
     "left_reconcile": _with("""
         SELECT rm.fileName, rm.lineCount AS rawLineCount, cm.lineCount AS cleanLineCount
         FROM rm LEFT OUTER JOIN cm ON rm.fileName = cm.fileName"""),
@@ -373,29 +496,36 @@ ORACLE_SQL: dict[str, str] = {
                CAST(month({_CAL.format(ms='serverTs')}) AS INTEGER) AS month,
                CAST(day({_CAL.format(ms='serverTs')}) AS INTEGER) AS day
         FROM (SELECT event_id, (epoch_us(ts) // 1000) AS serverTs FROM events)""",
-    "landing_validity": _with("""
-        SELECT DISTINCT d AS day, true AS isValid, 'ok' AS reason
-        FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01'"""),
-    "landed_event_counts": _with("""
-        SELECT d AS day, json_extract_string(line, '$.name') AS name, count(*) AS occurrenceCount
-        FROM (SELECT strftime(ts, '%Y-%m-%d') AS d, '{"name":"' || event_type || '","siteId":"'
-                     || CAST(user_id AS VARCHAR) || '"}' AS line
-              FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')
-        GROUP BY ALL"""),
-    "streamed_event_counts": _with("""
-        SELECT d AS day, json_extract_string(line, '$.name') AS name, count(*) AS occurrenceCount
-        FROM (SELECT strftime(ts, '%Y-%m-%d') AS d, '{"name":"' || event_type || '","siteId":"'
-                     || CAST(user_id AS VARCHAR) || '"}' AS line
-              FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')
-        GROUP BY ALL"""),
+    "landing_manifest": f"""
+        SELECT reason, reason = 'ok' AS isValid, count(DISTINCT day) AS days
+        FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, {_REASON} AS reason FROM events) GROUP BY ALL""",
+    "landing_validity": f"""
+        SELECT DISTINCT day, reason = 'ok' AS isValid, reason
+        FROM (SELECT strftime(ts, '%Y-%m-%d') AS day, {_REASON} AS reason FROM events)""",
+    "landed_event_counts": f"""
+        SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS name, count(*) AS occurrenceCount
+        FROM events WHERE {_REASON} = 'ok' GROUP BY ALL""",
+    "streamed_event_counts": _DAY_COUNTS,
     "streamed_lines": _with("""
-        SELECT d AS day, line FROM (
-          SELECT strftime(ts, '%Y-%m-%d') AS d, '{"name":"' || event_type || '","siteId":"'
-                 || CAST(user_id AS VARCHAR) || '"}' AS line
-          FROM ev WHERE event_type <> 'error' AND d <> '2024-01-01')"""),
+        SELECT d AS day, '{"name":"' || event_type || '","siteId":"' || CAST(user_id AS VARCHAR) || '"}' AS line FROM ev"""),
+    "managed_lines": _with("""
+        SELECT d AS day, event_type AS name,
+               '{"clientData":{"name":"' || event_type || '"},"siteId":"' || CAST(user_id AS VARCHAR) || '"}' AS line FROM ev"""),
+    "staged_lines": _with("SELECT eventId, name, siteId FROM typed"),
+    "exported_event_counts": _DAY_COUNTS,
+    "setup_event_counts": _DAY_COUNTS,
+    "setup_reconcile": """
+        SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS masterEventCount, count(*) AS nomEventCount
+        FROM events GROUP BY ALL""",
+    "setup_checks": """
+        SELECT checkName, n AS sourceCount, n AS derivedCount, true AS isConsistent
+        FROM (SELECT count(*) AS n FROM events),
+             (SELECT unnest(['raw/lines_check', 'clean/lines_check', 'clean/stage_check', 'clean/json_check']) AS checkName)""",
     "split_path": """
         SELECT page_id, url, regexp_split_to_array(url, 'example[.]')[2] AS relativeName
         FROM pages""",
 }
 
+ORACLE_SQL["setup_dimensions"] = ORACLE_SQL["explode_dimensions"]
+
 FLAGSHIP = "event_counts_clean"

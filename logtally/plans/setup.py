@@ -8,11 +8,13 @@ and clean sides are independent; each is a short sequence of Spark jobs.
 Layout under ``output_root`` (full refresh on every run)::
 
     raw/lines        tagged lines            (sourceFileAbsolutePath, fileName, name, line)
+    raw/name_counts  events per path, file & name; the two below are summed from it
     raw/file_meta    lines per file          (sourceFileAbsolutePath, fileName, lineCount)
     raw/lines_check  source vs table rows    (sourceCount, derivedCount, isConsistent)
     raw/event_counts events per file & name  (fileName, name, occurrenceCount)
-    clean/...        the same four, event_counts exported as Ctrl-A text
+    clean/...        the same five, event_counts exported as Ctrl-A text
     clean/json_stage the lines as snappy text
+    clean/stage_check tagged rows vs staged lines, Ctrl-A text
     clean/events     typed events (Parquet, nested) with _isValid
     clean/json_check tagged rows vs valid JSON rows, Ctrl-A text
     report/reconcile, report/left_reconcile, report/dimensions
@@ -21,12 +23,13 @@ The event name is extracted from each line once, in the gzip pass, into the
 ``name`` column of the line table; per-file and per-name counts then read
 only small dictionary-encoded columns.
 
-Checks, ``check="observe"`` (default): the number of source lines and of
-valid JSON rows are counted by ``Observation``s on the very writes that
-consume them, and table row counts come from the written Parquet, so no
-check costs another pass over the data. Each observed write is a map-only
-job whose metrics are taken in its result stage, counted once per
-partition even when tasks are retried after an executor loss.
+Every check counts the table it vouches for as it was written. With
+``check="observe"`` (default) the number of source lines is counted by an
+``Observation`` on the very write that consumes them, so the sources are not
+read again; so are the valid JSON rows, and the check fails too where the
+written table holds another number than was seen going in. Each observed
+write is a map-only job whose metrics are taken in its result stage, counted
+once per partition even when tasks are retried after an executor loss.
 ``check="rescan"`` recounts the sources in their own jobs as the original
 job did, and reads the typed events back from the stage.
 """
@@ -42,20 +45,26 @@ from pyspark.sql import functions as F
 
 from logtally.operators import (
     counts_match,
-    event_counts,
     explode_dimensions,
-    file_line_counts,
     left_reconcile,
     reconcile,
     tag_lines,
     valid_json_rows,
 )
-from logtally.sinks.writers import export_delimited, stage_lines, write_managed
+from logtally.sinks.writers import (
+    export_delimited,
+    read_delimited,
+    register_delimited,
+    register_lines,
+    stage_lines,
+    write_managed,
+)
 from logtally.sources.events import parse_events, read_events
 from logtally.sources.landing import read_valid_lines, validate_landing
-from logtally.sources.lines import scan_lines
+from logtally.sources.lines import PATH_COL, scan_lines
 
 CHECK_SCHEMA = "sourceCount long, derivedCount long, isConsistent boolean"
+EVENT_COUNTS_SCHEMA = "fileName string, name string, occurrenceCount long"
 
 
 @dataclass
@@ -76,8 +85,8 @@ class SetupConfig:
     # letting one corrupt archive fail the job.
     validate: bool = False
     raise_on_mismatch: bool = False
-    # When set, every Parquet output is also registered as an external
-    # table ``<database>.<side>_<name>`` over its folder, for spark.table().
+    # When set, every output is also readable as ``<database>.<side>_<name>``:
+    # Parquet ones as external tables, text ones as views over their folder.
     database: str | None = None
     results: dict = field(default_factory=dict)
 
@@ -112,7 +121,7 @@ def _source_lines(spark: SparkSession, cfg: SetupConfig, root: str, side: str) -
     if not cfg.validate:
         return scan_lines(spark, root, recursive=cfg.recursive)
     _write(cfg, validate_landing(spark, root, recursive=cfg.recursive), side, "landing_manifest")
-    return read_valid_lines(spark, spark.read.parquet(cfg.path(side, "landing_manifest")))
+    return read_valid_lines(spark, root, spark.read.parquet(cfg.path(side, "landing_manifest")), recursive=cfg.recursive)
 
 
 def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
@@ -133,17 +142,24 @@ def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
     return spark.read.parquet(target), check
 
 
+def _export(spark: SparkSession, cfg: SetupConfig, df: DataFrame, schema: str, *parts: str) -> None:
+    """A text output: names may hold any character, so values are escaped."""
+    export_delimited(df, cfg.path(*parts), escape=True)
+    if cfg.database:
+        register_delimited(spark, cfg.table(*parts), cfg.path(*parts), schema, escape=True)
+
+
 def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, *parts: str,
                   delimited: bool = False) -> None:
     path = cfg.path(*parts)
     if delimited:
-        export_delimited(check, path)
+        _export(spark, cfg, check, CHECK_SCHEMA, *parts)
     else:
         _write(cfg, check, *parts)
     if check.isLocal():
         row = check.first()          # a one-row local relation: no job
     elif delimited:
-        row = spark.read.option("sep", "\x01").schema(CHECK_SCHEMA).csv(path).first()
+        row = read_delimited(spark, path, CHECK_SCHEMA, escape=True).first()
     else:
         row = spark.read.parquet(path).first()
     cfg.results[path] = tuple(row)
@@ -151,12 +167,21 @@ def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, *part
         raise AssertionError(f"row counts differ for {path}: {tuple(row)}")
 
 
+def _write_counts(spark: SparkSession, cfg: SetupConfig, tagged: DataFrame, side: str) -> DataFrame:
+    """One aggregate of the line table; its few rows give both count tables.
+    Writes the file counts, returns the event counts."""
+    each = tagged.groupBy(PATH_COL, "fileName", "name").agg(F.count(F.lit(1)).alias("n"))
+    _write(cfg, each, side, "name_counts")
+    each = spark.read.parquet(cfg.path(side, "name_counts"))
+    _write(cfg, each.groupBy(PATH_COL, "fileName").agg(F.sum("n").alias("lineCount")), side, "file_meta")
+    return each.groupBy("fileName", "name").agg(F.sum("n").alias("occurrenceCount"))
+
+
 def build_raw(spark: SparkSession, cfg: SetupConfig) -> dict:
     tagged, check = _write_tagged(spark, cfg, cfg.raw_root, cfg.raw_marker,
                                   cfg.raw_name_path, "raw")
-    _write(cfg, file_line_counts(tagged), "raw", "file_meta")
     _record_check(spark, cfg, check, "raw", "lines_check")
-    _write(cfg, event_counts(tagged, None), "raw", "event_counts")
+    _write(cfg, _write_counts(spark, cfg, tagged, "raw"), "raw", "event_counts")
     return cfg.results
 
 
@@ -164,12 +189,13 @@ def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
     tagged, check = _write_tagged(spark, cfg, cfg.clean_root, cfg.clean_marker,
                                   cfg.clean_name_path, "clean")
     _record_check(spark, cfg, check, "clean", "lines_check")
-    _write(cfg, file_line_counts(tagged), "clean", "file_meta")
-    export_delimited(event_counts(tagged, None), cfg.path("clean", "event_counts"))
+    _export(spark, cfg, _write_counts(spark, cfg, tagged, "clean"), EVENT_COUNTS_SCHEMA, "clean", "event_counts")
 
     stage = cfg.path("clean", "json_stage")
     stage_lines(tagged, stage, source_paths=[cfg.clean_root, cfg.path("clean", "lines")])
-    events_path = cfg.path("clean", "events")
+    if cfg.database:
+        register_lines(spark, cfg.table("clean", "json_stage"), stage)
+    seen = None
     if cfg.check == "observe":
         # Parse the splittable Parquet copy of the same lines; count valid
         # rows while writing the typed table.
@@ -177,11 +203,21 @@ def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
         parsed = parse_events(tagged.select("line"))
         _write(cfg, parsed.observe(obs, F.count_if(F.col("_isValid")).alias("valid")),
                "clean", "events")
-        json_check = _check_frame(spark, _table_rows(spark, cfg.path("clean", "lines")),
-                                  obs.get["valid"])
+        seen = obs.get["valid"]
     else:
         _write(cfg, read_events(spark, stage), "clean", "events")
-        json_check = counts_match(tagged, valid_json_rows(spark.read.parquet(events_path)))
+    return check_clean(spark, cfg, seen)
+
+
+def check_clean(spark: SparkSession, cfg: SetupConfig, seen: int | None = None) -> dict:
+    """Compare the written stage and typed events with the line table, and with
+    the valid rows ``seen`` going in if they were counted."""
+    tagged = spark.read.parquet(cfg.path("clean", "lines"))
+    staged = spark.read.text(cfg.path("clean", "json_stage"))
+    _record_check(spark, cfg, counts_match(tagged, staged), "clean", "stage_check", delimited=True)
+    json_check = counts_match(tagged, valid_json_rows(spark.read.parquet(cfg.path("clean", "events"))))
+    if seen is not None:
+        json_check = json_check.withColumn("isConsistent", F.col("isConsistent") & (F.col("derivedCount") == seen))
     _record_check(spark, cfg, json_check, "clean", "json_check", delimited=True)
     return cfg.results
 

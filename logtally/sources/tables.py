@@ -2,8 +2,8 @@
 
 The test tables hold no landed log files, so line frames are derived from
 ``events``: one "file" per day, the raw copy nesting the event name under
-``clientData``, the clean copy without error events. Each copy lacks one day
-the other has, so reconciliation sees one-sided files.
+``clientData``. Both copies hold every event; for reconciliation, which is about
+files of one side only, each can be had without one day the other has.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.functions.calendar import epoch_millis
+from logtally.session import ship_package
+from logtally.sources.landing import list_archives, open_archive, qualified, resolve
 from logtally.sources.lines import PATH_COL
 
 # Fixed values of the derived line frames.
@@ -21,7 +23,6 @@ RAW_MARKER = "metrics/"
 CLEAN_MARKER = "clean/"
 RAW_MISSING_DAY = "2024-01-30"
 CLEAN_MISSING_DAY = "2024-01-01"
-CLEAN_DROPPED_TYPE = "error"
 RAW_NAME_PATH = "$.clientData.name"
 CLEAN_NAME_PATH = "$.name"
 
@@ -41,10 +42,14 @@ def _outside_day(day: str, ts: str = "ts"):
     return (F.col(ts) < start) | (F.col(ts) >= end)
 
 
-def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(sourceFileAbsolutePath, line)`` of the raw copy."""
+def _events(spark: SparkSession, sf_dir: str, missing_day: str | None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
-    return ev.where(_outside_day(RAW_MISSING_DAY)).select(
+    return ev.where(_outside_day(missing_day)) if missing_day else ev
+
+
+def raw_lines(spark: SparkSession, sf_dir: str, missing_day: str | None = None) -> DataFrame:
+    """``(sourceFileAbsolutePath, line)`` of the raw copy."""
+    return _events(spark, sf_dir, missing_day).select(
         F.concat(F.lit(RAW_ROOT), _day(), F.lit(".gz")).alias(PATH_COL),
         F.to_json(F.struct(
             F.struct(F.col("event_type").alias("name")).alias("clientData"),
@@ -52,10 +57,9 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean_lines(spark: SparkSession, sf_dir: str, missing_day: str | None = None) -> DataFrame:
     """``(sourceFileAbsolutePath, line)`` of the clean copy."""
-    ev = table(spark, sf_dir, "events")
-    return ev.where((F.col("event_type") != CLEAN_DROPPED_TYPE) & _outside_day(CLEAN_MISSING_DAY)).select(
+    return _events(spark, sf_dir, missing_day).select(
         F.concat(F.lit(CLEAN_ROOT), _day(), F.lit(".gz")).alias(PATH_COL),
         F.to_json(F.struct(
             F.col("event_type").alias("name"),
@@ -64,7 +68,7 @@ def clean_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(line)``: each event as a typed telemetry JSON object.
+    """``(sourceFileAbsolutePath, line)``: each event as a typed telemetry JSON object.
 
     The arrays are drawn from the row's own values so their lengths vary and
     some are empty: locations = vowels of the event type, pseudoEvents =
@@ -72,7 +76,7 @@ def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     ev = table(spark, sf_dir, "events")
     site = F.col("user_id").cast("string")
-    return ev.select(F.to_json(F.struct(
+    return ev.select(F.concat(F.lit(CLEAN_ROOT), _day(), F.lit(".gz")).alias(PATH_COL), F.to_json(F.struct(
         F.col("event_id").cast("string").alias("eventId"),
         F.struct(
             F.regexp_extract_all("event_type", F.lit("[aeiou]"), 0).alias("locations"),
@@ -86,6 +90,42 @@ def event_json_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )).alias("line"))
 
 
+# What happens to an archive of a day by the day's number: every fifth loses
+# its end, the next has another checksum, the next bytes after the last member.
+DAMAGES = {1: "truncated", 2: "bad-crc", 3: "trailing-garbage"}
+
+
+def _damaged(data: bytes, kind: str | None) -> bytes:
+    if kind == "truncated":
+        return data[:len(data) // 2]
+    if kind == "bad-crc":
+        return data[:-8] + bytes(b ^ 0xFF for b in data[-8:-4]) + data[-4:]
+    return data + b"garbage" if kind else data
+
+
+def copy_damaged(spark: SparkSession, root: str, target: str) -> str:
+    """Copy the daily archives of ``root`` (test data, an archive per task) to
+    ``target``, those of some days damaged (``DAMAGES`` by day of month modulo 5)."""
+    base, into = qualified(spark, root), qualified(spark, target)
+
+    def copy(batches):
+        for pdf in batches:
+            for path in pdf["path"]:
+                relative = path[len(base) + 1:]
+                with open_archive(path) as stream:
+                    data = stream.read()
+                day = relative.split("day=", 1)[1][:10]
+                filesystem, out = resolve(f"{into}/{relative}")
+                filesystem.create_dir(out.rsplit("/", 1)[0], recursive=True)
+                with filesystem.open_output_stream(out, compression=None) as sink:
+                    sink.write(_damaged(data, DAMAGES.get(int(day[-2:]) % 5)))
+            yield pdf
+
+    ship_package(spark)
+    list_archives(spark, root, recursive=True).select("path").mapInPandas(copy, "path string").count()
+    return target
+
+
 def write_daily_archives(lines: DataFrame, root: str) -> str:
     """Land ``(sourceFileAbsolutePath, line)`` as gzip text archives, one
     folder per day (``day=YYYY-MM-DD``) taken from the path."""

@@ -1,8 +1,9 @@
 import pytest
 
-from logtally.plans.setup import SetupConfig, run_setup
+from logtally.plans.setup import EVENT_COUNTS_SCHEMA, SetupConfig, check_clean, run_setup
+from logtally.sinks import drop_tables, read_delimited
 from tests.conftest import rows
-from tests.fixtures import make_clean_root, make_raw_root
+from tests.fixtures import event, make_clean_root, make_raw_root, write_gz
 
 
 @pytest.mark.parametrize("check", ["observe", "rescan"])
@@ -27,8 +28,7 @@ def test_run_setup_whole_dag(spark, tmp_path, check):
     lr = spark.read.parquet(cfg.path("report", "left_reconcile"))
     assert rows(lr) == [("2016-08-15.gz", 6, 6), ("day 2.gz", 2, 2), ("only-raw.gz", 1, None)]
 
-    counts = spark.read.schema("fileName string, name string, occurrenceCount long") \
-        .option("sep", "\x01").option("nullValue", "\\N").csv(cfg.path("clean", "event_counts"))
+    counts = read_delimited(spark, cfg.path("clean", "event_counts"), EVENT_COUNTS_SCHEMA, escape=True)
     assert ("2016-08-15.gz", None, 3) in rows(counts)  # blank, malformed, missing name
     dims = spark.read.parquet(cfg.path("report", "dimensions"))
     assert dims.count() == 2 * 1 * 2 and rows(dims, "year", "month", "day")[0] == (2016, 1, 1)
@@ -61,6 +61,12 @@ def test_tables_registered_in_database(spark, tmp_path):
     assert spark.table("lt_setup.report_reconcile").count() == 4
     assert spark.table("lt_setup.clean_lines").columns == [
         "sourceFileAbsolutePath", "fileName", "name", "line"]
+    assert spark.table("lt_setup.clean_json_stage").count() == 9
+    counts = spark.table("lt_setup.clean_event_counts")
+    assert counts.where("name IS NULL").count() > 0 and counts.schema["occurrenceCount"].dataType.simpleString() == "bigint"
+    assert spark.table("lt_setup.clean_json_check").first()["isConsistent"] is False
+    drop_tables(spark, ["lt_setup.clean_event_counts", "lt_setup.clean_json_stage", "lt_setup.clean_lines"])
+    assert read_delimited(spark, cfg.path("clean", "event_counts"), EVENT_COUNTS_SCHEMA, escape=True).count() > 0
     spark.sql("DROP DATABASE lt_setup CASCADE")
 
 
@@ -91,3 +97,36 @@ def test_without_validate_a_corrupt_archive_fails_loudly(spark, tmp_path):
                       output_root=str(tmp_path / "out"))
     with pytest.raises(Exception):
         run_setup(spark, cfg, report=False)
+
+
+@pytest.mark.parametrize("check", ["observe", "rescan"])
+@pytest.mark.parametrize("output", ["events", "json_stage"])
+def test_a_cut_output_is_inconsistent(spark, tmp_path, check, output):
+    base = tmp_path / "land"
+    write_gz(base / "raw" / "metrics" / "d.gz", [event("zoom")])
+    write_gz(base / "nom" / "clean" / "d.gz", [event("zoom"), event("tts"), event("x"), event("y")])
+    cfg = SetupConfig(raw_root=str(base / "raw" / "metrics"), clean_root=str(base / "nom" / "clean"),
+                      output_root=str(tmp_path / "out"), check=check)
+    results = dict(run_setup(spark, cfg, report=False))
+    assert all(row[2] for row in results.values()) and cfg.path("clean", "stage_check") in results
+    path = cfg.path("clean", output)
+    if output == "events":
+        cut = spark.read.parquet(path).limit(1).checkpoint()
+        cut.write.mode("overwrite").parquet(path)
+    else:
+        cut = spark.read.text(path).limit(1).checkpoint()
+        cut.write.mode("overwrite").text(path)
+    again = check_clean(spark, cfg)
+    assert again[cfg.path("clean", "json_check" if output == "events" else "stage_check")] == (4, 1, False)
+
+
+def test_an_absurd_time_leaves_the_rest(spark, tmp_path):
+    base = tmp_path / "land"
+    meta = {"locations": ["l"], "pseudoEvents": ["p"], "ua": {"groups": ["g"]}}
+    write_gz(base / "raw" / "metrics" / "d.gz", [event("zoom")])
+    write_gz(base / "nom" / "clean" / "d.gz", [event("a", meta=meta), event("b", meta=meta, server_ts=9223372036854775807)])
+    cfg = SetupConfig(raw_root=str(base / "raw" / "metrics"), clean_root=str(base / "nom" / "clean"),
+                      output_root=str(tmp_path / "out"))
+    run_setup(spark, cfg)
+    got = rows(spark.read.parquet(cfg.path("report", "dimensions")), "eventName", "year", "month", "day")
+    assert got == [("a", 2016, 1, 1), ("b", None, None, None)]
