@@ -55,11 +55,16 @@ SHORT, LONG = 70, 140
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>")
 _LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
+_BEGUN = re.compile(r"</?[A-Za-z]")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _NAME = re.compile(r"[a-z0-9]+")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
+# A tag whose quotes do not close within this many characters ends at its first ``>``.
+QUOTED_TAG = 1 << 14
+
+
 @dataclass
 class Block:
     text: str
@@ -86,6 +91,7 @@ def _is_part(tag: str, attributes: str, in_article: bool) -> bool:
 def blocks(html: str) -> Iterator[Block]:
     """Blocks with text, in page order."""
     stack: list[tuple[str, bool, bool]] = []      # tag, outside, article
+    opened: dict[str, int] = {}                   # how often each tag is on it
     pieces: list[str] = []
     linked = links = 0
     pos, size = 0, len(html)
@@ -122,7 +128,11 @@ def blocks(html: str) -> Iterator[Block]:
             end = html.find(">", at)
             pos = size if end < 0 else end + 1
             continue
-        m = _TAG.match(html, at) or _LOOSE_TAG.match(html, at)
+        if html.find(">", at) < 0:                 # no tag ends any more: what begins one is no text
+            begun = _BEGUN.search(html, at)
+            text(at, begun.start() if begun else size)
+            break
+        m = _TAG.match(html, at, at + QUOTED_TAG) or _LOOSE_TAG.match(html, at)
         if not m:                                  # a plain "<"
             text(at, at + 1)
             pos = at + 1
@@ -144,22 +154,26 @@ def blocks(html: str) -> Iterator[Block]:
             continue
         is_block = tag in BLOCKS
         named = not is_block and not closing and _is_part(tag, m[3], False)
-        if not is_block and not named and not (closing and any(t == tag for t, _, _ in stack[-3:])):
+        if not is_block and not named and not (closing and opened.get(tag)):
             continue
         if (found := block()) is not None:
             yield found
         if closing:
-            if any(t == tag for t, _, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            while opened.get(tag):
+                top = stack.pop()[0]
+                opened[top] -= 1
+                if top == tag:
+                    break
         elif tag not in VOID and not m[3].endswith("/"):
             if stack and stack[-1][0] == "p" and is_block:
                 stack.pop()
+                opened["p"] -= 1
             _, outside, article = stack[-1] if stack else ("", False, False)
             part = _is_part(tag, m[3], article)
             if tag in ("article", "main") and not part and not article:
                 outside, article = False, True     # what is left open before does not reach into it
             stack.append((tag, outside or part, article))
+            opened[tag] = opened.get(tag, 0) + 1
     if (found := block()) is not None:
         yield found
 

@@ -49,6 +49,7 @@ def test_operator_over_a_table(spark):
 
 
 def test_long_and_hostile_pages_stay_linear():
-    for page in ("<" * 200_000, "<p " * 100_000, "<a href='" * 50_000, "<div>" * 50_000 + "x", "&amp;" * 100_000, "<!--" * 50_000):
+    for page in ("<div>" * 50_000 + "</p></section>" * 50_000, "<a b='>" * 50_001,
+                 "<" * 200_000, "<p " * 100_000, "<a href='" * 50_000, "<div>" * 50_000 + "x", "&amp;" * 100_000, "<!--" * 50_000):
         htmltext.main_text(page)
     assert len(htmltext.main_text("<article>" + f"<p>{LONG}</p>" * 5000)) == 5000 * len(LONG) + 2 * 4999
