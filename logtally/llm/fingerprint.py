@@ -219,7 +219,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Nulls come last in descending order, as one below every identifier.
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    bounds = sorted({int(x) for x in rows.approxQuantile("id", [k / parts for k in range(1, parts)], 0.25 / parts)})
+    shares = [k / parts for k in range(1, parts)]
+    bounds = sorted({int(x) for x in rows.approxQuantile("id", shares, 0.25 / parts)}) if shares else []
     shared = spark.sparkContext.broadcast(bounds)
 
     def place(with_text: bool):
