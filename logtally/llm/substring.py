@@ -11,13 +11,14 @@ square of the corpus and the broadcast with the corpus.)
 1. Each document gives the minimizers of its windows; they are range-partitioned
    and those seen twice stay. A hot one spreads over several partitions.
 2. Documents with repeated minimizers give their segments: runs of windows with
-   one minimizer, 13 windows at most. Equal segments are folded before the
-   shuffle, with the first place where they stand.
+   one minimizer, 13 windows at most. Equal segments are folded in each task
+   before the shuffle, with the first place where they stand. Segments of a
+   minimizer in over ``HOT`` documents are cut into single windows first, and each
+   window's content makes a shard of its own.
 3. In a shard, segments are streamed in corpus order through a suffix automaton
    that grows with them: after each word, the length of the state's suffix link
    is the matching statistic, the longest part before that occurred earlier. A
-   window is new where it is under ``WINDOW``. Shards of over ``HOT`` segments are
-   cut into single windows, folded and dealt again by content.
+   window is new where it is under ``WINDOW``.
 4. New windows go back to their documents: of the candidate windows, all others
    have an earlier copy, and the maximal spans they cover are removed.
 
@@ -39,15 +40,18 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtally.llm.common import materialise
+
 WINDOW, GRAM = 20, 8
 # Windows that one minimizer can serve.
 REACH = WINDOW - GRAM + 1
 HOT = 2000
-# Bytes of text hashed at once.
-BLOCK = 1 << 20
+# Bytes of text hashed at once, and of segments folded before they are given out.
+BLOCK, FOLDED = 1 << 20, 1 << 24
 
 # Fixed odd multipliers of the hashes.
 _BASE, _STEP, _MIX = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD
@@ -242,21 +246,55 @@ def _lists(column: pa.Array) -> list:
     return [values[a:b] if ok else None for a, b, ok in zip(ends[:-1], ends[1:], column.is_valid().to_pylist())]
 
 
+class _Folded:
+    """Segments of a task with the first place of each, by shard."""
+
+    def __init__(self) -> None:
+        self.first: dict[tuple[int, int, bytes], tuple[int, int, int]] = {}
+        self.size = 0
+
+    def add(self, h: int, part: int, segment: bytes, place: tuple[int, int, int]) -> None:
+        key = (h, part, segment)
+        known = self.first.get(key)
+        if known is None:
+            self.first[key] = place
+            self.size += len(segment)
+        elif place < known:
+            self.first[key] = place
+
+    def batch(self) -> pa.RecordBatch:
+        h, part, segment = zip(*self.first)
+        did, tie, start = zip(*self.first.values())
+        self.first, self.size = {}, 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array(h, pa.int64()), pa.array(part, pa.int64()), pa.array(did, pa.int64()), pa.array(tie, pa.int64()),
+             pa.array(start, pa.int64()), pa.array(segment, pa.binary())],
+            names=["h", "part", "did", "tie", "start", "segment"])
+
+
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    folded = _Folded()
     for batch in batches:
-        did, tie = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tie"))
-        wanted = _lists(batch.column("wanted"))
+        did, tie = (batch.column(c).to_pylist() for c in ("did", "tie"))
+        wanted, hot = _lists(batch.column("wanted")), batch.column("hot").to_pylist()
         for row, documents in _document_groups(batch):
             layout = lay_out(documents)
             doc, at, size = _chosen(layout, wanted[row:row + len(documents)])
-            if not len(at):
-                continue
-            a, b = layout.starts[at].tolist(), layout.ends[at + size + WINDOW - 2].tolist()
-            data = layout.data
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(layout.minimizer[at].view(np.int64)), pa.array([data[x:y] for x, y in zip(a, b)], pa.binary()),
-                 pa.array(did[doc + row]), pa.array(tie[doc + row]), pa.array(at - layout.first[doc])],
-                names=["h", "segment", "did", "tie", "start"])
+            data, starts, ends = layout.data, layout.starts, layout.ends
+            offsets = at - layout.first[doc]
+            for d, first, n, h, start in zip((doc + row).tolist(), at.tolist(), size.tolist(),
+                                             layout.minimizer[at].view(np.int64).tolist(), offsets.tolist()):
+                if hot[d] and h in hot[d]:
+                    for k in range(n):
+                        window = data[starts[first + k]:ends[first + k + WINDOW - 1]]
+                        part = xxhash.xxh64_intdigest(window)
+                        folded.add(h, part - (1 << 63), window, (did[d], tie[d], start + k))
+                else:
+                    folded.add(h, 0, data[starts[first]:ends[first + n + WINDOW - 2]], (did[d], tie[d], start))
+            if folded.size >= FOLDED:
+                yield folded.batch()
+    if folded.first:
+        yield folded.batch()
 
 
 # --- step 3: automata ---
@@ -311,12 +349,12 @@ def new_windows(shard: list[list[bytes]]) -> list[list[int]]:
 
 def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by shard and place -> runs of new windows by document."""
-    shard, places, texts = None, [], []
+    shard, places = None, []
+    texts: dict[bytes, None] = {}
     out: dict[str, list[int]] = {"did": [], "tie": [], "start": [], "n": []}
 
     def close() -> None:
-        for place, new in zip(places, new_windows([t.split(b" ") for t in texts])):
-            did, tie, start = place >> 62, place >> 32 & (1 << 30) - 1, place & (1 << 32) - 1
+        for (did, tie, start), new in zip(places, new_windows([t.split(b" ") for t in texts])):
             k = 0
             while k < len(new):
                 end = k
@@ -333,13 +371,15 @@ def _streamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return batch
 
     for batch in batches:
-        for *key, place, text in zip(*(batch.column(c).to_pylist() for c in ("h", "part", "place", "segment"))):
-            if key != shard:
+        for h, part, did, tie, start, text in zip(*(batch.column(c).to_pylist() for c in (
+                "h", "part", "did", "tie", "start", "segment"))):
+            if (h, part) != shard:
                 if texts:
                     close()
-                shard, places, texts = key, [], []
-            places.append(int(place))
-            texts.append(text)
+                shard, places, texts = (h, part), [], {}
+            if text not in texts:          # an equal segment came before: nothing of it is new
+                texts[text] = None
+                places.append((did, tie, start))
         if out["n"]:
             yield full()
     if texts:
@@ -405,27 +445,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.xxhash64(text_col).bitwiseAND(F.lit((1 << 30) - 1)).alias("tie"), F.col(text_col).alias("t"))
     doc = ["did", "tie"]
     found = rows.select("did", "tie", "t").mapInArrow(_minimizers, "h long, did long, tie long, twice boolean")
-    repeated = found.repartitionByRange("h", "did").sortWithinPartitions("h").mapInArrow(
-        _repeated, "h long, did long, tie long")
-    wanted = repeated.groupBy(*doc).agg(F.collect_set("h").alias("wanted"))
+    repeated = materialise(found.repartitionByRange("h", "did").sortWithinPartitions("h").mapInArrow(
+        _repeated, "h long, did long, tie long"), "minimizers")
+    # One row per minimizer in over HOT documents.
+    hot = repeated.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h", F.col("h").alias("hot"))
+    wanted = repeated.join(hot, "h", "left").groupBy(*doc).agg(
+        F.collect_set("h").alias("wanted"), F.collect_set("hot").alias("hot"))
     # Both joins below take the documents from this one shuffle; the small side is hashed, texts are not sorted.
     placed = rows.join(wanted.hint("shuffle_hash"), doc, "left")
-
-    place = (F.col("did").cast("decimal(19,0)") * F.lit(1 << 62).cast("decimal(19,0)")
-             + (F.col("tie") * F.lit(1 << 32) + F.col("start")).cast("decimal(19,0)")).cast("decimal(38,0)")
-    segment = placed.where("wanted is not null").select("did", "tie", "t", "wanted").mapInArrow(
-        _segment_rows, "h long, segment binary, did long, tie long, start long").select("h", "segment", place.alias("place"))
-    distinct = segment.groupBy("h", "segment").agg(F.min("place").alias("place"))
-    hot = distinct.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h")
-    cold = distinct.join(hot, "h", "left_anti").select("h", F.lit(0).cast("long").alias("part"), "place", "segment")
-    words = F.split(F.col("segment").cast("string"), " ")
-    single = distinct.join(hot, "h", "left_semi").withColumn("words", words).select(
-        "h", "place", "words", F.posexplode(F.sequence(F.lit(1), F.size("words") - (WINDOW - 1)))).select(
-        "h", (F.col("place") + F.col("pos").cast("decimal(10,0)")).cast("decimal(38,0)").alias("place"),
-        F.array_join(F.slice("words", F.col("col"), F.lit(WINDOW)), " ").cast("binary").alias("segment"))
-    single = single.groupBy("h", "segment").agg(F.min("place").alias("place")).select(
-        "h", F.xxhash64("segment").alias("part"), "place", "segment")
-    new = cold.unionByName(single).repartition("h", "part").sortWithinPartitions("h", "part", "place").mapInArrow(
+    # (The same columns on both sides, or there would be two shuffles.)
+    segment = placed.where("wanted is not null").select("id", "did", "tie", "t", "wanted", "hot").mapInArrow(
+        _segment_rows, "h long, part long, did long, tie long, start long, segment binary")
+    new = segment.repartition("h", "part").sortWithinPartitions("h", "part", "did", "tie", "start").mapInArrow(
         _streamed, "did long, tie long, start long, n long")
     new = new.groupBy(*doc).agg(F.collect_list(F.col("start") * F.lit(1 << 32) + F.col("n")).alias("new"))
     out = placed.join(new.hint("shuffle_hash"), doc, "left").select("id", "t", "wanted", "new").mapInArrow(
