@@ -49,6 +49,8 @@ from logtally.llm.common import WORD, materialise
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 GROUP_LIMIT = 4096
+# Up to this size all pairs of a group are compared at once, not one by one.
+SMALL_GROUP = 8
 # Generator polynomial of the binary Golay code (23, 12, 7).
 GOLAY = 0b101011100011
 
@@ -205,15 +207,15 @@ def _group_links(keys: np.ndarray, prints: np.ndarray, max_bits: int) -> tuple[n
     starts, ends = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(keys)]])
     size = ends - starts
     left, right = [], []
-    # Pairs and triples at once.
-    for n, pairs in ((2, ((0, 1),)), (3, ((0, 1), (0, 2), (1, 2)))):
-        some = starts[size == n]
-        for a, b in pairs:
-            x, y = prints[some + a], prints[some + b]
-            close = _distance(x, y) <= max_bits
-            left.append(x[close])
-            right.append(y[close])
-    for a, b in zip(starts[size > 3], ends[size > 3]):
+    # Small groups at once: each row with the one so many places on, if that is in its group.
+    some = np.repeat(size, size)
+    for step in range(1, SMALL_GROUP):
+        at = np.flatnonzero((some[step:] > step) & (some[step:] <= SMALL_GROUP) & (keys[step:] == keys[:-step]))
+        x, y = prints[at], prints[at + step]
+        close = (_distance(x, y) <= max_bits) & (x != y)
+        left.append(x[close])
+        right.append(y[close])
+    for a, b in zip(starts[size > SMALL_GROUP], ends[size > SMALL_GROUP]):
         found = spanning_links(np.unique(prints[a:b]), max_bits)
         if found:
             pair = np.array(found, np.int64)
@@ -259,11 +261,11 @@ def _links(max_bits: int):
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Spanning links ``(u, v)``, u > v, between the distinct fingerprints of ``prints (fp)``."""
     rows = prints.select("fp").mapInArrow(_key_rows, "key long, fp long")
-    counts = rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    met = rows.join(counts, "key")
-    blocks = F.ceil(F.col("n") / F.lit(GROUP_LIMIT)).cast("int")
+    # One row per group over the limit: few, so what joins them follows the table's size.
+    large = materialise(rows.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > GROUP_LIMIT), "large-groups")
+    blocks = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(GROUP_LIMIT)).cast("int")
     mine = F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int")
-    placed = met.withColumn("blocks", blocks).withColumn("mine", mine)
+    placed = rows.join(large, "key", "left").withColumn("blocks", blocks).withColumn("mine", mine)
     # A group within the limit is one block; else each row goes to all pairs of its block.
     spread = placed.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"), "mine", "fp").select(
