@@ -34,9 +34,9 @@ table gives an empty table.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import cache
+from itertools import accumulate, islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtally.llm.common import WORD, materialise
+from logtally.llm.common import materialise
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -54,35 +54,36 @@ SMALL_GROUP = 8
 # Generator polynomial of the binary Golay code (23, 12, 7).
 GOLAY = 0b101011100011
 
-_UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-_BYTE_BITS = 8
+_LOWER = bytes(c + 32 if ord("A") <= c <= ord("Z") else c for c in range(256))
 _SHINGLES_AT_ONCE = 1 << 16
+# Bits of each byte value, and where each of a hash's eight bytes counts its values.
+_BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
+_PLACES = (np.arange(8) * 256).astype(np.uint16)
 
 
 # --- fingerprints ---
 
-def shingles(text: str | None, size: int = SHINGLE) -> list[bytes]:
-    words = re.findall(WORD, (text or "").translate(_UPPER))
-    if not words:
-        return []
-    if len(words) < size:
-        return [" ".join(words).encode("utf-8", "surrogatepass")]
-    return [s.encode("utf-8", "surrogatepass") for s in map(" ".join, zip(*(words[k:] for k in range(size))))]
+def shingles(text: str | None, size: int = SHINGLE) -> Iterator[bytes]:
+    """Shingles in order, repeats included: slices of the words joined by blanks."""
+    words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
+    data = b" ".join(words)
+    if len(words) <= size:
+        return iter([data] if words else [])
+    ends = list(accumulate(map(len, words), lambda at, n: at + 1 + n))
+    starts = [0, *[e + 1 for e in ends]]
+    return (data[a:b] for a, b in zip(starts, ends[size - 1:]))
 
 
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """Unsigned 64-bit SimHash."""
-    parts = shingles(text, size)
-    if not parts:
-        return 0
-    digest = xxhash.xxh64_intdigest
-    counts = np.zeros(64, np.int64)
-    for k in range(0, len(parts), _SHINGLES_AT_ONCE):
-        some = parts[k:k + _SHINGLES_AT_ONCE]
-        hashes = np.fromiter([digest(s, SEED) for s in some], np.uint64, len(some))
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, _BYTE_BITS), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.int64)
-    return int((np.uint64(1) << np.flatnonzero(2 * counts > len(parts)).astype(np.uint64)).sum(dtype=np.uint64))
+    parts, digest = shingles(text, size), xxhash.xxh64_intdigest
+    values, total = np.zeros((8, 256), np.int64), 0
+    while some := [digest(s, SEED) for s in islice(parts, _SHINGLES_AT_ONCE)]:
+        total += len(some)
+        each = np.array(some, np.uint64).view(np.uint8).reshape(-1, 8) + _PLACES
+        values += np.bincount(each.ravel(), minlength=2048).reshape(8, 256)
+    counts = (values @ _BITS).ravel()
+    return int((np.uint64(1) << np.flatnonzero(2 * counts > total).astype(np.uint64)).sum(dtype=np.uint64)) if total else 0
 
 
 def _fingerprints(size: int):
