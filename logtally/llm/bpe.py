@@ -32,9 +32,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 12_000_000
+CHUNK_CHARS = 8_000_000
 # Encoded pre-tokens that a task keeps from one chunk to the next.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -231,7 +231,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[pa.RecordB
     size = 0
     for batch in batches:
         start = 0
-        for k, text in enumerate(batch.column("t").to_pylist()):
+        for k, value in enumerate(batch.column("t")):
+            text = value.as_py()
             texts.append(text)
             size += len(text)
             if size >= CHUNK_CHARS:
@@ -257,7 +258,8 @@ def _mapper(shared, pattern: str, full: bool):
                 columns = [batch.column("row"), pa.array([len(x) for x in own], pa.int64())]
                 names = ["row", "n_tokens"]
                 if full:
-                    columns.append(pa.array([x.tolist() for x in own], pa.list_(pa.int32())))
+                    ends = np.cumsum([0, *map(len, own)]).astype(np.int32)
+                    columns.append(pa.ListArray.from_arrays(ends, np.concatenate(own) if own else np.zeros(0, np.int32)))
                     names.append("ids")
                 else:
                     columns.append(pa.array([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in own], pa.string()))
