@@ -120,7 +120,7 @@ def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text")
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Classifier(shared.value)
         for batch in parts:
-            got = [model.predict(t) for t in batch.column("t").to_pylist()]
+            got = [model.predict(t.as_py()) for t in batch.column("row").field(text_col)]
             lang, score, rejected = zip(*got) if got else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), pa.array(lang, pa.string()), pa.array(score, pa.float64()),
@@ -129,8 +129,7 @@ def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text")
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("lang_pred", T.StringType()),
                            T.StructField("lang_score", T.DoubleType()), T.StructField("lang_rejected", T.BooleanType())])
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.col(text_col).alias("t")).mapInArrow(batches, schema)
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")).mapInArrow(batches, schema)
 
 
 def keep_identified(docs: DataFrame, learn_from: DataFrame, text_col: str = "text") -> DataFrame:
