@@ -18,6 +18,7 @@ table gives an empty table. Other columns may have any name.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -34,20 +35,21 @@ def normalised(text: Column) -> Column:
 
 
 def _sorted(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    """Rows in content order: range-partitioned, then sorted in each partition."""
+    """Rows in content order: range-partitioned, then sorted in each partition.
+    With ``carry`` the text goes along in ``row``, else as ``content``."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.substring(normalised(F.col(text_col)), 1, PREFIX_CHARS).alias("prefix"),
         F.sha2(normalised(F.col(text_col)), 256).alias("sha"),
         (-F.length(text)).cast("long").alias("shorter"),
-        F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("long").alias("id"), text.alias("content"),
-        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else []))
+        F.col(id_col).isNull().alias("no_id"), F.col(id_col).cast("long").alias("id"),
+        F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row") if carry else text.alias("content"))
     key = ["prefix", "sha", "shorter", "no_id", "id"]
     return rows.repartitionByRange(*key).sortWithinPartitions(*key)
 
 
-def _stripped(batch: pa.RecordBatch) -> list[bytes]:
-    return [x.translate(None, SPACES) for x in batch.column("content").cast(pa.binary()).to_pylist()]
+def _stripped(texts: pa.Array) -> list[bytes]:
+    return [(x or b"").translate(None, SPACES) for x in texts.cast(pa.binary()).to_pylist()]
 
 
 def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +72,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out[name] += [value] * n
 
     for batch in batches:
-        for text, digest, s, i in zip(_stripped(batch), batch.column("sha").to_pylist(),
+        for text, digest, s, i in zip(_stripped(batch.column("content")), batch.column("sha").to_pylist(),
                                       batch.column("shorter").to_pylist(), batch.column("id").to_pylist()):
             if run and text != last:
                 close(first)
@@ -86,7 +88,7 @@ def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict(out, schema=schema)
 
 
-def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _heads(text_col: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first row of each run with what it carries."""
     from pyspark import TaskContext
     part = TaskContext.get().partitionId()
@@ -101,7 +103,7 @@ def _heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         starts = []
-        for k, text in enumerate(_stripped(batch)):
+        for k, text in enumerate(_stripped(batch.column("row").field(text_col))):
             if last is None or text != last:
                 starts.append(k)
             last = text
@@ -147,7 +149,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all columns as they were."""
     heads = materialise(
-        _sorted(docs, id_col, text_col, docs.columns).mapInArrow(_heads, _head_schema(docs)), "exact-heads")
+        _sorted(docs, id_col, text_col, docs.columns).mapInArrow(
+            partial(_heads, text_col), _head_schema(docs)), "exact-heads")
     border = heads.where("border")
     winners = border.groupBy("sha").agg(_winner().alias("w")).select(F.col("sha"), F.col("w.part").alias("part"))
     kept = heads.where(~F.col("border")).select("row").unionByName(
