@@ -43,6 +43,11 @@ def _hex_number(text: Column, digits: int) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("long")
 
 
+def _source_key() -> Column:
+    """The source as a string that is never null, and apart for null."""
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
+
+
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """``(source, source_size)`` -> plus ``weight, target``. One row per source:
     the windows without partitions order sources, never documents."""
@@ -71,23 +76,21 @@ def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry:
         F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("size"),
         _hex_number(content, 8).alias("draw"),
         *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else [])
-    ).withColumn("class", F.length(F.bin("size")))
+    ).withColumn("class", F.length(F.bin("size"))).withColumn("key", _source_key())
     buckets = max(LEAST_BUCKETS, -(-docs.count() // ROWS_PER_BUCKET))
     rows = keyed.withColumn("bucket", F.pmod("draw", F.lit(buckets)))
-    counts = rows.groupBy("source", "class", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    counts = rows.groupBy("key", "source", "class", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     sources = source_targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")))
     step = F.when(F.col("source_size") > 0,
                   F.floor(F.col("target") / F.col("source_size") * UNIT).cast("long")).otherwise(F.lit(UNIT).cast("long"))
-    offset = (_hex_number(F.concat(F.lit(SEED + ":"), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))), 6))
-    sources = sources.select(F.col("source").alias("s"), "source_size", "target", step.alias("step"), offset.alias("offset"))
-    ahead = W.partitionBy("source").orderBy("class", "bucket").rowsBetween(W.unboundedPreceding, -1)
+    offset = _hex_number(F.concat(F.lit(SEED + ":"), _source_key()), 6)
+    sources = sources.select(_source_key().alias("key"), "source_size", "target", step.alias("step"), offset.alias("offset"))
+    ahead = W.partitionBy("key").orderBy("class", "bucket").rowsBetween(W.unboundedPreceding, -1)
     starts = counts.withColumn("start", F.coalesce(F.sum("n").over(ahead), F.lit(0)))
-    starts = starts.join(sources, F.col("source").eqNullSafe(F.col("s"))).select(
-        F.col("source").alias("s"), F.col("class").alias("c"), F.col("bucket").alias("b"),
-        "start", "source_size", "target", "step", "offset")
-    placed = rows.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("class") == F.col("c"))
-                       & (F.col("bucket") == F.col("b")))
-    order = W.partitionBy("s", "c", "b").orderBy("size", "id", "draw")
+    starts = starts.join(sources, "key").select("key", "class", "bucket", "start", "source_size", "target", "step", "offset")
+    # The window takes the rows as the join left them: one shuffle for both.
+    placed = rows.join(starts, ["key", "class", "bucket"])
+    order = W.partitionBy("key", "class", "bucket").orderBy("size", "id", "draw")
     passed = F.col("start") + F.row_number().over(order)
     whole = lambda n: F.shiftright(n * F.col("step") + F.col("offset"), 24)  # noqa: E731  24: of UNIT
     return placed.withColumn("passed", passed.cast("long")).withColumn(
