@@ -32,9 +32,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNK_CHARS = 8_000_000
+CHUNK_CHARS = 5_000_000
 # Encoded pre-tokens that a task keeps from one chunk to the next.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
