@@ -3,12 +3,17 @@
 A page is cut into blocks at block-level tags. Pass one decides each block:
 inside a page part that never holds the article (menu, header, footer, sidebar,
 notice, advert, form, reader comments - by element, role, class or id) it is
-boilerplate; inside the article element, or long with many stop words and few
-links, it is text; link-dense or long without stop words, it is boilerplate;
-short blocks stay ambiguous. In pass two an ambiguous block takes what its
-nearest decided neighbours are; where the two differ the nearer one counts, then
-the text one. A page with an article element has only blocks of that element as
-candidates.
+boilerplate; long with many stop words and few links, it is text; link-dense or
+long without stop words, it is boilerplate; short blocks stay ambiguous. In pass
+two an ambiguous block takes what its nearest decided neighbours are; where the
+two differ the nearer one counts, then the text one.
+
+The article element is a prior, blocks outside it are judged by the same rules.
+Inside it link density and a lack of stop words leave a block ambiguous, except
+where all blocks found to be text lie outside (cards around a body in a plain
+element): there the rules hold as elsewhere. Ambiguous blocks inside look at blocks
+inside only, those with few links first and past page parts; without a decided
+neighbour they are text.
 
 Scripts, styles, titles, comments and markup are no blocks. Character references
 are decoded, white space within a block becomes one blank, blocks are joined by
@@ -180,18 +185,12 @@ def blocks(html: str) -> Iterator[Block]:
 
 def _first_pass(b: Block) -> bool | None:
     """True: text, False: boilerplate, None: ambiguous."""
-    if b.outside:
-        return False
-    words = _WORDS.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-    links = b.linked / len(b.text)
-    if b.article:
-        # Few links, or a plain sentence: the article element itself decides.
-        return True if links < MANY_LINKS else None
-    if links >= MANY_LINKS:
+    if b.outside or b.linked >= MANY_LINKS * len(b.text):
         return False
     if len(b.text) < SHORT:
         return None
+    words = _WORDS.findall(b.text.lower())
+    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
     if stops >= MANY_STOP_WORDS or (len(b.text) >= LONG and stops >= SOME_STOP_WORDS):
         return True
     return None if stops >= SOME_STOP_WORDS else False
@@ -223,11 +222,24 @@ def _second_pass(first: list[bool | None]) -> list[bool]:
     return out
 
 
+def _article_pass(found: list[Block], first: list[bool | None]) -> list[bool | None]:
+    """Decides the blocks of article elements, the others stay as they are."""
+    inside = [k for k, b in enumerate(found) if b.article]
+    free = [k for k in inside if not found[k].outside]
+    out = list(first)
+    if any(first[k] for k in free) or not any(first):
+        for k in free:
+            out[k] = out[k] or None
+    few = [k for k in free if out[k] is not None or found[k].linked < MANY_LINKS * len(found[k].text)]
+    for some in (few, inside):
+        for k, keep in zip(some, _second_pass([out[k] for k in some])):
+            out[k] = keep
+    return out
+
+
 def main_text(html: str | None) -> str:
     found = list(blocks(html or ""))
-    if any(b.article for b in found):
-        found = [b for b in found if b.article]
-    keep = _second_pass([_first_pass(b) for b in found])
+    keep = _second_pass(_article_pass(found, [_first_pass(b) for b in found]))
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 

@@ -53,3 +53,15 @@ def test_long_and_hostile_pages_stay_linear():
                  "<" * 200_000, "<p " * 100_000, "<a href='" * 50_000, "<div>" * 50_000 + "x", "&amp;" * 100_000, "<!--" * 50_000):
         htmltext.main_text(page)
     assert len(htmltext.main_text("<article>" + f"<p>{LONG}</p>" * 5000)) == 5000 * len(LONG) + 2 * 4999
+
+
+def test_article_elements_are_a_prior_only():
+    card = "<article><h3><a href=x>The other tale of the day</a></h3><p>Read on.</p></article>"
+    assert htmltext.main_text(f"<nav>Menu</nav>{card}<div><p>{LONG}</p><p>Short.</p><p>{LONG}</p></div>{card}{card}") == (
+        f"{LONG}\n\nShort.\n\n{LONG}")
+    # text on both sides of the element's edge, and an article of short blocks beside a long one
+    assert htmltext.main_text(f"<div>{LONG}</div><article><p>{LONG}</p></article><footer>{LONG}</footer>") == f"{LONG}\n\n{LONG}"
+    assert htmltext.main_text(f"<nav>Menu</nav><article><p>One.</p></article><nav>Menu</nav><p>{LONG}</p>") == f"One.\n\n{LONG}"
+    # links inside an article go with the text around them
+    assert htmltext.main_text(f"<main><h1><a href=x>Title</a></h1><p>{LONG}</p><p><a href=y>More</a></p></main>") == (
+        f"Title\n\n{LONG}\n\nMore")
