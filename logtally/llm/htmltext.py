@@ -3,15 +3,17 @@
 A page is cut into blocks at block-level tags. Pass one decides each block:
 inside a page part that never holds the article (menu, header, footer, sidebar,
 notice, advert, form, reader comments - by element, role, class or id) it is
-boilerplate; long with many stop words and few links, it is text; link-dense or
-long without stop words, it is boilerplate; short blocks stay ambiguous. In pass
-two an ambiguous block takes what its nearest decided neighbours are; where the
-two differ the nearer one counts, then the text one.
+boilerplate, and so it is if link-dense; others are text if they are long, or of
+middle length with many stop words; the rest stays ambiguous. Stop words of a few
+languages are known: on a page whose blocks hold next to none of them (another
+language, code, tables) those of middle length are text without them. In pass two
+an ambiguous block takes what its nearest decided neighbours are; where the two
+differ the nearer one counts, then the text one.
 
 The article element is a prior, blocks outside it are judged by the same rules.
-Inside it link density and a lack of stop words leave a block ambiguous, except
-where all blocks found to be text lie outside (cards around a body in a plain
-element): there the rules hold as elsewhere. Ambiguous blocks inside look at blocks
+Inside it a link-dense block stays ambiguous, except where all blocks found to be
+text lie outside (cards around a body in a plain element): there the rules hold as
+elsewhere. Ambiguous blocks inside look at blocks
 inside only, those with few links first and past page parts; without a decided
 neighbour they are text.
 
@@ -183,17 +185,26 @@ def blocks(html: str) -> Iterator[Block]:
         yield found
 
 
-def _first_pass(b: Block) -> bool | None:
-    """True: text, False: boilerplate, None: ambiguous."""
-    if b.outside or b.linked >= MANY_LINKS * len(b.text):
-        return False
-    if len(b.text) < SHORT:
-        return None
-    words = _WORDS.findall(b.text.lower())
-    stops = sum(w in STOP_WORDS for w in words) / len(words) if words else 0.0
-    if stops >= MANY_STOP_WORDS or (len(b.text) >= LONG and stops >= SOME_STOP_WORDS):
-        return True
-    return None if stops >= SOME_STOP_WORDS else False
+def _first_pass(found: list[Block]) -> list[bool | None]:
+    """Per block True: text, False: boilerplate, None: ambiguous."""
+    out: list[bool | None] = []
+    middle: list[tuple[int, float]] = []      # blocks of middle length and their share of stop words
+    n = known = 0
+    for k, b in enumerate(found):
+        if b.outside or b.linked >= MANY_LINKS * len(b.text):
+            out.append(False)
+            continue
+        words = _WORDS.findall(b.text.lower())
+        stops = sum(w in STOP_WORDS for w in words)
+        n, known = n + len(words), known + stops
+        out.append(True if len(b.text) >= LONG else None)
+        if SHORT <= len(b.text) < LONG:
+            middle.append((k, stops / len(words) if words else 0.0))
+    silent = known < SOME_STOP_WORDS * n      # the known stop words tell nothing about this page
+    for k, share in middle:
+        if silent or share >= MANY_STOP_WORDS:
+            out[k] = True
+    return out
 
 
 def _second_pass(first: list[bool | None]) -> list[bool]:
@@ -239,7 +250,7 @@ def _article_pass(found: list[Block], first: list[bool | None]) -> list[bool | N
 
 def main_text(html: str | None) -> str:
     found = list(blocks(html or ""))
-    keep = _second_pass(_article_pass(found, [_first_pass(b) for b in found]))
+    keep = _second_pass(_article_pass(found, _first_pass(found)))
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 
 

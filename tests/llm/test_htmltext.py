@@ -65,3 +65,20 @@ def test_article_elements_are_a_prior_only():
     # links inside an article go with the text around them
     assert htmltext.main_text(f"<main><h1><a href=x>Title</a></h1><p>{LONG}</p><p><a href=y>More</a></p></main>") == (
         f"Title\n\n{LONG}\n\nMore")
+
+
+POLISH = "Rzeka płynie powoli przez starą dolinę, gdzie ludzie od wieków uprawiają ziemię i łowią ryby o świcie"
+RUSSIAN = "Река медленно течёт через старую долину, где люди веками возделывают землю и ловят рыбу на рассвете"
+CHINESE = "河水缓缓流过古老的山谷，" * 8
+
+
+@pytest.mark.parametrize("text", [POLISH, RUSSIAN, CHINESE, POLISH + " " + POLISH, "x = f(y); " * 20 + "z", "Smith, Jones, Miller, " * 8 + "Wu"])
+def test_long_blocks_without_known_stop_words(text):
+    menu, footer = "<nav><a href=x>Menu</a></nav><div><a href=x>One link</a></div>", "<footer>Imprint</footer>"
+    text = text.strip()
+    assert htmltext.main_text(f"{menu}<h1>Title</h1><p>{text}</p><p>{text}</p>{footer}") == f"Title\n\n{text}\n\n{text}"
+    # the same on a page that is otherwise in a known language
+    page = f"<p>{LONG}</p><pre>{text}</pre><p>{LONG}</p>"
+    assert htmltext.main_text(menu + page + footer) == f"{LONG}\n\n{text}\n\n{LONG}"
+    linked = f"<p><a href=x>{text}</a></p>"
+    assert htmltext.main_text(f"{menu}<p>{text}</p>{menu}{linked}{footer}") == text
