@@ -23,7 +23,10 @@ two line feeds in page order.
 
 Defined results: a null or empty page, or one without text, gives an empty
 string; broken markup (unclosed tags, stray ends, unclosed quotes or comments)
-is read as far as it goes; pages of any length are read whole in one linear
+is read as far as it goes: a script, style, title or textarea without an end takes
+the rest of the page, as in browsers, another element that is not shown ends with
+its parent, or before the next block where that is the page or article itself
+(svg: always); self-closed it has no content; pages of any length are read whole in one linear
 pass; rows that repeat are each extracted.
 """
 
@@ -43,6 +46,10 @@ BLOCKS = frozenset("""address article aside blockquote body center dd details di
 footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
 # Elements whose content is no markup, or not shown as text.
 RAW = frozenset("script style title textarea noscript template iframe object svg canvas".split())
+# Of those, the ones that hold nothing when self-closed, and no more than their parent when their end is missing.
+HOLDERS = RAW - {"script", "style", "title", "textarea"}
+# Parents whose next block ends such an element.
+ROOTS = frozenset("html body main article p".split()) | HOLDERS
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Page parts that hold no article, by element, role, and word of class or id.
 PARTS = frozenset("nav menu footer aside form header dialog button select".split())
@@ -100,6 +107,7 @@ def blocks(html: str) -> Iterator[Block]:
     stack: list[tuple[str, bool, bool]] = []      # tag, outside, article
     opened: dict[str, int] = {}                   # how often each tag is on it
     pieces: list[str] = []
+    endless: set[str] = set()                     # tags that do not end any more
     linked = links = 0
     pos, size = 0, len(html)
     lower = html.lower() if len(html.lower()) == size else html
@@ -111,6 +119,8 @@ def blocks(html: str) -> Iterator[Block]:
         _, outside, article = stack[-1] if stack else ("", False, False)
         found = Block(text, min(linked, len(text)), outside, article) if text else None
         linked = 0
+        if outside and endless and any(map(opened.get, endless)):
+            return None                            # not shown
         return found
 
     def text(a: int, b: int) -> None:
@@ -146,12 +156,20 @@ def blocks(html: str) -> Iterator[Block]:
             continue
         pos, closing, tag = m.end(), m[1] == "/", m[2].lower()
         if not closing and tag in RAW:
-            end = lower.find(f"</{tag}", pos)
-            if end < 0:
-                pos = size
-            else:
+            if tag in HOLDERS and m[3].endswith("/"):
+                continue
+            end = -1 if tag in endless else lower.find(f"</{tag}", pos)
+            if end >= 0:
                 end = html.find(">", end)
                 pos = size if end < 0 else end + 1
+            elif tag in HOLDERS:
+                endless.add(tag)
+                if (found := block()) is not None:
+                    yield found
+                stack.append((tag, True, stack[-1][2] if stack else False))
+                opened[tag] = opened.get(tag, 0) + 1
+            else:
+                pos = size
             continue
         if tag == "br":
             pieces.append(" ")
@@ -172,6 +190,9 @@ def blocks(html: str) -> Iterator[Block]:
                 if top == tag:
                     break
         elif tag not in VOID and not m[3].endswith("/"):
+            while is_block and stack and stack[-1][0] in HOLDERS and (
+                    stack[-1][0] == "svg" or len(stack) == 1 or stack[-2][0] in ROOTS):
+                opened[stack.pop()[0]] -= 1
             if stack and stack[-1][0] == "p" and is_block:
                 stack.pop()
                 opened["p"] -= 1

@@ -82,3 +82,22 @@ def test_long_blocks_without_known_stop_words(text):
     assert htmltext.main_text(menu + page + footer) == f"{LONG}\n\n{text}\n\n{LONG}"
     linked = f"<p><a href=x>{text}</a></p>"
     assert htmltext.main_text(f"{menu}<p>{text}</p>{menu}{linked}{footer}") == text
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><p>One <svg class='icon'/>two</p><iframe src='x' /><object/><canvas id=c /><p>Three</p></article>", "One two\n\nThree"),
+    ("<article><svg/><p>One</p><svg><text>no</text></svg><p>Two</p></article>", "One\n\nTwo"),
+    ("<article><p>One</p><div><noscript><p>no</p></div><p>Two</p></article>", "One\n\nTwo"),
+    ("<article><p>One</p><object data=x>no<p>Two</p><p>Three</p></article>", "One\n\nTwo\n\nThree"),
+    ("<article><p>One <canvas>no</p><p>Two</p><p>Three <noscript>no<p>Four</p></article>", "One\n\nTwo\n\nThree\n\nFour"),
+    ("<head><noscript><img src=x></head><body><div><svg><path d=x>no<p>One</p></div><template>no<div>Two</div>", "One\n\nTwo"),
+    ("<svg><svg><iframe>no<p>One</p>", "One"),
+    ("<article><p>One</p><script/>no<p>no</p></script><p>Two</p><style>no", "One\n\nTwo"),
+])
+def test_elements_not_shown_that_close_themselves_or_never(page, want):
+    assert htmltext.main_text(page) == want
+
+
+def test_elements_that_never_close_stay_linear():
+    for page in ("<svg>" * 200_000, "<div><object>" * 100_000, "<noscript>x" * 100_000 + "<p>" * 100_000):
+        htmltext.main_text(page)
