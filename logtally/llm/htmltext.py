@@ -67,18 +67,14 @@ MANY_STOP_WORDS, SOME_STOP_WORDS = 0.3, 0.1
 MANY_LINKS = 0.5
 SHORT, LONG = 70, 140
 
-_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)((?:[^\"'>]++|\"[^\"]*+\"|'[^']*+')*+)>")
-_LOOSE_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
+_TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*+)([^\"'>]*+)(>?)")
+_STOP = re.compile(r"[\"'>]")
 _BEGUN = re.compile(r"</?[A-Za-z]")
-_ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])([^\s"'>/=]++)\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))""")
 _NAME = re.compile(r"[a-z0-9]+")
 _WORDS = re.compile(r"[^\W\d_]+")
 
 
-# A tag whose quotes do not close within this many characters ends at its first ``>``.
-QUOTED_TAG = 1 << 14
-
-
 @dataclass
 class Block:
     text: str
@@ -93,11 +89,11 @@ def _is_part(tag: str, attributes: str, in_article: bool) -> bool:
     if tag in ("html", "body", "main"):
         return False
     for m in _ATTRIBUTE.finditer(attributes) if attributes else ():
-        value = (m[2] or m[3] or m[4] or "").lower()
-        if m[1].lower() == "role":
+        name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if name == "role":
             if value.strip() in ROLES:
                 return True
-        elif not NAMES.isdisjoint(_NAME.findall(value)) and not (in_article and tag == "header"):
+        elif name in ("class", "id") and not NAMES.isdisjoint(_NAME.findall(value)) and not (in_article and tag == "header"):
             return True
     return False
 
@@ -110,6 +106,8 @@ def blocks(html: str) -> Iterator[Block]:
     endless: set[str] = set()                     # tags that do not end any more
     linked = links = 0
     pos, size = 0, len(html)
+    closed = -1                                   # the next ">"
+    open_quotes: set[int] = set()                 # quotes behind which the tag does not end
     lower = html.lower() if len(html.lower()) == size else html
 
     def block() -> Block | None:
@@ -131,6 +129,26 @@ def blocks(html: str) -> Iterator[Block]:
             if links:
                 linked += len(piece)
 
+    def tag_end(a: int) -> int:
+        """The ``>`` of the tag read up to ``a``: the first outside quoted values,
+        or the first of all if the quotes do not close. Each quote that leads to
+        no end is followed once."""
+        tried = []
+        while (stop := _STOP.search(html, a)) is not None:
+            k = stop.start()
+            if stop[0] == ">":
+                return k
+            a, before = k + 1, html[a:k].rstrip()
+            if before.endswith("="):
+                if k in open_quotes:
+                    break
+                tried.append(k)
+                a = html.find(stop[0], k + 1) + 1
+                if not a:
+                    break
+        open_quotes.update(tried)
+        return closed
+
     while pos < size:
         at = html.find("<", pos)
         if at < 0:
@@ -145,18 +163,22 @@ def blocks(html: str) -> Iterator[Block]:
             end = html.find(">", at)
             pos = size if end < 0 else end + 1
             continue
-        if html.find(">", at) < 0:                 # no tag ends any more: what begins one is no text
+        if closed < at:
+            closed = html.find(">", at)
+        if closed < 0:                             # no tag ends any more: what begins one is no text
             begun = _BEGUN.search(html, at)
             text(at, begun.start() if begun else size)
             break
-        m = _TAG.match(html, at, at + QUOTED_TAG) or _LOOSE_TAG.match(html, at)
+        m = _TAG.match(html, at)
         if not m:                                  # a plain "<"
             text(at, at + 1)
             pos = at + 1
             continue
-        pos, closing, tag = m.end(), m[1] == "/", m[2].lower()
+        end = m.end() - 1 if m[4] else tag_end(m.end(2))
+        attributes = m[3] if m[4] else html[m.end(2):end]
+        pos, closing, tag = end + 1, m[1] == "/", m[2].lower()
         if not closing and tag in RAW:
-            if tag in HOLDERS and m[3].endswith("/"):
+            if tag in HOLDERS and attributes.endswith("/"):
                 continue
             end = -1 if tag in endless else lower.find(f"</{tag}", pos)
             if end >= 0:
@@ -178,7 +200,7 @@ def blocks(html: str) -> Iterator[Block]:
             links = max(0, links - 1) if closing else 1
             continue
         is_block = tag in BLOCKS
-        named = not is_block and not closing and _is_part(tag, m[3], False)
+        named = not is_block and not closing and _is_part(tag, attributes, False)
         if not is_block and not named and not (closing and opened.get(tag)):
             continue
         if (found := block()) is not None:
@@ -189,7 +211,7 @@ def blocks(html: str) -> Iterator[Block]:
                 opened[top] -= 1
                 if top == tag:
                     break
-        elif tag not in VOID and not m[3].endswith("/"):
+        elif tag not in VOID and not attributes.endswith("/"):
             while is_block and stack and stack[-1][0] in HOLDERS and (
                     stack[-1][0] == "svg" or len(stack) == 1 or stack[-2][0] in ROOTS):
                 opened[stack.pop()[0]] -= 1
@@ -197,7 +219,7 @@ def blocks(html: str) -> Iterator[Block]:
                 stack.pop()
                 opened["p"] -= 1
             _, outside, article = stack[-1] if stack else ("", False, False)
-            part = _is_part(tag, m[3], article)
+            part = _is_part(tag, attributes, article)
             if tag in ("article", "main") and not part and not article:
                 outside, article = False, True     # what is left open before does not reach into it
             stack.append((tag, outside or part, article))

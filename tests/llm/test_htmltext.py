@@ -101,3 +101,22 @@ def test_elements_not_shown_that_close_themselves_or_never(page, want):
 def test_elements_that_never_close_stay_linear():
     for page in ("<svg>" * 200_000, "<div><object>" * 100_000, "<noscript>x" * 100_000 + "<p>" * 100_000):
         htmltext.main_text(page)
+
+
+@pytest.mark.parametrize("n", [1, 100, 20_000, 300_000])
+def test_quoted_values_of_any_length(n):
+    for q, other in ("\"'", "'\""):
+        value = f"{{{other}body{other}: {other}<p>no</p></article><script class={other}ad{other}>" + "x" * n + "}"
+        assert htmltext.main_text(f"<article><p>One</p><div data-props={q}{value}{q}><p>Two</p></div><img src = {q}>{value}{q}>"
+                                  "<p>Three</p></article>") == "One\n\nTwo\n\nThree"
+        # never closed: the first ">" ends the tag; a quote that begins no value is none
+        assert htmltext.main_text(f"<article><p>One</p><p title={q}{'x' * n}>Two</p></article>") == "One\n\nTwo"
+        assert htmltext.main_text(f"<article><p class='a' {q} alt=it{q}s>One</p>{'x' * n}<p id=it{q}s>Two</p></article>") == (
+            f"One\n\n{'x' * n}\n\nTwo")
+
+
+def test_quotes_stay_linear():
+    for page in ("<a b=\">\" " * 100_000, "<a b=\">\" c='" * 70_001, "<a b='>\" c=\"" * 70_001, "<a " + "'" * 300_000 + "<a b='>",
+                 "<" + "a" * 300_000 + "\" ", "<div " + "a" * 300_000 + " b" * 100_000 + ">", "<div " + "a=\"b= 'c= " * 50_000 + ">",
+                 "<" * 300_000 + ">", "<a b=" + " " * 300_000 + "'>"):
+        htmltext.main_text(page)
