@@ -13,8 +13,8 @@ square of the corpus and the broadcast with the corpus.)
 2. Documents with repeated minimizers give their segments: runs of windows with
    one minimizer, 13 windows at most. Equal segments are folded in each task
    before the shuffle, with the first place where they stand. Segments of a
-   minimizer in over ``HOT`` documents are cut into single windows first, and each
-   window's content makes a shard of its own.
+   minimizer that has over ``HOT`` of them, in however many documents, are cut into
+   single windows first, and each window's content makes a shard of its own.
 3. In a shard, segments are streamed in corpus order through a suffix automaton
    that grows with them: after each word, the length of the state's suffix link
    is the matching statistic, the longest part before that occurred earlier. A
@@ -177,8 +177,8 @@ def _document_groups(batch: pa.RecordBatch) -> Iterator[tuple[int, list[list[byt
 # --- step 1: minimizers ---
 
 def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct minimizers per document; ``twice``: in two of its segments, or of
-    a segment that may repeat a window in itself."""
+    """Distinct minimizers per document; ``n``: in how many of its segments;
+    ``twice``: in two, or of a segment that may repeat a window in itself."""
     for batch in batches:
         did, tie = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("did", "tie"))
         for row, documents in _document_groups(batch):
@@ -193,36 +193,37 @@ def _minimizers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begins = np.ones(len(h), bool)
             begins[1:] = (h[1:] != h[:-1]) | (doc[1:] != doc[:-1])
             begins = np.flatnonzero(begins)
-            many = np.diff(np.concatenate([begins, [len(h)]])) > 1
+            n = np.diff(np.concatenate([begins, [len(h)]]))
+            many = n > 1
             echoes = layout.echo[at + size + REACH - 1] > layout.echo[at]
             many |= np.logical_or.reduceat(echoes[order], begins)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(h[begins]), pa.array(did[doc[begins]]), pa.array(tie[doc[begins]]), pa.array(many)],
-                names=["h", "did", "tie", "twice"])
+                [pa.array(h[begins]), pa.array(did[doc[begins]]), pa.array(tie[doc[begins]]), pa.array(n), pa.array(many)],
+                names=["h", "did", "tie", "n", "twice"])
 
 
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by minimizer, those whose minimizer is there twice. The
     first and the last row of a partition stay, as their like may be next door."""
-    held: tuple | None = None           # the last row so far: h, did, tie, stays
+    held: tuple | None = None           # the last row so far: h, did, tie, n, stays
     for batch in batches:
-        h, did, tie, stays = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "did", "tie", "twice"))
+        h, did, tie, n, stays = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("h", "did", "tie", "n", "twice"))
         if not len(h):
             continue
         stays = stays.copy()
         if held is None:
             stays[0] = True
         else:
-            h, did, tie, stays = (np.concatenate([[x], y]) for x, y in zip(held, (h, did, tie, stays)))
+            h, did, tie, n, stays = (np.concatenate([[x], y]) for x, y in zip(held, (h, did, tie, n, stays)))
         same = h[1:] == h[:-1]
         stays[1:] |= same
         stays[:-1] |= same
-        held = (h[-1], did[-1], tie[-1], stays[-1])
+        held = (h[-1], did[-1], tie[-1], n[-1], stays[-1])
         keep = np.flatnonzero(stays[:-1])
         if len(keep):
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, did, tie)], names=["h", "did", "tie"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (h, did, tie, n)], names=["h", "did", "tie", "n"])
     if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:3]], names=["h", "did", "tie"])
+        yield pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in held[:4]], names=["h", "did", "tie", "n"])
 
 
 # --- step 2: segments ---
@@ -276,7 +277,7 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     folded = _Folded()
     for batch in batches:
         did, tie = (batch.column(c).to_pylist() for c in ("did", "tie"))
-        wanted, hot = _lists(batch.column("wanted")), batch.column("hot").to_pylist()
+        wanted, hot = _lists(batch.column("wanted")), [set(x or ()) for x in batch.column("hot").to_pylist()]
         for row, documents in _document_groups(batch):
             layout = lay_out(documents)
             doc, at, size = _chosen(layout, wanted[row:row + len(documents)])
@@ -284,15 +285,15 @@ def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             offsets = at - layout.first[doc]
             for d, first, n, h, start in zip((doc + row).tolist(), at.tolist(), size.tolist(),
                                              layout.minimizer[at].view(np.int64).tolist(), offsets.tolist()):
-                if hot[d] and h in hot[d]:
+                if h in hot[d]:
                     for k in range(n):
                         window = data[starts[first + k]:ends[first + k + WINDOW - 1]]
                         part = xxhash.xxh64_intdigest(window)
                         folded.add(h, part - (1 << 63), window, (did[d], tie[d], start + k))
                 else:
                     folded.add(h, 0, data[starts[first]:ends[first + n + WINDOW - 2]], (did[d], tie[d], start))
-            if folded.size >= FOLDED:
-                yield folded.batch()
+                if folded.size >= FOLDED:
+                    yield folded.batch()
     if folded.first:
         yield folded.batch()
 
@@ -444,11 +445,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("did"),
         F.xxhash64(text_col).bitwiseAND(F.lit((1 << 30) - 1)).alias("tie"), F.col(text_col).alias("t"))
     doc = ["did", "tie"]
-    found = rows.select("did", "tie", "t").mapInArrow(_minimizers, "h long, did long, tie long, twice boolean")
+    found = rows.select("did", "tie", "t").mapInArrow(_minimizers, "h long, did long, tie long, n long, twice boolean")
     repeated = materialise(found.repartitionByRange("h", "did").sortWithinPartitions("h").mapInArrow(
-        _repeated, "h long, did long, tie long"), "minimizers")
-    # One row per minimizer in over HOT documents.
-    hot = repeated.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT).select("h", F.col("h").alias("hot"))
+        _repeated, "h long, did long, tie long, n long"), "minimizers")
+    # One row per minimizer of over HOT segments.
+    hot = repeated.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") > HOT).select("h", F.col("h").alias("hot"))
     wanted = repeated.join(hot, "h", "left").groupBy(*doc).agg(
         F.collect_set("h").alias("wanted"), F.collect_set("hot").alias("hot"))
     # Both joins below take the documents from this one shuffle; the small side is hashed, texts are not sorted.

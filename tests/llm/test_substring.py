@@ -64,6 +64,29 @@ def test_hot_shards_are_cut_and_lose_nothing(spark, monkeypatch):
     assert sum(r["n_removed"] == 30 for r in got.values()) == 59
 
 
+def test_one_long_document_makes_no_large_shard(spark, monkeypatch):
+    """A phrase again and again within one document, always in other surroundings."""
+    monkeypatch.setattr(substring, "HOT", 40)
+    streamed = substring._streamed
+
+    def bounded(batches):
+        held, size = list(batches), {}
+        for batch in held:
+            for shard in zip(batch.column("h").to_pylist(), batch.column("part").to_pylist()):
+                size[shard] = size.get(shard, 0) + 1
+        assert max(size.values(), default=0) <= 40
+        return streamed(iter(held))
+
+    monkeypatch.setattr(substring, "_streamed", bounded)
+    rng = random.Random(9)
+    phrase = " ".join(f"p{k}" for k in range(12))
+    lines = [f"{' '.join(f'x{rng.randrange(10**9)}' for _ in range(9))} {phrase}" for _ in range(300)]
+    rows = [(1, "\n".join(lines + lines[50:60]), None, None, 0), (2, "\n".join(lines[100:103]), None, None, 0)]
+    got = by_id(substring.remove_repeats(frame(spark, rows)))
+    assert {i: (r["n_words"], r["n_removed"], r["kept"]) for i, r in got.items()} == brute(rows)
+    assert got[1]["n_removed"] >= 200 and got[2]["n_removed"] == 63
+
+
 def test_rows_that_repeat_and_null_identifiers(spark):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(None, text, None, None, 0), (4, text, None, None, 0), (4, text, None, None, 0), (9, text + " tail", None, None, 0)]
