@@ -2,12 +2,13 @@
 language with that language's zstandard raw-content dictionary; the smallest
 total wins and a narrow margin rejects.
 
-Fitting takes a bounded sample: of each language the documents that have the
-least hash in ``SAMPLE_DOCS`` hash buckets, ``SAMPLE_CHARS`` code points of each,
-for the ``MOST_LANGUAGES`` most frequent languages (so at most 64 x 256 x 4,000
-code points reach the driver, however large the table). Lines that occur in the
-samples of two languages (licence lines, foreign passages) teach nothing and
-are left out. Predicting reads every whole text in blocks of ``BLOCK`` bytes.
+Fitting learns every label from a bounded sample: of each language the documents
+that have the least hash in ``SAMPLE_DOCS`` hash buckets, ``SAMPLE_CHARS`` code
+points of each. Over ``FULL_SAMPLES`` languages share what so many have (64 x 256 x
+4,000 code points reach the driver at most, however large the table): first each has
+fewer documents, and if not even one is left for each, fewer code points. Lines that
+occur in the samples of two languages (licence lines, foreign passages) teach nothing
+and are left out. Predicting reads every whole text in blocks of ``BLOCK`` bytes.
 
 A text is seen as its lower-case words of letters, each once, in the order of
 their first occurrence: spam repeats and junk between words carry no weight.
@@ -29,7 +30,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS, SAMPLE_CHARS, MOST_LANGUAGES = 256, 4000, 64
+SAMPLE_DOCS, SAMPLE_CHARS, FULL_SAMPLES = 256, 4000, 64
 LEVEL, BLOCK = 6, 4096
 # A text whose best and second language differ by less (as a share of the
 # second size) is rejected.
@@ -61,28 +62,33 @@ def dictionaries(samples: dict[str, list[str]]) -> dict[str, bytes]:
     return {lang: "\n".join(x for x in own if seen[x] == 1 or len(lines) == 1).encode() for lang, own in lines.items()}
 
 
+def shares(n_langs: int) -> tuple[int, int]:
+    """(documents, code points of each) that each of so many languages is sampled with."""
+    docs = min(SAMPLE_DOCS, max(1, FULL_SAMPLES * SAMPLE_DOCS // max(1, n_langs)))
+    return docs, min(SAMPLE_CHARS, max(1, FULL_SAMPLES * SAMPLE_DOCS * SAMPLE_CHARS // max(1, n_langs * docs)))
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, bytes]:
     """Dictionaries of the labelled rows given (null labels and texts are passed over)."""
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    pick = F.xxhash64(F.col(id_col), F.lit("sample"))
-    keyed = known.select(F.col(lang_col).alias("lang"), F.pmod(pick, F.lit(SAMPLE_DOCS)).alias("b"), pick.alias("pick"))
+    lang, pick = F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col), F.lit("sample")).alias("pick")
+    docs, chars = shares(labelled.where(F.col(lang_col).isNotNull()).select(lang).distinct().count())
     # Two longs per row are aggregated; texts are read for the chosen rows only.
-    least = keyed.groupBy("lang", "b").agg(F.min("pick").alias("pick"), F.count("*").alias("n"))
-    chosen = least.collect()
+    pair = F.xxhash64("pick", "lang")
+    chosen = known.select(lang, pick).groupBy("lang", F.pmod("pick", F.lit(docs)).alias("b")).agg(
+        F.min("pick").alias("pick"), F.count("*").alias("n")).select("lang", "n", pair.alias("pair")).collect()
     count: dict[str, int] = defaultdict(int)
     for r in chosen:
         count[r["lang"]] += r["n"]
-    langs = sorted(count, key=lambda k: (-count[k], k))[:MOST_LANGUAGES]
-    picks = sorted({r["pick"] for r in chosen if r["lang"] in langs})
-    if not picks:
+    langs = sorted(count, key=lambda k: (-count[k], k))
+    pairs = sorted(r["pair"] for r in chosen)
+    if not pairs:
         return {}
-    rows = (known.where(pick.isin(picks)).select(
-        F.col(lang_col).alias("lang"), pick.alias("pick"), F.substring(F.col(text_col), 1, SAMPLE_CHARS).alias("t"))
-        .groupBy("lang", "pick").agg(F.min("t").alias("t")).collect())
+    rows = (known.select(lang, pick, F.substring(F.col(text_col), 1, chars).alias("t")).where(pair.isin(pairs))
+            .groupBy("lang", "pick").agg(F.min("t").alias("t")).collect())
     samples: dict[str, list[str]] = {lang: [] for lang in langs}
     for r in sorted(rows, key=lambda r: (r["lang"], r["pick"])):
-        if r["lang"] in samples:
-            samples[r["lang"]].append(r["t"])
+        samples[r["lang"]].append(r["t"])
     return dictionaries(samples)
 
 

@@ -55,3 +55,30 @@ def test_odd_rows(spark):
 def test_ties_go_to_the_more_frequent_language():
     model = langid.Classifier({"zz": b"same words here", "aa": b"same words here"})
     assert model.predict("same words")[::2] == ("zz", True)
+
+
+def test_every_label_is_learned_and_the_sample_stays_bounded(spark, monkeypatch):
+    """90 languages, the last of them rare, each with syllables of its own."""
+    rng = random.Random(4)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = []
+    for k in range(90):
+        own = ["".join(rng.choices(letters, k=3)) for _ in range(6)]
+        for _ in range(12 if k < 70 else 8):
+            rows.append((len(rows), " ".join("".join(rng.choices(own, k=3)) for _ in range(80)), f"l{k}", "s", 0))
+    df = frame(spark, rows)
+    content = langid.fit(df.where(~langid.held_out()))
+    assert len(content) == 90
+    got = {r["row"]["doc_id"]: r for r in langid.identify(df, content).collect()}
+    assert all(got[i]["lang_pred"] == lang and not got[i]["lang_rejected"] for i, _, lang, _, _ in rows)
+    # the budget of two full samples of three documents, shared by 90
+    seen = []
+    monkeypatch.setattr(langid, "FULL_SAMPLES", 2)
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 3)
+    monkeypatch.setattr(langid, "SAMPLE_CHARS", 600)
+    monkeypatch.setattr(langid, "dictionaries", lambda samples: seen.append(samples) or {})
+    langid.fit(df)
+    assert len(seen[0]) == 90 and all(len(t) == 1 and len(t[0]) == 40 for t in seen[0].values())
+    for n in (0, 1, 64, 65, 1000, 16384, 10**6):
+        docs, chars = langid.shares(n)
+        assert docs >= 1 and chars >= 1 and n * docs * chars <= max(n, 2 * 3 * 600)
