@@ -443,7 +443,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     joined by blanks, and the removed spans in words, end exclusive."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("did"),
-        F.xxhash64(text_col).bitwiseAND(F.lit((1 << 30) - 1)).alias("tie"), F.col(text_col).alias("t"))
+        F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("t"))
     doc = ["did", "tie"]
     found = rows.select("did", "tie", "t").mapInArrow(_minimizers, "h long, did long, tie long, n long, twice boolean")
     repeated = materialise(found.repartitionByRange("h", "did").sortWithinPartitions("h").mapInArrow(

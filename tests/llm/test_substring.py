@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from logtally.llm import substring
@@ -96,6 +97,16 @@ def test_rows_that_repeat_and_null_identifiers(spark):
     assert substring.remove_repeats(frame(spark, rows).limit(0)).collect() == []
 
 
+def test_texts_without_identifier_whose_hashes_share_30_bits(spark):
+    passage, again = (" ".join(f"{x}{k}" for k in range(30)) for x in "pq")
+    low = lambda t: xxhash.xxh64_intdigest(t.encode(), seed=42) & (1 << 30) - 1
+    one = {low(t): t for t in (f"{passage} a{k}" for k in range(60_000))}
+    other = next(t for t in (f"{again} {again} b{k}" for k in range(2_000_000)) if low(t) in one)
+    rows = [(1, passage, None, None, 0), (None, one[low(other)], None, None, 0), (None, other, None, None, 0)]
+    got = sorted((r["n_words"], r["n_removed"]) for r in substring.remove_repeats(frame(spark, rows)).collect())
+    assert got == [(30, 0), (31, 30), (61, 30)]
+
+
 def test_words_longer_than_a_block(spark, monkeypatch):
     monkeypatch.setattr(substring, "BLOCK", 64)
     rows = [(k, " ".join(["z" * 500, *[f"w{j}" for j in range(40)], "z" * 100]), None, None, 0) for k in range(3)]
