@@ -18,6 +18,7 @@ from logtally.llm.mixing import mix_counts
 from logtally.llm.pii import find_pii
 from logtally.llm.simhash import near_groups
 from logtally.llm.substring import remove_repeats
+from logtally.llm.suffixranks import remove_repeated_bytes
 
 
 # Vocabulary files of the registered queries.
@@ -76,6 +77,12 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
@@ -87,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_fingerprint": op10_fingerprint,
+    "op12_suffix_ranks": op12_suffix_ranks,
 }
 
 _OP1 = r"""
@@ -145,4 +153,18 @@ SELECT doc_id,
 FROM t
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op8_mixing": _OP8, "op9_exact_dedup": _OP9}
+_OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+u AS (SELECT r, x, unnest(range(len(x) // 2)) AS i FROM d),
+k AS (SELECT r, i, substr(x, 2 * i + 1, 2) AS byte, 2 * i + 400 <= len(x) AS whole, md5(substr(x, 2 * i + 1, 400)) AS s FROM u),
+a AS (SELECT r, i, byte, whole AND count(*) OVER (PARTITION BY whole, s) > 1 AS again FROM k),
+c AS (SELECT r, i, byte, max(again::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN 199 PRECEDING AND CURRENT ROW) AS gone FROM a),
+b AS (SELECT *, coalesce(lag(gone) OVER (PARTITION BY r ORDER BY i), 0) AS before FROM c),
+g AS (SELECT r, sum(gone)::BIGINT AS n_removed, sum(gone * (1 - before))::BIGINT AS n_spans,
+             string_agg(byte, '' ORDER BY i) FILTER (WHERE gone = 0) AS kept FROM b GROUP BY r)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+       coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM d LEFT JOIN g USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op8_mixing": _OP8, "op9_exact_dedup": _OP9, "op12_suffix_ranks": _OP12}
