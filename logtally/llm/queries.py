@@ -14,6 +14,7 @@ from logtally.llm import bpe, langid, tokencount
 from logtally.llm.exact import exact_groups
 from logtally.llm.fingerprint import fingerprints
 from logtally.llm.htmltext import extract_text
+from logtally.llm.lexical import search
 from logtally.llm.mixing import mix_counts
 from logtally.llm.pii import find_pii
 from logtally.llm.simhash import near_groups
@@ -83,6 +84,10 @@ def op12_suffix_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_fingerprint": op10_fingerprint,
     "op12_suffix_ranks": op12_suffix_ranks,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _OP1 = r"""
@@ -167,4 +173,24 @@ SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT
 FROM d LEFT JOIN g USING (r)
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op8_mixing": _OP8, "op9_exact_dedup": _OP9, "op12_suffix_ranks": _OP12}
+_OP13 = r"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+c AS (SELECT r, doc_id, term, count(*) AS tf FROM t GROUP BY ALL),
+n AS (SELECT r, sum(tf)::BIGINT AS n FROM c GROUP BY r),
+g AS (SELECT count(*) AS docs, sum(n)::BIGINT AS size FROM n),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM c, g GROUP BY term),
+q AS (SELECT row_number() OVER () AS i, item_id, unnest(regexp_extract_all(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+s AS (SELECT i, item_id, r, c.doc_id,
+             sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // size))))::BIGINT AS score
+      FROM q JOIN c USING (term) JOIN w USING (term) JOIN n USING (r), g GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op8_mixing": _OP8, "op9_exact_dedup": _OP9, "op12_suffix_ranks": _OP12,
+                              "op13_lexical_search": _OP13}

@@ -24,6 +24,7 @@ COLUMNS = {
     "op10_fingerprint": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
                          "common_edited", "common_next"],
     "op12_suffix_ranks": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op13_lexical_search": ["item_id", "rank", "doc_id", "score"],
 }
 
 
@@ -31,13 +32,17 @@ COLUMNS = {
 def test_query_covers_its_table(spark, name):
     df = QUERIES[name](spark, SF)
     assert df.columns == COLUMNS[name]
+    if name == "op13_lexical_search":
+        assert {r["rank"] for r in df.collect()} == set(range(1, 11))
+        return
     assert df.count() == spark.read.parquet(f"{SF}/{'pages' if 'html' in name else 'documents'}.parquet").count()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for table in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF}/{table}.parquet')")
     cursor = con.execute(ORACLE_SQL[name])
     columns = [c[0] for c in cursor.description]
     want = sorted(cursor.fetchall())
