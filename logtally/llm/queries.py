@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtally.llm import bpe, langid, tokencount
+from logtally.llm import alignment, bpe, langid, tokencount
 from logtally.llm.exact import exact_groups
 from logtally.llm.fingerprint import fingerprints
 from logtally.llm.htmltext import extract_text
@@ -25,6 +25,7 @@ from logtally.llm.suffixranks import remove_repeated_bytes
 # Vocabulary files of the registered queries.
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 UNIGRAM_PIECES = "piece_bpe_32k.model"
+ALIGNED = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +79,11 @@ def op10_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(_table(spark, sf_dir, "documents"), *map(public_tokenizers.path, ALIGNED), carry=["doc_id"]).select(
+        "row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op12_suffix_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_fingerprint": op10_fingerprint,
+    "op11_token_alignment": op11_token_alignment,
     "op12_suffix_ranks": op12_suffix_ranks,
     "op13_lexical_search": op13_lexical_search,
 }

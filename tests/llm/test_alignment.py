@@ -1,0 +1,123 @@
+import hashlib
+import json
+import random
+from bisect import bisect_left
+from collections import Counter, defaultdict
+from itertools import accumulate
+
+import public_tokenizers
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from logtally.llm import alignment
+from tests.llm.helpers import documents, frame
+
+A_PATH, B_PATH = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+COLUMNS = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+
+
+class Plain:
+    """The contract by the libraries, text by text, byte by byte."""
+
+    def __init__(self):
+        self.a = Tokenizer.from_file(A_PATH)
+        self.a.encode_special_tokens = True
+        self.b = sentencepiece.SentencePieceProcessor(model_file=B_PATH)
+        letters = alignment.byte_letters()
+        self.bytes_a = {i: bytes(letters[c] for c in t) for t, i in json.load(open(A_PATH))["model"]["vocab"].items() if i != 50256}
+
+    def piece(self, i):
+        return bytes([int(self.b.id_to_piece(i)[3:5], 16)]) if self.b.is_byte(i) else self.b.id_to_piece(i).replace("▁", " ").encode()
+
+    def tokens(self, text):
+        if not text:
+            return [], []
+        a = [(i, self.bytes_a[i]) for i in self.a.encode(" " + text, add_special_tokens=False).ids]
+        b = [(i, self.piece(i)) for i in self.b.encode(text)]
+        want = (" " + text).encode()
+        return (a, b) if b"".join(x for _, x in a) == want == b"".join(x for _, x in b) else ([], [])
+
+    def rows(self, texts):
+        out, count, links_of = [], Counter(), []
+        for text in texts:
+            a, b = self.tokens(text)
+            owner_a, owner_b = ([k for k, (_, x) in enumerate(side) for _ in x] for side in (a, b))
+            links = sorted(set(zip(owner_a, owner_b)))
+            links = [(a[i][0], b[j][0]) for i, j in links]
+            count.update(links)
+            links_of.append(links)
+            groups, i, j = [], 0, 0
+            ends_a, ends_b = (list(accumulate(len(x) for _, x in side)) for side in (a, b))
+            for end in sorted(set(ends_a) & set(ends_b)):
+                p, q = bisect_left(ends_a, end) + 1, bisect_left(ends_b, end) + 1
+                groups.append(",".join(str(t) for t, _ in a[i:p]) + "|" + ",".join(str(t) for t, _ in b[j:q]))
+                i, j = p, q
+            out.append([len(a), len(b), len(groups), len(links), 0, 0,
+                        hashlib.sha256(";".join(groups).encode()).hexdigest() if a else ""])
+        best = defaultdict(int)
+        for (_, b), n in count.items():
+            best[b] = max(best[b], n)
+        for row, links in zip(out, links_of):
+            row[4] = sum(count[x] == best[x[1]] for x in links)
+            row[5] = sum(count[x] for x in links)
+        return [tuple(r) for r in out]
+
+
+PLAIN = Plain()
+ODD = [None, "", " ", "  ", "\n", "a", "a ", "a  ", " a", "<|endoftext|>", "x <s> </s> <unk> <0x41>", "x▁y", "▁", "\x00a", "\xa0x y",
+       "tab\there\n\n  two", "don't I'll  we've", "ﬁ é́ 日本語 text 𝄞", "na\x85me b", "end.\n", " wide  space", "a  b", "\r\n \r\n",
+       "1234567 89.0, 3", "😀 👩‍👩‍👧 flags 🇩🇪", "ssss " * 30, "z" * 400, "\x1c x", "a\x1f b", "€ ¥", "word" + " " * 40 + "word", "﻿bom x", "­ soft"]
+
+
+def result(df):
+    return {r["row"]["doc_id"]: tuple(r[c] for c in COLUMNS) for r in df.collect()}
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_the_libraries(spark, seed, monkeypatch):
+    rng = random.Random(seed)
+    alphabet = ["a", "the", " ", "  ", "\n", "\t", ".", ",", "'s", "Ü", "日", "😀", "0", "12", "\xa0", "-", "&&&", "ing", " ", "É"]
+    texts = ODD + [r[1] for r in documents(seed)] + ["".join(rng.choices(alphabet, k=rng.randrange(1, 80))) for _ in range(150)]
+    rows = [(i, t, None, None, 0) for i, t in enumerate(texts)]
+    got = result(alignment.align(frame(spark, rows, extra=seed == 1), A_PATH, B_PATH))
+    want = dict(enumerate(PLAIN.rows(texts)))
+    assert {i: (texts[i], got[i], want[i]) for i in want if got[i] != want[i]} == {}
+    assert sum(r[0] for r in want.values()) > 10_000
+
+
+def test_every_size_of_group_and_memory_gives_the_same(spark):
+    texts = ODD + [r[1] for r in documents(3, 40)]
+    want = PLAIN.rows(texts)
+    aligner = alignment.Aligner(open(A_PATH, encoding="utf-8").read(), open(B_PATH, "rb").read())
+    assert aligner.cuts
+
+    def row(text):
+        own = aligner.documents([text])[0]
+        return (*(int(getattr(aligner, n)[own].sum()) for n in ("n_a", "n_b", "n_groups")), len(aligner.pairs(own)))
+
+    assert [row(t) for t in texts] == [w[:4] for w in want]
+    aligner.cuts = False                     # whole texts
+    aligner.forget()
+    assert [row(t) for t in texts] == [w[:4] for w in want]
+
+
+def test_a_word_that_is_no_token_sequence_leaves_the_others(spark):
+    texts = ["fine words here", "bad ▁ here", "fine again"]
+    got = result(alignment.align(frame(spark, [(i, t, None, None, 0) for i, t in enumerate(texts)]), A_PATH, B_PATH))
+    assert [got[i] for i in range(3)] == PLAIN.rows(texts)
+    assert got[1] == (0, 0, 0, 0, 0, 0, "")
+
+
+def test_rows_that_repeat_nulls_and_an_empty_table(spark):
+    rows = [(1, "a b", None, None, 0)] * 2 + [(None, "a b c", None, None, 0), (5, None, None, None, 0)]
+    df = alignment.align(frame(spark, rows), A_PATH, B_PATH, carry=["doc_id"])
+    assert sorted((str(r["row"]["doc_id"]), r["count_sum"]) for r in df.collect()) == [("1", 6), ("1", 6), ("5", 0), ("None", 7)]
+    assert alignment.align(frame(spark, rows).limit(0), A_PATH, B_PATH).collect() == []
+
+
+def test_links_and_ends_of_slices():
+    ends_a, ends_b = [2, 3, 7, 9], [1, 3, 4, 9]
+    assert alignment.common_ends(ends_a, ends_b) == ([3, 9], [2, 4], [2, 4])
+    assert alignment.links_of(ends_a, ends_b, (0, 2, 0, 2)) == [(0, 0), (0, 1), (1, 1)]
+    assert alignment.links_of(ends_a, ends_b, (2, 4, 2, 4)) == [(2, 2), (2, 3), (3, 3)]

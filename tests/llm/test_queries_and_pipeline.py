@@ -23,6 +23,7 @@ COLUMNS = {
     "op9_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
     "op10_fingerprint": ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next",
                          "common_edited", "common_next"],
+    "op11_token_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
     "op12_suffix_ranks": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
     "op13_lexical_search": ["item_id", "rank", "doc_id", "score"],
 }
