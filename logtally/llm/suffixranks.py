@@ -271,15 +271,16 @@ def _open_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield cut()
 
 
-def shared_windows(groups: np.ndarray, windows: np.ndarray) -> np.ndarray:
-    """Which windows have an equal one in their group."""
+def shared_windows(groups: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which windows have an equal one in their group, and which are the first of their kind."""
     order = np.lexsort((windows, groups))
     g, w = groups[order], windows[order]
     same = (g[1:] == g[:-1]) & (w[1:] == w[:-1])
-    out = np.zeros(len(order), bool)
-    out[order[1:][same]] = True
-    out[order[:-1][same]] = True
-    return out
+    shared, first = np.zeros(len(order), bool), np.ones(len(order), bool)
+    shared[order[1:][same]] = True
+    shared[order[:-1][same]] = True
+    first[order[1:][same]] = False
+    return shared, first
 
 
 def _cut(part: np.ndarray, core: np.ndarray | None, limit: int) -> list[np.ndarray]:
@@ -296,7 +297,8 @@ _FINISHED = "did long, tie long, place long, asks boolean, one long, other long"
 
 def _finished(counted: bool, limit: int):
     """Settles what is sorted by core and cover. ``counted`` gives the windows that Spark is
-    to count, with their two names; else the repeated places that are known here."""
+    to count, one of each kind here, with their two names; else the repeated places that are
+    known here."""
     def batch(did, tie, place, asks=None, one=None, other=None) -> pa.RecordBatch:
         n = len(did)
         return pa.RecordBatch.from_arrays(
@@ -312,27 +314,34 @@ def _finished(counted: bool, limit: int):
             if not counted and (repeated & asks).any():
                 k = repeated & asks
                 yield batch(did[k], tie[k], place[k])
-            part = np.flatnonzero((undecided | met) & (border if counted else ~border))
-            for some in _cut(part, None if counted else core[part], limit):
+            here = undecided | met
+            parts = _cut(np.flatnonzero(here & border), None, limit)
+            if not counted:
+                inner = np.flatnonzero(here & ~border)
+                parts += _cut(inner, core[inner], limit)
+            for some in parts:
                 data, starts, of, whole = _laid(rows.column("bytes").take(pa.array(some)).to_pylist())
                 window = np.flatnonzero(whole)
                 row = some[of[window]]
                 start = (place[row] >> 8) + window - starts[of[window]]
                 name = names(np.frombuffer(data, np.uint8), LENGTH)[window].view(np.int64)
-                open_ = (undecided & asks)[row]
+                shared, first = shared_windows(core[row], name)
+                ask = (undecided & asks)[row] & ~shared
                 if counted:
-                    other = np.fromiter((xxhash.xxh3_64_intdigest(data[w:w + LENGTH]) for w in window.tolist()),
-                                        np.uint64, len(window)).view(np.int64)
-                    yield batch(did[row], tie[row], _place(start, 1), open_, name, other)
+                    # Of equal windows one is enough.
+                    go = np.flatnonzero(first)
+                    other = np.fromiter((xxhash.xxh3_64_intdigest(data[w:w + LENGTH]) for w in window[go].tolist()),
+                                        np.uint64, len(go)).view(np.int64)
+                    yield batch(did[row[go]], tie[row[go]], _place(start[go], 1), ask[go], name[go], other)
                     continue
-                hit = np.flatnonzero(shared_windows(core[row], name) & open_)
+                hit = np.flatnonzero(shared & (undecided & asks)[row])
                 if len(hit):
                     # Neighbouring windows of one run go together.
                     fresh = np.ones(len(hit), bool)
                     fresh[1:] = (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])
-                    first = hit[fresh]
+                    begin = hit[fresh]
                     n = np.diff(np.append(np.flatnonzero(fresh), len(hit)))
-                    yield batch(did[row[first]], tie[row[first]], _place(start[first], n))
+                    yield batch(did[row[begin]], tie[row[begin]], _place(start[begin], n))
     return run
 
 
