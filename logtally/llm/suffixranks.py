@@ -21,8 +21,9 @@ doubled length, and one copy of each cover goes along to be met.
    range partitioning and a sort within them settle most.
 2. The runs left over come back to their texts, are cut by ranks of twice the bytes
    and sorted with their bytes. A core's runs are finished at ``LENGTH`` where they
-   meet, window by window; the windows of a core with more than ``LIMIT`` of them, or
-   that crosses the border of two partitions, are counted by Spark.
+   meet, window by window; those of a core with more than ``LIMIT`` of them, or that
+   crosses the border of two partitions, are cut and sorted again by ever longer ranks
+   (``LONGER``), until Spark counts the few windows that are left.
 3. What is repeated goes back to the documents, whose text is shuffled once.
 
 A row is told apart by two independent 64-bit names. No row needs more of another
@@ -49,6 +50,8 @@ from pyspark.sql import functions as F
 from logtally.llm.common import materialise
 
 LENGTH, FIRST = 200, 50
+# Bytes of the ranks by which the runs of a core too large for a task are cut again, and again.
+LONGER = (150, 180, 195)
 # Runs of one core that a task finishes itself.
 LIMIT = 4096
 # Windows looked at together.
@@ -292,48 +295,39 @@ def _cut(part: np.ndarray, core: np.ndarray | None, limit: int) -> list[np.ndarr
     return [x for x in np.split(part, ends) if len(x)]
 
 
-_FINISHED = "did long, tie long, place long, asks boolean, one long, other long"
+def _windows(rows: pa.Table, some: np.ndarray, core: np.ndarray, place: np.ndarray):
+    """Of the windows of some rows: (row, first byte, name, has an equal one of its core, first of its kind, bytes)."""
+    data, starts, of, whole = _laid(rows.column("bytes").take(pa.array(some)).to_pylist())
+    window = np.flatnonzero(whole)
+    row = some[of[window]]
+    name = names(np.frombuffer(data, np.uint8), LENGTH)[window].view(np.int64)
+    shared, first = shared_windows(core[row], name)
+    return row, (place[row] >> 8) + window - starts[of[window]], name, shared, first, lambda k: data[window[k]:window[k] + LENGTH]
 
 
-def _finished(counted: bool, limit: int):
-    """Settles what is sorted by core and cover. ``counted`` gives the windows that Spark is
-    to count, one of each kind here, with their two names; else the repeated places that are
-    known here."""
-    def batch(did, tie, place, asks=None, one=None, other=None) -> pa.RecordBatch:
-        n = len(did)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(did), pa.array(tie), pa.array(place), pa.array(np.ones(n, bool) if asks is None else asks),
-             pa.array(np.zeros(n, np.int64) if one is None else one), pa.array(np.zeros(n, np.int64) if other is None else other)],
-            names=["did", "tie", "place", "asks", "one", "other"])
+def _columns(rows: pa.Table) -> list[np.ndarray]:
+    return [rows.column(c).to_numpy() for c in ("core", "cover", "did", "tie", "place", "asks")]
 
+
+def _found(limit: int, last: bool):
+    """Places of rows sorted by core and cover that are repeated as seen here: covers that come twice, and
+    windows of cores that are whole here (``last``: of parts of the others, too)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(*columns) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["did", "tie", "place"])
+
         for rows, border in _by_core(batches, limit):
-            core, cover, did, tie, place, asks = (
-                rows.column(c).to_numpy() for c in ("core", "cover", "did", "tie", "place", "asks"))
+            core, cover, did, tie, place, asks = _columns(rows)
             repeated, undecided, met = settle(core, cover, border)
-            if not counted and (repeated & asks).any():
+            if (repeated & asks).any():
                 k = repeated & asks
                 yield batch(did[k], tie[k], place[k])
-            here = undecided | met
-            parts = _cut(np.flatnonzero(here & border), None, limit)
-            if not counted:
-                inner = np.flatnonzero(here & ~border)
-                parts += _cut(inner, core[inner], limit)
+            inner = np.flatnonzero((undecided | met) & ~border)
+            parts = _cut(inner, core[inner], limit)
+            if last:
+                parts += _cut(np.flatnonzero((undecided | met) & border), None, limit)
             for some in parts:
-                data, starts, of, whole = _laid(rows.column("bytes").take(pa.array(some)).to_pylist())
-                window = np.flatnonzero(whole)
-                row = some[of[window]]
-                start = (place[row] >> 8) + window - starts[of[window]]
-                name = names(np.frombuffer(data, np.uint8), LENGTH)[window].view(np.int64)
-                shared, first = shared_windows(core[row], name)
-                ask = (undecided & asks)[row] & ~shared
-                if counted:
-                    # Of equal windows one is enough.
-                    go = np.flatnonzero(first)
-                    other = np.fromiter((xxhash.xxh3_64_intdigest(data[w:w + LENGTH]) for w in window[go].tolist()),
-                                        np.uint64, len(go)).view(np.int64)
-                    yield batch(did[row[go]], tie[row[go]], _place(start[go], 1), ask[go], name[go], other)
-                    continue
+                row, start, _, shared, _, _ = _windows(rows, some, core, place)
                 hit = np.flatnonzero(shared & (undecided & asks)[row])
                 if len(hit):
                     # Neighbouring windows of one run go together.
@@ -345,6 +339,42 @@ def _finished(counted: bool, limit: int):
     return run
 
 
+_RUNS = "core long, cover long, did long, tie long, place long, asks boolean, bytes binary"
+
+
+def _longer(length: int, limit: int):
+    """What is left of cores that are not whole here, cut anew by ranks of ``length`` bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, border in _by_core(batches, limit):
+            core, cover, did, tie, place, asks = _columns(rows)
+            _, undecided, met = settle(core, cover, border)
+            for some in _cut(np.flatnonzero((undecided | met) & border), None, limit):
+                piece, first, n, core_, cover_, covers = runs(rows.column("bytes").take(pa.array(some)).to_pylist(), length)
+                row = some[piece]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(core_), pa.array(cover_), pa.array(did[row]), pa.array(tie[row]),
+                     pa.array(_place((place[row] >> 8) + first, n)), pa.array((undecided & asks)[row]), pa.array(covers, pa.binary())],
+                    names=["core", "cover", "did", "tie", "place", "asks", "bytes"])
+    return run
+
+
+def _to_count(limit: int):
+    """The windows of cores that are not whole here, one of each kind, with two names for Spark to count."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, border in _by_core(batches, limit):
+            core, cover, did, tie, place, asks = _columns(rows)
+            _, undecided, met = settle(core, cover, border)
+            for some in _cut(np.flatnonzero((undecided | met) & border), None, limit):
+                row, start, name, shared, first, text = _windows(rows, some, core, place)
+                go = np.flatnonzero(first)
+                other = np.fromiter((xxhash.xxh3_64_intdigest(text(k)) for k in go.tolist()), np.uint64, len(go)).view(np.int64)
+                row = row[go]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(x) for x in (did[row], tie[row], _place(start[go], 1), (undecided & asks)[row] & ~shared[go], name[go], other)],
+                    names=["did", "tie", "place", "asks", "one", "other"])
+    return run
+
+
 # --- step 3: removal ---
 
 def removed_spans(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -398,13 +428,18 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                     F.array_distinct(of(MET)).alias("met"))
     # Both uses below take the documents from this one shuffle; the small side is hashed, texts are not sorted.
     placed = rows.join(found.hint("shuffle_hash"), doc, "left")
-    again = placed.where("size(open) > 0 or size(met) > 0").select("id", "did", "tie", "t", "settled", "open", "met").mapInArrow(
-        _open_runs, "core long, cover long, did long, tie long, place long, asks boolean, bytes binary")
-    again = again.repartitionByRange("core", "cover", "did", "place").sortWithinPartitions("core", "cover")
-    windows = again.mapInArrow(_finished(True, limit), _FINISHED)
+    left = placed.where("size(open) > 0 or size(met) > 0").select("id", "did", "tie", "t", "settled", "open", "met").mapInArrow(
+        _open_runs, _RUNS)
+    new = None
+    for length in (*LONGER, LENGTH):
+        left = left.repartitionByRange("core", "cover", "did", "place").sortWithinPartitions("core", "cover")
+        seen = left.mapInArrow(_found(limit, length == LENGTH), "did long, tie long, place long")
+        new = seen if new is None else new.unionByName(seen)
+        if length < LENGTH:
+            left = left.mapInArrow(_longer(length, limit), _RUNS)
+    windows = left.mapInArrow(_to_count(limit), "did long, tie long, place long, asks boolean, one long, other long")
     counts = windows.groupBy("one", "other").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    new = again.mapInArrow(_finished(False, limit), _FINISHED).select(*doc, "place").unionByName(
-        windows.where("asks").join(counts, ["one", "other"]).select(*doc, "place"))
+    new = new.unionByName(windows.where("asks").join(counts, ["one", "other"]).select(*doc, "place"))
     new = new.groupBy(*doc).agg(F.collect_list("place").alias("new"))
     out = placed.join(new.hint("shuffle_hash"), doc, "left").select("id", "t", "settled", "new").mapInArrow(
         _removed, "id long, n_bytes long, n_removed long, spans array<struct<start: long, `end`: long>>, kept binary")
