@@ -14,6 +14,7 @@ from logtally.operators import (
     reconcile_spine,
     tag_lines,
 )
+from logtally.plans.incremental import refresh
 from logtally.plans.setup import SetupConfig, run_setup
 from logtally.session import build_session
 from logtally.sources import (
@@ -44,6 +45,7 @@ __all__ = [
     "read_valid_lines",
     "reconcile",
     "reconcile_spine",
+    "refresh",
     "run_setup",
     "scan_events",
     "scan_lines",

@@ -5,7 +5,9 @@ shared folder) and read back for the next steps, so gzip is decoded once
 and every later step reads a columnar, splittable, lineage-free table. Raw
 and clean sides are independent; each is a short sequence of Spark jobs.
 
-Layout under ``output_root`` (full refresh on every run)::
+Layout under ``output_root`` (full refresh on every run; every output is a
+versioned table, see ``sinks.versions``: a run that fails leaves the tables it
+had not replaced yet as they were, and readers never find one missing)::
 
     raw/lines        tagged lines            (sourceFileAbsolutePath, fileName, name, line)
     raw/name_counts  events per path, file & name; the two below are summed from it
@@ -51,6 +53,7 @@ from logtally.operators import (
     tag_lines,
     valid_json_rows,
 )
+from logtally.sinks import versions
 from logtally.sinks.writers import (
     export_delimited,
     read_delimited,
@@ -85,9 +88,14 @@ class SetupConfig:
     # letting one corrupt archive fail the job.
     validate: bool = False
     raise_on_mismatch: bool = False
-    # When set, every output is also readable as ``<database>.<side>_<name>``:
-    # Parquet ones as external tables, text ones as views over their folder.
+    # When set, every output is also readable as ``<database>.<side>_<name>``,
+    # a view of the version that was committed last.
     database: str | None = None
+    # Versions of an output that are kept: the current one, and those that
+    # readers of an earlier run may still have open.
+    keep_versions: int = 2
+    # Events that give more rows than this in the dimension table are dealt over tasks.
+    block_rows: int = 100_000
     results: dict = field(default_factory=dict)
 
     def path(self, *parts: str) -> str:
@@ -103,15 +111,24 @@ class SetupConfig:
 
 def _table_rows(spark: SparkSession, path: str) -> int:
     """Row count of a written Parquet table (reads no column data)."""
-    return spark.read.parquet(path).agg(F.count(F.lit(1))).first()[0]
+    return versions.read(spark, path).agg(F.count(F.lit(1))).first()[0]
 
 
-def _check_frame(spark: SparkSession, source: int, derived: int) -> DataFrame:
+def check_frame(spark: SparkSession, source: int, derived: int) -> DataFrame:
     return spark.createDataFrame([(source, derived, source == derived)], CHECK_SCHEMA)
 
 
-def _write(cfg: SetupConfig, df: DataFrame, *parts: str) -> str:
-    return write_managed(df, cfg.path(*parts), table=cfg.table(*parts))
+def _done(spark: SparkSession, cfg: SetupConfig, *parts: str) -> None:
+    """What follows a commit: the view goes to the new version, versions out of use go."""
+    root = cfg.path(*parts)
+    if cfg.database:
+        versions.point_view(spark, cfg.table(*parts), root)
+    versions.drop_old(spark, root, cfg.keep_versions)
+
+
+def _write(cfg: SetupConfig, df: DataFrame, *parts: str) -> None:
+    versions.replace(df.sparkSession, cfg.path(*parts), lambda folder: write_managed(df, folder), df.schema)
+    _done(df.sparkSession, cfg, *parts)
 
 
 def _source_lines(spark: SparkSession, cfg: SetupConfig, root: str, side: str) -> DataFrame:
@@ -121,7 +138,7 @@ def _source_lines(spark: SparkSession, cfg: SetupConfig, root: str, side: str) -
     if not cfg.validate:
         return scan_lines(spark, root, recursive=cfg.recursive)
     _write(cfg, validate_landing(spark, root, recursive=cfg.recursive), side, "landing_manifest")
-    return read_valid_lines(spark, root, spark.read.parquet(cfg.path(side, "landing_manifest")), recursive=cfg.recursive)
+    return read_valid_lines(spark, root, versions.read(spark, cfg.path(side, "landing_manifest")), recursive=cfg.recursive)
 
 
 def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
@@ -134,19 +151,21 @@ def _write_tagged(spark: SparkSession, cfg: SetupConfig, root: str, marker: str,
     if cfg.check == "observe":
         obs = Observation(f"{side}_source")
         _write(cfg, tagged.observe(obs, F.count(F.lit(1)).alias("rows")), side, "lines")
-        check = _check_frame(spark, obs.get["rows"], _table_rows(spark, target))
+        check = check_frame(spark, obs.get["rows"], _table_rows(spark, target))
     else:
         _write(cfg, tagged, side, "lines")
         # ``lines`` is lazy: counting it scans the sources again.
-        check = counts_match(lines.select("line"), spark.read.parquet(target))
-    return spark.read.parquet(target), check
+        check = counts_match(lines.select("line"), versions.read(spark, target))
+    return versions.read(spark, target), check
 
 
 def _export(spark: SparkSession, cfg: SetupConfig, df: DataFrame, schema: str, *parts: str) -> None:
     """A text output: names may hold any character, so values are escaped."""
-    export_delimited(df, cfg.path(*parts), escape=True)
+    root = cfg.path(*parts)
+    folder = versions.replace(spark, root, lambda f: export_delimited(df, f, escape=True))
     if cfg.database:
-        register_delimited(spark, cfg.table(*parts), cfg.path(*parts), schema, escape=True)
+        register_delimited(spark, cfg.table(*parts), folder, schema, escape=True)
+    versions.drop_old(spark, root, cfg.keep_versions)
 
 
 def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, *parts: str,
@@ -159,9 +178,9 @@ def _record_check(spark: SparkSession, cfg: SetupConfig, check: DataFrame, *part
     if check.isLocal():
         row = check.first()          # a one-row local relation: no job
     elif delimited:
-        row = read_delimited(spark, path, CHECK_SCHEMA, escape=True).first()
+        row = read_delimited(spark, versions.folder(spark, path), CHECK_SCHEMA, escape=True).first()
     else:
-        row = spark.read.parquet(path).first()
+        row = versions.read(spark, path).first()
     cfg.results[path] = tuple(row)
     if cfg.raise_on_mismatch and not row["isConsistent"]:
         raise AssertionError(f"row counts differ for {path}: {tuple(row)}")
@@ -172,7 +191,7 @@ def _write_counts(spark: SparkSession, cfg: SetupConfig, tagged: DataFrame, side
     Writes the file counts, returns the event counts."""
     each = tagged.groupBy(PATH_COL, "fileName", "name").agg(F.count(F.lit(1)).alias("n"))
     _write(cfg, each, side, "name_counts")
-    each = spark.read.parquet(cfg.path(side, "name_counts"))
+    each = versions.read(spark, cfg.path(side, "name_counts"))
     _write(cfg, each.groupBy(PATH_COL, "fileName").agg(F.sum("n").alias("lineCount")), side, "file_meta")
     return each.groupBy("fileName", "name").agg(F.sum("n").alias("occurrenceCount"))
 
@@ -191,10 +210,11 @@ def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
     _record_check(spark, cfg, check, "clean", "lines_check")
     _export(spark, cfg, _write_counts(spark, cfg, tagged, "clean"), EVENT_COUNTS_SCHEMA, "clean", "event_counts")
 
-    stage = cfg.path("clean", "json_stage")
-    stage_lines(tagged, stage, source_paths=[cfg.clean_root, cfg.path("clean", "lines")])
+    sources = [cfg.clean_root, cfg.path("clean", "lines")]
+    stage = versions.replace(spark, cfg.path("clean", "json_stage"), lambda f: stage_lines(tagged, f, source_paths=sources))
     if cfg.database:
         register_lines(spark, cfg.table("clean", "json_stage"), stage)
+    versions.drop_old(spark, cfg.path("clean", "json_stage"), cfg.keep_versions)
     seen = None
     if cfg.check == "observe":
         # Parse the splittable Parquet copy of the same lines; count valid
@@ -212,10 +232,10 @@ def build_clean(spark: SparkSession, cfg: SetupConfig) -> dict:
 def check_clean(spark: SparkSession, cfg: SetupConfig, seen: int | None = None) -> dict:
     """Compare the written stage and typed events with the line table, and with
     the valid rows ``seen`` going in if they were counted."""
-    tagged = spark.read.parquet(cfg.path("clean", "lines"))
-    staged = spark.read.text(cfg.path("clean", "json_stage"))
+    tagged = versions.read(spark, cfg.path("clean", "lines"))
+    staged = spark.read.text(versions.folder(spark, cfg.path("clean", "json_stage")))
     _record_check(spark, cfg, counts_match(tagged, staged), "clean", "stage_check", delimited=True)
-    json_check = counts_match(tagged, valid_json_rows(spark.read.parquet(cfg.path("clean", "events"))))
+    json_check = counts_match(tagged, valid_json_rows(versions.read(spark, cfg.path("clean", "events"))))
     if seen is not None:
         json_check = json_check.withColumn("isConsistent", F.col("isConsistent") & (F.col("derivedCount") == seen))
     _record_check(spark, cfg, json_check, "clean", "json_check", delimited=True)
@@ -223,12 +243,12 @@ def check_clean(spark: SparkSession, cfg: SetupConfig, seen: int | None = None)
 
 
 def build_report(spark: SparkSession, cfg: SetupConfig) -> dict:
-    raw_meta = spark.read.parquet(cfg.path("raw", "file_meta"))
-    clean_meta = spark.read.parquet(cfg.path("clean", "file_meta"))
+    raw_meta = versions.read(spark, cfg.path("raw", "file_meta"))
+    clean_meta = versions.read(spark, cfg.path("clean", "file_meta"))
     _write(cfg, reconcile(raw_meta, clean_meta), "report", "reconcile")
     _write(cfg, left_reconcile(raw_meta, clean_meta), "report", "left_reconcile")
-    events = valid_json_rows(spark.read.parquet(cfg.path("clean", "events")))
-    _write(cfg, explode_dimensions(events), "report", "dimensions")
+    events = valid_json_rows(versions.read(spark, cfg.path("clean", "events")))
+    _write(cfg, explode_dimensions(events, block_rows=cfg.block_rows), "report", "dimensions")
     return cfg.results
 
 

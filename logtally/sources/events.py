@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,12 +65,13 @@ def parse_events(
 ) -> DataFrame:
     """Parse a line column with ``from_json`` into typed top-level columns.
 
-    Adds ``_isValid``: the line is one JSON object and nothing else. A blank line gives a NULL
-    struct and a malformed one fills ``_corrupt_record``; a wrong-typed field
-    also fills it, but the line is still an object, so that case is told
-    apart by a second, schema-free parse that runs only for flagged lines.
-    Wrong-typed fields read as NULL and their siblings survive. ``keep``
-    carries through extra columns of ``lines`` (e.g. ``fileName``).
+    Adds ``_isValid``: the line is one JSON object and nothing else. Each line is parsed
+    once, as the first of two elements of an array; the second is a marker written here,
+    with the line's length. Whatever follows the object in its line then breaks the array,
+    ends it early, or puts another element in the marker's place. Fields of a blank line,
+    of one that is no object and of one that goes on after its object are NULL; a
+    wrong-typed field reads as NULL and its siblings survive. ``keep`` carries through
+    extra columns of ``lines`` (e.g. ``fileName``).
 
     ``fields`` limits the parse to those top-level fields. The generator
     below hides later field accesses from Catalyst's JSON schema pruning, so
@@ -80,35 +81,21 @@ def parse_events(
     if fields is not None:
         wanted = set(fields)
         schema = T.StructType([f for f in schema.fields if f.name in wanted])
-    parse_schema = T.StructType(schema.fields + [T.StructField(CORRUPT_COLUMN, T.StringType())])
-    parsed = F.from_json(
-        F.col(line_col), parse_schema,
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COLUMN},
-    )
+    marker = _MARKER
+    while marker in schema.names:
+        marker += "_"
+    element = T.StructType([*schema.fields, T.StructField(marker, T.LongType())])
+    line = F.col(line_col)
+    parsed = F.from_json(F.concat(F.lit("["), line, F.lit(f',{{"{marker}":'), F.length(line), F.lit("}]")), T.ArrayType(element))
     # The one-element explode keeps the parse a single evaluation per line:
     # a filter on a plain projection of it would be pushed below the
     # projection with the whole parse substituted in, running it again.
-    exploded = lines.select(*keep, F.col(line_col).alias("_line"),
-                            F.explode(F.array(parsed)).alias("_e"))
-    return exploded.select(
-        *keep, *[F.col(f"_e.{f.name}").alias(f.name) for f in schema.fields],
-        is_valid_event(F.col("_e"), F.col("_line")).alias("_isValid"))
+    exploded = lines.select(*keep, F.length(line).alias("_length"), F.explode(F.array(parsed)).alias("_p"))
+    event, last = F.get("_p", F.lit(0)), F.get("_p", F.lit(1))
+    valid = (F.size("_p") == 2) & event.isNotNull() & (last.getField(marker) == F.col("_length"))
+    return exploded.select(*keep, *[event.getField(f.name).alias(f.name) for f in schema.fields],
+                           F.coalesce(valid, F.lit(False)).alias("_isValid"))
 
 
-_OBJECT = T.MapType(T.StringType(), T.StringType())
-_STRINGS = T.ArrayType(T.StringType())
-
-
-def is_valid_event(parsed: Column, line: Column) -> Column:
-    """True when the line behind a ``from_json`` result is one JSON object and
-    nothing else.
-
-    Spark's parser stops after the first value. A flat object ends at its only
-    closing brace; any other line is parsed once more as the first of two array
-    elements: what follows the object then breaks the array, ends it early or
-    adds an element.
-    """
-    corrupt = parsed.getField(CORRUPT_COLUMN)
-    alone = F.size(F.from_json(F.concat(F.lit("["), line, F.lit(",0]")), _STRINGS)) == 2
-    return (parsed.isNotNull() & (corrupt.isNull() | F.from_json(line, _OBJECT).isNotNull())
-            & (line.rlike(r"^[^}]*\}\s*$") | F.coalesce(alone, F.lit(False))))
+# The field of the element that is put after a line's own.
+_MARKER = "_last"

@@ -12,15 +12,18 @@ from __future__ import annotations
 import fnmatch
 import io
 import zlib
+from collections.abc import Callable
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.functions.paths import decode_file_path
 from logtally.session import ensure_checkpoint_dir, ship_package
+from logtally.sinks import versions
 from logtally.sources.lines import PATH_COL, scan_lines
 
 # Fixed values of the landing check: archives are "*.gz" and a file whose
@@ -265,6 +268,87 @@ def validate_landing(
                           F.timestamp_millis(F.lit(checked_at)).alias("checkedAt"))
 
 
+# --- only what is new ---
+
+MANIFEST_SCHEMA = "path string, length long, modified long, isValid boolean, reason string, checkedAt timestamp"
+# Reason of an archive that is in the manifest and no longer in the folder.
+GONE = "gone"
+# Increments that a manifest may have before it is written as one.
+MOST_INCREMENTS = 32
+
+
+@dataclass
+class NewArchives:
+    """What one incremental check found. ``rows``: archives that came, changed or went since the last
+    check; ``manifest``: the latest verdict on each archive that is there; ``opened``: how many were
+    read; ``held_back``: how many are dated after the check began, and wait for the next one."""
+
+    rows: DataFrame
+    manifest: DataFrame
+    opened: int
+    held_back: int
+    commit: Callable[[], None]
+
+
+def latest_manifest(rows: DataFrame) -> DataFrame:
+    """The last verdict on each archive, without those that are gone."""
+    fields = [f.strip().split(" ")[0] for f in MANIFEST_SCHEMA.split(",")]
+    last = rows.groupBy("path").agg(F.max_by(F.struct(*fields), F.struct("checkedAt", "modified")).alias("m"))
+    return last.select("m.*").where(F.col("reason") != GONE)
+
+
+def read_manifest(spark: SparkSession, store: str) -> DataFrame:
+    """The manifest that ``check_new`` keeps in ``store``; empty before its first commit."""
+    if not versions.exists(spark, store):
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+    return latest_manifest(versions.read(spark, store))
+
+
+def check_new(
+    spark: SparkSession,
+    root: str,
+    store: str,
+    glob: str = GZIP_GLOB,
+    skip_substring: str | None = SKIP_SUBSTRING,
+    recursive: bool = False,
+) -> NewArchives:
+    """Check the archives of ``root`` that the manifest in ``store`` does not know by path, length
+    and modification time; the others are not opened.
+
+    The verdicts are written as one more part of the manifest. It counts from ``commit()`` on: call it
+    when whatever is made of the new archives stands, and a job that fails before finds them new again.
+    Verdicts are as in ``validate_landing``; an archive that is gone is noted as such.
+    """
+    ship_package(spark)
+    checked_at = int(datetime.now(timezone.utc).timestamp() * 1000)
+    listed = list_archives(spark, root, glob, skip_substring, recursive)
+    known = read_manifest(spark, store)
+    same = ["path", "length", "modified"]
+    fresh = listed.where(F.col("modified") <= checked_at).join(known.select(*same), same, "left_anti")
+    # A row's task is its own, as reading an archive is what takes long.
+    checked = fresh.select("path", "length", "modified").repartition(_slots(spark), "path").mapInPandas(
+        _check_archives, "path string, length long, modified long, reason string")
+    gone = known.join(listed, "path", "left_anti").select(*same, F.lit(GONE).alias("reason"))
+    found = checked.unionByName(gone).select(
+        *same, F.col("reason").isin(*VALID_KINDS).alias("isValid"), "reason", F.timestamp_millis(F.lit(checked_at)).alias("checkedAt"))
+    target = versions.new_folder(store)
+    found.write.parquet(target)
+    rows = spark.read.schema(MANIFEST_SCHEMA).parquet(target)
+    counts = rows.agg(F.count_if(F.col("reason") != GONE), F.count(F.lit(1))).first()
+    held_back = listed.where(F.col("modified") > checked_at).count()
+    manifest = latest_manifest(known.unionByName(rows))
+
+    def commit() -> None:
+        if not counts[1]:
+            versions.delete(spark, target)
+            return
+        versions.commit(spark, store, lambda old: {**old, target.rsplit("/", 1)[1]: target}, rows.schema)
+        if len(versions.parts(spark, store)) > MOST_INCREMENTS:
+            versions.replace_table(read_manifest(spark, store), store)
+
+    return NewArchives(rows, manifest, counts[0], held_back, commit)
+
+
 def _decode_archives(batches):
     for pdf in batches:
         for path in pdf["path"]:
@@ -286,12 +370,15 @@ def read_valid_lines(
     glob: str = GZIP_GLOB,
     skip_substring: str | None = SKIP_SUBSTRING,
     recursive: bool = False,
+    only: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """Lines of the archives of ``root`` that its manifest lets pass ->
     ``(sourceFileAbsolutePath, line)``.
 
-    ``manifest`` is a ``validate_landing`` result with the same arguments; pass
-    one that was written and read back, or the check runs again. The root is
+    ``manifest`` is a ``validate_landing`` result with the same arguments, or the
+    manifest of ``check_new``; pass one that was written and read back, or the check
+    runs again. ``only``, a condition on an archive's path, limits the scan to what
+    the manifest rows are about. The root is
     scanned as a whole, and what was refused, what is still being written and
     what arrived after the check is left out by filters on the file's metadata,
     which drop the file before it is opened. Only the paths that Spark's
@@ -300,13 +387,15 @@ def read_valid_lines(
     Spark's gzip reader rejects zero-padded archives although they are valid;
     those (normally few) are streamed and decoded in tasks.
     """
-    started = manifest.agg(F.min("checkedAt")).first()[0]
+    started = manifest.agg(F.max("checkedAt")).first()[0]
     if started is None:
         return spark.createDataFrame([], f"{PATH_COL} string, line string")
     passed_over = [r["path"] for r in
                    manifest.where(~F.col("isValid") | ~F.col("reason").isin(*SPARK_READABLE)).select("path").collect()]
     path, name = decode_file_path(F.col("_metadata.file_path")), F.col("_metadata.file_name")
     reads = F.col("_metadata.file_modification_time") <= F.lit(started)
+    if only is not None:
+        reads &= only(path)
     if passed_over:
         reads &= ~path.isin(passed_over)
     if skip_substring:

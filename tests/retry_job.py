@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame  # noqa: E402
 
 import logtally.plans.setup as setup  # noqa: E402
 from logtally.session import build_session  # noqa: E402
+from logtally.sinks import versions  # noqa: E402
 
 
 def _fail_first_attempt(batches):
@@ -47,7 +48,7 @@ if __name__ == "__main__":
     cfg = setup.SetupConfig(raw_root=f"{base}/raw/metrics", clean_root=f"{base}/nom/clean",
                             output_root=out, recursive=True)
     results = setup.run_setup(spark, cfg, report=False)
-    lines = spark.read.parquet(cfg.path("raw", "lines")).count()
+    lines = versions.read(spark, cfg.path("raw", "lines")).count()
     print(json.dumps({"results": {k.rsplit("/", 2)[-2] + "/" + k.rsplit("/", 1)[-1]: v
                                   for k, v in results.items()}, "raw_lines": lines}))
     spark.stop()

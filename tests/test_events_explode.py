@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from logtally.operators import counts_match, explode_dimensions, explode_locations, valid_json_rows
 from logtally.sources import parse_events, scan_events, scan_lines
 from tests.conftest import rows
@@ -130,3 +132,34 @@ def test_a_line_is_valid_only_as_one_whole_object(spark):
     df = spark.createDataFrame([(x,) for x in lines], "line string")
     got = {r["line"]: r["_isValid"] for r in parse_events(df, keep=("line",), fields=("name",)).collect()}
     assert got == lines
+
+
+def test_a_line_is_parsed_once_and_only_the_object_alone_counts(spark):
+    good = event("n", meta={"locations": ["a"], "pseudoEvents": [], "ua": {"groups": ["x}"]}})
+    lines = {good: True, good + " \t": True, "{}": True, good.replace('"n"', '"n}{\\""'): True, good.replace('["a"]', '7'): True,
+             good + " {}": False, good + ",{}": False, good + "]": False, good + "} {}": False, good + ",0]": False,
+             good + ",{}] {}": False, good + ',{"_last":1}]': False, good[:-1]: False, "": False, "null": False, "[{}]": False}
+    parsed = parse_events(spark.createDataFrame([(x,) for x in lines], "line string"), keep=("line",))
+    assert {r["line"]: r["_isValid"] for r in parsed.collect()} == lines
+    plan = parsed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1
+    # A wrong type leaves its siblings.
+    row = parsed.where(F.col("line").contains('"locations": 7')).first()
+    assert row["name"] == "n" and row["meta"]["locations"] is None and row["meta"]["ua"]["groups"] == ["x}"]
+
+
+def test_large_products_are_dealt_over_tasks(spark):
+    """One event of 10^6 rows beside small ones: the same rows, from several tasks."""
+    big = {"locations": [f"l{k}" for k in range(500)], "pseudoEvents": [f"p{k}" for k in range(100)],
+           "ua": {"groups": [f"g{k}" for k in range(20)]}}
+    small = {"locations": ["a", "b"], "pseudoEvents": ["p"], "ua": {"groups": ["g", "h"]}}
+    none = {"locations": [], "pseudoEvents": ["p"] * 400, "ua": {"groups": ["g"] * 400}}
+    lines = [event("big", meta=big), event("small", meta=small), event("none", meta=none), event("nothing")]
+    events = parse_events(spark.createDataFrame([(x,) for x in lines], "line string"))
+    plain, dealt = explode_dimensions(events), explode_dimensions(events, block_rows=10_000)
+    assert dealt.columns == plain.columns
+    key = ["eventName", "location", "pseudoEvent", "uaGroup"]
+    assert dealt.count() == plain.count() == 1_000_004
+    assert dealt.select(*key).distinct().count() == 1_000_004 and dealt.select(*key).exceptAll(plain.select(*key)).isEmpty()
+    tasks = dealt.where("eventName = 'big'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 500_000

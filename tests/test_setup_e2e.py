@@ -1,7 +1,7 @@
 import pytest
 
 from logtally.plans.setup import EVENT_COUNTS_SCHEMA, SetupConfig, check_clean, run_setup
-from logtally.sinks import drop_tables, read_delimited
+from logtally.sinks import drop_tables, read_delimited, versions
 from tests.conftest import rows
 from tests.fixtures import event, make_clean_root, make_raw_root, write_gz
 
@@ -19,18 +19,18 @@ def test_run_setup_whole_dag(spark, tmp_path, check):
     # blank and malformed lines are not JSON objects: the check reports it
     assert results[cfg.path("clean", "json_check")] == (9, 7, False)
 
-    raw_meta = spark.read.parquet(cfg.path("raw", "file_meta"))
+    raw_meta = versions.read(spark, cfg.path("raw", "file_meta"))
     assert rows(raw_meta, "fileName", "lineCount") == [
         ("2016-08-15.gz", 6), ("day 2.gz", 2), ("only-raw.gz", 1)]
-    rec = spark.read.parquet(cfg.path("report", "reconcile"))
+    rec = versions.read(spark, cfg.path("report", "reconcile"))
     assert rows(rec) == [("2016-08-15.gz", 6, 6), ("a+b.gz", 0, 1), ("day 2.gz", 2, 2),
                          ("only-raw.gz", 1, 0)]
-    lr = spark.read.parquet(cfg.path("report", "left_reconcile"))
+    lr = versions.read(spark, cfg.path("report", "left_reconcile"))
     assert rows(lr) == [("2016-08-15.gz", 6, 6), ("day 2.gz", 2, 2), ("only-raw.gz", 1, None)]
 
-    counts = read_delimited(spark, cfg.path("clean", "event_counts"), EVENT_COUNTS_SCHEMA, escape=True)
+    counts = read_delimited(spark, versions.folder(spark, cfg.path("clean", "event_counts")), EVENT_COUNTS_SCHEMA, escape=True)
     assert ("2016-08-15.gz", None, 3) in rows(counts)  # blank, malformed, missing name
-    dims = spark.read.parquet(cfg.path("report", "dimensions"))
+    dims = versions.read(spark, cfg.path("report", "dimensions"))
     assert dims.count() == 2 * 1 * 2 and rows(dims, "year", "month", "day")[0] == (2016, 1, 1)
 
 
@@ -40,7 +40,7 @@ def test_rerun_is_a_full_refresh(spark, tmp_path):
                       output_root=str(tmp_path / "out"))
     run_setup(spark, cfg, report=False)
     run_setup(spark, cfg, report=False)
-    assert spark.read.parquet(cfg.path("raw", "lines")).count() == 9
+    assert versions.read(spark, cfg.path("raw", "lines")).count() == 9
 
 
 def test_raise_on_mismatch(spark, tmp_path):
@@ -66,7 +66,7 @@ def test_tables_registered_in_database(spark, tmp_path):
     assert counts.where("name IS NULL").count() > 0 and counts.schema["occurrenceCount"].dataType.simpleString() == "bigint"
     assert spark.table("lt_setup.clean_json_check").first()["isConsistent"] is False
     drop_tables(spark, ["lt_setup.clean_event_counts", "lt_setup.clean_json_stage", "lt_setup.clean_lines"])
-    assert read_delimited(spark, cfg.path("clean", "event_counts"), EVENT_COUNTS_SCHEMA, escape=True).count() > 0
+    assert read_delimited(spark, versions.folder(spark, cfg.path("clean", "event_counts")), EVENT_COUNTS_SCHEMA, escape=True).count() > 0
     spark.sql("DROP DATABASE lt_setup CASCADE")
 
 
@@ -79,11 +79,11 @@ def test_validate_skips_corrupt_archives(spark, tmp_path, check):
     cfg = SetupConfig(raw_root=str(raw_root), clean_root=str(clean_root),
                       output_root=str(tmp_path / "out"), validate=True, check=check)
     results = run_setup(spark, cfg)
-    manifest = spark.read.parquet(cfg.path("clean", "landing_manifest"))
+    manifest = versions.read(spark, cfg.path("clean", "landing_manifest"))
     bad = [(r.path.rsplit("/", 1)[-1], r.reason) for r in manifest.where("NOT isValid").collect()]
     assert bad == [("broken.gz", "truncated")]
     assert results[cfg.path("clean", "lines_check")] == (9, 9, True)
-    files = {r[0] for r in spark.read.parquet(cfg.path("clean", "file_meta"))
+    files = {r[0] for r in versions.read(spark, cfg.path("clean", "file_meta"))
              .select("fileName").collect()}
     assert "broken.gz" not in files and "a+b.gz" in files
 
@@ -109,7 +109,7 @@ def test_a_cut_output_is_inconsistent(spark, tmp_path, check, output):
                       output_root=str(tmp_path / "out"), check=check)
     results = dict(run_setup(spark, cfg, report=False))
     assert all(row[2] for row in results.values()) and cfg.path("clean", "stage_check") in results
-    path = cfg.path("clean", output)
+    path = versions.folder(spark, cfg.path("clean", output))
     if output == "events":
         cut = spark.read.parquet(path).limit(1).checkpoint()
         cut.write.mode("overwrite").parquet(path)
@@ -128,5 +128,5 @@ def test_an_absurd_time_leaves_the_rest(spark, tmp_path):
     cfg = SetupConfig(raw_root=str(base / "raw" / "metrics"), clean_root=str(base / "nom" / "clean"),
                       output_root=str(tmp_path / "out"))
     run_setup(spark, cfg)
-    got = rows(spark.read.parquet(cfg.path("report", "dimensions")), "eventName", "year", "month", "day")
+    got = rows(versions.read(spark, cfg.path("report", "dimensions")), "eventName", "year", "month", "day")
     assert got == [("a", 2016, 1, 1), ("b", None, None, None)]

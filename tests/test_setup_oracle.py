@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from logtally.plans.setup import EVENT_COUNTS_SCHEMA, SetupConfig, run_setup
+from logtally.sinks import versions
 from logtally.sinks import read_delimited
 from logtally.sources.tables import clean_lines, raw_lines, write_daily_archives
 from tests.conftest import rows
@@ -49,25 +50,25 @@ def test_checks(built):
 
 def test_line_counts_per_day(spark, built):
     cfg, _ = built
-    meta = spark.read.parquet(cfg.path("raw", "file_meta"))
+    meta = versions.read(spark, cfg.path("raw", "file_meta"))
     got = rows(meta.groupBy(day()).agg(F.sum("lineCount").cast("long")))
     assert got == duck("SELECT d, count(*) FROM raw GROUP BY d")
 
 
 def test_event_counts_per_day(spark, built):
     cfg, _ = built
-    counts = spark.read.parquet(cfg.path("raw", "event_counts"))
+    counts = versions.read(spark, cfg.path("raw", "event_counts"))
     got = rows(counts.groupBy(day(), "name")
                .agg(F.sum("occurrenceCount").cast("long")))
     assert got == duck("SELECT d, name, count(*) FROM raw GROUP BY ALL")
-    clean = read_delimited(spark, cfg.path("clean", "event_counts"), EVENT_COUNTS_SCHEMA, escape=True)
+    clean = read_delimited(spark, versions.folder(spark, cfg.path("clean", "event_counts")), EVENT_COUNTS_SCHEMA, escape=True)
     got = rows(clean.groupBy(day(), "name").agg(F.sum("occurrenceCount").cast("long")))
     assert got == duck("SELECT d, name, count(*) FROM clean GROUP BY ALL")
 
 
 def test_reconcile_totals(spark, built):
     cfg, _ = built
-    rec = spark.read.parquet(cfg.path("report", "reconcile"))
+    rec = versions.read(spark, cfg.path("report", "reconcile"))
     got = rec.agg(F.sum("masterEventCount"), F.sum("nomEventCount")).first()
     want = duck("SELECT (SELECT count(*) FROM raw), (SELECT count(*) FROM clean)")[0]
     assert tuple(got) == want
