@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtally.llm.common import materialise
+from logtally.session import ship_package
 
 # Code points of the documents that are counted together.
 GROUP_CHARS = 4_000_000
@@ -357,6 +358,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text_col: str = "text", car
     (links whose pair is linked most often of all with its B id), ``count_sum`` (how often the pairs of the
     links are linked, summed), ``groups_sha256``. ``a_path``: a tokenizer file of byte-level BPE; ``b_path``: a
     piece model that puts a blank before the text."""
+    ship_package(docs.sparkSession)
     from pyspark.sql.pandas.types import to_arrow_schema
 
     carry = docs.columns if carry is None else carry

@@ -32,6 +32,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtally.session import ship_package
+
 CHUNK_CHARS = 5_000_000
 # Encoded pre-tokens that a task keeps from one chunk to the next.
 KEPT_WORDS = 250_000
@@ -82,16 +84,33 @@ class Merges:
 
 
 def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """One word, pair by pair: the plain definition, for words the replay hands back."""
+    """One word, pair by pair: the plain definition, for words the replay hands back. Pairs wait in
+    a heap by rank and place; one whose sides have changed since is passed over."""
     if word in ranks:
         return [ranks[word]]
-    parts = [bytes([b]) for b in word]
-    while len(parts) > 1:
-        rank, at = min((ranks.get(parts[k] + parts[k + 1], 1 << 60), k) for k in range(len(parts) - 1))
-        if rank == 1 << 60:
-            break
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[p] for p in parts]
+    n = len(word)
+    end, before = list(range(1, n + 1)), list(range(-1, n - 1))     # of the part that begins at each place
+    waiting: list[tuple[int, int, int, int]] = []
+
+    def push(a: int) -> None:
+        b = end[a]
+        if b < n and (rank := ranks.get(word[a:end[b]])) is not None:
+            heapq.heappush(waiting, (rank, a, b, end[b]))
+
+    for a in range(n):
+        push(a)
+    gone = bytearray(n)
+    while waiting:
+        _, a, b, stop = heapq.heappop(waiting)
+        if gone[a] or end[a] != b or gone[b] or end[b] != stop:
+            continue
+        end[a], gone[b] = stop, 1
+        if stop < n:
+            before[stop] = a
+        push(a)
+        if before[a] >= 0:
+            push(before[a])
+    return [ranks[word[a:end[a]]] for a in range(n) if not gone[a]]
 
 
 def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
@@ -270,6 +289,7 @@ def _mapper(shared, pattern: str, full: bool):
 
 
 def _run(docs: DataFrame, ranks_path: str, pattern: str, text_col: str, carry: list[str] | None, full: bool) -> DataFrame:
+    ship_package(docs.sparkSession)
     from pyspark.sql import types as T
     carry = docs.columns if carry is None else carry
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
@@ -295,6 +315,7 @@ def encode_digests(docs: DataFrame, ranks_path: str, pattern: str, text_col: str
 
 def decode_ids(encoded: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with the column ``decoded``: the text bytes of its ids."""
+    ship_package(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtally.llm.common import SPACES, materialise
+from logtally.session import ship_package
 
 # Content bytes in the range key, before the digest decides.
 PREFIX_CHARS = 32
@@ -37,6 +38,7 @@ def normalised(text: Column) -> Column:
 def _sorted(docs: DataFrame, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
     """Rows in content order: range-partitioned, then sorted in each partition.
     With ``carry`` the text goes along in ``row``, else as ``content``."""
+    ship_package(docs.sparkSession)
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(
         F.substring(normalised(F.col(text_col)), 1, PREFIX_CHARS).alias("prefix"),

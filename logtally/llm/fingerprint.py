@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtally.session import ship_package
+
 PRIME = (1 << 31) - 1
 # Fixed bases of the two hashes.
 BASES = (911382323, 972663749)
@@ -215,6 +217,7 @@ def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document ``(<id>, n_chars, edited_sha256, fingerprint, edited_fingerprint,
     near_edited, near_next, common_edited, common_next)``."""
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Nulls come last in descending order, as one below every identifier.

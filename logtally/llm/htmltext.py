@@ -41,6 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtally.session import ship_package
+
 # Elements that begin and end a block.
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure
 footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul""".split())
@@ -307,5 +309,6 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", url_col: str = "url") -> DataFrame:
     """``(<id>, <url>, text, n_chars)`` per page. Map-only."""
+    ship_package(pages.sparkSession)
     return pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.col(html_col).alias("html")).mapInArrow(
         _batches, "id long, url string, text string, n_chars long").withColumnsRenamed({"id": id_col, "url": url_col})

@@ -30,6 +30,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logtally.session import ship_package
+
 SAMPLE_DOCS, SAMPLE_CHARS, FULL_SAMPLES = 256, 4000, 64
 LEVEL, BLOCK = 6, 4096
 # A text whose best and second language differ by less (as a share of the
@@ -121,6 +123,7 @@ class Classifier:
 def identify(docs: DataFrame, content: dict[str, bytes], text_col: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred, lang_score, lang_rejected`` appended (the
     columns before are passed on as they are, whatever their names). Map-only."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(content)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

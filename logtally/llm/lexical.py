@@ -47,6 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logtally.llm.common import materialise
+from logtally.session import ship_package
 
 BEST = 10
 # Documents in a bucket; terms of the queries answered together.
@@ -259,6 +260,7 @@ def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def search(docs: DataFrame, items: DataFrame, k: int = BEST, id_col: str = "doc_id", text_col: str = "text",
            item_col: str = "item_id", item_text_col: str = "text", block_terms: int = BLOCK_TERMS) -> DataFrame:
     """``(<item>, rank, <id>, score)``: the ``k`` documents that score highest for each item."""
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("t"))
     item_type = items.schema[item_col].dataType

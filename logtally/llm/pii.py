@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logtally.session import ship_package
+
 # Fixed patterns.
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -152,6 +154,7 @@ def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: the found spans with scores, counts of the base kinds, the
     digest of the base spans, and all spans as text. Map-only."""
+    ship_package(docs.sparkSession)
     out = docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(
         _batches, "id long, found array<struct<kind: string, start: long, `end`: long, score: double>>, n_email long, "
                   "n_ip long, n_card long, n_phone long, base_sha256 string, spans string")

@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtally.llm.common import materialise
+from logtally.session import ship_package
 
 SHINGLE, MAX_BITS, SEED = 4, 4, 42
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
@@ -97,6 +98,7 @@ def _fingerprints(size: int):
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``(id, tie, fp)``: a hash of the text to tell rows of one identifier apart, and the fingerprint, as signed longs."""
+    ship_package(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("t")
                        ).mapInArrow(_fingerprints(shingle), "id long, tie long, fp long")
 

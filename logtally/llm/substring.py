@@ -45,6 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtally.llm.common import materialise
+from logtally.session import ship_package
 
 WINDOW, GRAM = 20, 8
 # Windows that one minimizer can serve.
@@ -441,6 +442,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(<id>, n_words, n_removed, kept, spans)`` per document: the kept words
     joined by blanks, and the removed spans in words, end exclusive."""
+    ship_package(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("did"),
         F.xxhash64(text_col).alias("tie"), F.col(text_col).alias("t"))

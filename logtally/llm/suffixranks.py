@@ -48,6 +48,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtally.llm.common import materialise
+from logtally.session import ship_package
 
 LENGTH, FIRST = 200, 50
 # Bytes of the ranks by which the runs of a core too large for a task are cut again, and again.
@@ -412,6 +413,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     """``(<id>, n_bytes, n_removed, spans, kept)`` per document: the removed
     spans in bytes, end exclusive, and the bytes that remain (binary: a span may begin within
     a character)."""
+    ship_package(docs.sparkSession)
     rows = docs.select(
         F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("did"),
         F.xxhash64(text_col).alias("tie"), F.col(text_col).cast("binary").alias("t"))

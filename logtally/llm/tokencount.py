@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtally.llm.common import WORD
+from logtally.session import ship_package
 
 MARK = "▁"
 # Distinct words that a task keeps; beyond it starts anew.
@@ -138,6 +139,7 @@ def _mapper(shared):
 
 def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(<id>, n_words, n_tokens)`` per document. Map-only."""
+    ship_package(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(read_pieces(model_path))
     return docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t")).mapInArrow(
         _mapper(shared), "id long, n_words long, n_tokens long").withColumnRenamed("id", id_col)
