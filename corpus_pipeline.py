@@ -9,6 +9,7 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
@@ -16,8 +17,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtally.llm import bpe, exact, langid, mixing, simhash
-from logtally.llm.common import materialise
+from logtally.llm.common import own_folder, scratch
 from logtally.llm.queries import BPE_RANKS
+from logtally.session import ensure_checkpoint_dir
+from logtally.sinks import versions
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,10 +57,20 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole table."""
+    """All stages over the whole table. A stage's own folders go when its rows are written, and those of
+    the stage before with them; what the last stage reads is left to the caller (or an outer ``scratch``)."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
+        with scratch(spark):
+            rows = stage(spark, docs, sf_dir)
+            rows.write.parquet(folder)
+        docs = spark.read.schema(rows.schema).parquet(folder)
+        if before:
+            versions.delete(spark, before)
+        before = folder
+    own_folder(before)
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
