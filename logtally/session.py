@@ -110,7 +110,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         return
     with _SHIP_LOCK:                      # the setup DAG calls this from two threads
         if sc.applicationId in _SHIPPED:
