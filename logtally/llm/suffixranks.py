@@ -20,10 +20,10 @@ doubled length, and one copy of each cover goes along to be met.
 1. All documents give runs by ranks of ``FIRST`` bytes (two numbers, no text);
    range partitioning and a sort within them settle most.
 2. The runs left over come back to their texts, are cut by ranks of twice the bytes
-   and sorted with their bytes. A core's runs are finished at ``LENGTH`` where they
-   meet, window by window; those of a core with more than ``LIMIT`` of them, or that
-   crosses the border of two partitions, are cut and sorted again by ever longer ranks
-   (``LONGER``), until Spark counts the few windows that are left.
+   and sorted with their bytes; what stays open is cut and sorted again by ever longer
+   ranks (``LONGER``), each paired from the one before, until few windows are left,
+   which Spark counts. A core whose rows cross the border of two partitions, or are more
+   than ``LIMIT`` and come in parts, stays open where a part alone can't tell.
 3. What is repeated goes back to the documents, whose text is shuffled once.
 
 A row is told apart by two independent 64-bit names. No row needs more of another
@@ -51,9 +51,9 @@ from logtally.llm.common import materialise
 from logtally.session import ship_package
 
 LENGTH, FIRST = 200, 50
-# Bytes of the ranks by which the runs of a core too large for a task are cut again, and again.
+# Bytes of the ranks by which what is open is cut and sorted after that, and again.
 LONGER = (150, 180, 195)
-# Runs of one core that a task finishes itself.
+# Rows of one core that a task holds at once.
 LIMIT = 4096
 # Windows looked at together.
 BLOCK = 1 << 19
@@ -287,13 +287,9 @@ def shared_windows(groups: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray,
     return shared, first
 
 
-def _cut(part: np.ndarray, core: np.ndarray | None, limit: int) -> list[np.ndarray]:
-    """``part`` in pieces of about ``limit``, between cores if they are given."""
-    ends = np.arange(limit, len(part), limit)
-    if core is not None and len(ends):
-        begins = np.flatnonzero(core[1:] != core[:-1]) + 1
-        ends = np.unique(np.append(begins, len(part))[np.searchsorted(begins, ends)])
-    return [x for x in np.split(part, ends) if len(x)]
+def _cut(part: np.ndarray, limit: int) -> list[np.ndarray]:
+    """``part`` in pieces of at most ``limit``."""
+    return [part[k:k + limit] for k in range(0, len(part), limit)]
 
 
 def _windows(rows: pa.Table, some: np.ndarray, core: np.ndarray, place: np.ndarray):
@@ -312,7 +308,7 @@ def _columns(rows: pa.Table) -> list[np.ndarray]:
 
 def _found(limit: int, last: bool):
     """Places of rows sorted by core and cover that are repeated as seen here: covers that come twice, and
-    windows of cores that are whole here (``last``: of parts of the others, too)."""
+    at ``last`` windows that come twice in a piece."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(*columns) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["did", "tie", "place"])
@@ -323,20 +319,11 @@ def _found(limit: int, last: bool):
             if (repeated & asks).any():
                 k = repeated & asks
                 yield batch(did[k], tie[k], place[k])
-            inner = np.flatnonzero((undecided | met) & ~border)
-            parts = _cut(inner, core[inner], limit)
-            if last:
-                parts += _cut(np.flatnonzero((undecided | met) & border), None, limit)
-            for some in parts:
+            for some in _cut(np.flatnonzero(undecided | met), limit) if last else ():
                 row, start, _, shared, _, _ = _windows(rows, some, core, place)
                 hit = np.flatnonzero(shared & (undecided & asks)[row])
                 if len(hit):
-                    # Neighbouring windows of one run go together.
-                    fresh = np.ones(len(hit), bool)
-                    fresh[1:] = (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])
-                    begin = hit[fresh]
-                    n = np.diff(np.append(np.flatnonzero(fresh), len(hit)))
-                    yield batch(did[row[begin]], tie[row[begin]], _place(start[begin], n))
+                    yield batch(did[row[hit]], tie[row[hit]], _place(start[hit], 1))
     return run
 
 
@@ -344,12 +331,12 @@ _RUNS = "core long, cover long, did long, tie long, place long, asks boolean, by
 
 
 def _longer(length: int, limit: int):
-    """What is left of cores that are not whole here, cut anew by ranks of ``length`` bytes."""
+    """What is left open, cut anew by ranks of ``length`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, border in _by_core(batches, limit):
             core, cover, did, tie, place, asks = _columns(rows)
             _, undecided, met = settle(core, cover, border)
-            for some in _cut(np.flatnonzero((undecided | met) & border), None, limit):
+            for some in _cut(np.flatnonzero(undecided | met), limit):
                 piece, first, n, core_, cover_, covers = runs(rows.column("bytes").take(pa.array(some)).to_pylist(), length)
                 row = some[piece]
                 yield pa.RecordBatch.from_arrays(
@@ -360,12 +347,12 @@ def _longer(length: int, limit: int):
 
 
 def _to_count(limit: int):
-    """The windows of cores that are not whole here, one of each kind, with two names for Spark to count."""
+    """The windows left at last, one of each kind in a piece, with two names for Spark to count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, border in _by_core(batches, limit):
             core, cover, did, tie, place, asks = _columns(rows)
             _, undecided, met = settle(core, cover, border)
-            for some in _cut(np.flatnonzero((undecided | met) & border), None, limit):
+            for some in _cut(np.flatnonzero(undecided | met), limit):
                 row, start, name, shared, first, text = _windows(rows, some, core, place)
                 go = np.flatnonzero(first)
                 other = np.fromiter((xxhash.xxh3_64_intdigest(text(k)) for k in go.tolist()), np.uint64, len(go)).view(np.int64)
