@@ -69,3 +69,77 @@ def test_added_kinds_need_their_check_or_context():
 
 def test_empty_table(spark):
     assert pii.find_pii(frame(spark, [(1, "x", None, None, 0)]).limit(0)).collect() == []
+
+
+def _iban(rng, country, n):
+    body = "".join(rng.choices("0123456789", k=n - 4))
+    check = 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+    whole = f"{country}{check:02d}{body}"
+    return " ".join(whole[k:k + 4] for k in range(0, n, 4)) if rng.random() < 0.5 else whole
+
+
+def _germany(rng):
+    while True:
+        d = str(rng.randrange(1, 10)) + "".join(rng.choices("0123456789", k=9))
+        for c in "0123456789":
+            if pii.germany_id(d + c):
+                return d + c
+
+
+def planted(rng, kind):
+    """(text, the value in it)."""
+    words = lambda n: " ".join(rng.choices(["stone", "river", "Haus", "café", "the", "de", "und", "12", "A4"], k=n))
+    if kind == "iban":
+        value, before, after = _iban(rng, *rng.choice(list(pii.IBAN_LENGTHS.items()))), "to ", rng.choice([" BIC COBADEFFXXX", " 1200 EUR", " IS MY", ".", ", x", ""])
+    elif kind == "secret":
+        value = "".join(rng.choices(rng.choice(["0123456789abcdef", "ABCDEFabcdef0123456789", "abcdefghijklmnopqrstuvwxyzABCDEFGH0123456789"]), k=rng.choice([24, 32, 40])))
+        before = rng.choice(['token = "', "api_key: ", "export API_KEY=", '"password": "', "client_secret='", "AUTH_TOKEN=", "Bearer "])
+        after = {'"': '"', "'": "'"}.get(before[-1], " ")
+    elif kind == "national_id":
+        n = rng.randrange(10**8)
+        es = f"{n:08d}{pii.SPAIN_LETTERS[n % 23]}"
+        body = f"{rng.choice('12')}{rng.randrange(100):02d}{rng.randrange(1, 13):02d}{rng.randrange(1, 96):02d}{rng.randrange(1, 1000):03d}{rng.randrange(1, 1000):03d}"
+        fr = body + f"{97 - int(body) % 97:02d}"
+        value, before = rng.choice([(es, "DNI "), (fr, "NIR: "), (_germany(rng), "Steuer-ID "), (es, "number ")])
+        after = rng.choice([" ", ".", ", "])
+    else:
+        value, before, after = f"({rng.randrange(200, 999)}) 555-{rng.randrange(10**4):04d}", "call ", " now"
+    return f"{words(5)} {before}{value}{after} {words(4)}", value
+
+
+def test_recall_by_kind_on_planted_values():
+    rng = random.Random(11)
+    for kind in ("iban", "secret", "national_id", "local_phone"):
+        hits = 0
+        for _ in range(300):
+            text, value = planted(rng, kind)
+            hits += any(s.kind == kind and text[s.start:s.end] == value for s in pii.find_spans(text))
+        assert hits >= 270, (kind, hits)
+
+
+def test_ibans_end_where_their_country_says():
+    for text in ("DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "DE89 3704 0044 0532 0130 00 1200 EUR", "GB82 WEST 1234 5698 7654 32 IS MY IBAN"):
+        found = [text[s.start:s.end].replace(" ", "") for s in pii.find_spans(text) if s.kind == "iban"]
+        assert found == [text.replace(" ", "")[:22]]
+    assert [s.kind for s in pii.find_spans("DE89370400440532013000X")].count("iban") == 0
+
+
+def test_what_only_looks_like_a_secret_or_number_stays():
+    for text in ("token of the river stands", "password: aaaaaaaaaaaaaaaaaaaaaaaa1", "secret = internationalization",
+                 "the token thththththththththth is long", "12345678A", "api key", "order 12345678901 shipped", "token = short1"):
+        assert not [s for s in pii.find_spans(text) if s.kind in ("secret", "national_id")], text
+    assert [s.kind for s in pii.find_spans('x token = "9742a250774262d69ad6a86100194ed53da5a0ef" y')] == ["secret"]
+
+
+def test_long_texts_stay_linear():
+    import time
+    begun = time.monotonic()
+    for unit in ("token=", "a_", "api_key: ", "key-", "token ", "12345678", "DE89 ", "x" * 30 + "_"):
+        pii.find_spans(unit * (300_000 // len(unit)))
+    assert time.monotonic() - begun < 60
+
+
+def test_rows_that_share_an_identifier_or_repeat(spark):
+    rows = [(1, "a@b.co", None, None, 0)] * 2 + [(1, "1.2.3.4", None, None, 0), (None, "a@b.co", None, None, 0)]
+    got = sorted((str(r["doc_id"]), r["spans"]) for r in pii.find_pii(frame(spark, rows)).collect())
+    assert got == [("1", "email:0:6"), ("1", "email:0:6"), ("1", "ip:0:7"), ("None", "email:0:6")]
