@@ -10,6 +10,14 @@ language, code, tables) those of middle length are text without them. In pass tw
 an ambiguous block takes what its nearest decided neighbours are; where the two
 differ the nearer one counts, then the text one.
 
+Class names and ids are guesses: a name counts by its first or last word, unless it
+begins with a word of state (no-sidebar); of an article element the whole name must be
+one. And a part that would hold the article is none: where no block outside page parts
+is text or in an article element, parts with half of the page's unlinked text are disregarded and their blocks
+judged by the rules, and so is a part (reader comments excepted) with most of it, such
+as a wrapper of the page, a form around it, or a menu that is not closed. A link is an
+anchor with a target; it ends with the element it stands in.
+
 The article element is a prior, blocks outside it are judged by the same rules.
 Inside it a link-dense block stays ambiguous, except where all blocks found to be
 text lie outside (cards around a body in a plain element): there the rules hold as
@@ -34,7 +42,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from html import unescape
 
 import pyarrow as pa
@@ -65,6 +73,13 @@ le la les de des du et un une est que qui dans pour par sur en pas au avec
 der die das und zu den von mit im dem ein eine nicht auf ist sich des auch als
 el los las que y del se una por con para no su como es""".split())
 
+# Words of NAMES that stand for reader comments.
+REMARKS = frozenset("comment comments disqus".split())
+# Words with which a name tells how a page looks, not what an element is.
+STATES = frozenset("no has with without hide show is not".split())
+
+# Of a page's unlinked text: what makes a part suspicious, and what makes it none.
+HALF, MOST = 0.5, 0.8
 MANY_STOP_WORDS, SOME_STOP_WORDS = 0.3, 0.1
 MANY_LINKS = 0.5
 SHORT, LONG = 70, 140
@@ -83,30 +98,51 @@ class Block:
     linked: int      # code points inside links
     outside: bool    # in a part that holds no article
     article: bool
+    parts: tuple[int, ...] = ()     # the parts around it, those of reader comments negative
+
 
+def _named(value: str, whole: bool) -> str | None:
+    """The word by which a class or id names a part."""
+    for name in value.split():
+        words = _NAME.findall(name)
+        if len(words) == 1 or whole:
+            if len(words) == 1 and words[0] in NAMES:
+                return words[0]
+        elif words and words[0] not in STATES:
+            for word in (words[0], words[-1]):
+                if word in NAMES:
+                    return word
+    return None
 
-def _is_part(tag: str, attributes: str, in_article: bool) -> bool:
+
+def _part(tag: str, attributes: str, in_article: bool) -> str | None:
+    """What part an element is, if any."""
     if tag in PARTS and not (tag == "header" and in_article):
-        return True
+        return tag
     if tag in ("html", "body", "main"):
-        return False
+        return None
     for m in _ATTRIBUTE.finditer(attributes) if attributes else ():
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "role":
             if value.strip() in ROLES:
-                return True
-        elif name in ("class", "id") and not NAMES.isdisjoint(_NAME.findall(value)) and not (in_article and tag == "header"):
-            return True
-    return False
+                return value.strip()
+        elif name in ("class", "id") and not (in_article and tag == "header") and (found := _named(value, tag == "article")):
+            return found
+    return None
+
+
+def _has_target(attributes: str) -> bool:
+    return any(m[1].lower() == "href" for m in _ATTRIBUTE.finditer(attributes))
 
 
 def blocks(html: str) -> Iterator[Block]:
     """Blocks with text, in page order."""
-    stack: list[tuple[str, bool, bool]] = []      # tag, outside, article
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []      # tag, not shown, article, parts around
     opened: dict[str, int] = {}                   # how often each tag is on it
     pieces: list[str] = []
     endless: set[str] = set()                     # tags that do not end any more
-    linked = links = 0
+    linked = links = numbered = 0
+    link_depth = 0                                # elements around the open link
     pos, size = 0, len(html)
     closed = -1                                   # the next ">"
     open_quotes: set[int] = set()                 # quotes behind which the tag does not end
@@ -116,10 +152,10 @@ def blocks(html: str) -> Iterator[Block]:
         nonlocal linked
         text = " ".join("".join(pieces).split())
         pieces.clear()
-        _, outside, article = stack[-1] if stack else ("", False, False)
-        found = Block(text, min(linked, len(text)), outside, article) if text else None
+        _, hidden, article, parts = stack[-1] if stack else ("", False, False, ())
+        found = Block(text, min(linked, len(text)), hidden or bool(parts), article, parts) if text else None
         linked = 0
-        if outside and endless and any(map(opened.get, endless)):
+        if hidden and endless and any(map(opened.get, endless)):
             return None                            # not shown
         return found
 
@@ -190,7 +226,7 @@ def blocks(html: str) -> Iterator[Block]:
                 endless.add(tag)
                 if (found := block()) is not None:
                     yield found
-                stack.append((tag, True, stack[-1][2] if stack else False))
+                stack.append((tag, True, stack[-1][2] if stack else False, stack[-1][3] if stack else ()))
                 opened[tag] = opened.get(tag, 0) + 1
             else:
                 pos = size
@@ -199,10 +235,11 @@ def blocks(html: str) -> Iterator[Block]:
             pieces.append(" ")
             continue
         if tag == "a":
-            links = max(0, links - 1) if closing else 1
+            links = 0 if closing or not _has_target(attributes) else 1
+            link_depth = len(stack)
             continue
         is_block = tag in BLOCKS
-        named = not is_block and not closing and _is_part(tag, attributes, False)
+        named = not is_block and not closing and _part(tag, attributes, False) is not None
         if not is_block and not named and not (closing and opened.get(tag)):
             continue
         if (found := block()) is not None:
@@ -213,6 +250,8 @@ def blocks(html: str) -> Iterator[Block]:
                 opened[top] -= 1
                 if top == tag:
                     break
+            if len(stack) < link_depth:
+                links = 0                          # the element around the link has ended
         elif tag not in VOID and not attributes.endswith("/"):
             while is_block and stack and stack[-1][0] in HOLDERS and (
                     stack[-1][0] == "svg" or len(stack) == 1 or stack[-2][0] in ROOTS):
@@ -220,16 +259,34 @@ def blocks(html: str) -> Iterator[Block]:
             if stack and stack[-1][0] == "p" and is_block:
                 stack.pop()
                 opened["p"] -= 1
-            _, outside, article = stack[-1] if stack else ("", False, False)
-            part = _is_part(tag, attributes, article)
+            _, hidden, article, parts = stack[-1] if stack else ("", False, False, ())
+            part = _part(tag, attributes, article)
             if tag in ("article", "main") and not part and not article:
-                outside, article = False, True     # what is left open before does not reach into it
-            stack.append((tag, outside or part, article))
+                hidden, article, parts = False, True, ()     # what is left open before does not reach into it
+            if part:
+                numbered += 1
+                parts = (*parts, -numbered if part in REMARKS else numbered)
+            stack.append((tag, hidden, article, parts))
             opened[tag] = opened.get(tag, 0) + 1
     if (found := block()) is not None:
         yield found
 
 
+def _without_wrappers(found: list[Block]) -> list[Block]:
+    """The blocks with parts disregarded that must hold the article."""
+    held: dict[int, int] = {}
+    total = 0
+    for b in found:
+        total += len(b.text) - b.linked
+        for part in b.parts:
+            held[part] = held.get(part, 0) + len(b.text) - b.linked
+    others = any(_first_pass(found)) or any(b.article and not b.outside for b in found)
+    loose = {part for part, n in held.items() if n >= (MOST if others else HALF) * total and (part > 0 or not others)}
+    if not loose:
+        return found
+    return [b if not b.parts or not loose.issuperset(b.parts) else replace(b, outside=False) for b in found]
+
+
 def _first_pass(found: list[Block]) -> list[bool | None]:
     """Per block True: text, False: boilerplate, None: ambiguous."""
     out: list[bool | None] = []
@@ -294,7 +351,7 @@ def _article_pass(found: list[Block], first: list[bool | None]) -> list[bool | N
 
 
 def main_text(html: str | None) -> str:
-    found = list(blocks(html or ""))
+    found = _without_wrappers(list(blocks(html or "")))
     keep = _second_pass(_article_pass(found, _first_pass(found)))
     return "\n\n".join(b.text for b, k in zip(found, keep) if k)
 

@@ -120,3 +120,55 @@ def test_quotes_stay_linear():
                  "<" + "a" * 300_000 + "\" ", "<div " + "a" * 300_000 + " b" * 100_000 + ">", "<div " + "a=\"b= 'c= " * 50_000 + ">",
                  "<" * 300_000 + ">", "<a b=" + " " * 300_000 + "'>"):
         htmltext.main_text(page)
+
+
+PARAGRAPHS = ["The river and the stone are of the same old grey as it was in the days when they were with us all year, and the boats "
+              "that came from the north were as slow as ever.",
+              "In the evening the lamps are lit and the people of the town walk along the water, for it is the one hour of the day in "
+              "which nothing is to be done by them."]
+BODY = "".join(f"<p>{p}</p>" for p in PARAGRAPHS)
+MENU = '<ul class="menu"><li><a href="/a">Home</a></li><li><a href="/b">News of the day</a></li></ul>'
+REMARK = '<div class="comments"><p>I think that the author is wrong, as the boats from the north were never as slow as it is said.</p></div>'
+LAYOUTS = [
+    f'<div class="page no-sidebar">{MENU}{BODY}</div>',
+    f'<div class="header-fixed">{MENU}{BODY}{REMARK}</div>',
+    f'<div class="legal-notice-page">{BODY}</div>',
+    f'<body>{MENU}<article class="post has-comments">{BODY}</article>{REMARK}</body>',
+    f'<form id="aspnetForm" action="/x"><div class="nav-main"><a href="/">Home</a></div>{BODY}<footer>Imprint</footer></form>',
+    f'<a name="top"><div>{BODY}</div>',
+    f'<body><div class="menu"><a href="/a">Home</a><a href="/b">News</a>{BODY}</body>',
+    f'<div id="modal"><div class="site-header">x</div>{BODY}</div>',
+    f'<div><p><a href="/top">up</p>{BODY}</div>',
+]
+
+
+@pytest.mark.parametrize("page", LAYOUTS)
+def test_parts_around_the_article_do_not_hide_it(page):
+    assert htmltext.main_text(page) == "\n\n".join(PARAGRAPHS)
+
+
+@pytest.mark.parametrize("part", ['<div class="sidebar">{}</div>', '<div class="site-footer">{}</div>', '<nav>{}</nav>', "<form>{}</form>",
+                                  '<div id="cookie-banner">{}</div>', '<section class="related-posts">{}</section>',
+                                  '<div class="comment-list"><article class="comment">{}</article></div>'])
+def test_parts_beside_the_article_go(part):
+    other = part.format(f"<p>{PARAGRAPHS[1]}</p>")
+    for body in (BODY, f"<article>{BODY}</article>"):
+        assert htmltext.main_text(f"<body>{body}{other}</body>") == "\n\n".join(PARAGRAPHS)
+
+
+def test_reader_comments_go_even_if_they_are_most_of_the_page():
+    remarks = '<div class="comments">' + 20 * f"<p>{PARAGRAPHS[1]}</p>" + "</div>"
+    assert htmltext.main_text(f"<body><div>{BODY}</div>{remarks}</body>") == "\n\n".join(PARAGRAPHS)
+
+
+def test_both_passes_by_brute_force():
+    """Random blocks: an undecided one takes the nearest decided, the two sides compared by distance."""
+    import random
+    rng = random.Random(3)
+    for _ in range(500):
+        first = rng.choices([True, False, None], k=rng.randrange(0, 12))
+        want = []
+        for k, own in enumerate(first):
+            near = sorted((abs(j - k), not x) for j, x in enumerate(first) if x is not None)
+            want.append(own if own is not None else not near[0][1] if near else True)
+        assert htmltext._second_pass(first) == want
