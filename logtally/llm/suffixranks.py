@@ -20,10 +20,10 @@ doubled length, and one copy of each cover goes along to be met.
 1. All documents give runs by ranks of ``FIRST`` bytes (two numbers, no text);
    range partitioning and a sort within them settle most.
 2. The runs left over come back to their texts, are cut by ranks of twice the bytes
-   and sorted with their bytes; what stays open is cut and sorted again by ever longer
-   ranks (``LONGER``), each paired from the one before, until few windows are left,
-   which Spark counts. A core whose rows cross the border of two partitions, or are more
-   than ``LIMIT`` and come in parts, stays open where a part alone can't tell.
+   and sorted with their bytes. A core's runs are finished at ``LENGTH`` where they
+   meet, window by window. A core with more than ``LIMIT`` runs is dealt over tasks by
+   its covers; what is left of it is cut and sorted again by ever longer ranks
+   (``LONGER``), until Spark counts the few windows that are left.
 3. What is repeated goes back to the documents, whose text is shuffled once.
 
 A row is told apart by two independent 64-bit names. No row needs more of another
@@ -51,10 +51,10 @@ from logtally.llm.common import materialise
 from logtally.session import ship_package
 
 LENGTH, FIRST = 200, 50
-# Bytes of the ranks by which what is open is cut and sorted after that, and again.
-LONGER = (150, 180, 195)
-# Rows of one core that a task holds at once.
-LIMIT = 4096
+# Bytes of the ranks by which the runs of a core too large for a task are cut again, and again.
+LONGER = (150, 190)
+# Runs of one core that a task finishes itself.
+LIMIT = 8192
 # Windows looked at together.
 BLOCK = 1 << 19
 
@@ -190,15 +190,18 @@ def settle(core: np.ndarray, cover: np.ndarray, border: np.ndarray):
     return shared, ~shared & undecided, shared & undecided & new_cover
 
 
-def _by_core(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
+def _by_core(batches: Iterator[pa.RecordBatch], limit: int, whole: bool = False) -> Iterator[tuple[pa.Table, np.ndarray, np.ndarray]]:
     """Rows sorted by core, some whole cores at a time: (rows, border, unbroken). The first and
-    the last core of a partition are at a border, so is one of over ``limit`` rows, which comes in parts."""
+    the last core of a partition are at a border, so is one of over ``limit`` rows, which comes in parts.
+    ``whole``: a partition's cores are all whole, but for those marked ``hot``, of which it has some covers."""
     held: pa.Table | None = None
     edge: int | None = None            # the core of which some rows were given out
 
     def given(rows: pa.Table, cut: bool) -> tuple[pa.Table, np.ndarray]:
         nonlocal edge
         core = rows.column("core").to_numpy()
+        if whole:
+            return rows, rows.column("hot").to_numpy()
         border = core == (core[0] if edge is None else edge)
         if cut:
             border |= core == core[-1]
@@ -215,7 +218,7 @@ def _by_core(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[pa
         if last:
             yield given(rows.slice(0, last), False)
         held = rows.slice(last)
-        if held.num_rows > limit:
+        if held.num_rows > limit and not (whole and not held.column("hot")[0].as_py()):
             yield given(held, True)
             held = None
     if held is not None:
@@ -287,9 +290,13 @@ def shared_windows(groups: np.ndarray, windows: np.ndarray) -> tuple[np.ndarray,
     return shared, first
 
 
-def _cut(part: np.ndarray, limit: int) -> list[np.ndarray]:
-    """``part`` in pieces of at most ``limit``."""
-    return [part[k:k + limit] for k in range(0, len(part), limit)]
+def _cut(part: np.ndarray, core: np.ndarray | None, limit: int) -> list[np.ndarray]:
+    """``part`` in pieces of about ``limit``, between cores if they are given."""
+    ends = np.arange(limit, len(part), limit)
+    if core is not None and len(ends):
+        begins = np.flatnonzero(core[1:] != core[:-1]) + 1
+        ends = np.unique(np.append(begins, len(part))[np.searchsorted(begins, ends)])
+    return [x for x in np.split(part, ends) if len(x)]
 
 
 def _windows(rows: pa.Table, some: np.ndarray, core: np.ndarray, place: np.ndarray):
@@ -306,37 +313,46 @@ def _columns(rows: pa.Table) -> list[np.ndarray]:
     return [rows.column(c).to_numpy() for c in ("core", "cover", "did", "tie", "place", "asks")]
 
 
-def _found(limit: int, last: bool):
+def _found(limit: int, last: bool, whole: bool):
     """Places of rows sorted by core and cover that are repeated as seen here: covers that come twice, and
-    at ``last`` windows that come twice in a piece."""
+    windows of cores that are whole here (``last``: of parts of the others, too)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(*columns) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["did", "tie", "place"])
 
-        for rows, border in _by_core(batches, limit):
+        for rows, border in _by_core(batches, limit, whole):
             core, cover, did, tie, place, asks = _columns(rows)
             repeated, undecided, met = settle(core, cover, border)
             if (repeated & asks).any():
                 k = repeated & asks
                 yield batch(did[k], tie[k], place[k])
-            for some in _cut(np.flatnonzero(undecided | met), limit) if last else ():
+            inner = np.flatnonzero((undecided | met) & ~border)
+            parts = _cut(inner, core[inner], limit)
+            if last:
+                parts += _cut(np.flatnonzero((undecided | met) & border), None, limit)
+            for some in parts:
                 row, start, _, shared, _, _ = _windows(rows, some, core, place)
                 hit = np.flatnonzero(shared & (undecided & asks)[row])
                 if len(hit):
-                    yield batch(did[row[hit]], tie[row[hit]], _place(start[hit], 1))
+                    # Neighbouring windows of one run go together.
+                    fresh = np.ones(len(hit), bool)
+                    fresh[1:] = (hit[1:] != hit[:-1] + 1) | (row[hit[1:]] != row[hit[:-1]])
+                    begin = hit[fresh]
+                    n = np.diff(np.append(np.flatnonzero(fresh), len(hit)))
+                    yield batch(did[row[begin]], tie[row[begin]], _place(start[begin], n))
     return run
 
 
 _RUNS = "core long, cover long, did long, tie long, place long, asks boolean, bytes binary"
 
 
-def _longer(length: int, limit: int):
-    """What is left open, cut anew by ranks of ``length`` bytes."""
+def _longer(length: int, limit: int, whole: bool):
+    """What is left of cores that are not whole here, cut anew by ranks of ``length`` bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, border in _by_core(batches, limit):
+        for rows, border in _by_core(batches, limit, whole):
             core, cover, did, tie, place, asks = _columns(rows)
             _, undecided, met = settle(core, cover, border)
-            for some in _cut(np.flatnonzero(undecided | met), limit):
+            for some in _cut(np.flatnonzero((undecided | met) & border), None, limit):
                 piece, first, n, core_, cover_, covers = runs(rows.column("bytes").take(pa.array(some)).to_pylist(), length)
                 row = some[piece]
                 yield pa.RecordBatch.from_arrays(
@@ -347,12 +363,12 @@ def _longer(length: int, limit: int):
 
 
 def _to_count(limit: int):
-    """The windows left at last, one of each kind in a piece, with two names for Spark to count."""
+    """The windows of cores that are not whole here, one of each kind, with two names for Spark to count."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, border in _by_core(batches, limit):
             core, cover, did, tie, place, asks = _columns(rows)
             _, undecided, met = settle(core, cover, border)
-            for some in _cut(np.flatnonzero(undecided | met), limit):
+            for some in _cut(np.flatnonzero((undecided | met) & border), None, limit):
                 row, start, name, shared, first, text = _windows(rows, some, core, place)
                 go = np.flatnonzero(first)
                 other = np.fromiter((xxhash.xxh3_64_intdigest(text(k)) for k in go.tolist()), np.uint64, len(go)).view(np.int64)
@@ -419,13 +435,15 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     placed = rows.join(found.hint("shuffle_hash"), doc, "left")
     left = placed.where("size(open) > 0 or size(met) > 0").select("id", "did", "tie", "t", "settled", "open", "met").mapInArrow(
         _open_runs, _RUNS)
-    new = None
-    for length in (*LONGER, LENGTH):
+    # A core of more than LIMIT rows is dealt by its covers; every other one comes to one task whole.
+    hot = left.groupBy("core").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > limit).select("core", F.lit(True).alias("hot"))
+    left = left.join(hot, "core", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
+    left = left.repartition("core", F.when(F.col("hot"), F.col("cover"))).sortWithinPartitions("core", "cover")
+    new = left.mapInArrow(_found(limit, False, True), "did long, tie long, place long")
+    for length in LONGER:
+        left = left.mapInArrow(_longer(length, limit, length == LONGER[0]), _RUNS)
         left = left.repartitionByRange("core", "cover", "did", "place").sortWithinPartitions("core", "cover")
-        seen = left.mapInArrow(_found(limit, length == LENGTH), "did long, tie long, place long")
-        new = seen if new is None else new.unionByName(seen)
-        if length < LENGTH:
-            left = left.mapInArrow(_longer(length, limit), _RUNS)
+        new = new.unionByName(left.mapInArrow(_found(limit, length == LONGER[-1], False), "did long, tie long, place long"))
     windows = left.mapInArrow(_to_count(limit), "did long, tie long, place long, asks boolean, one long, other long")
     counts = windows.groupBy("one", "other").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     new = new.unionByName(windows.where("asks").join(counts, ["one", "other"]).select(*doc, "place"))

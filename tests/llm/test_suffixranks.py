@@ -49,7 +49,7 @@ def planted(seed):
     return [(i, t, None, None, 0) for i, t in enumerate(texts)]
 
 
-@pytest.mark.parametrize("limit", [suffixranks.LIMIT, 5])
+@pytest.mark.parametrize("limit", [suffixranks.LIMIT, 5, 60])
 def test_matches_brute_force(spark, limit):
     """With a small limit, most cores are counted by Spark in place of a task."""
     rows = planted(limit)
