@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from logtally.llm.common import WORD
+from logtally.llm.common import WORD, materialise
 
 UNIT = 1 << 24
 WEIGHTS = (5, 2, 1)
@@ -72,14 +72,20 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: i
 def _drawn(docs: DataFrame, id_col: str, text_col: str, source_col: str, carry: list[str]) -> DataFrame:
     text, ident = F.col(text_col), F.col(id_col).cast("string")
     content = F.concat(F.coalesce(ident, F.lit("")), F.lit("|"), F.coalesce(text, F.lit("")))
-    keyed = docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("size"),
-        _hex_number(content, 8).alias("draw"),
-        *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")] if carry else [])
-    ).withColumn("class", F.length(F.bin("size"))).withColumn("key", _source_key())
-    buckets = max(LEAST_BUCKETS, -(-docs.count() // ROWS_PER_BUCKET))
-    rows = keyed.withColumn("bucket", F.pmod("draw", F.lit(buckets)))
-    counts = rows.groupBy("key", "source", "class", "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+    measured = [F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text).alias("size"),
+                _hex_number(content, 8).alias("draw")]
+    # The texts are read here, once; sources, counts and (without rows to carry) the rows come from what is written.
+    narrow = materialise(docs.select(*measured), "mix-sizes")
+    wide = docs.select(*measured, F.struct(*[F.col(f"`{c}`") for c in carry]).alias("row")) if carry else narrow
+    buckets = max(LEAST_BUCKETS, -(-narrow.count() // ROWS_PER_BUCKET))
+
+    def placed_in(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("class", F.length(F.bin("size"))).withColumn("key", _source_key()).withColumn(
+            "bucket", F.pmod("draw", F.lit(buckets)))
+
+    rows = placed_in(wide)
+    counts = placed_in(narrow).groupBy("key", "source", "class", "bucket").agg(
+        F.count("*").alias("n"), F.sum("size").alias("words"))
     sources = source_targets(counts.groupBy("source").agg(F.sum("words").alias("source_size")))
     step = F.when(F.col("source_size") > 0,
                   F.floor(F.col("target") / F.col("source_size") * UNIT).cast("long")).otherwise(F.lit(UNIT).cast("long"))
