@@ -7,18 +7,25 @@ for all pre-tokens below it; where a pre-token ends, its count is stored.
 Walking the sorted pre-tokens and keeping the scores of the common prefix is
 that walk without nodes in memory.
 
-A pre-token is a word ``[^\\x20\\x09-\\x0D]+`` with the word mark before it.
-Characters that no piece covers cost one byte piece per UTF-8 byte, as the
-vocabulary's byte fallback has it.
-
-Defined results: a null or empty text has no words and no tokens; words and
-texts of any length are counted whole; repeated rows are counted each; an empty
-table gives an empty table. Counts of words seen again in a task come from its
-bounded cache, which changes no result.
+Pieces have the log probabilities of a unigram model that follows Zipf's law over the
+vocabulary's own order: the piece of rank r has probability 1 / (r * H), H the harmonic
+number of their count. Nothing is trained. Characters that no piece covers cost one byte
+piece per UTF-8 byte, as the vocabulary's byte fallback has it.
+
+All of a text is counted, white space too: the text with a blank before it, blanks
+written as the word mark, is cut before a mark after another character and around
+runs of tabs and line feeds. No piece goes over such a cut (``read_pieces`` makes sure),
+so the pre-tokens' counts add up to that of the whole text.
+
+Defined results: a null or empty text has no words and no tokens; a text of white space
+alone has tokens and no words; texts and pre-tokens of any length are counted whole;
+repeated rows are counted each; an empty table gives an empty table. Counts of short
+pre-tokens seen again in a task come from its bounded cache, which changes no result.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
@@ -31,8 +38,12 @@ from logtally.llm.common import WORD
 from logtally.session import ship_package
 
 MARK = "▁"
-# Distinct words that a task keeps; beyond it starts anew.
+# Pre-tokens of a marked text, and what a piece may not hold for them to be independent.
+PRE_TOKEN = re.compile(f"[\t\n]+|{MARK}*[^{MARK}\t\n]+|{MARK}+")
+ACROSS = re.compile(f"[\t\n]|[^{MARK}]{MARK}")
+# Distinct pre-tokens that a task keeps, beyond which it starts anew, and their greatest length.
 KEPT_WORDS = 500_000
+KEPT_LENGTH = 64
 # Pre-tokens gathered before a walk.
 CHUNK_CHARS = 8_000_000
 
@@ -59,24 +70,33 @@ def pieces_of(scores: dict[str, float]) -> Pieces:
     return Pieces(tails, min(scores.values(), default=0.0) - BYTE_PENALTY)
 
 
+def zipf_scores(ranked: list[str]) -> dict[str, float]:
+    """Log probability of each piece, the most frequent first."""
+    total = math.log(math.fsum(1 / r for r in range(1, len(ranked) + 1))) if ranked else 0.0
+    return {piece: -math.log(r) - total for r, piece in enumerate(ranked, 1)}
+
+
 def read_pieces(path: str) -> Pieces:
-    """Pieces and scores of a model file (read on the driver; a fixed vocabulary)."""
+    """Pieces of a model file in its order of scores (read on the driver; a fixed vocabulary)."""
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    ids = range(model.get_piece_size())
-    return pieces_of({model.id_to_piece(i): model.get_score(i) for i in ids
-                      if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
-                      and model.get_score(i) > UNUSED})
+    ids = [i for i in range(model.get_piece_size())
+           if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
+           and model.get_score(i) > UNUSED]
+    ranked = [model.id_to_piece(i) for i in sorted(ids, key=lambda i: (-model.get_score(i), i))]
+    across = [p for p in ranked if ACROSS.search(p)]
+    if across:
+        raise ValueError(f"pieces that go over pre-tokens: {across[:5]}")
+    return pieces_of(zipf_scores(ranked))
 
 
 def walk(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, int]]:
-    """(word, its token count) for sorted distinct words, in one depth-first walk."""
+    """(pre-token, its token count) for sorted distinct pre-tokens, in one depth-first walk."""
     get, byte, absent = pieces.tails.get, pieces.byte, object()
     best: list[float] = [0.0]      # forward score of each prefix on the path
     count: list[int] = [0]         # pieces on that best way
     last = ""
-    for word in words:
-        marked = MARK + word
+    for marked in words:
         n, shared, most = len(marked), 0, min(len(marked), len(last))
         while shared < most and marked[shared] == last[shared]:
             shared += 1
@@ -97,7 +117,11 @@ def walk(words: Iterable[str], pieces: Pieces) -> Iterator[tuple[str, int]]:
             best.append(top)
             count.append(few)
         last = marked
-        yield word, count[n]
+        yield marked, count[n]
+
+
+def pre_tokens(text: str) -> list[str]:
+    return PRE_TOKEN.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
 class Counter:
@@ -111,10 +135,15 @@ class Counter:
         """(words, tokens) of each text."""
         if len(self.known) > KEPT_WORDS:
             self.known = {}
-        known = self.known
-        words = [self.find(t) for t in texts]
-        known.update(walk(sorted({w for ws in words for w in ws if w not in known}), self.pieces))
-        return [(len(ws), sum([known[w] for w in ws])) for ws in words]
+        cut = [pre_tokens(t) for t in texts]
+        counts = self.known
+        fresh = dict(walk(sorted({w for ws in cut for w in ws if w not in counts}), self.pieces))
+        long = {w: n for w, n in fresh.items() if len(w) > KEPT_LENGTH}
+        counts.update(fresh)
+        got = [(len(self.find(t)), sum([counts[w] for w in ws])) for t, ws in zip(texts, cut)]
+        for w in long:
+            del counts[w]
+        return got
 
 
 def _mapper(shared):
