@@ -10,6 +10,7 @@ from logtally.operators import (
     left_reconcile,
     line_field,
     rare_keys,
+    rare_keys_by_digest,
     reconcile,
     reconcile_spine,
     tag_lines,
@@ -41,6 +42,7 @@ __all__ = [
     "line_field",
     "parse_events",
     "rare_keys",
+    "rare_keys_by_digest",
     "read_events",
     "read_valid_lines",
     "reconcile",

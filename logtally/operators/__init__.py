@@ -11,6 +11,7 @@ from logtally.operators.counts import (
 )
 from logtally.operators.explode import explode_dimensions, explode_locations
 from logtally.operators.lookup import line_field
+from logtally.operators.rare import rare_keys_by_digest
 from logtally.operators.reconcile import distinct_files, left_reconcile, reconcile, reconcile_spine
 from logtally.operators.tagging import tag_lines
 
@@ -26,6 +27,7 @@ __all__ = [
     "left_reconcile",
     "line_field",
     "rare_keys",
+    "rare_keys_by_digest",
     "reconcile",
     "reconcile_spine",
     "tag_lines",

@@ -29,6 +29,7 @@ from logtally.operators import (
     left_reconcile,
     line_field,
     rare_keys,
+    rare_keys_by_digest,
     reconcile,
     reconcile_spine,
     tag_lines,
@@ -150,6 +151,10 @@ def q_rare_keys(spark, sf):
     return rare_keys(table(spark, sf, "documents"), "text")
 
 
+def q_rare_keys_by_digest(spark, sf):
+    return rare_keys_by_digest(table(spark, sf, "documents"), "text")
+
+
 def q_rare_event_ids(spark, sf):
     return rare_keys(_typed_events(spark, sf, "eventId"), "eventId")
 
@@ -441,6 +446,7 @@ QUERIES: dict[str, Query] = {
     "line_field": q_line_field,
     "line_name_raw": q_line_name_raw,
     "rare_keys": q_rare_keys,
+    "rare_keys_by_digest": q_rare_keys_by_digest,
     "rare_event_ids": q_rare_event_ids,
     "typed_events": q_typed_events,
     "count_events": q_count_events,
@@ -643,6 +649,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM pages""",
 }
 
+ORACLE_SQL["rare_keys_by_digest"] = ORACLE_SQL["rare_keys"]
 ORACLE_SQL["replaced_event_counts"] = _DAY_COUNTS
 ORACLE_SQL["dropped_export_counts"] = ORACLE_SQL["event_counts_clean"]
 ORACLE_SQL["refreshed_event_counts"] = _DAY_COUNTS

@@ -1,0 +1,79 @@
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from logtally.operators import rare_keys, rare_keys_by_digest
+from tests.conftest import rows
+
+
+def few(key):
+    """A digest that collides all the time: the length modulo three."""
+    return [F.length(key) % 3]
+
+
+def frame(spark, keys):
+    return spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "text string, other int").repartition(4)
+
+
+KEYS = ["a", "a", "bb", "ccc", "dddd", "dddd", "dddd", "", None, None, "eeee", "x" * 5000, "x" * 5000, "y" * 5000]
+WAYS = [{}, {"digest": few}, {"digest": lambda key: [F.lit(0)]}, {"broadcast_bytes": 0},
+        {"broadcast_bytes": 3 * 64}, {"broadcast_bytes": 2 * 64, "digest": few}]
+
+
+@pytest.mark.parametrize("way", WAYS)
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7])
+def test_same_rows_on_every_way(spark, way, n):
+    df = frame(spark, KEYS)
+    assert rows(rare_keys_by_digest(df, "text", n, **way)) == rows(rare_keys(df, "text", n))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(keys=st.lists(st.sampled_from(["", "a", "b", "ab", "ba", "abc", None]), max_size=12), way=st.sampled_from(WAYS))
+def test_random_tables(spark, keys, way):
+    want = sorted((k, 1) for k, c in Counter(k for k in keys if k is not None).items() if c == 1)
+    assert rows(rare_keys_by_digest(frame(spark, keys), "text", **way)) == want
+
+
+def test_the_smaller_set_is_broadcast(spark):
+    """Mostly unique keys and mostly repeated ones take different sets and give the same."""
+    unique = [f"u{i}" for i in range(50)] + ["v", "v"]
+    repeated = [f"u{i}" for i in range(50)] * 2 + ["v"]
+    for keys in (unique, repeated):
+        df = frame(spark, keys)
+        got = rare_keys_by_digest(df, "text", broadcast_bytes=2 * 64)
+        assert rows(got) == rows(rare_keys(df, "text"))
+
+
+def exchanges(df, capsys):
+    df.explain()
+    return [x for x in capsys.readouterr().out.splitlines() if "Exchange hashpartitioning" in x]
+
+
+def test_texts_that_occur_once_are_not_shuffled(spark, tmp_path, capsys):
+    df = frame(spark, [f"t{i}" * 2000 for i in range(40)] + ["twice" * 900] * 2)
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plain = exchanges(rare_keys(df, "text"), capsys)
+    assert len(plain) == 1
+    found = rare_keys_by_digest(df, "text")
+    # One shuffle of texts is left, behind the join with the open digests.
+    found.explain()
+    plan = capsys.readouterr().out
+    assert plan.count("Exchange hashpartitioning(text") == 1 and plan.count("LeftSemi") == 1 and plan.count("LeftAnti") == 1
+    assert plan.index("LeftAnti") < plan.index("Exchange hashpartitioning(text") < plan.index("LeftSemi")
+    assert len(rows(found)) == 40
+    some = rare_keys_by_digest(df, "text", limit=10)
+    assert exchanges(some, capsys) == [] and some.count() == 10
+    assert rare_keys_by_digest(df, "text", limit=99).count() == 40
+    assert rare_keys_by_digest(df, "text", limit=0).count() == 0
+
+
+def test_only_the_key_is_read(spark, tmp_path, capsys):
+    frame(spark, KEYS).write.parquet(str(tmp_path / "t"))
+    rare_keys_by_digest(spark.read.parquet(str(tmp_path / "t")), "text").explain()
+    assert "other" not in capsys.readouterr().out
+    empty = spark.read.parquet(str(tmp_path / "t")).limit(0)
+    assert rare_keys_by_digest(empty, "text").collect() == []
