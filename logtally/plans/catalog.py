@@ -56,7 +56,7 @@ from logtally.sources.tables import (
     table,
     write_daily_archives,
 )
-from logtally.streaming.ingest import stream_event_counts, stream_tagged_lines
+from logtally.streaming import compact_batches, read_event_counts, stream_event_counts, stream_tagged_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -287,6 +287,20 @@ def q_streamed_event_counts(spark, sf):
             .groupBy("day", "name").agg(F.sum("occurrenceCount").alias("occurrenceCount")))
 
 
+# Archives of a batch of the compacted stream.
+FILES_PER_BATCH = 10
+
+
+def q_compacted_event_counts(spark, sf):
+    """Archives streamed in several batches, folded together, and read back."""
+    out = _fresh_folder(spark, "compacted")
+    stream_event_counts(spark, _landed_archives(spark, sf), "day=", CLEAN_NAME_PATH, out,
+                        max_files_per_trigger=FILES_PER_BATCH).awaitTermination()
+    compact_batches(spark, out)
+    return (read_event_counts(spark, out).select(F.get(F.split("fileName", "/"), 0).alias("day"), "name", "occurrenceCount")
+            .groupBy("day", "name").agg(F.sum("occurrenceCount").alias("occurrenceCount")))
+
+
 def q_streamed_lines(spark, sf):
     root = _landed_archives(spark, sf)
     out = _fresh_folder(spark, "streamed")
@@ -459,6 +473,7 @@ QUERIES: dict[str, Query] = {
     "landing_validity": q_landing_validity,
     "landed_event_counts": q_landed_event_counts,
     "streamed_event_counts": q_streamed_event_counts,
+    "compacted_event_counts": q_compacted_event_counts,
     "streamed_lines": q_streamed_lines,
     "managed_lines": q_managed_lines,
     "staged_lines": q_staged_lines,
@@ -629,6 +644,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT strftime(ts, '%Y-%m-%d') AS day, event_type AS name, count(*) AS occurrenceCount
         FROM events WHERE {_REASON} = 'ok' GROUP BY ALL""",
     "streamed_event_counts": _DAY_COUNTS,
+    "compacted_event_counts": _DAY_COUNTS,
     "streamed_lines": _with("""
         SELECT d AS day, '{"name":"' || event_type || '","siteId":"' || CAST(user_id AS VARCHAR) || '"}' AS line FROM ev"""),
     "managed_lines": _with("""

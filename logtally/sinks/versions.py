@@ -41,7 +41,7 @@ def _path(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _names(spark: SparkSession, folder: str) -> list[str]:
+def names(spark: SparkSession, folder: str) -> list[str]:
     fs, p = _path(spark, folder)
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
@@ -50,16 +50,28 @@ def _commits(root: str) -> str:
     return f"{root.rstrip('/')}/_commits"
 
 
-def _read_commit(spark: SparkSession, root: str, name: str) -> dict | None:
-    """A commit; None if it is still being written, or was left half written."""
-    fs, p = _path(spark, f"{_commits(root)}/{name}")
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of the files in a folder."""
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text; None if there is no such file."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return None
     stream = fs.open(p)
     try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
     finally:
         stream.close()
+
+
+def _read_commit(spark: SparkSession, root: str, name: str) -> dict | None:
+    """A commit; None if it is still being written, or was left half written."""
     try:
-        found = json.loads(text)
+        found = json.loads(read_text(spark, f"{_commits(root)}/{name}") or "")
     except ValueError:
         return None
     return found if isinstance(found, dict) else None
@@ -67,15 +79,15 @@ def _read_commit(spark: SparkSession, root: str, name: str) -> dict | None:
 
 def _last(spark: SparkSession, root: str) -> tuple[int, dict | None]:
     """(highest number taken, last complete commit)."""
-    names = [n for n in _names(spark, _commits(root)) if n.isdigit()]
-    for name in reversed(names):
+    taken = [n for n in names(spark, _commits(root)) if n.isdigit()]
+    for name in reversed(taken):
         found = _read_commit(spark, root, name)
         if found is not None:
-            return int(names[-1]), found
-    return int(names[-1]) if names else 0, None
+            return int(taken[-1]), found
+    return int(taken[-1]) if taken else 0, None
 
 
-def _create(spark: SparkSession, path: str, text: str) -> bool:
+def create(spark: SparkSession, path: str, text: str) -> bool:
     """Create a file unless it is there."""
     fs, p = _path(spark, path)
     fs.mkdirs(p.getParent())
@@ -112,7 +124,7 @@ def commit(spark: SparkSession, root: str, change: Callable[[dict[str, str]], di
         kept = schema.jsonValue() if schema is not None else (old or {}).get("schema")
         base = root.rstrip("/") + "/"
         relative = {k: v[len(base):] if v.startswith(base) else v for k, v in parts.items()}
-        if _create(spark, f"{_commits(root)}/{number + 1:020d}", json.dumps({"parts": relative, "schema": kept})):
+        if create(spark, f"{_commits(root)}/{number + 1:020d}", json.dumps({"parts": relative, "schema": kept})):
             return number + 1
     raise RuntimeError(f"{ATTEMPTS} other commits came first: {root}")
 
@@ -157,7 +169,7 @@ def read(spark: SparkSession, root: str, only: Iterable[str] | None = None) -> D
     return reader.parquet(*paths)
 
 
-def _written(spark: SparkSession, root: str, write: Callable[[str], object]) -> str:
+def written(spark: SparkSession, root: str, write: Callable[[str], object]) -> str:
     target = new_folder(root)
     try:
         write(target)
@@ -169,7 +181,7 @@ def _written(spark: SparkSession, root: str, write: Callable[[str], object]) ->
 
 def replace(spark: SparkSession, root: str, write: Callable[[str], object], schema: T.StructType | None = None) -> str:
     """Let ``write(folder)`` fill a new folder, then make it the whole table. Returns it."""
-    target = _written(spark, root, write)
+    target = written(spark, root, write)
     commit(spark, root, lambda _: {WHOLE: target}, schema)
     return target
 
@@ -182,7 +194,7 @@ def replace_table(df: DataFrame, root: str, compression: str = "snappy") -> str:
 def append(df: DataFrame, root: str) -> str:
     """Add ``df`` to a Parquet table as a part of its own. Returns the folder."""
     spark = df.sparkSession
-    target = _written(spark, root, lambda f: df.write.parquet(f))
+    target = written(spark, root, lambda f: df.write.parquet(f))
     commit(spark, root, lambda old: {**old, target.rsplit("/", 1)[1]: target}, df.schema)
     return target
 
@@ -191,9 +203,9 @@ def replace_parts(df: DataFrame, root: str, key: str, keys: Iterable[str], compr
     """Put the rows of ``df``, by their string column ``key``, in the place of the parts ``keys``
     and leave the others. A part without rows goes; every key in ``df`` must be among ``keys``."""
     spark, keys = df.sparkSession, set(keys)
-    target = _written(spark, root, lambda f: df.withColumn("_part", df[key]).write.partitionBy("_part").option(
+    target = written(spark, root, lambda f: df.withColumn("_part", df[key]).write.partitionBy("_part").option(
         "compression", compression).parquet(f))
-    new = {unquote(n.split("=", 1)[1]): f"{target}/{n}" for n in _names(spark, target) if n.startswith("_part=")}
+    new = {unquote(n.split("=", 1)[1]): f"{target}/{n}" for n in names(spark, target) if n.startswith("_part=")}
     if not set(new) <= keys:
         delete(spark, target)
         raise ValueError(f"rows of parts that are not rewritten: {sorted(set(new) - keys)[:5]}")
@@ -215,8 +227,8 @@ def drop_old(spark: SparkSession, root: str, keep: int = 2, unfinished_s: float
     """Remove data folders that none of the last ``keep`` commits names, and the commits before
     those. Folders newer than the last commit may belong to a write that goes on: they stay until
     they are ``unfinished_s`` seconds old. Returns the names of the removed folders."""
-    names = [n for n in _names(spark, _commits(root)) if n.isdigit()]
-    complete = [(n, c) for n, c in ((n, _read_commit(spark, root, n)) for n in names) if c is not None]
+    taken = [n for n in names(spark, _commits(root)) if n.isdigit()]
+    complete = [(n, c) for n, c in ((n, _read_commit(spark, root, n)) for n in taken) if c is not None]
     if not complete:
         return []
     used = {v.split("/")[1] for _, c in complete[-keep:] for v in c["parts"].values()}

@@ -22,7 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 from logtally.functions.json import json_field
 from logtally.functions.paths import decode_file_path
 from logtally.operators.tagging import tag_lines
-from logtally.sources.landing import GZIP_GLOB, SKIP_SUBSTRING
+from logtally.sinks import versions
+from logtally.sources.landing import GZIP_GLOB, SKIP_SUBSTRING, qualified
 from logtally.sources.lines import PATH_COL
 
 
@@ -42,11 +43,39 @@ def stream_lines(spark: SparkSession, landing_root: str, glob: str = GZIP_GLOB,
     return lines
 
 
-def _checkpoint(output_path: str, location: str | None) -> str:
+COUNTS_SCHEMA = "fileName string, name string, occurrenceCount long"
+
+
+def _location_file(output_path: str) -> str:
+    return f"{output_path.rstrip('/')}/_checkpoint_location"
+
+
+def checkpoint_of(spark: SparkSession, output_path: str) -> str:
+    """The checkpoint folder of a stream's output."""
+    return versions.read_text(spark, _location_file(output_path)) or f"{output_path.rstrip('/')}/_checkpoint"
+
+
+def _checkpoint(spark: SparkSession, output_path: str, location: str | None) -> str:
     """The stream's memory of what it has read belongs to its output: by default
     it lies inside that folder (readers skip names that begin with ``_``), so a
-    restart goes on where the output ends and no two outputs share one."""
-    return location or f"{output_path.rstrip('/')}/_checkpoint"
+    restart goes on where the output ends and no two outputs share one. A location
+    given by hand is noted in the output; later starts use it, and another is refused:
+    it would read everything again, or skip what the output lacks."""
+    own = f"{output_path.rstrip('/')}/_checkpoint"
+    wanted = (location or "").rstrip("/")
+    if wanted:
+        wanted = qualified(spark, wanted)
+    noted = versions.read_text(spark, _location_file(output_path))
+    if noted is None and not wanted:
+        return own
+    if noted is None and versions.names(spark, own) and wanted != qualified(spark, own):
+        noted = qualified(spark, own)
+    if noted is None:
+        versions.create(spark, _location_file(output_path), wanted)
+        noted = versions.read_text(spark, _location_file(output_path))
+    if wanted and wanted != noted:
+        raise ValueError(f"{output_path} was written with the checkpoint {noted}, not {wanted}")
+    return noted
 
 
 def stream_tagged_lines(spark: SparkSession, landing_root: str, marker: str, output_path: str,
@@ -54,18 +83,18 @@ def stream_tagged_lines(spark: SparkSession, landing_root: str, marker: str, out
                         available_now: bool = True) -> StreamingQuery:
     """Append tagged lines of new archives to a Parquet table (exactly once
     through the file sink's log and the source checkpoint). A checkpoint
-    location given by hand must stay the same for an output."""
+    location given by hand stays that of the output."""
     tagged = tag_lines(stream_lines(spark, landing_root), marker)
     writer = (tagged.writeStream.format("parquet").outputMode("append")
               .option("path", output_path)
-              .option("checkpointLocation", _checkpoint(output_path, checkpoint_location)))
+              .option("checkpointLocation", _checkpoint(spark, output_path, checkpoint_location)))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
 
 
 def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, json_path: str,
                         output_path: str, checkpoint_location: str | None = None,
-                        available_now: bool = True) -> StreamingQuery:
+                        available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """``(fileName, name, occurrenceCount)`` of newly landed archives.
 
     The file source gives each micro-batch whole files, so a batch's counts
@@ -73,10 +102,11 @@ def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, jso
     result is rewritten. Each batch writes its counts to
     ``<output_path>/batch=<id>`` with overwrite, so a batch replayed after a
     failure replaces its own output (exactly once). A checkpoint location
-    given by hand must stay the same for an output. Read the table back
-    with ``spark.read.parquet(output_path).drop("batch")``.
+    given by hand stays that of the output. Read the table back with
+    ``read_event_counts``, which also knows batches that ``compact_batches``
+    folded together; until the first of those, the folder is plain Parquet.
     """
-    lines = stream_lines(spark, landing_root)
+    lines = stream_lines(spark, landing_root, max_files_per_trigger=max_files_per_trigger)
     tagged = tag_lines(lines, marker).select(
         "fileName", json_field("line", json_path).alias("name"))
     root = output_path.rstrip("/")
@@ -87,6 +117,6 @@ def stream_event_counts(spark: SparkSession, landing_root: str, marker: str, jso
         counts.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
     writer = (tagged.writeStream.foreachBatch(_write)
-              .option("checkpointLocation", _checkpoint(output_path, checkpoint_location)))
+              .option("checkpointLocation", _checkpoint(spark, output_path, checkpoint_location)))
     writer = writer.trigger(availableNow=True) if available_now else writer
     return writer.start()
