@@ -10,8 +10,8 @@ fewer documents, and if not even one is left for each, fewer code points. Lines
 occur in the samples of two languages (licence lines, foreign passages) teach nothing
 and are left out. Predicting reads every whole text in blocks of ``BLOCK`` bytes.
 
-A text is seen as its lower-case words of letters, each once, in the order of
-their first occurrence: spam repeats and junk between words carry no weight.
+A text is seen as its lower-case words of letters, all of them in their order; what
+stands between words is one blank.
 
 Defined results: a null text or one without a letter is ``und``, score 0,
 rejected; ties go to the language with more labelled rows; without any labelled row
@@ -41,11 +41,11 @@ MARGIN = 0.002
 SCALE = 0.05
 UNDETERMINED = "und"
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_BETWEEN = re.compile(r"[\W\d_]+")
 
 
-def words_once(text: str | None) -> str:
-    return " ".join(dict.fromkeys(_LETTERS.findall((text or "").lower())))
+def running_words(text: str | None) -> str:
+    return _BETWEEN.sub(" ", (text or "").lower()).strip(" ")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -55,7 +55,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def dictionaries(samples: dict[str, list[str]]) -> dict[str, bytes]:
     """Raw dictionary content per language from sampled texts."""
-    lines = {lang: dict.fromkeys(x for t in texts for line in t.split("\n") if (x := words_once(line)))
+    lines = {lang: dict.fromkeys(x for t in texts for line in t.split("\n") if (x := running_words(line)))
              for lang, texts in samples.items()}
     seen: dict[str, int] = defaultdict(int)
     for own in lines.values():
@@ -108,7 +108,7 @@ class Classifier:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, rejected)"""
-        words = words_once(text)
+        words = running_words(text)
         if not words or not self.langs:
             return UNDETERMINED, 0.0, True
         data = f" {words} ".encode()
