@@ -6,8 +6,10 @@ U+0009 to U+000D. Sampled splitters range-partition the normalised content
 partition is sorted externally, and neighbouring rows are compared in full.
 The original length and the identifier are the last parts of the range key, so
 thousands of copies of one text are dealt over several partitions; only the
-first and the last run of a partition can go on in another one, and those (two
-per partition at most) are put together by their digest afterwards.
+first and the last run of a partition can go on in another one. Those, and the
+pieces of ``RUN_ROWS`` rows in which a longer run is given out, are put together by
+their digest afterwards, so no task holds a run of any length. Rows that repeat
+their identifier with their text are one task's, as a stream.
 
 Defined results: a null text counts as empty; empty texts equal each other; of
 equal texts the one with the most code points in the original stays, then the
@@ -29,6 +31,8 @@ from logtally.session import ship_package
 
 # Content bytes in the range key, before the digest decides.
 PREFIX_CHARS = 32
+# Rows of a run that are held together.
+RUN_ROWS = 1 << 16
 
 
 def normalised(text: Column) -> Column:
@@ -54,31 +58,33 @@ def _stripped(texts: pa.Array) -> list[bytes]:
     return [(x or b"").translate(None, SPACES) for x in texts.cast(pa.binary()).to_pylist()]
 
 
-def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per input row, given out when its run of equal texts ends; only
-    identifiers of the open run are held."""
+def _decide(limit: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per input row, given out when its run of equal texts ends or has ``limit``
+    rows; only identifiers of the open piece are held. A piece is named by partition and number."""
     from pyspark import TaskContext
-    part = TaskContext.get().partitionId()
+    part = TaskContext.get().partitionId() << 32
     schema = pa.schema([("id", pa.int64()), ("sha", pa.string()), ("keep_id", pa.int64()), ("shorter", pa.int64()),
                         ("size", pa.int64()), ("head", pa.bool_()), ("border", pa.bool_()), ("part", pa.int64())])
     out: dict[str, list] = {f: [] for f in schema.names}
     run: list = []
-    last, sha, shorter, first = None, None, None, True
+    last, sha, shorter, pieces = None, None, None, 0
+    first, goes_on = True, False           # the partition's first run; pieces of the open run were given out
 
     def close(border: bool) -> None:
         n = len(run)
         out["id"] += run
         out["head"] += [True] + [False] * (n - 1)
         for name, value in (("sha", sha), ("keep_id", run[0]), ("shorter", shorter), ("size", n),
-                            ("border", border), ("part", part)):
+                            ("border", border), ("part", part + pieces)):
             out[name] += [value] * n
 
     for batch in batches:
         for text, digest, s, i in zip(_stripped(batch.column("content")), batch.column("sha").to_pylist(),
                                       batch.column("shorter").to_pylist(), batch.column("id").to_pylist()):
-            if run and text != last:
-                close(first)
-                run, first = [], False
+            same = text == last
+            if run and not (same and len(run) < limit):
+                close(first or goes_on or same)
+                run, pieces, first, goes_on = [], pieces + 1, first and same, same
             if not run:
                 last, sha, shorter = text, digest, s
             run.append(i)
@@ -127,21 +133,21 @@ def _winner() -> Column:
     return F.min(F.struct("shorter", "no_id", "id", "part"))
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run_rows: int = RUN_ROWS) -> DataFrame:
     """``(<id>, keep_id, group_size, kept, text_sha256)``, one row per document."""
     runs = materialise(
         _sorted(docs, id_col, text_col, []).mapInArrow(
-            _decide, "id long, sha string, keep_id long, shorter long, size long, head boolean, border boolean, part long"),
+            partial(_decide, run_rows), "id long, sha string, keep_id long, shorter long, size long, head boolean, border boolean, part long"),
         "exact-runs")
     inner = runs.where(~F.col("border")).select(
         F.col("id").alias(id_col), "keep_id", F.col("size").alias("group_size"), F.col("head").alias("kept"),
         F.col("sha").alias("text_sha256"))
     border = runs.where("border")
-    # Two runs per partition at most.
+    # Two rows per partition, and one per piece of a long run.
     heads = border.where("head").select(
         "sha", "size", "shorter", F.col("keep_id").isNull().alias("no_id"), F.col("keep_id").alias("id"), "part")
     totals = heads.groupBy("sha").agg(F.sum("size").alias("total"), _winner().alias("w"))
-    # Rows meet their run's totals by partition and digest, so copies of one text stay dealt out.
+    # Rows meet their run's totals by piece and digest, so copies of one text stay dealt out.
     outer = border.join(heads.select("sha", "part").join(totals, "sha"), ["part", "sha"]).select(
         F.col("id").alias(id_col), F.col("w.id").alias("keep_id"), F.col("total").alias("group_size"),
         (F.col("head") & (F.col("part") == F.col("w.part"))).alias("kept"), F.col("sha").alias("text_sha256"))

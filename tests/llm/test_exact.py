@@ -40,6 +40,18 @@ def test_matches_brute_force(spark, seed, parts):
     assert texts == sorted({(r[1] or "").translate(DELETE) for r in rows})
 
 
+def test_long_runs_go_out_in_pieces(spark):
+    rows = documents(4) + [(300 + k, "same text" + " " * (k % 3), None, None, 0) for k in range(100)] + [(None, "same text", None, None, 0)] * 9
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts, run_rows in ((1, 1), (1, 10), (5, 4), (3, 100)):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            got = exact.exact_groups(frame(spark, rows), run_rows=run_rows)
+            assert sorted((tuple(r) for r in got.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=str) == brute(rows)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_the_longest_then_the_smallest_stays(spark):
     rows = [(5, "a b", None, None, 0), (7, "a  b", None, None, 0), (3, "ab", None, None, 0), (6, "a \tb", None, None, 0)]
     assert [r["doc_id"] for r in exact.drop_exact_copies(frame(spark, rows)).collect()] == [6]

@@ -1,8 +1,10 @@
+import bisect
 import hashlib
 import random
 
 import numpy as np
 import pytest
+import xxhash
 
 from logtally.llm import fingerprint as fp
 from tests.llm.helpers import documents, frame
@@ -11,7 +13,8 @@ from tests.llm.helpers import documents, frame
 def brute(rows):
     """Sorted (doc_id, n_chars, edited sha, common with the edited, common with the next)."""
     def order(r):
-        return (r[0] is None, -(r[0] or 0), r[1] or "")
+        tie = xxhash.xxh64_intdigest((r[1] or "").encode(), seed=42)
+        return (r[0] is None, -(r[0] or 0), tie - (tie >> 63 << 64), r[1] or "")
 
     def common(a, b):
         n = 0
@@ -52,6 +55,36 @@ def test_matches_brute_force(spark, parts):
     assert len(texts) == len(set(texts))
 
 
+def test_one_identifier_fills_several_ranges(spark):
+    """Half the rows without an identifier, a quarter with one, some repeated, the least long among them."""
+    rng = random.Random(5)
+    text = lambda: "".join(rng.choices("ab cé", k=rng.randrange(0, 50)))
+    rows = ([(None, text(), None, None, 0) for _ in range(200)] + [(7, text(), None, None, 0) for _ in range(100)]
+            + [(k, text(), None, None, 0) for k in range(100)] + [(-2**63, text(), None, None, 0), (2**63 - 1, text(), None, None, 0)]
+            + [(None, "again", None, None, 0)] * 20)
+    rng.shuffle(rows)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        got = fp.fingerprints(frame(spark, rows)).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert sorted(((r["doc_id"], r["n_chars"], r["edited_sha256"], r["common_edited"], r["common_next"]) for r in got), key=str) == brute(rows)
+
+
+def test_ranges_of_a_hot_identifier_are_cut_by_the_hash():
+    edges = fp.range_edges([fp._NO_ID] * 6 + [3, 8, 8, 8, 8, 20])
+    rng = random.Random(6)
+    ranges = {i: [bisect.bisect_left(edges, fp._place(i, rng.randrange(-1 << 63, 1 << 63))) for _ in range(4000)]
+              for i in (None, 3, 8, 20, 21, 2, -1)}
+    assert len(set(ranges[8])) == 4 and len(set(ranges[None])) == 7
+    for i, n in ((8, 4), (None, 7)):
+        assert max(map(ranges[i].count, set(ranges[i]))) < 1.3 * 4000 / n
+    assert all(len(set(ranges[i])) == 1 for i in (3, 20, 21, 2, -1))
+    assert max(ranges[21] + ranges[20]) < min(ranges[8]) and max(ranges[8]) < min(ranges[3]) and max(ranges[3]) < min(ranges[-1])
+    assert max(ranges[2] + ranges[-1]) < min(ranges[None])
+
+
 def test_spliced_arrays_equal_those_of_the_edited_text():
     rng = random.Random(1)
     for _ in range(60):
