@@ -1,6 +1,7 @@
 """The registered queries of this folder: each applies one operator, with its
 production parameters, to its whole table. ``ORACLE_SQL`` has the DuckDB form
-where SQL can express the operator."""
+where SQL can express the operator; two more queries give the columns of op4 and op10
+that it can express."""
 
 from __future__ import annotations
 
@@ -94,6 +95,16 @@ def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def pii_base_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op4: the base spans, in counts and digest."""
+    return find_pii(_table(spark, sf_dir, "documents")).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
+
+
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What SQL can say of op10: which document is the next, and the edited text."""
+    return fingerprints(_table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_bpe": op2_bpe,
@@ -108,6 +119,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op11_token_alignment": op11_token_alignment,
     "op12_suffix_ranks": op12_suffix_ranks,
     "op13_lexical_search": op13_lexical_search,
+    "pii_base_spans": pii_base_spans,
+    "edited_texts": edited_texts,
 }
 
 _OP1 = r"""
@@ -199,5 +212,40 @@ k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NU
 SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 10
 """
 
+# Fixed patterns of the base kinds.
+_PII = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+_PII_MATCHES = " UNION ALL ".join(
+    f"SELECT r, {k} AS place, '{kind}' AS kind, regexp_extract_all(t, '{pattern}') AS ms, string_split_regex(t, '{pattern}') AS ps FROM d"
+    for k, (kind, pattern) in enumerate(_PII.items(), 1))
+
+# Where a match begins follows from the pieces between matches.
+_PII_BASE = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_PII_MATCHES}),
+u AS (SELECT r, place, kind, unnest(ms) AS m, unnest(ps[:len(ms)]) AS p, generate_subscripts(ms, 1) AS i FROM m WHERE len(ms) > 0),
+s AS (SELECT *, regexp_replace(m, '[^0-9]', '', 'g') AS digits,
+             (sum(length(p) + length(m)) OVER (PARTITION BY r, place ORDER BY i))::BIGINT AS stop FROM u),
+v AS (SELECT r, place, kind, stop - length(m) AS start, stop,
+             CASE kind
+               WHEN 'email' THEN true
+               WHEN 'ip' THEN len([x for x in string_split(m, '.') if length(ltrim(x, '0')) > 3 OR right(x, 3)::INT > 255]) = 0
+               WHEN 'card' THEN length(digits) BETWEEN 12 AND 19 AND list_sum(
+                 [x - 9 * (x > 9)::INT for x in [substr(digits, length(digits) - j, 1)::BIGINT * (1 + j % 2) for j in range(length(digits))]]) % 10 = 0
+               ELSE length(digits) BETWEEN 9 AND 15 END AS valid
+      FROM s)
+SELECT doc_id, count(*) FILTER (kind = 'email') AS n_email, count(*) FILTER (kind = 'ip') AS n_ip,
+       count(*) FILTER (kind = 'card') AS n_card, count(*) FILTER (kind = 'phone') AS n_phone,
+       sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place), '')) AS base_sha256
+FROM d LEFT JOIN (SELECT * FROM v WHERE valid) USING (r) GROUP BY r, doc_id
+"""
+
+_EDITED = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+n AS (SELECT doc_id, t, length(t) // 3 AS c, coalesce(lead(t) OVER w, first_value(t) OVER w) AS next
+      FROM d WINDOW w AS (ORDER BY doc_id DESC NULLS LAST))
+SELECT doc_id, length(t)::BIGINT AS n_chars, sha256(substr(t, 1, length(t) - c) || substr(next, 1, c)) AS edited_sha256 FROM n
+"""
+
 ORACLE_SQL: dict[str, str] = {"op1_substring_dedup": _OP1, "op8_mixing": _OP8, "op9_exact_dedup": _OP9, "op12_suffix_ranks": _OP12,
-                              "op13_lexical_search": _OP13}
+                              "op13_lexical_search": _OP13, "pii_base_spans": _PII_BASE, "edited_texts": _EDITED}
