@@ -426,11 +426,10 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
         _first_settled(limit), "did long, tie long, place long, kind byte"), "suffix-ranks")
 
     def of(kind: int):
-        return F.collect_list(F.when(F.col("kind") == kind, F.col("place")))
+        return F.collect_set(F.when(F.col("kind") == kind, F.col("place")))
 
-    # Rows that repeat share a key: each of their places came twice, and settles once.
-    found = first.groupBy(*doc).agg(of(SETTLED).alias("settled"), F.array_distinct(of(OPEN)).alias("open"),
-                                    F.array_distinct(of(MET)).alias("met"))
+    # Rows that repeat, however often, share a key and its places: each is held once.
+    found = first.groupBy(*doc).agg(of(SETTLED).alias("settled"), of(OPEN).alias("open"), of(MET).alias("met"))
     # Both uses below take the documents from this one shuffle; the small side is hashed, texts are not sorted.
     placed = rows.join(found.hint("shuffle_hash"), doc, "left")
     left = placed.where("size(open) > 0 or size(met) > 0").select("id", "did", "tie", "t", "settled", "open", "met").mapInArrow(
@@ -447,7 +446,7 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     windows = left.mapInArrow(_to_count(limit), "did long, tie long, place long, asks boolean, one long, other long")
     counts = windows.groupBy("one", "other").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     new = new.unionByName(windows.where("asks").join(counts, ["one", "other"]).select(*doc, "place"))
-    new = new.groupBy(*doc).agg(F.collect_list("place").alias("new"))
+    new = new.groupBy(*doc).agg(F.collect_set("place").alias("new"))
     out = placed.join(new.hint("shuffle_hash"), doc, "left").select("id", "t", "settled", "new").mapInArrow(
         _removed, "id long, n_bytes long, n_removed long, spans array<struct<start: long, `end`: long>>, kept binary")
     return out.withColumnRenamed("id", id_col)

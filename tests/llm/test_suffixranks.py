@@ -68,6 +68,7 @@ def test_rows_that_repeat_or_share_an_identifier(spark):
     a, b = noise(rng, 500), noise(rng, 260)
     rows = [(None, a, None, None, 0), (None, a, None, None, 0), (None, b, None, None, 0), (7, noise(rng, 30) + b[:230], None, None, 0),
             (7, noise(rng, 300), None, None, 0), (8, a[:L + 1], None, None, 0)]
+    rows += [(None, a, None, None, 0), (9, b, None, None, 0)] * 150
     assert result(suffixranks.remove_repeated_bytes(frame(spark, rows))) == brute(rows)
     assert suffixranks.remove_repeated_bytes(frame(spark, rows).limit(0)).collect() == []
 
