@@ -11,6 +11,9 @@ from __future__ import annotations
 
 import fnmatch
 import io
+import itertools
+import os
+import stat
 import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -180,21 +183,39 @@ def stream_problem(uri: str) -> str:
         return gzip_problem(stream)
 
 
+# Entries of a folder that are held at a time.
+LIST_PAGE = 10_000
 _LISTED = "path string, isFolder boolean, length long, modified long"
 
 
-def _list_folders(batches):
-    """The entries of each folder; ``modified`` in epoch milliseconds."""
+def _entries(folder: str):
+    """(path, whether a folder, length, epoch milliseconds) of each entry of a folder. A local folder is
+    read as a stream; pyarrow's other file systems give the list of a folder as one."""
     from pyarrow import fs as pafs
 
+    filesystem, path = resolve(folder)
+    base = folder.rstrip("/")
+    if isinstance(filesystem, pafs.LocalFileSystem):
+        with os.scandir(path) as entries:
+            for e in entries:
+                try:
+                    found = e.stat()
+                except FileNotFoundError:        # gone since, or a link to nothing
+                    continue
+                yield f"{base}/{e.name}", stat.S_ISDIR(found.st_mode), found.st_size, found.st_mtime_ns // 1_000_000
+        return
+    for e in filesystem.get_file_info(pafs.FileSelector(path, recursive=False)):
+        yield f"{base}/{e.base_name}", e.type == pafs.FileType.Directory, e.size or 0, (e.mtime_ns or 0) // 1_000_000
+
+
+def _list_folders(batches, entries=_entries):
+    """The entries of each folder, ``LIST_PAGE`` at a time; ``modified`` in epoch milliseconds."""
     for pdf in batches:
         for folder in pdf["path"]:
-            filesystem, path = resolve(folder)
-            entries = filesystem.get_file_info(pafs.FileSelector(path, recursive=False))
-            yield pd.DataFrame(
-                [(f"{folder.rstrip('/')}/{e.base_name}", e.type == pafs.FileType.Directory,
-                  e.size if e.size is not None else 0, (e.mtime_ns or 0) // 1_000_000) for e in entries],
-                columns=["path", "isFolder", "length", "modified"]).astype({"isFolder": "bool", "length": "int64", "modified": "int64"})
+            rows = entries(folder)
+            while page := list(itertools.islice(rows, LIST_PAGE)):
+                yield pd.DataFrame(page, columns=["path", "isFolder", "length", "modified"]).astype(
+                    {"isFolder": "bool", "length": "int64", "modified": "int64"})
 
 
 def _slots(spark: SparkSession) -> int:

@@ -1,3 +1,6 @@
+import os
+
+import pandas as pd
 import pytest
 
 from logtally.sinks import (
@@ -9,7 +12,7 @@ from logtally.sinks import (
     stage_lines,
     write_managed,
 )
-from logtally.sources import read_valid_lines, validate_landing
+from logtally.sources import landing, read_valid_lines, validate_landing
 from logtally.sources.landing import gzip_problem, stream_problem
 from tests.conftest import rows
 from tests.fixtures import gz_bytes, gzip_cases
@@ -164,6 +167,40 @@ def test_folders_below_are_listed_and_read_only_when_asked(spark, tmp_path):
     assert lines == [0, 2]
 
 
+def test_a_folder_is_listed_in_pages(monkeypatch):
+    """A folder of a million entries never is one list, and pages go on before the folder ends."""
+    taken = 0
+
+    def entries(folder):
+        nonlocal taken
+        for taken in range(1, 1_000_001):
+            yield f"{folder}/{taken}.gz", False, taken, 0
+    rows = 0
+    for page in landing._list_folders([pd.DataFrame({"path": ["/a"]})], entries):
+        rows += len(page)
+        assert len(page) <= landing.LIST_PAGE and taken == rows
+    assert rows == 1_000_000
+
+
+def test_entries_of_a_local_folder(spark, tmp_path, monkeypatch):
+    names = [f"{k} %20é.gz" for k in range(25)]
+    for k, name in enumerate(names):
+        (tmp_path / name).write_bytes(b"x" * k)
+    (tmp_path / "below").mkdir()
+    (tmp_path / "nothing.gz").symlink_to(tmp_path / "gone")
+    os.utime(tmp_path / names[3], ns=(0, 1_234_567_890))
+    monkeypatch.setattr(landing, "LIST_PAGE", 10)
+    pages = list(landing._list_folders([pd.DataFrame({"path": [f"file:{tmp_path}"]})]))
+    rows = {r.path: (r.isFolder, r.length) for p in pages for r in p.itertuples()}
+    assert [len(p) for p in pages] == [10, 10, 6]
+    assert rows == {f"file:{tmp_path}/{n}": (False, k) for k, n in enumerate(names)} | {
+        f"file:{tmp_path}/below": (True, rows[f"file:{tmp_path}/below"][1])}
+    assert [r.modified for p in pages for r in p.itertuples() if r.path == f"file:{tmp_path}/{names[3]}"] == [1234]
+    empty = tmp_path / "below"
+    assert list(landing._list_folders([pd.DataFrame({"path": [str(empty)]})])) == []
+    assert validate_landing(spark, str(empty)).count() == 0
+
+
 def test_what_arrives_after_the_check_waits(spark, tmp_path):
     import time
     land = tmp_path / "land"
