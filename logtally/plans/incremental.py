@@ -5,7 +5,8 @@ came from; count tables are kept additive per file. A refresh
 
 1. checks the archives that arrived, or changed, since the last one (``check_new``);
 2. rewrites, in every table with days, the days of those archives, and of archives that
-   are gone, each from all archives of that day that pass;
+   are gone, each from all archives of that day that pass; events and dimension rows are
+   written day by day, each day from its own part of the table before, without a sort;
 3. sums the small count tables of all files into the reports;
 4. commits the manifest last: a refresh that fails on the way leaves every table as some
    commit had it, and the next one finds the same archives new again.
@@ -74,7 +75,7 @@ def _rewrite_lines(spark: SparkSession, cfg: SetupConfig, side: str, root: str,
     tagged = tag_lines(lines, marker, name_path=name_path).withColumn(DAY, day)
     seen = Observation(f"{side}_refreshed")
     target = cfg.path(side, "lines")
-    versions.replace_parts(tagged.observe(seen, F.count(F.lit(1)).alias("rows")), target, DAY, days)
+    versions.replace_parts(tagged, target, DAY, days, seen=seen)
     written = versions.read(spark, target, only=days)
     _record(spark, cfg, side, "lines_check", seen.get["rows"], written.count())
     counts = written.groupBy(DAY, PATH_COL, "fileName", "name").agg(F.count(F.lit(1)).alias("n"))
@@ -84,10 +85,12 @@ def _rewrite_lines(spark: SparkSession, cfg: SetupConfig, side: str, root: str,
 
 def _rewrite_events(spark: SparkSession, cfg: SetupConfig, written: DataFrame, days: list[str]) -> None:
     target = cfg.path("clean", "events")
-    versions.replace_parts(parse_events(written, keep=(DAY,)), target, DAY, days)
-    events = valid_json_rows(versions.read(spark, target, only=days))
-    _record(spark, cfg, "clean", "json_check", written.count(), events.count())
-    versions.replace_parts(explode_dimensions(events, keep=(DAY,), block_rows=cfg.block_rows), cfg.path("report", "dimensions"), DAY, days)
+    lines = versions.part_reader(spark, cfg.path("clean", "lines"))
+    versions.replace_each(spark, target, lambda day: parse_events(lines(day), keep=(DAY,)), days)
+    _record(spark, cfg, "clean", "json_check", written.count(), valid_json_rows(versions.read(spark, target, only=days)).count())
+    events = versions.part_reader(spark, target)
+    versions.replace_each(spark, cfg.path("report", "dimensions"), lambda day: explode_dimensions(
+        valid_json_rows(events(day)), keep=(DAY,), block_rows=cfg.block_rows), days)
 
 
 def refresh(spark: SparkSession, cfg: SetupConfig) -> dict[str, dict]:

@@ -23,10 +23,13 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from urllib.parse import unquote
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The part of a table that was written as a whole.
@@ -155,7 +158,16 @@ def exists(spark: SparkSession, root: str) -> bool:
 
 def read(spark: SparkSession, root: str, only: Iterable[str] | None = None) -> DataFrame:
     """The Parquet table as last committed; ``only``: those parts of it."""
-    _, last = _last(spark, root)
+    return _read(spark, root, _last(spark, root)[1], only)
+
+
+def part_reader(spark: SparkSession, root: str) -> Callable[[str], DataFrame]:
+    """Reads single parts of the Parquet table, all as it is committed now."""
+    last = _last(spark, root)[1]
+    return lambda part: _read(spark, root, last, [part])
+
+
+def _read(spark: SparkSession, root: str, last: dict | None, only: Iterable[str] | None) -> DataFrame:
     if last is None:
         return spark.read.parquet(root)
     some = last["parts"] if only is None else {k: v for k, v in last["parts"].items() if k in set(only)}
@@ -199,17 +211,60 @@ def append(df: DataFrame, root: str) -> str:
     return target
 
 
-def replace_parts(df: DataFrame, root: str, key: str, keys: Iterable[str], compression: str = "snappy") -> None:
+def replace_parts(df: DataFrame, root: str, key: str, keys: Iterable[str], compression: str = "snappy",
+                  seen: Observation | None = None) -> None:
     """Put the rows of ``df``, by their string column ``key``, in the place of the parts ``keys``
-    and leave the others. A part without rows goes; every key in ``df`` must be among ``keys``."""
+    and leave the others. A part without rows goes; every key in ``df`` must be among ``keys``.
+
+    Spark sorts a task's rows by part before it writes them: the rows are rebalanced over tasks of
+    the advisory size first, however much a task of ``df`` gives. ``seen`` is given the number of
+    ``rows``, counted where they are written."""
     spark, keys = df.sparkSession, set(keys)
-    target = written(spark, root, lambda f: df.withColumn("_part", df[key]).write.partitionBy("_part").option(
-        "compression", compression).parquet(f))
+    rows = df.withColumn("_part", df[key]).hint("rebalance", "_part")
+    if seen is not None:
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    target = written(spark, root, lambda f: rows.write.partitionBy("_part").option("compression", compression).parquet(f))
     new = {unquote(n.split("=", 1)[1]): f"{target}/{n}" for n in names(spark, target) if n.startswith("_part=")}
     if not set(new) <= keys:
         delete(spark, target)
         raise ValueError(f"rows of parts that are not rewritten: {sorted(set(new) - keys)[:5]}")
-    commit(spark, root, lambda old: {**{k: v for k, v in old.items() if k not in keys and k != WHOLE}, **new}, df.schema)
+    _commit_parts(spark, root, keys, new, df.schema)
+
+
+# Parts that are written at a time.
+PARTS_AT_ONCE = 8
+
+
+def replace_each(spark: SparkSession, root: str, rows_of: Callable[[str], DataFrame], keys: Iterable[str],
+                 compression: str = "snappy") -> None:
+    """Put the rows ``rows_of(key)`` in the place of each part of ``keys`` and leave the others. A part
+    without rows goes. Each part is a write of its own, whose tasks hold no rows back to sort them; all
+    are committed at once."""
+    keys = list(dict.fromkeys(keys))
+    schema = rows_of(keys[0]).schema if keys else None
+
+    def write(target: str) -> None:
+        def one(number: int, key: str) -> tuple[str, str] | None:
+            folder = f"{target}/{number}"
+            rows_of(key).write.option("compression", compression).parquet(folder)
+            return None if spark.read.schema(schema).parquet(folder).isEmpty() else (key, folder)
+
+        with ThreadPoolExecutor(PARTS_AT_ONCE, thread_name_prefix="logtally-parts") as pool:
+            jobs = [pool.submit(inheritable_thread_target(spark)(one), n, key) for n, key in enumerate(keys)]
+            try:
+                new.update(found for found in (job.result() for job in jobs) if found)
+            except BaseException:
+                pool.shutdown(cancel_futures=True)
+                raise
+
+    new: dict[str, str] = {}
+    if keys:
+        written(spark, root, write)
+        _commit_parts(spark, root, set(keys), new, schema)
+
+
+def _commit_parts(spark: SparkSession, root: str, keys: set[str], new: dict[str, str], schema: T.StructType) -> None:
+    commit(spark, root, lambda old: {**{k: v for k, v in old.items() if k not in keys and k != WHOLE}, **new}, schema)
 
 
 def point_view(spark: SparkSession, name: str, root: str) -> None:

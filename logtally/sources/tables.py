@@ -129,8 +129,9 @@ def copy_damaged(spark: SparkSession, root: str, target: str) -> str:
 def write_daily_archives(lines: DataFrame, root: str, mode: str = "error") -> str:
     """Land ``(sourceFileAbsolutePath, line)`` as gzip text archives, one
     folder per day (``day=YYYY-MM-DD``) taken from the path; with the mode
-    ``append`` next to what is there."""
+    ``append`` next to what is there. Lines are rebalanced first: Spark sorts a
+    task's lines by day."""
     day = F.regexp_extract(F.col(PATH_COL), r"([0-9]{4}-[0-9]{2}-[0-9]{2})", 1)
-    (lines.select("line", day.alias("day"))
+    (lines.select("line", day.alias("day")).hint("rebalance", "day")
      .write.mode(mode).partitionBy("day").option("compression", "gzip").text(root))
     return root

@@ -1,0 +1,33 @@
+"""Refresh a landing and print the most execution memory that a task held, in MB.
+
+Usage: python tests/refresh_job.py <landing base> <output root> <event log folder>
+Runs in its own process because the event log and the page size are set before the session starts.
+"""
+
+import json
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from logtally.plans.incremental import refresh  # noqa: E402
+from logtally.plans.setup import SetupConfig  # noqa: E402
+from logtally.session import build_session  # noqa: E402
+from logtally.sinks import versions  # noqa: E402
+
+if __name__ == "__main__":
+    base, out, log = sys.argv[1:4]
+    spark = build_session("refresh", master="local[2]", shuffle_partitions=4, extra={
+        "spark.buffer.pageSize": "1m", "spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log}",
+        "spark.eventLog.compress": "false", "spark.eventLog.rolling.enabled": "false"})
+    spark.sparkContext.setLogLevel("OFF")
+    cfg = SetupConfig(raw_root=f"{base}/raw/metrics", clean_root=f"{base}/nom/clean", output_root=out)
+    refresh(spark, cfg)
+    rows = versions.read(spark, cfg.path("report", "dimensions")).count()
+    spark.stop()
+    most = 0
+    for name in os.listdir(log):
+        with open(os.path.join(log, name)) as events:
+            for line in events:
+                most = max(most, (json.loads(line).get("Task Metrics") or {}).get("Peak Execution Memory", 0))
+    print(json.dumps({"rows": rows, "mb": most / 1e6}))

@@ -1,4 +1,7 @@
+import json
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -136,3 +139,18 @@ def test_many_increments_become_one(spark, tmp_path, monkeypatch):
 def test_day_of_an_archive(spark):
     df = spark.createDataFrame([("s3://a/day=2024-02-03/x.gz",), ("/l/x-2023-12-31-2024-01-01.gz",), ("/l/x.gz",)], "path string")
     assert [r[0] for r in df.select(archive_day("path")).collect()] == ["2024-02-03", "2023-12-31", "none"]
+
+
+def test_tasks_hold_no_dimension_rows(tmp_path):
+    many = {"locations": [f"l{i}" for i in range(20)], "pseudoEvents": [f"p{i}" for i in range(20)],
+            "ua": {"groups": [f"g{i}" for i in range(20)]}}
+    for day in ("2024-01-01", "2024-01-02"):
+        write_gz(tmp_path / "raw" / "metrics" / f"{day}.gz", ['{"clientData":{"name":"zoom"}}'] * 15)
+        write_gz(tmp_path / "nom" / "clean" / f"{day}.gz", [event("zoom", meta=many)] * 15)
+    (tmp_path / "log").mkdir()
+    proc = subprocess.run([sys.executable, os.path.join(os.path.dirname(os.path.abspath(__file__)), "refresh_job.py"),
+                           str(tmp_path), str(tmp_path / "out"), str(tmp_path / "log")], capture_output=True, text=True, timeout=600)
+    assert proc.returncode == 0, proc.stderr[-2000:]
+    got = json.loads(proc.stdout.strip().splitlines()[-1])
+    assert got["rows"] == 2 * 15 * 20 ** 3
+    assert got["mb"] < 20              # the rows of a day are more

@@ -4,6 +4,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from logtally.sinks import versions
@@ -58,6 +59,40 @@ def test_parts_are_replaced_alone(spark, tmp_path):
     assert empty.columns == ["day", "n"] and empty.count() == 0
 
 
+def test_parts_are_written_by_few_tasks_and_counted(spark, tmp_path):
+    root, seen = str(tmp_path / "t"), Observation()
+    rows_in = [(day, n) for day in ("1", "2") for n in range(20)]
+    df = spark.createDataFrame(rows_in, "day string, n long").repartition(8)
+    versions.replace_parts(df, root, "day", ["1", "2"], seen=seen)
+    assert seen.get == {"rows": 40} and rows(versions.read(spark, root)) == sorted(rows_in, key=repr)
+    for folder in versions.parts(spark, root).values():
+        assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) == 1       # not one per task of the frame
+
+
+def test_each_part_is_replaced_by_rows_of_its_own(spark, tmp_path):
+    root = str(tmp_path / "t")
+
+    def of(**numbers_of):
+        return lambda day: spark.createDataFrame([(day, n) for n in numbers_of[f"d{day}"]], "day string, n long")
+
+    versions.replace_each(spark, root, of(d1=[1, 1, 2], d2=[3], d3=[4]), ["1", "2", "3"])
+    assert rows(versions.read(spark, root)) == [("1", 1), ("1", 1), ("1", 2), ("2", 3), ("3", 4)]
+    before, part = versions.parts(spark, root), versions.part_reader(spark, root)
+    versions.replace_each(spark, root, of(d2=[], d3=[5]), ["2", "3"])                     # nothing is left of 2
+    assert rows(versions.read(spark, root)) == [("1", 1), ("1", 1), ("1", 2), ("3", 5)]
+    assert versions.parts(spark, root)["1"] == before["1"] and set(versions.parts(spark, root)) == {"1", "3"}
+    assert rows(part("3")) == [("3", 4)]                                                  # as it was committed then
+    after, held = versions.parts(spark, root), len(os.listdir(f"{root}/data"))
+    lost = F.raise_error(F.lit("lost")).cast("long")
+
+    def broken(day):
+        return numbers(spark, 1).select(F.lit(day).alias("day"), (F.col("n") if day == "1" else lost).alias("n"))
+
+    with pytest.raises(PySparkException):
+        versions.replace_each(spark, root, broken, ["1", "3"])
+    assert versions.parts(spark, root) == after and len(os.listdir(f"{root}/data")) == held
+
+
 def test_writers_at_once_keep_each_others_parts(spark, tmp_path):
     root = str(tmp_path / "t")
     with ThreadPoolExecutor(4) as pool:
