@@ -34,9 +34,11 @@ from pyspark.sql import functions as F
 
 from logtally.session import ship_package
 
-CHUNK_CHARS = 5_000_000
+CHUNK_CHARS = 2_500_000
 # Encoded pre-tokens that a task keeps from one chunk to the next.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 120_000
+# Neighbouring pairs that are looked up or indexed together.
+PAIRS_AT_ONCE = 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -73,6 +75,9 @@ class Merges:
 
     def pair(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Rank of each pair's merged token, ``none`` where it is no token."""
+        if len(a) > PAIRS_AT_ONCE:
+            return np.concatenate([self.pair(a[k:k + PAIRS_AT_ONCE], b[k:k + PAIRS_AT_ONCE])
+                                   for k in range(0, len(a), PAIRS_AT_ONCE)])
         keys = a.astype(np.int64) << 20 | b.astype(np.int64)
         out = np.full(len(keys), self.none, np.int32)
         if len(keys) and len(self._keys):
@@ -114,7 +119,8 @@ def encode_word(word: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all words in order, how many each word has)."""
+    """(ids of all words in order, how many each word has). Arrays of one entry per byte hold 32 bits
+    at most; what needs more is made ``PAIRS_AT_ONCE`` places at a time."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
     ends = np.cumsum(lengths)
     n = int(ends[-1]) if len(words) else 0
@@ -126,8 +132,9 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
     alive = np.ones(n, bool)
     # rank[i]: of the pair that begins at place i.
     rank = np.full(n, merges.none, np.int32)
-    first = np.flatnonzero(nxt >= 0)
-    rank[first] = merges.pair(token[first], token[nxt[first]])
+    if n > 1:
+        rank[:-1] = merges.pair(token[:-1], token[1:])
+        rank[nxt < 0] = merges.none
 
     index: dict[int, list[np.ndarray]] = {}
     waiting: list[int] = []
@@ -152,7 +159,8 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
             else:
                 known.append(places[a:b])
 
-    insert(first)
+    for k in range(0, n, PAIRS_AT_ONCE):
+        insert(np.arange(k, min(k + PAIRS_AT_ONCE, n), dtype=np.int32))
     redo: list[np.ndarray] = []
     while waiting:
         now = heapq.heappop(waiting)
@@ -186,12 +194,12 @@ def replay(words: list[bytes], merges: Merges) -> tuple[np.ndarray, np.ndarray]:
         if len(new) and new.min() <= now:
             redo.append(touched[new <= now])
         insert(np.unique(touched) if len(touched) > 1 else touched)
-    counts = np.zeros(len(words), np.int64)
-    word_of = np.repeat(np.arange(len(words)), lengths)
-    ids, owner = token[alive], word_of[alive]
-    counts += np.bincount(owner, minlength=len(words))
+    ids = token[alive]
+    before = np.concatenate([[0], np.cumsum(alive, dtype=np.int32)])
+    counts = (before[ends] - before[ends - lengths]).astype(np.int64)
     if redo:
-        again = np.unique(word_of[np.concatenate(redo)]).tolist()
+        # The word of a place is the first that ends behind it.
+        again = np.unique(np.searchsorted(ends, np.concatenate(redo), side="right")).tolist()
         pieces = np.split(ids, np.cumsum(counts)[:-1])
         for w in again:
             pieces[w] = np.array(encode_word(words[w], merges.ranks), np.int32)
@@ -214,7 +222,7 @@ class Encoder:
         known, docs, old = self.known, [], len(self.known)
         for text in texts:
             words = self.find(text)
-            docs.append(np.fromiter([known.setdefault(w, len(known)) for w in words], np.int64, len(words)))
+            docs.append(np.fromiter([known.setdefault(w, len(known)) for w in words], np.int32, len(words)))
         new = [w.encode("utf-8", "surrogatepass") for w in list(known)[old:]] if len(known) > old else []
         if new:
             whole = np.fromiter((self.merges.ranks.get(w, -1) for w in new), np.int32, len(new))

@@ -1,4 +1,6 @@
 import hashlib
+import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -48,3 +50,27 @@ def test_merge_that_makes_a_lower_rank_is_redone():
     ids, counts = bpe.replay(words, bpe.Merges(ranks))
     got = [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
     assert got == [library.encode_ordinary(w.decode()) for w in words] == [bpe.encode_word(w, ranks) for w in words]
+
+
+def test_pairs_in_small_pieces(monkeypatch):
+    words = [w.encode() for text in ODD for w in [text, "", text[::2]]]
+    merges = bpe.Merges(RANKS)
+    for some in (words, words[:1], []):
+        monkeypatch.setattr(bpe, "PAIRS_AT_ONCE", 1 << 17)
+        want = bpe.replay(some, merges)
+        monkeypatch.setattr(bpe, "PAIRS_AT_ONCE", 3)
+        assert [x.tolist() for x in bpe.replay(some, merges)] == [x.tolist() for x in want]
+
+
+def test_replay_needs_few_bytes_per_byte():
+    """Several arrays of 64-bit places at once made it 70."""
+    rng = random.Random(3)
+    words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(4, 14))).encode() for _ in range(100_000)]
+    merges = bpe.Merges(RANKS)
+    tracemalloc.start()
+    try:
+        bpe.replay(words, merges)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 45 * sum(map(len, words))
